@@ -12,8 +12,9 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.operators.panel import Panel
+from seriesloom.functions.columns import rounded as round_half_up
 from seriesloom.operators import calendar as cal
+from seriesloom.operators.panel import Panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,12 +29,35 @@ def query(name: str, sql: str | None = None, **params) -> Callable[[Query], Quer
             raise ValueError(f"query {name} registered twice")
         QUERIES[name] = partial(fn, **params) if params else fn
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = decimal_rounds(sql)
         return fn
 
     return add
 
 
+def decimal_rounds(sql: str) -> str:
+    """Make every ``round(x, n)`` round in decimal, as the library does, so that ties agree."""
+    out, i = [], 0
+    while (j := sql.find("round(", i)) >= 0:
+        depth, k, comma = 0, j + 5, None
+        while True:
+            ch = sql[k]
+            depth += (ch == "(") - (ch == ")")
+            if depth == 0:
+                break
+            if ch == "," and depth == 1:
+                comma = k
+            k += 1
+        out.append(sql[i:j])
+        if comma is None:
+            out.append("round(" + decimal_rounds(sql[j + 6 : k]) + ")")
+        else:
+            n = int(sql[comma + 1 : k])
+            out.append(f"CAST(round(CAST({decimal_rounds(sql[j + 6 : comma])} AS DECIMAL(38, {n + 3})), {n}) AS DOUBLE)")
+        i = k + 1
+    return "".join(out) + sql[i:]
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -195,10 +219,11 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def round_cols(df: DataFrame, keep, **digits: int) -> DataFrame:
-    """``keep`` columns as they are, the others rounded."""
-    return df.select(*keep, *[F.round(c, d).alias(c) for c, d in digits.items()])
+def rounded(df: DataFrame, keep, cols, d: int = 4) -> DataFrame:
+    """``keep`` columns as they are, ``cols`` rounded."""
+    return df.select(*keep, *[round_half_up(c, d).alias(c) for c in cols])
 
 
-def rounded(df: DataFrame, keep, cols, d: int = 4) -> DataFrame:
-    return df.select(*keep, *[F.round(c, d).alias(c) for c in cols])
+def round_to(df: DataFrame, **digits: int) -> DataFrame:
+    """Round the named columns in place."""
+    return df.withColumns({c: round_half_up(c, d) for c, d in digits.items()})

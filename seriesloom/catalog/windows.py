@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
     BY_DATE, OHLC_DAILY, ORDER_ROWS, ORDERS_WEEKLY, SUPPLIER_MONTHLY, ohlc_daily, order_rows, orders_weekly, over, query,
-    rounded, sql_before, sql_bfill, sql_div, sql_ffill, sql_upto, supplier_monthly, with_,
+    round_half_up, rounded, sql_before, sql_bfill, sql_div, sql_ffill, sql_upto, supplier_monthly, with_,
 )
 from seriesloom.operators import features as ft
 from seriesloom.plans import config
@@ -239,8 +239,8 @@ query(
 )(
     lambda spark, sf: ft.add_features(supplier_monthly(spark, sf), [ft.returns("y", 12)], fill=None).df.select(
         *KEY,
-        *[F.round(f"y_{x}", 6).alias(f"y_{x}") for x in ("log_return", "abs_return", "volatility_12", "cv_12")],
-        *[F.round(f"y_{x}", 4).alias(f"y_{x}") for x in ("std_12", "avg_12")],
+        *[round_half_up(f"y_{x}", 6).alias(f"y_{x}") for x in ("log_return", "abs_return", "volatility_12", "cv_12")],
+        *[round_half_up(f"y_{x}", 4).alias(f"y_{x}") for x in ("std_12", "avg_12")],
     )
 )
 query(
@@ -303,7 +303,7 @@ def _feature_set(spark, sf, panel, flavor, digits):
     p = config.build(panel(spark, sf), flavor, leading=True)
     names = config.output_names(flavor)
     d = {n: 4 if n.startswith("comparison") else digits for n in names}
-    return p.df.select(*KEY, *[F.round(n, d[n]).alias(n) for n in names])
+    return p.df.select(*KEY, *[round_half_up(n, d[n]).alias(n) for n in names])
 
 
 query("w30_feature_set", _flavor_sql(ORDERS_WEEKLY, "orders_weekly", _FLAVOR_COLS, _RATIO, 2))(

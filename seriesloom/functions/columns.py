@@ -53,3 +53,12 @@ def finite_or_null(c: str | Column) -> Column:
 
 def series_window(series: Sequence[str], order: Sequence[str | Column]) -> WindowSpec:
     return Window.partitionBy(*series).orderBy(*order)
+
+
+def rounded(c: str | Column, digits: int) -> Column:
+    """Round half up in decimal, after dropping float noise three places further down.
+
+    Rounding doubles directly makes exact ties depend on the last bit of a sum's order.
+    """
+    x = col(c).cast("double")
+    return F.when(F.abs(x) < F.lit(1e15), F.round(x.cast(f"decimal(38,{digits + 3})"), digits).cast("double")).otherwise(x)
