@@ -69,11 +69,11 @@ UNION ALL SELECT series, date, y + 1, n FROM orders_weekly QUALIFY row_number()
 
 
 def _cleaned(spark, sf):
-    raw = table(spark, sf, "nation").toDF("Nation Key (ID)", "N Name/Label", "Region__Key $T")
+    raw = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey").toDF("Customer Key (ID)", "C Name/Label", "Nation__Key $T")
     return cl.clean_column_names(raw)
 
 
-query("io05_clean_names", "SELECT n_nationkey AS nation_key_id, n_name AS n_namelabel, n_regionkey AS region_key_usdt FROM nation")(_cleaned)
+query("io05_clean_names", "SELECT c_custkey AS customer_key_id, c_name AS c_namelabel, c_nationkey AS nation_key_usdt FROM customer")(_cleaned)
 
 
 def _two_tables(spark, sf):
@@ -104,13 +104,13 @@ FROM report WHERE model_type IN ('sma_3', 'last_value')""",
 
 def _quoted(spark, sf):
     path = f"{sinks.scratch_folder(spark)}/export"
-    small = table(spark, sf, "nation").withColumn("note", F.concat(F.lit('said "'), F.col("n_name"), F.lit('", twice\nover')))
-    sinks.export_csv(small, path)
+    weekly = orders_weekly_df(spark, sf).withColumn("note", F.concat(F.lit('said "'), F.col("series"), F.lit('", twice\nover')))
+    sinks.export_csv(weekly, path)
     opts = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
-    return spark.read.schema("n_nationkey int, n_name string, n_regionkey int, note string").options(**opts).csv(path)
+    return spark.read.schema(f"{PANEL_SCHEMA}, note string").options(**opts).csv(path)
 
 
-query("io08_quoted_csv", """SELECT n_nationkey, n_name, n_regionkey, 'said "' || n_name || '", twice' || chr(10) || 'over' AS note FROM nation""")(_quoted)
+query("io08_quoted_csv", f"""{_OW}SELECT *, 'said "' || series || '", twice' || chr(10) || 'over' AS note FROM orders_weekly""")(_quoted)
 
 
 def _replaced(spark, sf):

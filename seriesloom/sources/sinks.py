@@ -34,10 +34,14 @@ def append_facts(df: DataFrame, path: str, schema: Mapping[str, str], partition:
     conform(df, schema).write.mode("append").partitionBy(partition).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """One quoted CSV file, for small hand-over tables: a single task writes it."""
+EXPORT_ROWS = 1_000_000
+
+
+def export_csv(df: DataFrame, path: str, max_rows: int = EXPORT_ROWS) -> None:
+    """Quoted CSV with a header: one file for a small table, one per partition for a large one."""
+    small = df.limit(max_rows + 1).count() <= max_rows
     (
-        df.coalesce(1)
+        (df.coalesce(1) if small else df)
         .write.mode("overwrite")
         .option("header", True)
         .option("sep", ",")
