@@ -56,9 +56,15 @@ def series_window(series: Sequence[str], order: Sequence[str | Column]) -> Windo
 
 
 def rounded(c: str | Column, digits: int) -> Column:
-    """Round half up in decimal, after dropping float noise three places further down.
+    """Round half away from zero, after dropping float noise three places further down.
 
-    Rounding doubles directly makes exact ties depend on the last bit of a sum's order.
+    Rounding doubles directly makes exact ties depend on the last bit of a sum's order. Whole
+    numbers do the work, so the expression stays in generated code; values too large for that
+    go through decimals, and infinities pass.
     """
     x = col(c).cast("double")
-    return F.when(F.abs(x) < F.lit(1e15), F.round(x.cast(f"decimal(38,{digits + 3})"), digits).cast("double")).otherwise(x)
+    scaled = F.abs(x) * F.lit(float(10 ** (digits + 3)))
+    steps = F.floor((F.floor(scaled + 0.5) + 500) / 1000)
+    fast = F.when(x < 0, -steps).otherwise(steps) / F.lit(float(10**digits))
+    slow = F.round(x.cast(f"decimal(38,{digits + 3})"), digits).cast("double")
+    return F.when(scaled < F.lit(2.0**52), fast).when(scaled < F.lit(1e30), slow).otherwise(x)

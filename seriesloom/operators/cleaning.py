@@ -123,7 +123,7 @@ def exact_quantiles(
     largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= limit:
         return rows.groupBy(*keys).agg(*[F.percentile(c, F.lit(q)).alias(n) for n, q in qs.items()])
-    counted = rows.groupBy(*keys, c).agg(F.count("*").alias("__n"))
+    counted = session.cut(rows.groupBy(*keys, c).agg(F.count("*").alias("__n")))
     ranked = Panel(counted, keys, [c], rows_per_task=limit).running_sums({"__upto": F.col("__n")}).df
     totals = rows.groupBy(*keys).agg(F.count("*").alias("__total"))
     ranked = attach(ranked, totals, keys)

@@ -157,6 +157,8 @@ class Panel:
                 exprs = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
             return self.with_df(self.df.withColumns(exprs))
         p = self._split()
+        if backward and leading:
+            return p._fill_head(cols)
         edge = F.min_by if backward else F.max_by
         summary = [edge(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"__edge_{c}") for c in cols]
         carry = p._carry(
@@ -168,6 +170,17 @@ class Panel:
         df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols})
         return p.with_df(df.drop(*[f"__carry_{c}" for c in cols]))
 
+    def _fill_head(self, cols: Sequence[str]) -> Panel:
+        """Fill leading nulls in a split series. A frame reaches at most one chunk back, so the
+        nulls lie in the first chunk and the first value in the first two."""
+        first = self.df.filter(F.col(CHUNK) <= 1).groupBy(*self.series).agg(
+            *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"__head_{c}") for c in cols]
+        )
+        first = first.withColumn(CHUNK, F.lit(0).cast("long"))
+        df = self.df.join(first, [*self.series, CHUNK], "left")
+        df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"__head_{c}")) for c in cols})
+        return self.with_df(df.drop(*[f"__head_{c}" for c in cols]))
+
     def fill_back(self, cols: Sequence[str], *, leading: bool = False) -> Panel:
         """Replace each null by the next non-null value. ``leading``: nulls only lead the series."""
         return self._fill(cols, True, leading)
@@ -222,6 +235,8 @@ class Panel:
             )
             value = F.col("__u") / F.col("__v") if adjust else F.col("__u") * first + F.col("__v")
         else:
+            # Scanned once: the summary and the rows below both read the written scan.
+            df = session.cut(df)
             seen = F.when(observed, F.col(POS))
             rows = df.groupBy(*p.series, CHUNK).agg(
                 F.min_by(c, seen).cast("double").alias("__x1"),
@@ -310,23 +325,20 @@ def exact_positions(df: DataFrame, series: Sequence[str], order: Sequence[str],
     """Add ``__pos``, the 1-based position in the series, with no task holding a whole series.
 
     A range exchange on (series, order) cuts the table into contiguous slabs, however long one
-    series is. The slabs are written out so their ids stay fixed; a count per (series, slab)
-    gives every slab its starting position.
+    series is. Rows are numbered inside their sorted slab and written out, so slabs and numbers
+    stay fixed; a count per (series, slab) then shifts every run of rows to its place.
     """
-    slabs = int(min(max(-(-total // chunk_rows), 1), 8 * MAX_CHUNKS))
-    ranged = df.repartitionByRange(slabs, *series, *order).withColumn(SLAB, F.spark_partition_id())
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = -(-total // chunk_rows)
+    slabs = int(max(1, min(wanted, max(cores, total // session.DEFAULT_ROWS_PER_TASK), 8 * MAX_CHUNKS)))
+    ranged = (
+        df.repartitionByRange(slabs, *series, *order)
+        .sortWithinPartitions(*series, *order)
+        .withColumns({SLAB: F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
+    )
     ranged = session.cut(ranged)
     keys = [*series, SLAB]
     w = Window.partitionBy(*series).orderBy(SLAB).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranged.groupBy(*keys)
-        .count()
-        .select(*keys, F.coalesce(F.sum("count").over(w), F.lit(0)).alias("__start"))
-    )
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return (
-        ranged.withColumn(POS, local.cast("long"))
-        .join(starts, keys)
-        .withColumn(POS, F.col(POS) + F.col("__start"))
-        .drop(SLAB, "__start")
-    )
+    runs = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
+    starts = runs.select(*keys, (F.coalesce(F.sum("__rows").over(w), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    return ranged.join(starts, keys).withColumn(POS, F.col("__at") + F.col("__shift")).drop(SLAB, "__at", "__shift")

@@ -87,10 +87,38 @@ def _opening(y: np.ndarray, period: int) -> np.ndarray:
 def smoothing_forecast(panel: Panel, c: str, period: int, horizon: int) -> DataFrame:
     """Forecast every series with at least two seasons of non-null values; best grid row by squared error."""
     panel = panel.with_df(panel.df.select(*panel.series, *panel.order, F.col(c).cast("double").alias("__y")).filter("__y IS NOT NULL"))
+    wide = period + 2
+    best = (_score_split if panel.is_split else _score_whole)(panel, period)
+    pick = (F.array_position("__sse", F.array_min("__sse")) - 1).cast("int")
+    chosen = best.withColumn("__g", pick).withColumn("__x", F.slice("__state", F.col("__g") * wide + 1, F.lit(wide)))
+    steps = chosen.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    trend_sum = DAMPING * (1 - F.pow(F.lit(DAMPING), "step")) / (1 - DAMPING)
+    phase = F.pmod(F.col("__n") + F.col("step") - 1, F.lit(period)).cast("int")
+    value = F.element_at("__x", 1) + trend_sum * F.element_at("__x", 2) + F.element_at("__x", phase + 3)
+    return steps.select(*panel.series, "step", value.alias("prediction"))
+
+
+def _score_whole(panel: Panel, period: int) -> DataFrame:
+    """Series that fit a task: one pass per series. Columns __n, __sse, __state."""
+    s, order = panel.series, panel.order
+    numbers = T.ArrayType(T.DoubleType())
+    keys = [f for f in panel.df.schema.fields if f.name in s]
+    schema = T.StructType([*keys, T.StructField("__n", T.LongType()), T.StructField("__sse", numbers), T.StructField("__state", numbers)])
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = pdf.sort_values(order)["__y"].to_numpy()
+        if len(y) < 2 * period:
+            return pd.DataFrame(columns=schema.fieldNames())
+        start = np.tile(_opening(y, period), (len(GRID), 1))
+        end, sse = _scan(y, 0, period, start, 2 * period)
+        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in s}, "__n": len(y), "__sse": sse.tolist(), "__state": end.ravel().tolist()}])
+
+    return panel.df.groupBy(*s).applyInPandas(score, schema)
+
+
+def _score_split(panel: Panel, period: int) -> DataFrame:
+    """Series too long for a task, chunk by chunk. Columns __n, __sse, __state."""
     p = panel.positions("__i")
-    split = p.is_split
-    if not split:
-        p = p.with_df(p.df.withColumn(CHUNK, F.lit(0).cast("long")))
     s = p.series
     key_fields = [f for f in p.df.schema.fields if f.name in s]
     head = p.df.filter(F.col("__i") <= 2 * period).groupBy(*s).agg(
@@ -118,24 +146,17 @@ def smoothing_forecast(panel: Panel, c: str, period: int, horizon: int) -> DataF
     # Fold: a few numbers per chunk, at most MAX_CHUNKS chunks per series.
     entry_schema = T.StructType([*key_fields, T.StructField(CHUNK, T.LongType()), T.StructField("__enter", numbers)])
 
-    def enter(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def enter(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(CHUNK)
         state = np.tile(_opening(np.asarray(pdf["__head"].iloc[0]), period), (len(GRID), 1))
         out = []
         for chunk, first, length, end in zip(pdf[CHUNK], pdf["__from"], pdf["__len"], pdf["__end"]):
             out.append({**dict(zip(s, key)), CHUNK: chunk, "__enter": state.ravel().tolist()})
-            if len(pdf) > 1:
-                moved = np.einsum("gij,gj->gi", _carry_matrices(int(length), int(first), period), state)
-                state = moved + np.asarray(end).reshape(len(GRID), wide)
+            moved = np.einsum("gij,gj->gi", _carry_matrices(int(length), int(first), period), state)
+            state = moved + np.asarray(end).reshape(len(GRID), wide)
         return pd.DataFrame(out)
 
-    if split:
-        ends = rows.groupBy(*s, CHUNK).applyInPandas(chunk_end, ends_schema)
-    else:
-        # One chunk: its end state is not needed to enter it.
-        ends = rows.groupBy(*s, CHUNK).agg(
-            (F.min("__i") - 1).alias("__from"), F.count(F.lit(1)).alias("__len"), F.array().cast("array<double>").alias("__end")
-        )
+    ends = rows.groupBy(*s, CHUNK).applyInPandas(chunk_end, ends_schema)
     entries = ends.join(head, s).groupBy(*s).applyInPandas(enter, entry_schema)
 
     # Pass 2: squared error of every grid row, and the end state of each chunk.
@@ -154,22 +175,12 @@ def smoothing_forecast(panel: Panel, c: str, period: int, horizon: int) -> DataF
     opening_row = rows.groupBy(*s, CHUNK).agg(F.min("__i").alias("__i")).join(entries, [*s, CHUNK])
     with_entry = rows.join(opening_row, [*s, CHUNK, "__i"], "left")
 
-    def score_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-        return score(pdf.sort_values("__i"))
-
-    scored = with_entry.groupBy(*s, CHUNK).applyInPandas(score_sorted, score_schema)
-    best = scored.groupBy(*s).agg(
+    scored = with_entry.groupBy(*s, CHUNK).applyInPandas(score, score_schema)
+    return scored.groupBy(*s).agg(
         F.array(*[F.sum(F.col("__sse")[g]) for g in range(len(GRID))]).alias("__sse"),
         F.max_by("__state", "__i").alias("__state"),
         F.max("__i").alias("__n"),
     )
-    pick = (F.array_position("__sse", F.array_min("__sse")) - 1).cast("int")
-    chosen = best.withColumn("__g", pick).withColumn("__x", F.slice("__state", F.col("__g") * wide + 1, F.lit(wide)))
-    steps = chosen.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    trend_sum = DAMPING * (1 - F.pow(F.lit(DAMPING), "step")) / (1 - DAMPING)
-    phase = F.pmod(F.col("__n") + F.col("step") - 1, F.lit(period)).cast("int")
-    value = F.element_at("__x", 1) + trend_sum * F.element_at("__x", 2) + F.element_at("__x", phase + 3)
-    return steps.select(*s, "step", value.alias("prediction"))
 
 
 def naive_tail(panel: Panel, c: str, horizon: int) -> DataFrame:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesloom import session
 from seriesloom.functions import distributions as ds
 from seriesloom.functions.columns import sdiv
 from seriesloom.operators.features import attach
@@ -51,7 +52,7 @@ def average_ranks(df: DataFrame, keys: Sequence[str], c: str, out: str, **kw) ->
     Distinct values are counted first, so the ordered pass sees one row per value, and that
     pass splits when a key has too many values.
     """
-    counted = df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("__ties"))
+    counted = session.cut(df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("__ties")))
     upto = Panel(counted, keys, [c], **kw).running_sums({"__upto": F.col("__ties")}).df
     ranks = upto.select(*keys, c, (F.col("__upto") - (F.col("__ties") - 1) / 2).alias(out), F.col("__ties").alias(f"{out}_ties"))
     return df.join(ranks, [*keys, c], "left")
