@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
+    supplier_panel, using, weekly_panel,
     OHLC_DAILY, ORDERS_WEEKLY, SUPPLIER_MONTHLY, ohlc_daily, orders_weekly, over, query, round_half_up, round_to,
     supplier_monthly, with_,
 )
@@ -25,16 +26,16 @@ f AS (SELECT c.series, CAST(fold AS INTEGER) AS fold, s AS train_end, s AS test_
   FROM c LEFT JOIN stop USING (series) WHERE stop IS NULL OR fold <= stop)"""
 
 
-def _expanding(spark, sf):
-    return fd.expanding_folds(orders_weekly(spark, sf), "date", "2000-12-01", 6, 4)
+def _expanding(p):
+    return fd.expanding_folds(p, "date", "2000-12-01", 6, 4)
 
 
-query("b01_expanding_folds", f"{OW[:-1]},\n{_EXPANDING} SELECT * FROM f")(_expanding)
+query("b01_expanding_folds", f"{OW[:-1]},\n{_EXPANDING} SELECT * FROM f")(using(weekly_panel, _expanding))
 query(
     "b01_expanding_fold_rows",
     f"""{OW[:-1]},\n{_EXPANDING} SELECT pos.*, fold, CASE WHEN row_no < train_end THEN 'train' ELSE 'test' END AS part
 FROM f JOIN pos ON pos.series = f.series AND row_no < test_end""",
-)(lambda spark, sf: fd.fold_rows(orders_weekly(spark, sf), _expanding(spark, sf)))
+)(using(weekly_panel, lambda p: fd.fold_rows(p, _expanding(p))))
 query(
     "b02_calendar_folds",
     f"""{with_(OHLC_DAILY)}, m AS (SELECT series, max(date) AS last FROM ohlc_daily GROUP BY 1),
@@ -52,27 +53,24 @@ query(
     f"""{SM}SELECT series, date, y, CASE WHEN row_number() OVER (PARTITION BY series ORDER BY date DESC) <= 6 THEN 'test' ELSE 'train' END AS part
 FROM supplier_monthly""",
 )(
-    lambda spark, sf: fd.fold_rows(supplier_monthly(spark, sf), fd.tail_split(supplier_monthly(spark, sf), "date", 6)).select(
+    using(supplier_panel, lambda p: fd.fold_rows(p, fd.tail_split(p, "date", 6)).select(
         "series", "date", "y", "part"
-    )
-)
+    )))
 query(
     "b04_growing_folds",
     f"""{SM[:-1]},\n{_SM_POS}, f AS (SELECT series, CAST(unnest(range(0, (n_rows - 36 - 6) // 6)) AS INTEGER) AS fold FROM sz)
 SELECT f.series, fold, date, y FROM f JOIN pos ON pos.series = f.series AND row_no >= 36 + fold * 6 AND row_no < 36 + fold * 6 + 12""",
 )(
-    lambda spark, sf: fd.test_rows(
-        supplier_monthly(spark, sf), fd.growing_folds(supplier_monthly(spark, sf), "date", 36, 6, 12)
-    ).select("series", "fold", "date", "y")
-)
+    using(supplier_panel, lambda p: fd.test_rows(
+        p, fd.growing_folds(p, "date", 36, 6, 12)
+    ).select("series", "fold", "date", "y")))
 query(
     "b05_end_anchored_folds",
     f"""{SM[:-1]},\n{_SM_POS}, f AS (SELECT series, n_rows AS n, CAST(unnest(range(0, 5)) AS INTEGER) AS fold FROM sz WHERE n_rows > 30)
 SELECT series, fold, n - (5 - fold) * 6 AS train_end, n - (5 - fold) * 6 AS test_start, n - (4 - fold) * 6 AS test_end FROM f""",
-)(lambda spark, sf: fd.end_anchored_folds(supplier_monthly(spark, sf), "date", 5, 6))
+)(using(supplier_panel, lambda p: fd.end_anchored_folds(p, "date", 5, 6)))
 query("b06_row_from_end", f"{SM}SELECT * FROM supplier_monthly QUALIFY row_number() OVER (PARTITION BY series ORDER BY date DESC) = 3")(
-    lambda spark, sf: fd.row_from_end(supplier_monthly(spark, sf), 3)
-)
+    using(supplier_panel, lambda p: fd.row_from_end(p, 3)))
 
 # -- forecasts with exact answers ----------------------------------------------------------------
 
@@ -82,10 +80,9 @@ query(
 s AS (SELECT unnest(range(1, 19)) AS step)
 SELECT series, CAST(step AS INTEGER) AS step, y AS prediction FROM s JOIN r ON back = 12 - (step - 1) % 12
 WHERE series IN (SELECT series FROM r WHERE back = 12)""",
-)(lambda spark, sf: fc.seasonal_naive(supplier_monthly(spark, sf), "y", 12, 18))
+)(using(supplier_panel, lambda p: fc.seasonal_naive(p, "y", 12, 18)))
 query("f01_seasonal_fitted", f"{SM}SELECT series, date, lag(y, 12) {over()} AS fitted FROM supplier_monthly")(
-    lambda spark, sf: fc.seasonal_fitted(supplier_monthly(spark, sf), "y", 12).df.select("series", "date", "fitted")
-)
+    using(supplier_panel, lambda p: fc.seasonal_fitted(p, "y", 12).df.select("series", "date", "fitted")))
 
 FS = config.FeatureSet(target="y", lags=(1, 2), averages=(3,))
 RICH = config.FeatureSet(
@@ -104,8 +101,7 @@ SELECT * EXCLUDE (back) REPLACE ({', '.join(f'round({c}, 4) AS {c}' for c in ('y
 FROM x WHERE back = 1"""
 _RICH_ROUND = {c: 4 for c in ("y_sma_3", "y_sma_12", "comparison_y_shift_4_5", "comparison_y_ms_6_12", "comparison_y_sma_6_12", "bband_spread_8", "rsi_14")}
 query("f02_first_future_features", _RICH_SQL)(
-    lambda spark, sf: round_to(fc.first_future_features(supplier_monthly(spark, sf), RICH), **_RICH_ROUND)
-)
+    using(supplier_panel, lambda p: round_to(fc.first_future_features(p, RICH), **_RICH_ROUND)))
 query(
     "f03_future_frame",
     f"""{SM}, r AS (SELECT series, date, y, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly),
@@ -115,13 +111,13 @@ w AS (SELECT *, row_number() {over()} AS step FROM d WHERE isodow(date) < 6)
 SELECT series, date, CAST(day(date) AS INTEGER) AS day_of_month, CAST(month(date) AS INTEGER) AS month, CAST(quarter(date) AS INTEGER) AS quarter,
   CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, CAST((day(date) - 1) // 7 + 1 AS INTEGER) AS week_of_month, CAST(year(date) AS INTEGER) AS year,
   CASE WHEN step = 1 THEN l1 END AS y_lag_1, CASE WHEN step = 1 THEN l2 END AS y_lag_2, round(CASE WHEN step = 1 THEN s3 END, 4) AS y_sma_3 FROM w""",
-)(lambda spark, sf: round_to(fc.future_frame(supplier_monthly(spark, sf), FS, "date", 7), y_sma_3=4))
+)(using(supplier_panel, lambda p: round_to(fc.future_frame(p, FS, "date", 7), y_sma_3=4)))
 
 _EXOG = config.FeatureSet(target="y", exog_lags={"rev": (6,), "disc": (7,)})
 
 
 def _future_rows(spark, sf):
-    p = supplier_monthly(spark, sf)
+    p = supplier_panel(spark, sf)
     from seriesloom.operators import calendar as cal
 
     future = cal.future_months(p.df, ["series"], "date", 6).drop("step").withColumn("date", F.last_day("date"))
@@ -148,20 +144,20 @@ s AS (
   SELECT series, step + 1, p, l1, (p + l1 + l2) / 3, 1 + 0.5::DOUBLE * p + 0.2::DOUBLE * l1 + 0.25::DOUBLE * ((p + l1 + l2) / 3) FROM s WHERE step < 8)"""
 
 
-def _recursive(spark, sf, **kw):
-    state = fc.series_state(supplier_monthly(spark, sf), "y", FS.memory())
+def _recursive(p, **kw):
+    state = fc.series_state(p, "y", FS.memory())
     return fc.recursive_forecast(state, FS, _MODEL, 8, **kw)
 
 
 query(
     "f05_refreshed_features",
     f"{_RECURSION} SELECT series, step, round(l1, 4) AS y_lag_1, round(l2, 4) AS y_lag_2, round(s3, 4) AS y_sma_3, round(p, 4) AS prediction FROM s",
-)(lambda spark, sf: round_to(_recursive(spark, sf, keep_features=True), y_lag_1=4, y_lag_2=4, y_sma_3=4, prediction=4))
+)(using(supplier_monthly, lambda p: round_to(_recursive(p, keep_features=True), y_lag_1=4, y_lag_2=4, y_sma_3=4, prediction=4)))
 
 
 def _known_path(spark, sf, cols):
     """Refresh features along a path whose next values are known, to compare with the window features."""
-    p = supplier_monthly(spark, sf)
+    p = supplier_panel(spark, sf)
     head = p.with_df(p.df.filter("date < '2001-03-01'"))
     state = fc.series_state(head, "y", RICH.memory())
     ahead = p.df.filter("date >= '2001-03-01' AND date < '2001-09-01'").groupBy("series").agg(
@@ -195,7 +191,7 @@ _F7 = {
 query("f06_refreshed_ratios", _path_sql(_F6))(lambda spark, sf: _known_path(spark, sf, list(_F6)))
 query("f07_refreshed_bands", _path_sql(_F7))(lambda spark, sf: _known_path(spark, sf, list(_F7)))
 query("f08_recursive_forecast", f"{_RECURSION} SELECT series, step, round(p, 4) AS prediction FROM s")(
-    lambda spark, sf: round_to(_recursive(spark, sf), prediction=4)
+    using(supplier_monthly, lambda p: round_to(_recursive(p), prediction=4))
 )
 _KNOWN = {"rev": [3, 8], "disc": [2]}
 
@@ -209,17 +205,16 @@ def _known_sql(diff: bool) -> str:
 s AS (SELECT unnest(range(1, 7)) AS step) SELECT series, CAST(step AS INTEGER) AS step, {cols} FROM r, s GROUP BY 1, 2"""
 
 
-query("f12_known_lags", _known_sql(False))(lambda spark, sf: fc.known_lag_columns(supplier_monthly(spark, sf), _KNOWN, 6))
+query("f12_known_lags", _known_sql(False))(using(supplier_panel, lambda p: fc.known_lag_columns(p, _KNOWN, 6)))
 query("f12_known_lags_differenced", _known_sql(True))(
-    lambda spark, sf: fc.known_lag_columns(supplier_monthly(spark, sf), _KNOWN, 6, differenced=True)
-)
+    using(supplier_panel, lambda p: fc.known_lag_columns(p, _KNOWN, 6, differenced=True)))
 query(
     "f16_voting_mean",
     f"""{_RECURSION}, n AS (SELECT series, CAST(13 - back AS INTEGER) AS step, y FROM r WHERE back BETWEEN 5 AND 12)
 SELECT series, step, round((p + y) / 2, 4) AS prediction FROM s JOIN n USING (series, step)""",
 )(
-    lambda spark, sf: round_to(
-        fc.voting_mean(_recursive(spark, sf).unionByName(fc.seasonal_naive(supplier_monthly(spark, sf), "y", 12, 8)), ["series", "step"]),
-        prediction=4,
+    using(
+        supplier_panel,
+        lambda p: round_to(fc.voting_mean(_recursive(p).unionByName(fc.seasonal_naive(p, "y", 12, 8)), ["series", "step"]), prediction=4),
     )
 )

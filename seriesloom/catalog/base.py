@@ -12,6 +12,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom import session
 from seriesloom.functions.columns import rounded as round_half_up
 from seriesloom.operators import calendar as cal
 from seriesloom.operators.panel import Panel
@@ -89,6 +90,22 @@ def supplier_monthly(spark: SparkSession, sf: str) -> Panel:
     return Panel.calendar(supplier_monthly_df(spark, sf), ["series"], "date")
 
 
+# Operators that read their panel more than once get it written: the raw table is scanned once,
+# and what is read again is the panel, smaller by the rows per series and date.
+
+
+def supplier_panel(spark: SparkSession, sf: str) -> Panel:
+    return Panel.calendar(session.cut(supplier_monthly_df(spark, sf)), ["series"], "date")
+
+
+def weekly_panel(spark: SparkSession, sf: str) -> Panel:
+    return Panel.calendar(session.cut(orders_weekly_df(spark, sf)), ["series"], "date")
+
+
+def using(build: Callable[[SparkSession, str], Panel], fn: Callable[[Panel], DataFrame]) -> Query:
+    return lambda spark, sf: fn(build(spark, sf))
+
+
 def flag_monthly_df(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     return li.groupBy(F.col("l_returnflag").alias("series"), F.last_day("l_shipdate").alias("date")).agg(

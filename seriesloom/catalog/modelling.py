@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
-    ORDER_ROWS, SUPPLIER_MONTHLY, flag_monthly_df, order_rows, order_rows_df, over, query, round_half_up, round_to, supplier_monthly, supplier_monthly_df, with_,
+    supplier_panel, using, weekly_panel,
+    FLAG_MONTHLY, ORDER_ROWS, SUPPLIER_MONTHLY, flag_monthly_df, order_rows, order_rows_df, over, query, round_half_up, round_to, supplier_monthly, supplier_monthly_df, with_,
 )
 from seriesloom.catalog.reports import FORECAST_REPORT, forecast_report
 from seriesloom.operators import calendar as cal
@@ -24,6 +25,7 @@ SM = with_(SUPPLIER_MONTHLY)
 SMALL = config.FeatureSet(target="y", lags=(1, 2), averages=(3,), exog_lags={"rev": (6,)})
 TREES = md.ModelSpec("forest", {"numTrees": 5, "maxDepth": 4})
 RIDGE = md.ModelSpec("ridge")
+LINEAR = md.ModelSpec("linear")
 HORIZON = 6
 
 
@@ -36,18 +38,16 @@ s AS (SELECT series, 1 AS step, a + b * y0 AS p, 1.0::DOUBLE AS w, a, b, n, rss
 AR1 = f"WITH RECURSIVE {SUPPLIER_MONTHLY},\n{_AR1} "
 
 query("f14_autoregression", f"{AR1}SELECT series, step, round(p, 4) AS prediction FROM s")(
-    lambda spark, sf: round_to(jobs.autoregression(supplier_monthly(spark, sf), "y", 1, HORIZON), prediction=4)
-)
-query("f14_autoregression_five")(lambda spark, sf: jobs.autoregression(supplier_monthly(spark, sf), "y", 5, HORIZON))
+    using(supplier_panel, lambda p: round_to(jobs.autoregression(p, "y", 1, HORIZON), prediction=4)))
+query("f14_autoregression_five")(using(supplier_panel, lambda p: jobs.autoregression(p, "y", 5, HORIZON)))
 query(
     "e08_forecast_interval",
     f"""{AR1}SELECT series, step, round(p, 4) AS prediction, round(p - 1.96::DOUBLE * sqrt(rss / (n - 2)) * sqrt(w), 3) AS lower,
   round(p + 1.96::DOUBLE * sqrt(rss / (n - 2)) * sqrt(w), 3) AS upper FROM s""",
 )(
-    lambda spark, sf: round_to(
-        jobs.autoregression(supplier_monthly(spark, sf), "y", 1, HORIZON, z=1.96), prediction=4, lower=3, upper=3
-    )
-)
+    using(supplier_panel, lambda p: round_to(
+        jobs.autoregression(p, "y", 1, HORIZON, z=1.96), prediction=4, lower=3, upper=3
+    )))
 
 
 def _exog_sql(c: str, i: int) -> str:
@@ -60,27 +60,50 @@ query(
     "f11_exogenous_future",
     f"WITH RECURSIVE {SUPPLIER_MONTHLY},\n{_exog_sql('rev', 1)},\n{_exog_sql('disc', 2)} "
     "SELECT series, step, round(s1.p, 1) AS rev, round(s2.p, 4) AS disc FROM s1 JOIN s2 USING (series, step)",
-)(lambda spark, sf: round_to(jobs.exogenous_future(supplier_monthly(spark, sf), ["rev", "disc"], HORIZON, order=1), rev=1, disc=4))
+)(using(supplier_panel, lambda p: round_to(jobs.exogenous_future(p, ["rev", "disc"], HORIZON, order=1), rev=1, disc=4)))
 query("f11_exogenous_future_smoothed")(
-    lambda spark, sf: jobs.exogenous_future(supplier_monthly(spark, sf), ["rev", "disc"], HORIZON, method="smooth")
-)
+    using(supplier_panel, lambda p: jobs.exogenous_future(p, ["rev", "disc"], HORIZON, method="smooth")))
 
 
-def _fill_tail(spark, sf):
-    p = supplier_monthly(spark, sf)
+def _fill_tail(p):
     future = cal.future_months(p.df, ["series"], "date", HORIZON).withColumns(
         {"rev": F.when(F.col("step") == 1, F.lit(1000.0)), "disc": F.lit(None).cast("double")}
     )
-    return jobs.fill_exogenous(p, future, ["rev", "disc"])
+    return round_to(jobs.fill_exogenous(p, future, ["rev", "disc"], order=1), rev=1, disc=4)
 
 
-query("f11_exogenous_tail_filled")(_fill_tail)
-query("f15_smoothing")(lambda spark, sf: smoothing.smoothing_forecast(supplier_monthly(spark, sf), "y", 12, 12))
+query(
+    "f11_exogenous_tail_filled",
+    f"WITH RECURSIVE {SUPPLIER_MONTHLY},\n{_exog_sql('rev', 1)},\n{_exog_sql('disc', 2)}, m AS (SELECT series, max(date) AS last FROM supplier_monthly GROUP BY 1) "
+    "SELECT series, step, CAST(last + to_months(step) AS DATE) AS date, CASE WHEN step = 1 THEN 1000 ELSE round(s1.p, 1) END AS rev, round(s2.p, 4) AS disc "
+    "FROM s1 JOIN s2 USING (series, step) JOIN m USING (series)",
+)(using(supplier_panel, _fill_tail))
+_GRID_SQL = ", ".join(f"({g}, {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for g, (a, b, c) in enumerate(smoothing.GRID.tolist()))
+_SMOOTH_SQL = f"""WITH RECURSIVE {SUPPLIER_MONTHLY},
+o AS (SELECT series, y, row_number() {over()} - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM supplier_monthly),
+h AS (SELECT series, avg(y) FILTER (i < 12) AS l0, (avg(y) FILTER (i >= 12 AND i < 24) - avg(y) FILTER (i < 12)) / 12 AS t0, list(y ORDER BY i) FILTER (i < 12) AS f0
+  FROM o WHERE n >= 24 GROUP BY 1),
+g(g, a, b, c) AS (VALUES {_GRID_SQL}),
+s AS (
+  SELECT series, g, a, b, c, 0 AS i, l0 AS l, t0 AS t, list_transform(f0, lambda v: v - l0) AS z, 0.0::DOUBLE AS sse FROM h, g
+  UNION ALL
+  SELECT series, g, a, b, c, i + 1, l + 0.95::DOUBLE * t + a * e, 0.95::DOUBLE * t + b * e,
+    list_transform(z, lambda v, k: CASE WHEN k = i % 12 + 1 THEN v + c * e ELSE v END), sse + CASE WHEN i >= 24 THEN e * e ELSE 0 END
+  FROM (SELECT s.*, o.y - (s.l + 0.95::DOUBLE * s.t + s.z[s.i % 12 + 1]) AS e FROM s JOIN o ON o.series = s.series AND o.i = s.i)),
+last AS (SELECT * FROM s QUALIFY i = max(i) OVER (PARTITION BY series)),
+d AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY sse, g) AS best FROM last),
+k AS (SELECT unnest(range(1, 13)) AS step)
+SELECT series, CAST(step AS INTEGER) AS step, round(l + 0.95::DOUBLE * (1 - pow(0.95::DOUBLE, step)) / (1 - 0.95::DOUBLE) * t + z[(i + step - 1) % 12 + 1], 3) AS prediction
+FROM d, k WHERE best = 1"""
+query("f15_smoothing_checked", _SMOOTH_SQL)(
+    using(supplier_monthly, lambda p: round_to(smoothing.smoothing_forecast(p, "y", 12, 12), prediction=3))
+)
+query("f15_smoothing")(using(supplier_panel, lambda p: smoothing.smoothing_forecast(p, "y", 12, 12)))
 query("f15_smoothing_rows")(lambda spark, sf: smoothing.smoothing_forecast(order_rows(spark, sf), "y", 12, 12))
 
 
 def _features(spark, sf, fs=SMALL):
-    return fd.numbered(config.build(supplier_monthly(spark, sf), fs)).df
+    return fd.numbered(config.build(supplier_panel(spark, sf), fs)).df
 
 
 def _fit_predict(spark, sf, spec, fs=SMALL):
@@ -100,19 +123,19 @@ query(
     "f14_linear",
     f"""{SM[:-1]},\n{_ONE_LAG_ROWS}, f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x WHERE date < DATE '2001-01-01')
 SELECT series, date, y, round(a + b * x, 3) AS prediction FROM x, f WHERE date >= DATE '2001-01-01'""",
-)(lambda spark, sf: round_to(_fit_predict(spark, sf, md.ModelSpec("linear"), ONE_LAG), prediction=3))
+)(lambda spark, sf: round_to(_fit_predict(spark, sf, LINEAR, ONE_LAG), prediction=3))
 
 
-def _tail(spark, sf):
-    return fd.tail_split(supplier_monthly(spark, sf), "date", HORIZON)
+def _tail(p):
+    return fd.tail_split(p, "date", HORIZON)
 
 
-def _stepwise(spark, sf, fs, spec):
-    report, _ = jobs.stepwise_prediction(supplier_monthly(spark, sf), fs, spec, _tail(spark, sf), 0, HORIZON)
+def _stepwise(p, fs, spec):
+    report, _ = jobs.stepwise_prediction(p, fs, spec, _tail(p), 0, HORIZON)
     return mt.with_report_metrics(report, ["series", "model_type", "window"], "date")
 
 
-query("f09_stepwise_forest")(lambda spark, sf: _stepwise(spark, sf, SMALL, TREES))
+query("f09_stepwise_forest")(using(supplier_panel, lambda p: _stepwise(p, SMALL, TREES)))
 query(
     "f09_stepwise_linear",
     f"""WITH RECURSIVE {SUPPLIER_MONTHLY}, x AS (SELECT series, date, y, lag(y) {over()} AS l, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly),
@@ -122,43 +145,102 @@ e AS (SELECT round(avg(abs((y - a - b * x) / y)), 4) AS "TRAINING_MAPE", round(s
 s AS (SELECT series, 1 AS step, a + b * y AS p FROM x, f WHERE back = 7 UNION ALL SELECT series, step + 1, a + b * p FROM s, f WHERE step < 6)
 SELECT x.series, x.date, s.step, x.y AS actual, round(p, 3) AS forecast, 'linear' AS model_type, 0 AS "window", e.* FROM s JOIN x ON x.series = s.series AND x.back = 7 - s.step, e""",
 )(
-    lambda spark, sf: round_to(
-        jobs.stepwise_prediction(supplier_monthly(spark, sf), ONE_LAG, md.ModelSpec("linear"), _tail(spark, sf), 0, HORIZON)[0], forecast=3
-    )
+    using(supplier_panel, lambda p: round_to(jobs.stepwise_prediction(p, ONE_LAG, LINEAR, _tail(p), 0, HORIZON)[0], forecast=3))
 )
 
 
 def _walk(spark, sf):
-    p = supplier_monthly(spark, sf)
+    p = supplier_panel(spark, sf)
     folds = fd.end_anchored_folds(p, "date", 2, HORIZON)
     return jobs.walk_forward(p, SMALL, [TREES, RIDGE], folds, [0, 1], HORIZON)
 
 
 query("b07_walk_forward")(lambda spark, sf: _walk(spark, sf)[0])
 query("b07_walk_forward_importances")(lambda spark, sf: _walk(spark, sf)[1])
+_LINEAR_FOLD = """fit{k} AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM (SELECT y, coalesce(l, y) AS x FROM x WHERE back > {far})),
+e{k} AS (SELECT round(avg(abs((y - a - b * v) / y)), 4) AS "TRAINING_MAPE", round(sqrt(avg(pow(y - a - b * v, 2))), 2) AS "TRAINING_RMSE"
+  FROM (SELECT y, coalesce(l, y) AS v FROM x WHERE back > {far}), fit{k}),
+s{k} AS (SELECT series, 1 AS step, a + b * y AS p FROM x, fit{k} WHERE back = {far} + 1 UNION ALL SELECT series, step + 1, a + b * p FROM s{k}, fit{k} WHERE step < 6),
+w{k} AS (SELECT x.series, x.date, s{k}.step, x.y AS actual, p AS forecast, 'linear' AS model_type, {k} AS "window", e{k}.*
+  FROM s{k} JOIN x ON x.series = s{k}.series AND x.back = {far} + 1 - s{k}.step, e{k})"""
+_WALK_SQL = f"""WITH RECURSIVE {SUPPLIER_MONTHLY}, x AS (SELECT series, date, y, lag(y) {over()} AS l, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly),
+{_LINEAR_FOLD.format(k=0, far=12)}, {_LINEAR_FOLD.format(k=1, far=6)}, w AS (SELECT * FROM w0 UNION ALL SELECT * FROM w1),
+m AS (SELECT series, "window", round(avg(abs((actual - forecast) / actual)), 4) AS "MAPE", round(sqrt(avg(pow(actual - forecast, 2))), 2) AS "RMSE" FROM w GROUP BY 1, 2)
+"""
+
+
+def _linear_walk(p):
+    folds = fd.end_anchored_folds(p, "date", 2, HORIZON)
+    return jobs.walk_forward(p, ONE_LAG, [LINEAR], folds, [0, 1], HORIZON)[0]
+
+
+query(
+    "b07_walk_forward_linear",
+    _WALK_SQL + """SELECT series, date, step, actual, round(forecast, 3) AS forecast, model_type, "window", "TRAINING_MAPE", "TRAINING_RMSE", "MAPE", "RMSE"
+FROM w JOIN m USING (series, "window")""",
+)(
+    using(
+        supplier_panel,
+        lambda p: round_to(_linear_walk(p), forecast=3).select(
+            "series", "date", "step", "actual", "forecast", "model_type", "window", "TRAINING_MAPE", "TRAINING_RMSE", "MAPE", "RMSE"
+        ),
+    )
+)
+query("b08_select_model_linear", _WALK_SQL + """SELECT 'linear' AS best_model, round(avg("MAPE"), 6) AS best_metric FROM m""")(
+    using(supplier_panel, lambda p: round_to(jobs.select_model(_linear_walk(p)), best_metric=6))
+)
 query("b08_select_model")(lambda spark, sf: jobs.select_model(_walk(spark, sf)[0]))
 
 
 def _train(spark, sf):
-    return jobs.train_and_choose(supplier_monthly(spark, sf), config.FeatureSet(target="y", lags=(1, 2), averages=(3,)), [TREES, RIDGE], 180, sinks.scratch_folder(spark))
+    return jobs.train_and_choose(supplier_panel(spark, sf), config.FeatureSet(target="y", lags=(1, 2), averages=(3,)), [TREES, RIDGE], 180, sinks.scratch_folder(spark))
 
 
 query("f18_train_and_choose")(lambda spark, sf: _train(spark, sf)[1])
 
 
 def _infer(spark, sf):
-    p, fs = supplier_monthly(spark, sf), config.FeatureSet(target="y", lags=(1, 2), averages=(3,))
+    p, fs = supplier_panel(spark, sf), config.FeatureSet(target="y", lags=(1, 2), averages=(3,))
     fitted, _ = jobs.train_and_choose(p, fs, [TREES, RIDGE], 180, keep_all=True)
     return jobs.inference(p, fs, fitted, HORIZON, "2001-12-01", "month")
 
 
 query("f10_inference")(_infer)
-query("f19_grid_search")(
-    lambda spark, sf: jobs.grid_search(supplier_monthly(spark, sf), config.FeatureSet(target="y", lags=(1, 2)), "ridge", 2, 6)[0].drop("params")
+_HOLD = f"""{SM}, x AS (SELECT series, date, y, coalesce(lag(y) {over()}, y) AS x, max(date) OVER (PARTITION BY series) AS last FROM supplier_monthly),
+f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x WHERE date < last - 180) """
+query(
+    "f18_train_linear",
+    _HOLD + """SELECT 'linear' AS model_type, round(avg(abs((y - a - b * x) / y)), 6) AS "MAPE", round(sqrt(avg(pow(y - a - b * x, 2))), 4) AS "RMSE",
+  round(avg(abs(y - a - b * x)), 4) AS "MAE" FROM x, f WHERE date >= last - 180""",
+)(using(supplier_panel, lambda p: round_to(jobs.train_and_choose(p, ONE_LAG, [LINEAR], 180)[1], MAPE=6, RMSE=4, MAE=4)))
+query(
+    "f10_inference_linear",
+    f"""WITH RECURSIVE {SUPPLIER_MONTHLY}, x AS (SELECT series, date, y, coalesce(lag(y) {over()}, y) AS x, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly),
+f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x),
+s AS (SELECT series, 1 AS step, a + b * y AS p, date AS last FROM x, f WHERE back = 1 UNION ALL SELECT series, step + 1, a + b * p, last FROM s, f WHERE step < 6)
+SELECT series, step, round(p, 3) AS forecast, 'linear' AS model_type, CAST(last + to_months(step) AS DATE) AS date, DATE '2001-12-01' AS run_date FROM s""",
+)(
+    using(
+        supplier_panel,
+        lambda p: round_to(
+            jobs.inference(p, ONE_LAG, [jobs.train_and_choose(p, ONE_LAG, [LINEAR], 180)[0]], HORIZON, "2001-12-01", "month"), forecast=3
+        ),
+    )
 )
-query("f20_random_search")(
-    lambda spark, sf: jobs.random_search(supplier_monthly(spark, sf), config.FeatureSet(target="y", lags=(1, 2)), "ridge", 2, HORIZON)
+_FOLD_SCORE = """SELECT 'linear' AS kind, {k} AS fold, round(avg(abs((y - a - b * x) / y)), 6) AS mape, round(sqrt(avg(pow(y - a - b * x, 2))), 4) AS rmse
+FROM x, (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x WHERE back > {far}) f WHERE back <= {far} AND back > {far} - 6"""
+query(
+    "f19_grid_search_linear",
+    f"""{SM}, x AS (SELECT y, coalesce(lag(y) {over()}, y) AS x, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly)
+{_FOLD_SCORE.format(k=0, far=12)} UNION ALL {_FOLD_SCORE.format(k=1, far=6)}""",
+)(using(supplier_panel, lambda p: round_to(jobs.grid_search(p, ONE_LAG, "linear", 2, 6, {})[0].drop("params"), mape=6, rmse=4)))
+query("f20_random_search_linear", _WALK_SQL + 'SELECT 0 AS trial, round(avg(pow(actual - forecast, 2)), 3) AS mse FROM w WHERE "window" = 1')(
+    using(supplier_panel, lambda p: round_to(jobs.random_search(p, ONE_LAG, "linear", 1, HORIZON, space={}).drop("params"), mse=3))
 )
+query("f19_grid_search")(
+    using(supplier_panel, lambda p: jobs.grid_search(p, config.FeatureSet(target="y", lags=(1, 2)), "ridge", 2, 6)[0].drop("params")))
+query("f20_random_search")(
+    using(supplier_panel, lambda p: jobs.random_search(p, config.FeatureSet(target="y", lags=(1, 2)), "ridge", 2, HORIZON)))
 query(
     "f21_feature_subsets",
     f"""{SM}, x AS (SELECT year(date) AS fold, y, rev, disc FROM supplier_monthly), k AS (SELECT DISTINCT fold FROM x),
@@ -174,12 +256,17 @@ UNION ALL SELECT 'disc', 1, round(avg(pow(y - ad - bd * disc, 2)), 3) FROM x JOI
 query("f21_feature_subsets_pairs")(
     lambda spark, sf: md.subset_scores(_features(spark, sf).withColumn("fold", F.year("date")), "fold", config.output_names(SMALL), "y", spark, most=2)
 )
-query("x16_linear_report")(lambda spark, sf: jobs.linear_report(supplier_monthly_df(spark, sf), "y", ["rev", "disc"], 0.2)[1])
-query("x16_linear_report_coefficients")(lambda spark, sf: jobs.linear_report(supplier_monthly_df(spark, sf), "y", ["rev", "disc"])[0])
+query("x16_linear_report")(using(supplier_panel, lambda p: jobs.linear_report(p.df, "y", ["rev", "disc"], 0.2)[1]))
+_TWO = """c AS (SELECT {keep}covar_pop(y, rev) AS yr, covar_pop(y, disc) AS yd, var_pop(rev) AS rr, var_pop(disc) AS dd, covar_pop(rev, disc) AS rd,
+  avg(y) AS my, avg(rev) AS mr, avg(disc) AS md FROM {src}),
+b AS (SELECT *, (yr * dd - yd * rd) / (rr * dd - rd * rd) AS br, (yd * rr - yr * rd) / (rr * dd - rd * rd) AS bd FROM c)"""
+query("x16_linear_report_coefficients", f"""{SM}, {_TWO.format(keep='', src='supplier_monthly')}
+SELECT 'rev' AS feature, round(br, 8) AS coefficient, round(my - br * mr - bd * md, 4) AS intercept FROM b
+UNION ALL SELECT 'disc', round(bd, 8), round(my - br * mr - bd * md, 4) FROM b""")(using(supplier_panel, lambda p: round_to(jobs.linear_report(p.df, "y", ["rev", "disc"])[0], coefficient=8, intercept=4)))
 
 
 def _corrected(spark, sf):
-    p = supplier_monthly(spark, sf)
+    p = supplier_panel(spark, sf)
     fitted = fc.seasonal_fitted(p, "y", 12)
     residuals = fitted.with_df(fitted.df.filter("fitted IS NOT NULL").select("series", "date", (F.col("y") - F.col("fitted")).alias("residual")))
     return jobs.residual_correction(fc.seasonal_naive(p, "y", 12, HORIZON), residuals, "residual", 1, HORIZON)
@@ -197,7 +284,7 @@ FROM s JOIN q ON q.series = s.series AND q.back = 13 - s.step""",
 
 
 def _parts(spark, sf):
-    p = st.decompose(supplier_monthly(spark, sf), "y", 12)
+    p = st.decompose(supplier_panel(spark, sf), "y", 12)
     df = p.df.withColumns({"yhat": F.col("trend") + F.col("seasonal"), "lower": F.col("trend") - 10, "upper": F.col("trend") + 20})
     return fc.split_forecast(df, "trend", "seasonal", "yhat", "lower", "upper")
 
@@ -227,7 +314,7 @@ query(
     "e02_linear_contributions",
     f"""{SM}SELECT series, date, round(0.0005::DOUBLE * (rev - avg(rev) OVER ()), 4) AS rev, round(1.5::DOUBLE * (disc - avg(disc) OVER ()), 4) AS disc
 FROM supplier_monthly""",
-)(lambda spark, sf: round_to(ex.linear_contributions(supplier_monthly_df(spark, sf), ["series", "date"], _COEF), rev=4, disc=4))
+)(using(supplier_panel, lambda p: round_to(ex.linear_contributions(p.df, ["series", "date"], _COEF), rev=4, disc=4)))
 query(
     "e03_rescaled_contributions",
     f"""{with_(FORECAST_REPORT)}, w AS (SELECT series, date, actual, max(forecast) FILTER (model_type = 'sma_3') AS a, max(forecast) FILTER (model_type = 'last_value') AS b
@@ -284,7 +371,7 @@ FROM b JOIN t USING (series, date) JOIN l USING (date)""",
 
 
 def _draws(spark, sf):
-    p = supplier_monthly(spark, sf)
+    p = supplier_panel(spark, sf)
     rows = config.build(p, config.FeatureSet(target="y", lags=(1,))).df
     model = md.fit(RIDGE, rows, ["rev", "disc"], "y")
     future = cal.future_months(p.df, ["series"], "date", 3)
@@ -300,4 +387,8 @@ def _flag_contributions(spark, sf):
     return ex.linear_contributions(flag_monthly_df(spark, sf), ["series", "date"], model.coefficients())
 
 
-query("e02_fitted_contributions")(_flag_contributions)
+query(
+    "e02_fitted_contributions",
+    f"""{with_(FLAG_MONTHLY)}, {_TWO.format(keep='', src='flag_monthly')}
+SELECT series, date, round(br * (rev - mr), 3) AS rev, round(bd * (disc - md), 3) AS disc FROM flag_monthly, b""",
+)(lambda spark, sf: round_to(_flag_contributions(spark, sf), rev=3, disc=3))

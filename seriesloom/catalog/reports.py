@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.catalog.base import SUPPLIER_MONTHLY, over, sql_before, supplier_monthly
+from seriesloom.catalog.base import SUPPLIER_MONTHLY, over, sql_before, supplier_panel
 from seriesloom.functions.columns import before, guarded, rounded
 from seriesloom.operators import metrics as mt
 
@@ -16,7 +16,7 @@ KEYS = ["series", "model_type", "window"]
 
 def forecast_report(spark: SparkSession, sf: str) -> DataFrame:
     """Three simple forecasts of every supplier's monthly quantity, by quarter windows."""
-    p = supplier_monthly(spark, sf).frames(
+    p = supplier_panel(spark, sf).frames(
         lambda w: {
             "last_value": F.lag("y", 1).over(w),
             "seasonal_naive": F.lag("y", 12).over(w),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
+    supplier_panel, using, weekly_panel,
     EVENTS_HOURLY, ORDER_ROWS, ORDERS_WEEKLY, SUPPLIER_MONTHLY, events_hourly_df, order_rows, order_rows_df, orders_weekly,
     orders_weekly_df, over, query, round_to, supplier_monthly, supplier_monthly_df, table, with_,
 )
@@ -17,33 +18,29 @@ from seriesloom.operators.panel import Panel
 SM, OW = with_(SUPPLIER_MONTHLY), with_(ORDERS_WEEKLY)
 
 
-def events_hourly(spark, sf, **kw):
-    return Panel.calendar(events_hourly_df(spark, sf), ["series"], "ts_hour", **kw)
-
-
 query(
     "x01_correlations",
     f"""{SM}SELECT series, 'rev' AS column_name, round(corr(y, rev), 5) AS correlation FROM supplier_monthly GROUP BY 1
 UNION ALL SELECT series, 'disc', round(corr(y, disc), 5) FROM supplier_monthly GROUP BY 1""",
-)(lambda spark, sf: round_to(st.correlations(supplier_monthly_df(spark, sf), ["series"], "y", ["rev", "disc"]), correlation=5))
+)(using(supplier_panel, lambda p: round_to(st.correlations(p.df, ["series"], "y", ["rev", "disc"]), correlation=5)))
 query(
     "x02_lagged_correlations",
     f"{SM}, l AS (SELECT series, y, " + ", ".join(f"lag(rev, {k}) {over()} AS l{k}" for k in range(1, 7)) + " FROM supplier_monthly) "
     + " UNION ALL ".join(f"SELECT series, 'rev_lag_{k}' AS column_name, round(corr(y, l{k}), 5) AS correlation FROM l GROUP BY 1" for k in range(1, 7)),
-)(lambda spark, sf: round_to(st.lagged_correlations(supplier_monthly(spark, sf), "y", "rev", 6), correlation=5))
+)(using(supplier_panel, lambda p: round_to(st.lagged_correlations(p, "y", "rev", 6), correlation=5)))
 query(
     "x03_pearson",
     f"""{SM}, c AS (SELECT series, corr(y, disc) AS r, count(*) AS n FROM supplier_monthly GROUP BY 1)
 SELECT series, round(r, 6) AS r, n, round(r * sqrt((n - 2) / (1 - r * r)), 4) AS t FROM c""",
-)(lambda spark, sf: round_to(st.pearson_test(supplier_monthly_df(spark, sf), ["series"], "y", "disc", p_value=False), r=6, t=4))
-query("x03_pearson_with_p")(lambda spark, sf: st.pearson_test(supplier_monthly_df(spark, sf), ["series"], "y", "disc"))
+)(using(supplier_panel, lambda p: round_to(st.pearson_test(p.df, ["series"], "y", "disc", p_value=False), r=6, t=4)))
+query("x03_pearson_with_p")(using(supplier_panel, lambda p: st.pearson_test(p.df, ["series"], "y", "disc")))
 _RANK = lambda key, c: f"rank() OVER (PARTITION BY {key} ORDER BY {c}) + (count(*) OVER (PARTITION BY {key}, {c}) - 1) / 2.0::DOUBLE"
 query(
     "x04_spearman",
     f"""{SM}, k AS (SELECT series, {_RANK('series', 'y')} AS a, {_RANK('series', 'disc')} AS b FROM supplier_monthly),
 c AS (SELECT series, corr(a, b) AS r, count(*) AS n FROM k GROUP BY 1)
 SELECT series, round(r, 6) AS r, n, round(r * sqrt((n - 2) / (1 - r * r)), 4) AS t FROM c""",
-)(lambda spark, sf: round_to(st.spearman_test(supplier_monthly_df(spark, sf), ["series"], "y", "disc", p_value=False), r=6, t=4))
+)(using(supplier_panel, lambda p: round_to(st.spearman_test(p.df, ["series"], "y", "disc", p_value=False), r=6, t=4)))
 query(
     "x04_spearman_rows",
     f"""WITH k AS (SELECT l_returnflag, {_RANK('l_returnflag', 'l_extendedprice')} AS a, {_RANK('l_returnflag', 'l_quantity')} AS b FROM lineitem),
@@ -72,11 +69,10 @@ s AS (SELECT series, CAST(sum(n) AS DOUBLE) AS nn, count(*) AS k, sum(rs * rs /
 SELECT series, CAST(nn AS BIGINT) AS n_rows, k AS groups, round((12 / (nn * (nn + 1)) * rr - 3 * (nn + 1)) / (1 - ties / (nn * nn * nn - nn)), 4) AS kruskal_h,
   round(((nn - k) * ln(pooled) - logs) / (1 + (inv - 1 / (nn - k)) / (3 * (k - 1))), 4) AS bartlett FROM s""",
 )(
-    lambda spark, sf: round_to(
-        st.seasonality_tests(_by_month(orders_weekly_df(spark, sf)), ["series"], "y", "month", p_value=False), kruskal_h=4, bartlett=4
-    )
-)
-query("x05_seasonality_tests_with_p")(lambda spark, sf: st.seasonality_tests(_by_month(orders_weekly_df(spark, sf)), ["series"], "y", "month"))
+    using(weekly_panel, lambda p: round_to(
+        st.seasonality_tests(_by_month(p.df), ["series"], "y", "month", p_value=False), kruskal_h=4, bartlett=4
+    )))
+query("x05_seasonality_tests_with_p")(using(weekly_panel, lambda p: st.seasonality_tests(_by_month(p.df), ["series"], "y", "month")))
 
 
 def _k2_sql(source: str) -> str:
@@ -95,8 +91,7 @@ k2 AS (SELECT series, CAST(n AS BIGINT) AS n, round(z1, 4) AS z_skew, round(z2,
 
 
 query("x06_normality", f"{SM[:-1]},\n{_k2_sql('supplier_monthly')} SELECT * FROM k2")(
-    lambda spark, sf: round_to(st.normality(supplier_monthly_df(spark, sf), ["series"], "y", p_value=False), z_skew=4, z_kurtosis=4, k2=4)
-)
+    using(supplier_panel, lambda p: round_to(st.normality(p.df, ["series"], "y", p_value=False), z_skew=4, z_kurtosis=4, k2=4)))
 
 
 def _standardised(spark, sf):
@@ -119,7 +114,7 @@ query(
     f"{SM}, d AS (SELECT series, " + ", ".join(f"y - lag(y, {k}) {over()} AS d{k}" for k in _HURST) + " FROM supplier_monthly), u AS ("
     + " UNION ALL ".join(f"SELECT series, ln({k}) AS l, ln(sqrt(nullif(stddev_pop(d{k}), 0))) AS t FROM d GROUP BY 1" for k in _HURST)
     + ") SELECT series, round(2 * regr_slope(t, l), 5) AS hurst FROM u GROUP BY 1",
-)(lambda spark, sf: round_to(st.hurst(supplier_monthly(spark, sf), "y"), hurst=5))
+)(using(supplier_panel, lambda p: round_to(st.hurst(p, "y"), hurst=5)))
 
 
 def _spectrum_sql(base: str, source: str, order: str) -> str:
@@ -133,8 +128,7 @@ SELECT series, arg_max(k, amp) AS k, max(n) AS n, round(max(amp), 2) AS amplitud
 
 
 query("x10_dominant_cycle", _spectrum_sql(ORDERS_WEEKLY, "orders_weekly", "date"))(
-    lambda spark, sf: round_to(sp.dominant_cycle(orders_weekly(spark, sf), "y"), amplitude=2, cycle=5)
-)
+    using(weekly_panel, lambda p: round_to(sp.dominant_cycle(p, "y"), amplitude=2, cycle=5)))
 
 
 def _split_hourly(spark, sf):
@@ -155,8 +149,7 @@ def _acf_sql(base: str, source: str, y: str, k: int, by: str) -> str:
 
 
 query("x11_autocorrelation", _acf_sql(f"{SM[:-1]}, ", "supplier_monthly", "y", 12, "PARTITION BY series ORDER BY date"))(
-    lambda spark, sf: round_to(st.autocorrelation(supplier_monthly(spark, sf), "y", 12), acf=5)
-)
+    using(supplier_panel, lambda p: round_to(st.autocorrelation(p, "y", 12), acf=5)))
 query("x11_autocorrelation_rows", _acf_sql(f"{with_(ORDER_ROWS)[:-1]}, ", "order_rows", "y", 5, "PARTITION BY series ORDER BY date, id"))(
     lambda spark, sf: round_to(st.autocorrelation(order_rows(spark, sf), "y", 5), acf=5)
 )
@@ -167,7 +160,7 @@ l AS (SELECT series, e, lag(e) {over()} AS l1, lag(e, 2) {over()} AS l2 FROM m),
 r AS (SELECT series, sum(e * l1) / sum(e * e) AS r1, sum(e * l2) / sum(e * e) AS r2 FROM l GROUP BY 1)
 SELECT series, 0 AS lag, 1.0::DOUBLE AS pacf FROM r UNION ALL SELECT series, 1, round(r1, 5) FROM r
 UNION ALL SELECT series, 2, round((r2 - r1 * r1) / (1 - r1 * r1), 5) FROM r""",
-)(lambda spark, sf: round_to(st.partial_autocorrelation(supplier_monthly(spark, sf), "y", 2), pacf=5))
+)(using(supplier_panel, lambda p: round_to(st.partial_autocorrelation(p, "y", 2), pacf=5)))
 query(
     "x13_decompose",
     f"""{SM}, t AS (SELECT *, (row_number() {over()} - 1) % 12 AS ph FROM supplier_monthly),
@@ -177,11 +170,10 @@ p AS (SELECT series, ph, avg(y - trend) AS pm FROM c GROUP BY 1, 2), q AS (SELEC
 SELECT series, date, y, round(trend, 4) AS trend, round(y - trend, 4) AS detrended, round(seasonal, 4) AS seasonal,
   round(y - trend - seasonal, 4) AS resid, round(y - seasonal, 4) AS deseasonalised FROM c JOIN q USING (series, ph)""",
 )(
-    lambda spark, sf: round_to(
-        st.decompose(supplier_monthly(spark, sf), "y", 12).df.drop("rev", "disc"),
+    using(supplier_panel, lambda p: round_to(
+        st.decompose(p, "y", 12).df.drop("rev", "disc"),
         trend=4, detrended=4, seasonal=4, resid=4, deseasonalised=4,
-    )
-)
+    )))
 
 
 def _unit_root(spark, sf):
@@ -197,42 +189,40 @@ s AS (SELECT series, n, b / sqrt((1 - r2) * syy / (n - 2) / sxx) AS t, -3.43035
   -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.04 / (n * n * n) AS c5, -2.56677 - 1.5384 / n - 2.809 / (n * n) AS c10 FROM f)
 SELECT series, CAST(n AS BIGINT) AS n, round(t, 4) AS statistic, round(c1, 4) AS crit_1, round(c5, 4) AS crit_5, round(c10, 4) AS crit_10, t < c5 AS stationary FROM s""",
 )(_unit_root)
-query("x14_unit_root_lagged")(lambda spark, sf: st.unit_root_test(supplier_monthly(spark, sf), "y", 2))
-query("x15_granger")(lambda spark, sf: st.granger(supplier_monthly(spark, sf), "y", "rev", 3))
+query("x14_unit_root_lagged")(using(supplier_panel, lambda p: st.unit_root_test(p, "y", 2)))
+query("x15_granger")(using(supplier_panel, lambda p: st.granger(p, "y", "rev", 3)))
 query(
     "x15_granger_one_lag",
     f"""{SM}, l AS (SELECT series, y, lag(y) {over()} AS a, lag(rev) {over()} AS b FROM supplier_monthly),
 c AS (SELECT series, count(*) AS n, corr(y, a) AS ra, corr(y, b) AS rb, corr(a, b) AS rab, regr_syy(y, a) AS syy FROM l WHERE a IS NOT NULL GROUP BY 1),
 r AS (SELECT series, n, syy * (1 - ra * ra) AS r0, syy * (1 - (ra * ra + rb * rb - 2 * ra * rb * rab) / (1 - rab * rab)) AS r1 FROM c)
 SELECT series, 1 AS lag, n, round((r0 - r1) / (r1 / (n - 3)), 4) AS f, n - 3 AS free FROM r""",
-)(lambda spark, sf: round_to(st.granger(supplier_monthly(spark, sf), "y", "rev", 1, p_value=False), f=4))
+)(using(supplier_panel, lambda p: round_to(st.granger(p, "y", "rev", 1, p_value=False), f=4)))
 query(
     "x16_linear_fit",
     f"""{SM}SELECT series, round(regr_slope(y, rev), 8) AS slope, round(regr_intercept(y, rev), 4) AS intercept,
   round(regr_syy(y, rev) * (1 - regr_r2(y, rev)), 2) AS rss, count(*) AS n FROM supplier_monthly GROUP BY 1""",
 )(
-    lambda spark, sf: round_to(
-        rg.least_squares(supplier_monthly_df(spark, sf), ["series"], ["rev"], "y").select(
+    using(supplier_panel, lambda p: round_to(
+        rg.least_squares(p.df, ["series"], ["rev"], "y").select(
             "series", F.col("fit.coefficients")[0].alias("slope"), F.col("fit.intercept").alias("intercept"), F.col("fit.rss").alias("rss"), F.col("fit.n").alias("n")
         ),
         slope=8, intercept=4, rss=2,
-    )
-)
+    )))
 query(
     "x17_coefficient_significance",
     f"""{SM}, f AS (SELECT series, regr_slope(y, rev) AS b, sqrt((1 - regr_r2(y, rev)) * regr_syy(y, rev) / (count(*) - 2) / regr_sxx(y, rev)) AS se FROM supplier_monthly GROUP BY 1)
 SELECT series, 'rev' AS feature, round(b, 8) AS coefficient, round(b - 1.96::DOUBLE * se, 8) AS lower, round(b + 1.96::DOUBLE * se, 8) AS upper,
   CASE WHEN b - 1.96::DOUBLE * se < 0 AND b + 1.96::DOUBLE * se > 0 THEN 'not significant' ELSE 'significant' END AS significance FROM f""",
 )(
-    lambda spark, sf: round_to(
-        rg.coefficient_table(rg.least_squares(supplier_monthly_df(spark, sf), ["series"], ["rev"], "y"), ["series"], ["rev"]),
+    using(supplier_panel, lambda p: round_to(
+        rg.coefficient_table(rg.least_squares(p.df, ["series"], ["rev"], "y"), ["series"], ["rev"]),
         coefficient=8, lower=8, upper=8,
-    )
-)
+    )))
 
 
 def _residuals(spark, sf):
-    p = ft.detrended(supplier_monthly(spark, sf), "y", "residual")
+    p = ft.detrended(supplier_panel(spark, sf), "y", "residual")
     return p.with_df(p.df.select("series", "date", "residual"))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
     BY_DATE, EVENTS_HOURLY, FLAG_MONTHLY, NATION_MONTHLY, OHLC_DAILY, ORDER_ROWS, ORDERS_WEEKLY, SUPPLIER_MONTHLY,
     events_hourly_df, flag_monthly_df, nation_monthly_df, ohlc_daily_df, order_rows, order_rows_df,
     orders_weekly_df, over, query, round_half_up, round_to, sql_bfill, sql_ffill, supplier_monthly, supplier_monthly_df,
-    table, with_,
+    supplier_panel, table, weekly_panel, with_,
 )
 from seriesloom.catalog.reports import FORECAST_REPORT, forecast_report
 from seriesloom.operators import calendar as cal
@@ -133,7 +134,7 @@ query(
     "p03_holdout",
     f"""{with_(SUPPLIER_MONTHLY)}SELECT *, CASE WHEN date < max(date) OVER (PARTITION BY series) - 180 THEN 'train' ELSE 'validation' END AS part
 FROM supplier_monthly""",
-)(lambda spark, sf: cl.holdout(supplier_monthly_df(spark, sf), ["series"], "date", 180))
+)(lambda spark, sf: cl.holdout(supplier_panel(spark, sf).df, ["series"], "date", 180))
 query("p04_drop_present", f"{with_(SUPPLIER_MONTHLY)}SELECT series, date, y FROM supplier_monthly")(
     lambda spark, sf: cl.drop_present(supplier_monthly_df(spark, sf), ["rev", "disc", "not_there"])
 )
@@ -204,8 +205,10 @@ SELECT l_returnflag, l_extendedprice, round(lo, 3) AS lower_limit, round(hi, 3)
         lower_limit=3, upper_limit=3,
     )
 )
-query("p14_features_and_target")(
-    lambda spark, sf: cl.features_and_target(supplier_monthly_df(spark, sf), ["rev", "disc"], "y").select("series", "date", "label")
+query("p14_features_and_target", f"{with_(SUPPLIER_MONTHLY)}SELECT series, date, y AS label, rev AS f0, disc AS f1 FROM supplier_monthly")(
+    lambda spark, sf: cl.features_and_target(supplier_monthly_df(spark, sf), ["rev", "disc"], "y")
+    .withColumn("f", vector_to_array("features"))
+    .select("series", "date", "label", F.col("f")[0].alias("f0"), F.col("f")[1].alias("f1"))
 )
 query(
     "p15_history_and_forecast",
@@ -226,7 +229,7 @@ SELECT series, date, n, coalesce(fix, y) AS y FROM orders_weekly LEFT JOIN f USI
 )(
     lambda spark, sf: (
         lambda df: cl.corrected(df, df.filter("n = 1").withColumn("y", F.col("y") * 2), ["series", "date"], "y")
-    )(orders_weekly_df(spark, sf))
+    )(weekly_panel(spark, sf).df)
 )
 for _kind, _expr in (
     ("minmax", "(y - min(y) OVER p) / nullif(max(y) OVER p - min(y) OVER p, 0)"),
@@ -239,7 +242,7 @@ for _kind, _expr in (
         kind=_kind,
     )(
         lambda spark, sf, kind: round_to(
-            cl.scaled(supplier_monthly_df(spark, sf).select("series", "date", "y"), ["series"], "y", kind), **{f"y_{kind}": 6}
+            cl.scaled(supplier_panel(spark, sf).df.select("series", "date", "y"), ["series"], "y", kind), **{f"y_{kind}": 6}
         )
     )
 query("p18_year_flag", f"{_OW}SELECT series, date, CAST(year(date) = 1998 AS INTEGER) AS flag FROM orders_weekly")(
@@ -406,7 +409,7 @@ def _month_sources(spark, sf):
 
 
 def _weekly_sources(spark, sf):
-    ow = orders_weekly_df(spark, sf)
+    ow = weekly_panel(spark, sf).df
     wide = {
         "urgent": ow.filter("series = '1-URGENT'").select("date", F.col("y").alias("urgent")),
         "low": ow.filter("series = '5-LOW'").select("date", F.col("y").alias("low")),
@@ -449,7 +452,7 @@ LEFT JOIN (SELECT series, date, y FROM supplier_monthly WHERE date < DATE '2001-
 )(
     lambda spark, sf: (
         lambda df: jn.features_with_target(df.drop("y"), df.filter("date < '2001-01-01'").select("series", "date", "y"), ["series", "date"])
-    )(supplier_monthly_df(spark, sf))
+    )(supplier_panel(spark, sf).df)
 )
 query(
     "j04_group_value_on_rows",
@@ -523,5 +526,5 @@ FROM (SELECT series, date, lag(rev) {over()} AS rev_lag_1 FROM supplier_monthly)
             p.frames(lambda w: {"rev_lag_1": F.lag("rev", 1).over(w)}, back=1).df.select("series", "date", "rev_lag_1"),
             p.df.select("series", "date", F.col("y").alias("actual")), ["series", "date"],
         )
-    )(supplier_monthly(spark, sf))
+    )(supplier_panel(spark, sf))
 )

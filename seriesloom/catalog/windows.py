@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
     BY_DATE, OHLC_DAILY, ORDER_ROWS, ORDERS_WEEKLY, SUPPLIER_MONTHLY, ohlc_daily, order_rows, orders_weekly, over, query,
-    round_half_up, rounded, sql_before, sql_bfill, sql_div, sql_ffill, sql_upto, supplier_monthly, with_,
+    round_half_up, rounded, sql_before, sql_bfill, sql_div, sql_ffill, sql_upto, supplier_monthly, supplier_panel, using, with_,
 )
 from seriesloom.operators import features as ft
 from seriesloom.plans import config
@@ -43,10 +43,9 @@ query(
     "w02_lag_matrix",
     _sm("", f"SELECT series, date, y, {', '.join(f'lag(rev, {i}) {over()} AS rev_lag_{i}' for i in range(1, 6))} FROM supplier_monthly"),
 )(
-    lambda spark, sf: ft.add_features(supplier_monthly(spark, sf), [ft.lag("rev", i) for i in range(1, 6)], fill=None).df.select(
+    using(supplier_monthly, lambda p: ft.add_features(p, [ft.lag("rev", i) for i in range(1, 6)], fill=None).df.select(
         "series", "date", "y", *[f"rev_lag_{i}" for i in range(1, 6)]
-    )
-)
+    )))
 
 query("w03_moving_average", _filled_sql({f"y_sma_{n}": sql_before("avg", "y", n) for n in (3, 12)}))(
     _simple([ft.moving_average("y", n) for n in (3, 12)])
@@ -148,7 +147,7 @@ e AS (
 SELECT rn.series, rn.date,
   round(CASE WHEN l = 0 AND u > 0 THEN 100 ELSE 100 - 100 / (1 + u / nullif(l, 0)) END, 4) AS rsi_wilder_14
 FROM rn LEFT JOIN e ON rn.series = e.series AND rn.i = e.i""",
-)(lambda spark, sf: rounded(ft.strength_index_smoothed(supplier_monthly(spark, sf), "y", 14).df, KEY, ["rsi_wilder_14"]))
+)(using(supplier_monthly, lambda p: rounded(ft.strength_index_smoothed(p, "y", 14).df, KEY, ["rsi_wilder_14"])))
 
 
 def _runs_sql(source: str, base: str, by: str, key: str) -> str:
@@ -162,8 +161,7 @@ SELECT {key}, CAST(sum(up) OVER ({by.replace('PARTITION BY series', 'PARTITION B
 
 
 query("w16_increase_runs", _runs_sql("supplier_monthly", SUPPLIER_MONTHLY, BY_DATE, "series, date"))(
-    lambda spark, sf: ft.increase_runs(supplier_monthly(spark, sf), "y", 2).df.select("series", "date", "consecutive_increases_2")
-)
+    using(supplier_monthly, lambda p: ft.increase_runs(p, "y", 2).df.select("series", "date", "consecutive_increases_2")))
 query("w16_increase_runs_rows", _runs_sql("order_rows", ORDER_ROWS, BY_ROW, "series, date, id"))(
     lambda spark, sf: ft.increase_runs(order_rows(spark, sf), "y", 2).df.select("series", "date", "id", "consecutive_increases_2")
 )
@@ -181,12 +179,12 @@ query(
     with_(SUPPLIER_MONTHLY)[:-1]
     + ",\n"
     + _SMOOTH.format(key="", akey="", x="y", by=BY_DATE, src="supplier_monthly", near="", bfill=sql_bfill("v"), ffill=sql_ffill("w")),
-)(lambda spark, sf: rounded(ft.smoothed(supplier_monthly(spark, sf), "y", "smooth_3", 3).df, KEY, ["smooth_3"], 3))
+)(using(supplier_monthly, lambda p: rounded(ft.smoothed(p, "y", "smooth_3", 3).df, KEY, ["smooth_3"], 3)))
 
 query(
     "w18_recursive_average",
     "WITH RECURSIVE " + SUPPLIER_MONTHLY + ",\n" + _ema_sql("supplier_monthly", "y", 12, BY_DATE) + "\nSELECT series, date, round(e, 4) AS y_ema_12 FROM e",
-)(lambda spark, sf: rounded(ft.span_average(supplier_monthly(spark, sf), "y", 12).df, KEY, ["y_ema_12"]))
+)(using(supplier_monthly, lambda p: rounded(ft.span_average(p, "y", 12).df, KEY, ["y_ema_12"])))
 
 query(
     "w18_recursive_average_rows",
@@ -209,7 +207,7 @@ query(
         "f AS (SELECT series, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM t GROUP BY series)",
         "SELECT series, date, round(y - (a + b * t), 4) AS y_detrended FROM t JOIN f USING (series)",
     ),
-)(lambda spark, sf: rounded(ft.detrended(supplier_monthly(spark, sf), "y").df, KEY, ["y_detrended"]))
+)(using(supplier_panel, lambda p: rounded(ft.detrended(p, "y").df, KEY, ["y_detrended"])))
 query(
     "w19_detrended_rows",
     f"""{with_(ORDER_ROWS, f"t AS (SELECT *, row_number() OVER ({BY_ROW}) AS t FROM order_rows)",
@@ -237,12 +235,11 @@ query(
   round(sd / nullif(m, 0), 6) AS y_cv_12 FROM r""",
     ),
 )(
-    lambda spark, sf: ft.add_features(supplier_monthly(spark, sf), [ft.returns("y", 12)], fill=None).df.select(
+    using(supplier_monthly, lambda p: ft.add_features(p, [ft.returns("y", 12)], fill=None).df.select(
         *KEY,
         *[round_half_up(f"y_{x}", 6).alias(f"y_{x}") for x in ("log_return", "abs_return", "volatility_12", "cv_12")],
         *[round_half_up(f"y_{x}", 4).alias(f"y_{x}") for x in ("std_12", "avg_12")],
-    )
-)
+    )))
 query(
     "w24_price_range",
     f"""{with_(OHLC_DAILY, f"r AS (SELECT *, {sql_before('max', 'close', 12, 2)} AS hi, {sql_before('min', 'close', 12, 2)} AS lo FROM ohlc_daily)")}
@@ -277,7 +274,7 @@ query(
         + " FROM supplier_monthly)",
         "SELECT * FROM p WHERE " + " AND ".join(f"{c}_lag_{n} IS NOT NULL" for c, ns in _PACK.items() for n in ns),
     ),
-)(lambda spark, sf: config.lag_pack(supplier_monthly(spark, sf), _PACK, keep=["series", "date", "y"]).df)
+)(using(supplier_monthly, lambda p: config.lag_pack(p, _PACK, keep=["series", "date", "y"]).df))
 
 # The two ready feature sets.
 _FLAVOR_COLS = {
@@ -333,16 +330,14 @@ query(
     "w31_named_features",
     _filled_sql({"y_lag_1": f"lag(y, 1) {over()}", "y_lag_2": f"lag(y, 2) {over()}", "y_ma_3": sql_before("avg", "y", 3)}),
 )(
-    lambda spark, sf: rounded(
-        config.from_names(supplier_monthly(spark, sf), "y", ["y_lag_1", "y_lag_2", "y_ma_3"]).df, KEY, ["y_lag_1", "y_lag_2", "y_ma_3"]
-    )
-)
+    using(supplier_monthly, lambda p: rounded(
+        config.from_names(p, "y", ["y_lag_1", "y_lag_2", "y_ma_3"]).df, KEY, ["y_lag_1", "y_lag_2", "y_ma_3"]
+    )))
 query(
     "w32_crossover_averages",
     f"{with_(ORDERS_WEEKLY)}SELECT series, date, y, round({sql_upto('avg', 'y', 7)}, 2) AS sma_7, round({sql_upto('avg', 'y', 30)}, 2) AS sma_30 FROM orders_weekly",
 )(
-    lambda spark, sf: rounded(
-        ft.add_features(orders_weekly(spark, sf), [ft.crossover_averages("y", 7, 30)], fill=None).df,
+    using(orders_weekly, lambda p: rounded(
+        ft.add_features(p, [ft.crossover_averages("y", 7, 30)], fill=None).df,
         [*KEY, "y"], ["sma_7", "sma_30"], 2,
-    )
-)
+    )))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -87,10 +88,10 @@ def exogenous_future(panel: Panel, cols: Sequence[str], horizon: int, *, method:
     return got.groupBy(*panel.series, "step").pivot("__name", list(cols)).agg(F.first("prediction"))
 
 
-def fill_exogenous(panel: Panel, future: DataFrame, cols: Sequence[str]) -> DataFrame:
+def fill_exogenous(panel: Panel, future: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     """Fill the null tail of exogenous columns in ``future`` (series, step, cols) with their forecasts."""
     horizon = future.agg(F.max("step")).first()[0]
-    made = exogenous_future(panel, cols, int(horizon)).withColumnsRenamed({c: f"__{c}" for c in cols})
+    made = exogenous_future(panel, cols, int(horizon), **kw).withColumnsRenamed({c: f"__{c}" for c in cols})
     rows = future.join(made, [*panel.series, "step"], "left")
     return rows.withColumns({c: F.coalesce(F.col(c), F.col(f"__{c}")) for c in cols}).drop(*[f"__{c}" for c in cols])
 
@@ -214,14 +215,14 @@ def grid_search(panel: Panel, fs: FeatureSet, kind: str, n_splits: int = 2, size
     return table, md.best_params(table)
 
 
-def random_search(panel: Panel, fs: FeatureSet, kind: str, n: int, horizon: int, seed: int = 7) -> DataFrame:
+def random_search(panel: Panel, fs: FeatureSet, kind: str, n: int, horizon: int, seed: int = 7, space: Mapping | None = None) -> DataFrame:
     """Sampled parameter sets scored by the squared error of a recursive forecast of the last rows."""
     folds = session.cut(fd.tail_split(panel, panel.order[0], horizon))
     features = session.cut(fd.numbered(config.build(panel, fs)).df)
     parts = []
-    for i, spec in enumerate(md.sample_grid(kind, n, seed)):
+    for i, spec in enumerate(md.sample_grid(kind, n, seed, space)):
         report, _ = stepwise_prediction(panel, fs, spec, folds, 0, horizon, features)
-        params = F.to_json(F.create_map(*[F.lit(str(x)) for kv in sorted(spec.params.items()) for x in kv]))
+        params = F.lit(json.dumps({k: str(v) for k, v in sorted(spec.params.items())}))
         parts.append(report.agg(F.avg(F.pow(F.col("actual") - F.col("forecast"), 2)).alias("mse")).select(F.lit(i).alias("trial"), params.alias("params"), "mse"))
     return rs.stack(parts)
 

@@ -104,7 +104,7 @@ def vector_column(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def grid(kind: str, space: Mapping[str, Sequence] | None = None) -> list[ModelSpec]:
-    space = space or SPACES[kind]
+    space = SPACES[kind] if space is None else space
     names = sorted(space)
     return [ModelSpec(kind, dict(zip(names, values))) for values in product(*[space[n] for n in names])]
 
