@@ -60,6 +60,7 @@ def decimal_rounds(sql: str) -> str:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    session.ship(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

@@ -21,7 +21,7 @@ from seriesloom.plans.config import FeatureSet, output_names
 
 HISTORY = "__history"
 # Steps between lineage cuts when the predictor is a fitted model.
-STEPS_PER_CUT = 3
+STEPS_PER_CUT = 2
 
 ColumnPredict = Callable[[Mapping[str, Column]], Column]
 FramePredict = Callable[[DataFrame], DataFrame]
