@@ -67,10 +67,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") == 1).drop("__rank")
 
 
-def last_rows(df: DataFrame, series: Sequence[str], order: Sequence[str], n: int, rank: str = "from_end") -> DataFrame:
-    """The last ``n`` rows of each series, numbered from the end."""
+# Spark prunes ranked filters before the shuffle up to this rank (its default threshold).
+PRUNED_RANK = 1000
+
 
+def last_rows(df: DataFrame, series: Sequence[str], order: Sequence[str], n: int, rank: str = "from_end") -> DataFrame:
+    """The last ``n`` rows of each series, numbered from the end.
 
+    A small ``n`` is a ranked filter, pruned before the shuffle. A larger one counts from exact positions.
+    """
+    if n > PRUNED_RANK:
+        rows = Panel(df, series, order).positions("__pos_here").unsplit()
+        size = rows.groupBy(*series).agg(F.count(F.lit(1)).alias("__size"))
+        back = (F.col("__size") - F.col("__pos_here") + 1).cast("int")
+        return attach(rows, size, series).withColumn(rank, back).filter(F.col(rank) <= n).drop("__size", "__pos_here")
     w = Window.partitionBy(*series).orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 

@@ -37,9 +37,12 @@ def expanding_folds(panel: Panel, date: str, first_test: str | Column, size: int
     start = F.to_date(F.lit(first_test)) if isinstance(first_test, str) else first_test
     sizes = _sizes(rows, s, date)
     first = rows.filter(F.col(date) == start).select(*s, F.col(ROW).alias("first_row")).join(sizes, s)
-    steps = F.sequence(F.col("first_row"), F.col("n_rows") - 1, F.lit(step).cast("long"))
-    starts = first.select(*s, "n_rows", "last_date", F.posexplode(steps).alias("fold", "test_start")).withColumn("fold", F.col("fold") + 1)
-    dated = starts.join(rows.select(*s, F.col(ROW).alias("test_start"), F.col(date).alias("start_date")), [*s, "test_start"])
+    # Every step-th row from the first test row starts a fold; the rows themselves are the candidates.
+    ahead = F.col(ROW) - F.col("first_row")
+    dated = attach(rows.select(*s, date, ROW), first, s, "inner").filter((ahead >= 0) & (F.pmod(ahead, F.lit(step)) == 0))
+    dated = dated.select(
+        *s, "n_rows", "last_date", (F.floor(ahead / step) + 1).cast("int").alias("fold"), F.col(ROW).alias("test_start"), F.col(date).alias("start_date")
+    )
     reach = F.date_add("start_date", 7 * size)
     dated = dated.withColumn("final", (F.col("fold") > 1) & (reach >= F.col("last_date")))
     stop = dated.filter("final").groupBy(*s).agg(F.min("fold").alias("stop_fold"))
@@ -86,12 +89,14 @@ def tail_split(panel: Panel, date: str, horizon: int) -> DataFrame:
 def growing_folds(panel: Panel, date: str, min_train: int, step: int, horizon: int) -> DataFrame:
     """Train on the first ``min_train + k * step`` rows, test on the next ``horizon``."""
     s = panel.series
-    n = F.floor((F.col("n_rows") - min_train - step) / step).cast("int")
-    sizes = _sizes(panel.df, s, date).withColumn("n_folds", n).filter("n_folds > 0")
-    folds = sizes.select(*s, "n_rows", F.explode(F.sequence(F.lit(0), F.col("n_folds") - 1)).alias("fold"))
-    start = (F.lit(min_train) + F.col("fold") * step).cast("long")
+    sizes = _sizes(panel.df, s, date).select(*s, "n_rows")
+    ahead = F.col(ROW) - min_train
+    starts = numbered(panel).df.select(*s, ROW).filter((ahead >= 0) & (F.pmod(ahead, F.lit(step)) == 0))
+    fold = F.floor(ahead / step).cast("int")
+    folds = attach(starts, sizes, s).filter(fold < F.floor((F.col("n_rows") - min_train - step) / step))
+    start = F.col(ROW)
     return folds.select(
-        *s, "fold", start.alias("train_end"), start.alias("test_start"), F.least(start + horizon, F.col("n_rows")).alias("test_end")
+        *s, fold.alias("fold"), start.alias("train_end"), start.alias("test_start"), F.least(start + horizon, F.col("n_rows")).alias("test_end")
     )
 
 

@@ -63,9 +63,13 @@ class Panel:
         return cls(df, series, [date], rows_bound=CALENDAR_ROWS, **kw)
 
     def with_df(self, df: DataFrame) -> Panel:
-        return Panel(
+        """The same panel over other columns or fewer rows; what is known of its sizes stays known."""
+        p = Panel(
             df, self.series, self.order, rows_per_task=self.limit, rows_bound=self.rows_bound, _chunk_rows=self._chunk_rows
         )
+        if "_sizes" in self.__dict__:
+            p.__dict__["_sizes"] = self._sizes
+        return p
 
     # -- choosing the plan ------------------------------------------------------------------
 
@@ -102,6 +106,10 @@ class Panel:
         """The rows without the bookkeeping columns."""
         return self.df.drop(*[c for c in self.df.columns if c.startswith("__")])
 
+    def unsplit(self) -> DataFrame:
+        """The rows without this panel's positions and chunks."""
+        return self.df.drop(POS, CHUNK)
+
     # -- passes -----------------------------------------------------------------------------
 
     def positions(self, name: str = "pos") -> Panel:

@@ -185,3 +185,53 @@ def test_exact_quantiles(spark, limit):
         if len(x):
             assert [got[s][c] for c in "amz"] == pytest.approx([x.quantile(q) for q in (0.1, 0.5, 1.0)])
     assert "void" not in got
+
+
+@pytest.mark.parametrize("limit", [None, 8])
+def test_a_panel_without_keys_is_one_series(spark, limit):
+    df = frame(spark, {"a": HOT}).drop("series")
+    p = ft.add_features(Panel(df, [], ["date"], rows_per_task=limit), [ft.lag("y", 1), ft.moving_average("y", 2)])
+    got = p.df.orderBy("date").toPandas()
+    x = pd.Series(HOT, dtype="float64")
+    assert got["y_lag_1"].tolist() == pytest.approx(x.shift(1).bfill().tolist(), nan_ok=True)
+    assert got["y_sma_2"].tolist() == pytest.approx(x.rolling(2, closed="left").mean().bfill().tolist(), nan_ok=True)
+
+
+def test_sizes_are_measured_once(spark):
+    p = panel(frame(spark, SERIES), 1000)
+    assert not p.is_split
+    assert p.frames(lambda w: {"a": F.lag("y", 1).over(w)}, back=1).with_df(p.df).__dict__["_sizes"] == p._sizes
+
+
+def test_last_rows_beyond_the_pruned_rank(spark):
+    df = spark.range(3000).select(F.lit("a").alias("series"), F.col("id").alias("t"))
+    few, many = cl.last_rows(df, ["series"], ["t"], 3), cl.last_rows(df, ["series"], ["t"], 1500)
+    assert sorted((r["t"], r["from_end"]) for r in few.collect()) == [(2997, 3), (2998, 2), (2999, 1)]
+    got = {r["t"]: r["from_end"] for r in many.collect()}
+    assert len(got) == 1500 and got[2999] == 1 and got[1500] == 1500 and set(many.columns) == {"series", "t", "from_end"}
+
+
+@pytest.mark.parametrize("limit", [None, 7])
+def test_leading_fill_equals_general_fill(spark, limit):
+    full = {s: [x for x in v if x is not None] for s, v in SERIES.items() if any(x is not None for x in v)}
+    feats = [ft.lag("y", 3), ft.moving_average("y", 6), ft.band_spread("y", 7)]
+    a = ft.add_features(panel(frame(spark, full), limit), feats, leading=True).df
+    b = ft.add_features(panel(frame(spark, full), limit), feats, leading=False).df
+    for f in feats:
+        close(series_of(a, f.names[0]), {s: [np.nan if x is None else x for x in v] for s, v in series_of(b, f.names[0]).items()})
+
+
+@pytest.mark.parametrize("limit", [None, 10])
+def test_named_passes_equal_pandas(spark, limit):
+    df = frame(spark, {"a": [x for x in HOT if x is not None]})
+    x = pd.Series([v for v in HOT if v is not None])
+    got = series_of(ft.detrended(panel(df, limit), "y").df, "y_detrended")["a"]
+    t = np.arange(1, len(x) + 1)
+    assert got == pytest.approx((x - np.polyval(np.polyfit(t, x, 1), t)).tolist())
+    got = series_of(ft.smoothed(panel(df, limit), "y", "s", 3).df, "s")["a"]
+    assert got == pytest.approx(x.shift(3).ewm(alpha=0.109).mean().bfill().ffill().tolist())
+    d = x.diff()
+    up, down = (v.ewm(alpha=1 / 5, adjust=False).mean() for v in (d.clip(lower=0), (-d).clip(lower=0)))
+    got = series_of(ft.strength_index_smoothed(panel(df, limit), "y", 5).df, "rsi_wilder_5")["a"]
+    want = 100 - 100 / (1 + up / down)
+    assert got[2:] == pytest.approx(want.tolist()[2:])
