@@ -235,7 +235,7 @@ class Panel:
             u, v = (decayed_sums if adjust else recursion_maps)(x, keep)
             return pdf.assign(__u=u, __v=v)
 
-        df = p.df.groupBy(*p.series, CHUNK).applyInPandas(scan, schema)
+        df = session.spread(p.df, [*p.series, CHUNK]).groupBy(*p.series, CHUNK).applyInPandas(scan, schema)
         observed = F.col(c).isNotNull()
         if not split:
             first = F.first(c, ignorenulls=True).over(

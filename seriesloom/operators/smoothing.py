@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesloom import session
 from seriesloom.operators.cleaning import last_rows
 from seriesloom.operators.panel import CHUNK, Panel
 
@@ -113,7 +114,7 @@ def _score_whole(panel: Panel, period: int) -> DataFrame:
         end, sse = _scan(y, 0, period, start, 2 * period)
         return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in s}, "__n": len(y), "__sse": sse.tolist(), "__state": end.ravel().tolist()}])
 
-    return panel.df.groupBy(*s).applyInPandas(score, schema)
+    return session.spread(panel.df, s).groupBy(*s).applyInPandas(score, schema)
 
 
 def _score_split(panel: Panel, period: int) -> DataFrame:
@@ -125,7 +126,7 @@ def _score_split(panel: Panel, period: int) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("__i", "__y"))), lambda x: x["__y"]).alias("__head")
     )
     head = head.filter(F.size("__head") >= 2 * period)
-    rows = p.df.select(*s, CHUNK, "__i", "__y").join(head.select(*s), s, "left_semi")
+    rows = session.spread(p.df.select(*s, CHUNK, "__i", "__y").join(head.select(*s), s, "left_semi"), [*s, CHUNK])
     wide = period + 2
     numbers = T.ArrayType(T.DoubleType())
 

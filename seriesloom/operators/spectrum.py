@@ -44,7 +44,7 @@ def amplitudes(panel: Panel, c: str) -> DataFrame:
             out[key] = pdf[key].iloc[0]
         return out[[*keys, "k", "n", "amplitude"]]
 
-    return rows.groupBy(*keys).applyInPandas(transform, schema)
+    return session.spread(rows, keys).groupBy(*keys).applyInPandas(transform, schema)
 
 
 def dominant_cycle(panel: Panel, c: str, spacing: float = 1.0) -> DataFrame:
@@ -79,7 +79,7 @@ def _pass(df: DataFrame, series: Sequence[str], group: str, within: str, inverse
             out[n] = pdf[n].iloc[0]
         return out[names]
 
-    return df.select(*names).groupBy(*series, group).applyInPandas(run, schema)
+    return session.spread(df.select(*names), [*series, group]).groupBy(*series, group).applyInPandas(run, schema)
 
 
 def _power_of_two_transform(df: DataFrame, series: Sequence[str], inverse: bool = False) -> DataFrame:
