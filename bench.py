@@ -30,8 +30,6 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("seriesloom-bench")
         .config("spark.sql.shuffle.partitions", cpus)
-        # As many partitions as cores: nothing to merge, and windows keep all cores busy.
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
