@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.catalog.base import (
-    supplier_panel, using, weekly_panel,
+    supplier_panel, using,
     FLAG_MONTHLY, ORDER_ROWS, SUPPLIER_MONTHLY, flag_monthly_df, order_rows, order_rows_df, over, query, round_half_up, round_to, supplier_monthly, supplier_monthly_df, with_,
 )
 from seriesloom.catalog.reports import FORECAST_REPORT, forecast_report

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seriesloom.catalog.base import (
     supplier_panel, using, weekly_panel,
     EVENTS_HOURLY, ORDER_ROWS, ORDERS_WEEKLY, SUPPLIER_MONTHLY, events_hourly_df, order_rows, order_rows_df, orders_weekly,
-    orders_weekly_df, over, query, round_to, supplier_monthly, supplier_monthly_df, table, with_,
+    over, query, round_to, supplier_monthly, table, with_,
 )
 from seriesloom.operators import features as ft
 from seriesloom.operators import regression as rg

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from seriesloom.functions.columns import rounded, sdiv
 from seriesloom.operators.cleaning import exact_quantiles
 from seriesloom.operators.features import attach
-from seriesloom.operators.joins import with_group_value
 
 # --- fixed values: decimals each reported metric is rounded to ---
 DECIMALS = {"MAPE": 4, "RMSE": 2, "MAE": 2, "R2": 4, "WAPE": 2, "Bias": 3, "MAPE_6W": 4, "RMSE_6W": 2}
@@ -211,7 +210,3 @@ def tuning_summary(cv: DataFrame, params: Sequence[str], score: str) -> DataFram
 def run_metrics(df: DataFrame, model: str = "model_type", cols: Sequence[str] = RUN_METRICS) -> DataFrame:
     """Mean metrics per model and, with a null model, over all models."""
     return df.rollup(model).agg(*[rounded(F.avg(c), RUN_DECIMALS).alias(c) for c in cols])
-
-
-def group_mean(df: DataFrame, keys: Sequence[str], c: str, name: str) -> DataFrame:
-    return with_group_value(df, keys, F.avg(c), name)

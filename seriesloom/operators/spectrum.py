@@ -47,8 +47,9 @@ def amplitudes(panel: Panel, c: str) -> DataFrame:
     return session.spread(rows, keys).groupBy(*keys).applyInPandas(transform, schema)
 
 
-def dominant_cycle(panel: Panel, c: str, spacing: float = 1.0) -> DataFrame:
-    """Strongest non-constant frequency and its cycle length."""
+def dominant_cycle(panel: Panel, c: str, spacing: float | str = 1.0) -> DataFrame:
+    """Strongest non-constant frequency and its cycle length; ``spacing`` may be a frequency label."""
+    spacing = SPACING[spacing] if isinstance(spacing, str) else spacing
     a = amplitudes(panel, c).filter("k >= 1")
     peak = a.groupBy(*panel.series).agg(
         F.max_by("k", F.struct("amplitude", -F.col("k"))).alias("k"), F.max("amplitude").alias("amplitude"), F.max("n").alias("n")
