@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, licenses
+from seriesloom.llm import common, licenses, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +32,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("spans", lambda x: x["likeness"])), F.lit(0.0))).alias("score"),
         F.to_json("spans").alias("spans"),
     )
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the 50k byte-level vocabulary."""
+    return token_counts.count(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ORACLES["op9_warc_round_trip"] = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM f"""
+
+
+@query
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as Zstandard WARC archives and read back."""
+    folder = warc.write(common.documents(spark, sf_dir, "pages"), common.shared_folder(spark))
+    return warc.resolved(warc.read(spark, folder)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
