@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, licenses, token_counts, warc
+from seriesloom.llm import common, licenses, quality_rules, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,31 @@ def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as Zstandard WARC archives and read back."""
     folder = warc.write(common.documents(spark, sf_dir, "pages"), common.shared_folder(spark))
     return warc.resolved(warc.read(spark, folder)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op7_quality_rules"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+    g AS (SELECT rid, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w),
+    twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1),
+    covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY rid),
+    m AS (SELECT w.doc_id, w.t, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
+                 CAST(length(regexp_replace(w.t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, len(w.l) AS n_lines,
+                 CAST(len(w.l) - len(list_distinct(w.l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+                 length(regexp_replace(w.t, '[^A-Z]+', '', 'g')) AS capitals,
+                 length(regexp_replace(w.t, '[\p{L}\p{M}\x20\x09-\x0D]+', '', 'g')) AS other
+          FROM w LEFT JOIN covered c USING (rid)),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 100 * n_symbols > 30 * n_words OR n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines OR 100 * capitals > 40 * word_chars
+                OR 100 * other > 40 * word_chars OR regexp_matches(t, '[\x21-\x7E]{300}')) AS kept
+    FROM b"""
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    judged = quality_rules.judge(common.documents(spark, sf_dir))
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("k.doc_id", *[f"m.{c}" for c in measures], "base_failed", "kept")
