@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, licenses, quality_rules, token_counts, warc
+from seriesloom.llm import common, licenses, near_dedup, quality_rules, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(common.documents(spark, sf_dir))
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("k.doc_id", *[f"m.{c}" for c in measures], "base_failed", "kept")
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dedup.groups(common.documents(spark, sf_dir))
