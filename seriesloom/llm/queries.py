@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, licenses, near_dedup, quality_rules, token_counts, warc
+from seriesloom.llm import common, language_id, licenses, near_dedup, quality_rules, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return near_dedup.groups(common.documents(spark, sf_dir))
+
+
+def held_out() -> Column:
+    """The rows that a language model never learns from; a null id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned on the rows that are not held out."""
+    docs = common.documents(spark, sf_dir)
+    found = language_id.identify(docs, language_id.train(docs, where=~held_out()))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
