@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, language_id, licenses, near_dedup, quality_rules, token_counts, warc
+from seriesloom.llm import common, language_id, licenses, near_dedup, packing, quality_rules, site_quality, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,26 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     found = language_id.identify(docs, language_id.train(docs, where=~held_out()))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@query
+def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; its source is the host, its language the part of it."""
+    docs, labels = common.documents(spark, sf_dir), common.documents(spark, sf_dir, "labels")
+    return site_quality.classify(docs, labels, docs["source"], docs["lang"])
+
+
+#: Bytes of text that stand for a token where texts are only to be sized.
+BYTES_PER_TOKEN = 4
+
+
+def estimated_tokens(text: Column) -> Column:
+    """Tokens by the size of the text, rounded up; null: none."""
+    return ((F.coalesce(F.octet_length(text), F.lit(0)) + BYTES_PER_TOKEN - 1) / BYTES_PER_TOKEN).cast("bigint")
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length buckets and token-budget batches of all documents."""
+    docs = common.documents(spark, sf_dir)
+    return packing.pack(docs, estimated_tokens(docs["text"]))
