@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, language_id, licenses, near_dedup, packing, quality_rules, site_quality, token_counts, warc
+from seriesloom.llm import common, language_id, licenses, near_dedup, order_minhash, packing, quality_rules, site_quality, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length buckets and token-budget batches of all documents."""
     docs = common.documents(spark, sf_dir)
     return packing.pack(docs, estimated_tokens(docs["text"]))
+
+
+@query
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return order_minhash.fingerprinted(common.documents(spark, sf_dir))
