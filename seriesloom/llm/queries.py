@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, language_id, licenses, near_dedup, order_minhash, packing, quality_rules, site_quality, token_counts, warc
+from seriesloom.llm import byte_bpe, common, language_id, licenses, near_dedup, order_minhash, packing, quality_rules, site_quality, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,15 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return order_minhash.fingerprinted(common.documents(spark, sf_dir))
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document under the multilingual 50k ranks, and back."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = byte_bpe.encode(common.documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
