@@ -186,6 +186,41 @@ FROM w JOIN m USING (series, "window")""",
         ),
     )
 )
+# One exogenous lag shorter than the horizon: y on lag(rev, 1), with rev forecast by its own AR(1) per series.
+WITH_EXOG = config.FeatureSet(target="y", exog_lags={"rev": (1,)})
+_EXOG_FOLD = """ar{k} AS (SELECT series, regr_slope(rev, rl) AS b, regr_intercept(rev, rl) AS a, max(rev) FILTER (back = {far} + 1) AS r0 FROM x WHERE back > {far} GROUP BY 1),
+fit{k} AS (SELECT regr_slope(y, v) AS b, regr_intercept(y, v) AS a FROM (SELECT y, coalesce(rl, rev) AS v FROM x WHERE back > {far})),
+p{k} AS (SELECT series, 1 AS step, r0 AS v, a, b FROM ar{k} UNION ALL SELECT series, step + 1, a + b * v, a, b FROM p{k} WHERE step < 6),
+o{k} AS (SELECT p{k}.series, step, fit{k}.a + fit{k}.b * v AS p FROM p{k}, fit{k})"""
+_EXOG_ROWS = f"""WITH RECURSIVE {SUPPLIER_MONTHLY}, x AS (SELECT series, date, y, rev, lag(rev) {over()} AS rl, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly),"""
+
+
+def _exog_walk(p):
+    folds = fd.end_anchored_folds(p, "date", 2, HORIZON)
+    return jobs.walk_forward(p, WITH_EXOG, [LINEAR], folds, [0, 1], exogenous={"order": 1})[0]
+
+
+query(
+    "b07_walk_forward_exogenous",
+    f"""{_EXOG_ROWS}
+{_EXOG_FOLD.format(k=0, far=12)}, {_EXOG_FOLD.format(k=1, far=6)}
+SELECT x.series, x.date, o0.step, x.y AS actual, round(o0.p, 2) AS forecast, 0 AS "window" FROM o0 JOIN x ON x.series = o0.series AND x.back = 13 - o0.step
+UNION ALL SELECT x.series, x.date, o1.step, x.y, round(o1.p, 2), 1 FROM o1 JOIN x ON x.series = o1.series AND x.back = 7 - o1.step""",
+)(using(supplier_panel, lambda p: round_to(_exog_walk(p), forecast=2).select("series", "date", "step", "actual", "forecast", "window")))
+query(
+    "f10_inference_exogenous",
+    f"""{_EXOG_ROWS}
+{_EXOG_FOLD.format(k=0, far=0)}
+SELECT o0.series, step, round(p, 2) AS forecast, CAST(date + to_months(step) AS DATE) AS date FROM o0 JOIN x ON x.series = o0.series AND back = 1""",
+)(
+    using(
+        supplier_panel,
+        lambda p: round_to(
+            jobs.inference(p, WITH_EXOG, [md.fit(LINEAR, config.build(p, WITH_EXOG).df, config.output_names(WITH_EXOG), "y")], HORIZON, "2001-12-01", "month", exogenous={"order": 1}),
+            forecast=2,
+        ).select("series", "step", "forecast", "date"),
+    )
+)
 query("b08_select_model_linear", _WALK_SQL + """SELECT 'linear' AS best_model, round(avg("MAPE"), 6) AS best_metric FROM m""")(
     using(supplier_panel, lambda p: round_to(jobs.select_model(_linear_walk(p)), best_metric=6))
 )

@@ -106,7 +106,7 @@ FROM report WHERE model_type IN ('sma_3', 'last_value')""",
 def _quoted(spark, sf):
     path = f"{sinks.scratch_folder(spark)}/export"
     weekly = orders_weekly_df(spark, sf).withColumn("note", F.concat(F.lit('said "'), F.col("series"), F.lit('", twice\nover')))
-    sinks.export_csv(weekly, path)
+    sinks.export_csv(weekly, path, single_file=True)
     opts = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
     return spark.read.schema(f"{PANEL_SCHEMA}, note string").options(**opts).csv(path)
 

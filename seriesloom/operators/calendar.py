@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.columns import col, non_null_first
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import Panel, matched
 
 # --- fixed values ---
 SERIAL_DAY_ZERO = "1899-12-30"
@@ -184,7 +184,7 @@ def infer_step(panel: Panel, date: str) -> DataFrame:
 def number_labels(df: DataFrame, label: str, out: str) -> DataFrame:
     """Number the ordered distinct labels from 1.
 
-    Only the distinct labels are ranked; the ranks are joined back.
+    Only the distinct labels are ranked; the ranks are joined back. Null is a label too and comes first.
     """
     p = Panel(df.select(label).distinct(), [], [label]).positions(out)
-    return df.join(p.df.select(label, F.col(out).cast("int").alias(out)), label)
+    return matched(df, p.df.select(label, F.col(out).cast("int").alias(out)), [label], True)

@@ -16,7 +16,8 @@ The size is measured by one pre-aggregated count unless the caller proves a boun
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import and_, or_
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ Stage = Callable[[WindowSpec], Mapping[str, Column]]
 
 
 class Panel:
-    """Rows keyed by ``series`` and ordered by ``order`` (together unique, keys non-null)."""
+    """Rows keyed by ``series`` and ordered by ``order`` (together unique). Null keys make a series of their own."""
 
     def __init__(
         self,
@@ -49,6 +50,7 @@ class Panel:
         rows_per_task: int | None = None,
         rows_bound: int | None = None,
         _chunk_rows: int | None = None,
+        _reach: int = 0,
     ):
         self.df = df
         self.series = list(series)
@@ -56,6 +58,8 @@ class Panel:
         self.limit = rows_per_task or session.rows_per_task(df.sparkSession)
         self.rows_bound = rows_bound
         self._chunk_rows = _chunk_rows
+        # Furthest row before the current one that a frame has read.
+        self._reach = _reach
 
     @classmethod
     def calendar(cls, df: DataFrame, series: Sequence[str], date: str, **kw) -> Panel:
@@ -65,7 +69,7 @@ class Panel:
     def with_df(self, df: DataFrame) -> Panel:
         """The same panel over other columns or fewer rows; what is known of its sizes stays known."""
         p = Panel(
-            df, self.series, self.order, rows_per_task=self.limit, rows_bound=self.rows_bound, _chunk_rows=self._chunk_rows
+            df, self.series, self.order, rows_per_task=self.limit, rows_bound=self.rows_bound, _chunk_rows=self._chunk_rows, _reach=self._reach
         )
         if "_sizes" in self.__dict__:
             p.__dict__["_sizes"] = self._sizes
@@ -74,11 +78,13 @@ class Panel:
     # -- choosing the plan ------------------------------------------------------------------
 
     @cached_property
-    def _sizes(self) -> tuple[int, int]:
+    def _sizes(self) -> tuple[int, int, bool]:
+        """Rows of the largest series, rows of all, and whether a key is null."""
         if self.rows_bound is not None and self.rows_bound <= self.limit:
-            return self.rows_bound, self.rows_bound
-        row = self.df.groupBy(*self.series).count().agg(F.max("count"), F.sum("count")).first()
-        return (row[0] or 0, row[1] or 0)
+            return self.rows_bound, self.rows_bound, False
+        nulls = reduce(or_, [F.col(c).isNull() for c in self.series], F.lit(False))
+        row = self.df.groupBy(*self.series).count().agg(F.max("count"), F.sum("count"), F.max(nulls)).first()
+        return (row[0] or 0, row[1] or 0, bool(row[2]))
 
     @property
     def is_split(self) -> bool:
@@ -96,11 +102,13 @@ class Panel:
         """Add positions and chunk numbers; a no-op when they are there already."""
         if self._chunk_rows is not None:
             return self
-        largest, total = self._sizes
+        largest, total, nulls = self._sizes
         chunk_rows = max(self.limit, -(-largest // MAX_CHUNKS))
-        df = exact_positions(self.df, self.series, self.order, total, chunk_rows)
+        df = exact_positions(self.df, self.series, self.order, total, chunk_rows, nulls)
         df = df.withColumn(CHUNK, _chunk_of(chunk_rows))
-        return Panel(df, self.series, self.order, rows_per_task=self.limit, _chunk_rows=chunk_rows)
+        p = Panel(df, self.series, self.order, rows_per_task=self.limit, _chunk_rows=chunk_rows)
+        p.__dict__["_sizes"] = self._sizes
+        return p
 
     def finish(self) -> DataFrame:
         """The rows without the bookkeeping columns."""
@@ -131,19 +139,21 @@ class Panel:
             return self.with_df(df)
         p = self._split()
         size = p._chunk_rows
-        if max(back, ahead) > size:
-            raise ValueError("a frame may not reach further than one chunk; raise rows_per_task")
         home, off = _chunk_of(size), F.pmod(F.col(POS) - 1, F.lit(size))
+        # A row is lent to every later chunk whose frames reach back to it, and to every earlier one they reach ahead from.
         places = [home]
-        if back:
-            places.append(F.when(off >= size - back, home + 1))
-        if ahead:
-            places.append(F.when((off < ahead) & (home > 0), home - 1))
+        places += [F.when(off >= k * size - back, home + k) for k in range(1, -(-back // size) + 1)]
+        places += [F.when((off < ahead - (k - 1) * size) & (home >= k), home - k) for k in range(1, -(-ahead // size) + 1)]
         df = p.df.withColumn(CHUNK, F.explode(F.array_compact(F.array(*places))))
         w = p._window()
         for stage in stages:
             df = df.withColumns(dict(stage(w)))
-        return p.with_df(df.filter(F.col(CHUNK) == _chunk_of(size)))
+        done = p.with_df(df.filter(F.col(CHUNK) == _chunk_of(size)))
+        done._reach = max(p._reach, back)
+        return done
+
+    def _matched(self, df: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return matched(df, rows, keys, self._sizes[2])
 
     def _carry(self, summary: Sequence[Column], combine: Callable[[WindowSpec], Mapping[str, Column]], back: bool) -> DataFrame:
         """One row per (series, chunk) with what the chunks before (or after) it hand over."""
@@ -174,18 +184,19 @@ class Panel:
         )
         w = p._window(descending=backward).rowsBetween(Window.unboundedPreceding, 0)
         df = p.df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-        df = df.join(carry, [*p.series, CHUNK], "left")
+        df = p._matched(df, carry, [*p.series, CHUNK])
         df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols})
         return p.with_df(df.drop(*[f"__carry_{c}" for c in cols]))
 
     def _fill_head(self, cols: Sequence[str]) -> Panel:
-        """Fill leading nulls in a split series. A frame reaches at most one chunk back, so the
-        nulls lie in the first chunk and the first value in the first two."""
-        first = self.df.filter(F.col(CHUNK) <= 1).groupBy(*self.series).agg(
+        """Fill leading nulls in a split series. Frames reach ``_reach`` rows back, so the nulls lie in the
+        chunks that many rows fill, and the first value in those or the next."""
+        deep = max(1, -(-self._reach // self._chunk_rows))
+        first = self.df.filter(F.col(CHUNK) <= deep).groupBy(*self.series).agg(
             *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"__head_{c}") for c in cols]
         )
-        first = first.withColumn(CHUNK, F.lit(0).cast("long"))
-        df = self.df.join(first, [*self.series, CHUNK], "left")
+        first = first.withColumn(CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deep - 1).cast("long"))))
+        df = self._matched(self.df, first, [*self.series, CHUNK])
         df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"__head_{c}")) for c in cols})
         return self.with_df(df.drop(*[f"__head_{c}" for c in cols]))
 
@@ -211,7 +222,7 @@ class Panel:
         )
         w = base._window().rowsBetween(Window.unboundedPreceding, 0)
         df = base.df.withColumns({n: F.sum(f"__in_{n}").over(w) for n in sums})
-        df = df.join(carry, [*p.series, CHUNK], "left")
+        df = p._matched(df, carry, [*p.series, CHUNK])
         df = df.withColumns({n: F.col(n) + F.coalesce(F.col(f"__carry_{n}"), F.lit(0)) for n in sums})
         return p.with_df(df.drop(*[f"__{k}_{n}" for k in ("in", "carry") for n in sums]))
 
@@ -283,7 +294,7 @@ class Panel:
                 e1 = join_in(F.col("__s.e"), F.col("__s.at"), F.col("__x1"), F.col("__pos1"))
                 carry = rows.select(*p.series, CHUNK, e1.alias("__e1"))
                 value = F.col("__u") * F.col("__e1") + F.col("__v")
-            df = df.join(carry, [*p.series, CHUNK], "left")
+            df = p._matched(df, carry, [*p.series, CHUNK])
         df = df.withColumn(out, F.when(observed, value))
         # At a null the mean keeps its last value.
         done = p.with_df(df.drop("__u", "__v", "__u_in", "__v_in", "__e1"))
@@ -329,7 +340,19 @@ def _chunk_of(chunk_rows: int) -> Column:
     return F.floor((F.col(POS) - 1) / F.lit(chunk_rows)).cast("long")
 
 
-def exact_positions(df: DataFrame, series: Sequence[str], order: Sequence[str], total: int, chunk_rows: int) -> DataFrame:
+def matched(df: DataFrame, rows: DataFrame, keys: Sequence[str], nulls: bool, how: str = "left") -> DataFrame:
+    """``df`` joined to ``rows`` on ``keys``; with ``nulls`` a null key matches a null key.
+
+    The plain equality is kept where no key is null, because it reuses the exchange of the windows.
+    """
+    if not nulls:
+        return df.join(rows, list(keys), how)
+    theirs = rows.withColumnsRenamed({c: f"__of_{c}" for c in keys})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in keys])
+    return df.join(theirs, same, how).drop(*[f"__of_{c}" for c in keys])
+
+
+def exact_positions(df: DataFrame, series: Sequence[str], order: Sequence[str], total: int, chunk_rows: int, nulls: bool) -> DataFrame:
     """Add ``__pos``, the 1-based position in the series, with no task holding a whole series.
 
     A range exchange on (series, order) cuts the table into contiguous slabs, however long one
@@ -349,4 +372,4 @@ def exact_positions(df: DataFrame, series: Sequence[str], order: Sequence[str],
     w = Window.partitionBy(*series).orderBy(SLAB).rowsBetween(Window.unboundedPreceding, -1)
     runs = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
     starts = runs.select(*keys, (F.coalesce(F.sum("__rows").over(w), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
-    return ranged.join(starts, keys).withColumn(POS, F.col("__at") + F.col("__shift")).drop(SLAB, "__at", "__shift")
+    return matched(ranged, starts, keys, nulls, "inner").withColumn(POS, F.col("__at") + F.col("__shift")).drop(SLAB, "__at", "__shift")

@@ -11,21 +11,9 @@ from pyspark.sql import functions as F
 from seriesloom.operators.cleaning import first_per_key, last_rows
 
 
-# A pivot makes one column per label; more than this is not a report.
-MAX_PIVOT_COLUMNS = 1000
-
-
-def labels_of(df: DataFrame, c: str) -> list:
-    """Distinct labels of a column known to hold few, in order; refuses to collect many."""
-    found = df.select(c).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()
-    if len(found) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{c} has more than {MAX_PIVOT_COLUMNS} labels; keep the long form")
-    return sorted(r[0] for r in found if r[0] is not None)
-
-
-def pivot_mean(df: DataFrame, rows: Sequence[str], label: str, value: str, labels: Sequence | None = None) -> DataFrame:
-    """One column per label holding the mean value."""
-    return df.groupBy(*rows).pivot(label, list(labels) if labels is not None else labels_of(df, label)).agg(F.avg(value))
+def pivot_mean(df: DataFrame, rows: Sequence[str], label: str, value: str, labels: Sequence) -> DataFrame:
+    """One column per label of ``labels`` holding the mean value. Where the labels are not known, keep the long form."""
+    return df.groupBy(*rows).pivot(label, list(labels)).agg(F.avg(value))
 
 
 def melt(df: DataFrame, ids: Sequence[str], cols: Sequence[str], kind: str = "kind", value: str = "value") -> DataFrame:
@@ -66,9 +54,13 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def champion_or_challenger(champion: DataFrame, challenger: DataFrame, metric: str, model: str) -> DataFrame:
-    """Keep the champion unless the challenger's metric is lower; each side is one row."""
-    a = champion.select(F.col(model).alias("champion"), F.col(metric).alias("champion_metric")).limit(1)
-    b = challenger.select(F.col(model).alias("challenger"), F.col(metric).alias("challenger_metric")).limit(1)
+    """Keep the champion unless the challenger's metric is lower; each side is one row, and more than one is an error."""
+
+    def only(df: DataFrame, name: str) -> DataFrame:
+        one = F.when(F.count(F.lit(1)) <= 1, F.first(F.struct(F.col(model), F.col(metric)))).otherwise(F.raise_error(F.lit(f"more than one {name}")))
+        return df.agg(one.alias("__r"), F.count(F.lit(1)).alias("__n")).where("__n > 0").select(F.col(f"__r.{model}").alias(name), F.col(f"__r.{metric}").alias(f"{name}_metric"))
+
+    a, b = only(champion, "champion"), only(challenger, "challenger")
     swap = F.col("challenger_metric") < F.col("champion_metric")
     return a.crossJoin(F.broadcast(b)).withColumns(
         {"chosen": F.when(swap, F.col("challenger")).otherwise(F.col("champion")), "swapped": F.coalesce(swap, F.lit(False))}
@@ -76,6 +68,6 @@ def champion_or_challenger(champion: DataFrame, challenger: DataFrame, metric: s
 
 
 __all__ = [
-    "best_model", "champion_or_challenger", "ensemble_mean", "first_per_key", "first_rows_by", "labels_of", "last_per_group",
+    "best_model", "champion_or_challenger", "ensemble_mean", "first_per_key", "first_rows_by", "last_per_group",
     "melt", "pivot_mean", "stack", "win_counts",
 ]

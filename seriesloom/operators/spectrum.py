@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +95,13 @@ def _power_of_two_transform(df: DataFrame, series: Sequence[str], inverse: bool
     return out
 
 
+def square_modulo(j: Column, m: Column) -> Column:
+    """j * j modulo m without leaving a 64-bit number, for 0 <= j < m < 2^42: j is taken in two halves of 21 bits."""
+    low, high = F.pmod(j, F.lit(1 << 21)), F.floor(j / (1 << 21))
+    step = F.pmod(high * j, m)  # below 2^63: high < 2^21, j < 2^42
+    return F.pmod(F.pmod(step * (1 << 21), m) + F.pmod(low * j, m), m)
+
+
 def _long_amplitudes(rows: DataFrame, series: Sequence[str]) -> DataFrame:
     sizes = rows.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"))
     bits = F.ceil(F.log2(2.0 * F.col("__n"))).cast("int")
@@ -104,7 +111,7 @@ def _long_amplitudes(rows: DataFrame, series: Sequence[str]) -> DataFrame:
     # Freeze positions: the chirp and the signal are read from the same rows.
     base = session.cut(attach(rows, sizes, series))
     n, j = F.col("__n"), F.col("__j")
-    angle = F.lit(np.pi) * F.pmod(j * j, 2 * n) / n
+    angle = F.lit(np.pi) * square_modulo(j, 2 * n) / n
     keep = [*series, "__m1", "__m2", "__n"]
     signal = base.select(*keep, "__j", (F.col("__y") * F.cos(angle)).alias("re"), (-F.col("__y") * F.sin(angle)).alias("im"))
     places = F.when(j == 0, F.array(j)).otherwise(F.array(j, F.col("__m1") * F.col("__m2") - j))

@@ -60,6 +60,25 @@ class FeatureSet:
         plain += [ft.TRAILING_MAX_ROWS] if self.trailing_max else []
         return max(plain, default=1)
 
+    def outside(self) -> FeatureSet:
+        """Only the features that need more than the target's own past."""
+        return FeatureSet(
+            target=self.target, spreads=self.spreads, exog_lags=self.exog_lags, exog_averages=self.exog_averages,
+            exog_lag_ratios=self.exog_lag_ratios, exog_to_average=self.exog_to_average,
+        )
+
+    def inputs(self) -> list[str]:
+        """Columns other than the target that features are made of."""
+        own = [*self.exog_lags, *self.exog_averages, *self.exog_lag_ratios, *self.exog_to_average]
+        own += [c for pair in self.spreads.values() for c in pair]
+        return [c for c in dict.fromkeys(own) if c != self.target]
+
+    def outside_memory(self) -> int:
+        """How many rows the features of other columns reach back."""
+        plain = [n for kind in (self.exog_lags, self.exog_averages, self.exog_to_average) for ns in kind.values() for n in ns]
+        plain += [n for ps in self.exog_lag_ratios.values() for p in ps for n in p]
+        return max([*plain, *([SPREAD_LAG] if self.spreads else [])], default=1)
+
     def with_target(self, target: str) -> FeatureSet:
         return replace(self, target=target)
 

@@ -15,8 +15,9 @@ from seriesloom.operators import forecast as fc
 from seriesloom.operators import metrics as mt
 from seriesloom.operators import reshape as rs
 from seriesloom.operators import smoothing
+from seriesloom.operators.cleaning import holdout, last_rows
 from seriesloom.operators.features import attach
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import Panel, matched
 from seriesloom.operators.regression import FIT, fitted_value
 from seriesloom.plans import config
 from seriesloom.plans import models as md
@@ -99,42 +100,62 @@ def fill_exogenous(panel: Panel, future: DataFrame, cols: Sequence[str], **kw) -
 # -- stepwise prediction and walk-forward ---------------------------------------------------------
 
 
-def exogenous_paths(features: DataFrame, series: Sequence[str], folds: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Per series, one array per exogenous feature with its values over the fold's test rows."""
-    wanted = folds.select(*series, F.explode(F.sequence("test_start", F.col("test_end") - 1)).alias(fd.ROW), "test_start")
-    rows = features.join(wanted, [*series, fd.ROW])
-    packed = rows.groupBy(*series).agg(
-        F.sort_array(F.collect_list(F.struct((F.col(fd.ROW) - F.col("test_start")).alias("i"), *names))).alias("__p")
-    )
-    return packed.select(*series, *[F.col("__p")[n].alias(f"path_{n}") for n in names])
-
+def exogenous_paths(known: Panel, fs: FeatureSet, horizon: int, **how) -> DataFrame:
+    """Per series, one array per feature of other columns with its values over the next ``horizon`` steps.
 
-def stepwise_prediction(panel: Panel, fs: FeatureSet, spec: md.ModelSpec, folds: DataFrame, fold: int, horizon: int, features: DataFrame | None = None) -> tuple[DataFrame, md.Fitted]:
+    Only ``known`` rows are read: the other columns are forecast from them (see :func:`exogenous_future`, which ``how`` goes to), and the features
+    come from the last known rows and those forecasts together. A spread that would need the coming target is null.
+    """
+    s, cols, names = known.series, fs.inputs(), config.output_names(fs.outside())
+    keep = [c for c in dict.fromkeys([fs.target, *cols])]
+    tail = last_rows(known.df, s, known.order, fs.outside_memory(), "__back")
+    tail = tail.select(*s, (1 - F.col("__back")).alias("step"), *[F.col(c).cast("double").alias(c) for c in keep])
+    steps = tail.select(*s).distinct().select(*s, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    ahead = matched(steps, exogenous_future(known, cols, horizon, **how), [*s, "step"], True)
+    both = Panel(tail.unionByName(ahead, allowMissingColumns=True), s, ["step"], rows_bound=fs.outside_memory() + horizon)
+    made = config.build(both, fs.outside(), fill=None).df.filter("step > 0")
+    packed = made.groupBy(*s).agg(F.sort_array(F.collect_list(F.struct("step", *names))).alias("__p"))
+    return packed.select(*s, *[F.col("__p")[n].alias(f"path_{n}") for n in names])
+
+
+def state_with_paths(known: Panel, fs: FeatureSet, horizon: int, exogenous: Mapping | None = None) -> tuple[DataFrame, list[str]]:
+    """The last target values of each series with the paths of its other features, and the names of those."""
+    state, names = fc.series_state(known, fs.target, fs.memory()), config.output_names(fs.outside())
+    if names:
+        state = matched(state, exogenous_paths(known, fs, horizon, **(exogenous or {})), known.series, True)
+    return state, names
+
+
+def stepwise_prediction(
+    panel: Panel, fs: FeatureSet, spec: md.ModelSpec, folds: DataFrame, fold: int, horizon: int | None = None, features: DataFrame | None = None,
+    exogenous: Mapping | None = None,
+) -> tuple[DataFrame, md.Fitted]:
     """Fit on the rows before the fold's test and predict the test recursively.
 
-    Returns (series, step, date, actual, forecast, model_type, window, training errors) and the model.
+    Nothing of the test rows but their dates and actual values is read: columns other than the target are forecast from the rows before
+    (``exogenous`` has the arguments of that forecast). The horizon is the fold's longest test; under a shorter one the later
+    rows keep a null forecast. Returns (series, step, date, actual, forecast, model_type, window, training errors) and the model.
     """
     s, date = panel.series, panel.order[0]
     if features is None:
         features = fd.numbered(config.build(panel, fs)).df
     names = config.output_names(fs)
     one = folds.filter(F.col("fold") == fold).filter("test_end > test_start").persist()
+    if horizon is None:
+        horizon = int(one.agg(F.max(F.col("test_end") - F.col("test_start"))).first()[0] or 0)
     train = features.join(one.select(*s, "train_end"), s).filter(F.col(fd.ROW) < F.col("train_end")).drop("train_end").persist()
     model = md.fit(spec, train, names, fs.target)
     errors = model.predict(train).agg(
         mt.rounded(mt.mape(fs.target, "prediction"), 4).alias("TRAINING_MAPE"), mt.rounded(mt.rmse(fs.target, "prediction"), 2).alias("TRAINING_RMSE")
     )
-    known = Panel(train.select(*s, *panel.order, fs.target), s, panel.order, rows_per_task=panel.limit, rows_bound=panel.rows_bound)
-    state = fc.series_state(known, fs.target, fs.memory())
-    exog = [n for n in names if n not in fc.st_names(fs)]
-    if exog:
-        state = state.join(exogenous_paths(features, s, one, exog), s)
+    known = Panel(train.select(*s, *panel.order, fs.target, *fs.inputs()), s, panel.order, rows_per_task=panel.limit, rows_bound=panel.rows_bound)
+    state, exog = state_with_paths(known, fs, horizon, exogenous)
     out = fc.recursive_model_forecast(state, fs, model.predict, horizon, exogenous={n: f"path_{n}" for n in exog})
     tests = features.select(*s, date, fd.ROW, F.col(fs.target).cast("double").alias("actual")).join(one, s).filter(
         (F.col(fd.ROW) >= F.col("test_start")) & (F.col(fd.ROW) < F.col("test_end"))
     )
     tests = tests.select(*s, date, "actual", (F.col(fd.ROW) - F.col("test_start") + 1).cast("int").alias("step"))
-    report = tests.join(out.select(*s, "step", F.col("prediction").alias("forecast")), [*s, "step"])
+    report = tests.join(out.select(*s, "step", F.col("prediction").alias("forecast")), [*s, "step"], "left")
     report = report.withColumns({"model_type": F.lit(spec.label), "window": F.lit(fold)}).crossJoin(F.broadcast(errors))
     # The model and its training rows are done with; keep the rows of the report only.
     report = session.cut(report)
@@ -144,19 +165,21 @@ def stepwise_prediction(panel: Panel, fs: FeatureSet, spec: md.ModelSpec, folds:
 
 
 def walk_forward(
-    panel: Panel, fs: FeatureSet, specs: Sequence[md.ModelSpec], folds: DataFrame, fold_ids: Sequence[int], horizon: int
+    panel: Panel, fs: FeatureSet, specs: Sequence[md.ModelSpec], folds: DataFrame, fold_ids: Sequence[int], horizon: int | None = None,
+    exogenous: Mapping | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Stepwise prediction of every model on every fold, with metrics, and the stacked importances.
 
-    Features look back only, so they are built once; the driver loops over folds and models, and
-    each turn fits and predicts all series at once.
+    The training features look back only (but for leading gaps, which ``bfill`` takes from the series' first rows), so they are built
+    once; other columns are forecast anew in each fold. The driver loops over folds and models, and each turn fits and
+    predicts all series at once.
     """
     spark = panel.df.sparkSession
     features = session.cut(fd.numbered(config.build(panel, fs)).df)
     reports, importances = [], []
     for fold in fold_ids:
         for spec in specs:
-            report, model = stepwise_prediction(panel, fs, spec, folds, fold, horizon, features)
+            report, model = stepwise_prediction(panel, fs, spec, folds, fold, horizon, features, exogenous)
             reports.append(report)
             importances.append(model.importances(spark).withColumn("window", F.lit(fold)))
     both = mt.with_report_metrics(rs.stack(reports), [*panel.series, *REPORT_KEYS], panel.order[0])
@@ -178,8 +201,6 @@ def train_and_choose(
 
     ``keep_all`` refits and saves every model, for an ensemble.
     """
-    from seriesloom.operators.cleaning import holdout
-
     date, names = panel.order[0], config.output_names(fs)
     rows = session.cut(holdout(config.build(panel, fs).df, panel.series, date, days))
     train, valid = rows.filter("part = 'train'"), rows.filter("part = 'validation'")
@@ -215,24 +236,31 @@ def grid_search(panel: Panel, fs: FeatureSet, kind: str, n_splits: int = 2, size
     return table, md.best_params(table)
 
 
-def random_search(panel: Panel, fs: FeatureSet, kind: str, n: int, horizon: int, seed: int = 7, space: Mapping | None = None) -> DataFrame:
+def random_search(panel: Panel, fs: FeatureSet, kind: str, n: int, horizon: int, seed: int = 7, space: Mapping | None = None, exogenous: Mapping | None = None) -> DataFrame:
     """Sampled parameter sets scored by the squared error of a recursive forecast of the last rows."""
     folds = session.cut(fd.tail_split(panel, panel.order[0], horizon))
     features = session.cut(fd.numbered(config.build(panel, fs)).df)
     parts = []
     for i, spec in enumerate(md.sample_grid(kind, n, seed, space)):
-        report, _ = stepwise_prediction(panel, fs, spec, folds, 0, horizon, features)
+        report, _ = stepwise_prediction(panel, fs, spec, folds, 0, horizon, features, exogenous)
         params = F.lit(json.dumps({k: str(v) for k, v in sorted(spec.params.items())}))
         parts.append(report.agg(F.avg(F.pow(F.col("actual") - F.col("forecast"), 2)).alias("mse")).select(F.lit(i).alias("trial"), params.alias("params"), "mse"))
     return rs.stack(parts)
 
 
-def inference(panel: Panel, fs: FeatureSet, fitted: Sequence[md.Fitted], horizon: int, run_date: str, dates: str = "week") -> DataFrame:
-    """Forecast every series with every model, and their mean as ``ensemble`` when there are several."""
+def inference(
+    panel: Panel, fs: FeatureSet, fitted: Sequence[md.Fitted], horizon: int, run_date: str, dates: str = "week", exogenous: Mapping | None = None
+) -> DataFrame:
+    """Forecast every series with every model, and their mean as ``ensemble`` when there are several.
+
+    Columns other than the target are forecast first, as in the backtest.
+    """
     s, date = panel.series, panel.order[0]
-    state = session.cut(fc.series_state(panel, fs.target, fs.memory()))
+    state, exog = state_with_paths(panel, fs, horizon, exogenous)
+    state = session.cut(state)
+    paths = {n: f"path_{n}" for n in exog}
     parts = [
-        fc.recursive_model_forecast(state, fs, m.predict, horizon).withColumn("model_type", F.lit(m.spec.label)) for m in fitted
+        fc.recursive_model_forecast(state, fs, m.predict, horizon, exogenous=paths).withColumn("model_type", F.lit(m.spec.label)) for m in fitted
     ]
     out = rs.stack(parts)
     if len(parts) > 1:

@@ -21,18 +21,15 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="seriesloom-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/seriesloom-checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
+    The folder is ``spark.checkpoint.dir``, else below the warehouse; both are shared on a cluster. Set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` at the start of the session to have it cleaned.
+
     The result no longer depends on shuffle files, so it outlives lost executors, and its
     rows are frozen: two readers see the same partition layout.
     """

@@ -34,14 +34,10 @@ def append_facts(df: DataFrame, path: str, schema: Mapping[str, str], partition:
     conform(df, schema).write.mode("append").partitionBy(partition).parquet(path)
 
 
-EXPORT_ROWS = 1_000_000
-
-
-def export_csv(df: DataFrame, path: str, max_rows: int = EXPORT_ROWS) -> None:
-    """Quoted CSV with a header: one file for a small table, one per partition for a large one."""
-    small = df.limit(max_rows + 1).count() <= max_rows
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Quoted CSV with a header, one file per partition or, for tables known to be small, a single file."""
     (
-        (df.coalesce(1) if small else df)
+        (df.coalesce(1) if single_file else df)
         .write.mode("overwrite")
         .option("header", True)
         .option("sep", ",")
