@@ -1,6 +1,6 @@
 """Language identification with spans: scripts narrow the candidates, Viterbi labels the words.
 
-Training counts the parts of words (1 to 4 signs, word ends marked, and whole words) per language with grouped aggregation on a bounded
+Training counts the parts of words (2 to 4 signs, word ends marked, and whole words) per language with grouped aggregation on a bounded
 sample. A word's score for a language is its parts' mean log probability per order. A text is then labelled by the best path over
 its words, where each change of language costs a penalty: a stretch in another language is a span when its gain exceeds two
 penalties. The predicted language is the one with the most letters.
@@ -12,6 +12,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ ORDERS = 4
 #: Cost of a change of language, in log probability.
 PENALTY = 16.0
 #: Words that a worker remembers; then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 UNKNOWN = "und"
 
 # First and last code points of scripts.
@@ -51,6 +52,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def script(word: str) -> str:
     at = ord(word[0])
+    if at < 0x250:
+        return "latin"
     return next((s for s, ranges in SCRIPTS.items() if any(a <= at <= b for a, b in ranges)), OTHER)
 
 
@@ -70,7 +73,7 @@ def lowered(text: str) -> str:
 
 def parts(word: str) -> list[str]:
     w = f"^{word}$"
-    return [w[i : i + n] for n in range(1, ORDERS + 1) for i in range(len(w) - n + 1)] + [f"={word}"]
+    return [w[i : i + n] for n in range(2, ORDERS + 1) for i in range(len(w) - n + 1)] + [f"={word}"]
 
 
 @dataclass(frozen=True)
@@ -100,7 +103,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column
     words = sample.select("l", word.alias("w")).groupBy("l", "w").agg(F.count("*").alias("n")).persist()
     marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
     of_order = lambda n: F.when(F.length(marked) >= n, F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.substring(marked, i, F.lit(n))))
-    every = F.concat(*[F.coalesce(of_order(n), F.array().cast("array<string>")) for n in range(1, ORDERS + 1)], F.array(F.concat(F.lit("="), "w")))
+    every = F.concat(*[F.coalesce(of_order(n), F.array().cast("array<string>")) for n in range(2, ORDERS + 1)], F.array(F.concat(F.lit("="), "w")))
     by_lang = [F.sum(F.when(F.col("l") == k, F.col("n")).otherwise(0)).alias(f"c{i}") for i, k in enumerate(langs)]
     grams = words.select("l", "n", F.explode(every).alias("g")).groupBy("g").agg(F.sum("n").alias("all"), *by_lang)
     found = grams.orderBy(F.desc("all"), "g").limit(most_parts).drop("all").toPandas()
@@ -111,7 +114,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column
     scores = np.empty_like(counts)
     for n in set(order.tolist()):
         own = counts[order == n] + 0.5
-        scores[order == n] = np.log(own / own.sum(axis=0)) / (ORDERS + 1)
+        scores[order == n] = np.log(own / own.sum(axis=0)) / ORDERS
     scores -= scores.mean(axis=1, keepdims=True)  # only differences count
     total = {k: sum(r.n for r in used if r.l == k) for k in langs}
     scripts = {s: np.array([any(r.l == k and r.s == s and r.n >= 0.01 * total[k] for r in used) for k in langs]) for s in {r.s for r in used}}
@@ -124,6 +127,7 @@ class Labeller:
 
     def __init__(self, model: Model, penalty: float = PENALTY, remembered: int = REMEMBERED):
         self.model, self.penalty, self.remembered = model, penalty, remembered
+        self.padded = np.vstack((model.scores, np.zeros((1, len(model.languages)))))
         self._forget()
 
     def _forget(self) -> None:
@@ -133,15 +137,29 @@ class Labeller:
     def _learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > self.remembered:
             self._forget()
-        for w in words - self.known.keys():
-            at = len(self.known)
-            if at == len(self.table):
-                self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-            self.known[w] = at
-            candidates = self.model.scripts.get(script(w))
-            if candidates is not None:  # a script that no language uses says nothing
-                rows = [r for p in parts(w) if (r := self.model.rows.get(p)) is not None]
-                self.table[at] = np.where(candidates, self.model.scores[rows].sum(axis=0), -50.0)
+        new = [w for w in words if w not in self.known]
+        first = len(self.known)
+        self.known.update(zip(new, range(first, first + len(new))))
+        while first + len(new) > len(self.table):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+        empty = len(self.model.rows)  # the row of zeros that stands for unknown parts
+        row, at, ends = self.model.rows.get, [], []
+        for w in new:
+            at += [row(p, empty) for p in parts(w)]
+            ends.append(len(at))
+        if new:
+            scores = np.add.reduceat(self.padded[at], [0, *ends[:-1]], axis=0)
+            for i, w in enumerate(new):
+                candidates = self.candidates(script(w))
+                if candidates is not True:  # a script that no language uses says nothing
+                    scores[i] = 0.0 if candidates is None else np.where(candidates, scores[i], -50.0)
+            self.table[first : first + len(new)] = scores
+
+    @lru_cache(64)  # noqa: B019
+    def candidates(self, script_: str) -> np.ndarray | bool | None:
+        """Which languages use a script: an array, True for all, None for none."""
+        found = self.model.scripts.get(script_)
+        return None if found is None else True if found.all() else found
 
     def path(self, score: np.ndarray) -> np.ndarray:
         """The best language of each word."""
