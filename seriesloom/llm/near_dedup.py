@@ -31,9 +31,11 @@ HASHES = BANDS * ROWS
 #: Signature places per batch, and the miss probability at which a pair is dropped.
 BATCH, MISS = 16, 1e-6
 #: A bucket up to this size proposes all its pairs; a larger one has so many leaders.
-SMALL, LEADERS = 8, 3
+SMALL, LEADERS = 8, 2
 #: Classes in a block of the exhaustive comparison; members verified in one group with their leader.
 BLOCK, GROUP = 256, 64
+#: Size of the filter that texts pass before they are shuffled, and its hashes per id.
+FILTER_BITS, FILTER_HASHES = 1 << 26, 3
 
 _rng = np.random.default_rng(20240229)
 _TABLE = _rng.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
@@ -169,7 +171,7 @@ def proposed(members: DataFrame) -> DataFrame:
 def compared(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Candidate pairs that the signatures do not rule out, with the documents (a_doc, b_doc) that stand for them."""
     one = lambda p: classes.select(F.col("cls").alias(p), F.col("doc").alias(f"{p}_doc"), F.col("sig").alias(f"{p}_sig"))
-    both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "a_doc", "b_doc", "a_sig", "b_sig")
+    both = pairs.hint("merge").join(one("a"), "a").hint("merge").join(one("b"), "b").select("a", "b", "a_doc", "b_doc", "a_sig", "b_sig")
     limits = posterior_limits()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +182,27 @@ def compared(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint, a_doc bigint, b_doc bigint")
 
 
+def among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is probably in ``wanted`` (doc); no wanted one is lost.
+
+    A Bloom filter of fixed size, FILTER_BITS, is all that is shared, however many ids there are; it only saves shuffling texts that the
+    join after it would drop.
+    """
+    spots = wanted.select("doc", F.explode(F.sequence(F.lit(1), F.lit(FILTER_HASHES))).alias("k")).select(F.pmod(F.xxhash64("doc", "k"), F.lit(FILTER_BITS)).alias("at"))
+    found = spots.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.arrow_udf("boolean")
+    def maybe(at: pa.Array) -> pa.Array:
+        own = at.flatten().to_numpy().reshape(-1, FILTER_HASHES)
+        return pa.array(((shared.value[own >> 6] >> (own & 63)) & 1).all(axis=1))
+
+    at = F.transform(F.sequence(F.lit(1), F.lit(FILTER_HASHES)), lambda k: F.pmod(F.xxhash64("doc_id", k), F.lit(FILTER_BITS)))
+    return docs.where(maybe(at))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= least * union.
 
@@ -195,7 +218,8 @@ def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame
         F.struct(F.lit(True).alias("member"), F.col("b").alias("cls"), F.col("b_doc").alias("doc")),
     )
     rows = salted.select("a", "salt", F.explode(ends).alias("e")).select("a", "salt", "e.member", "e.cls", "e.doc").distinct()
-    texts = rows.join(docs, rows["doc"] == docs["doc_id"]).select("a", "salt", "member", "cls", "text")
+    docs = among(docs, rows.select("doc"))
+    texts = rows.hint("merge").join(docs, rows["doc"] == docs["doc_id"]).select("a", "salt", "member", "cls", "text")
 
     def check(table: pa.Table) -> pa.Table:
         a, member, cls, text = (table.column(c) for c in ("a", "member", "cls", "text"))
@@ -243,26 +267,34 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def leftovers(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of large buckets whose classes are still in different components, compared in blocks by signature.
 
-    A bucket of s classes is cut into ceil(s / BLOCK) blocks by hash; each pair of blocks is one group of at most about 2 * BLOCK
-    signatures. Only survivors leave a group.
+    The classes of a bucket's largest component are its core, the others stand apart. Apart classes meet each other and the core, in groups
+    of one block of each; the core does not meet itself. A core of c and s others give c * ceil(s / BLOCK) + s * ceil((c + s) / BLOCK)
+    rows, about c + s where few stand apart. Only survivors leave a group.
     """
     own = members.where(F.col("size") > SMALL).select("bucket", "cls", "size")
-    own = own.join(labels, F.col("cls") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "cls"))
-    mixed = own.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.col("bucket").alias("open"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = own.join(mixed, F.col("bucket") == F.col("open")).select("bucket", "cls", "comp", blocks.alias("nb"), F.pmod(F.xxhash64("cls", "bucket"), blocks).cast("int").alias("i"))
-    others = F.sequence(F.lit(0), F.col("nb") - 1)
-    own = own.select("bucket", "cls", "comp", "i", F.explode(others).alias("j")).select("bucket", "cls", "comp", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
-    found = own.join(classes.select("cls", "doc", "sig"), "cls").select("bucket", "i", "j", "cls", "comp", "doc", "sig")
+    own = own.join(labels, F.col("cls") == F.col("node"), "left").select("bucket", "cls", "size", F.coalesce("component", "cls").alias("comp"))
+    parts = own.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+    largest = parts.groupBy("bucket", "size").agg(F.max(F.struct("n", "comp")).alias("core")).where("core.n < size")
+    largest = largest.select(F.col("bucket").alias("open"), F.col("core.comp").alias("core"), *[F.ceil(n / BLOCK).cast("int").alias(c) for n, c in ((F.col("core.n"), "nc"), (F.col("size") - F.col("core.n"), "ns"))])
+    own = own.join(largest.hint("merge"), F.col("bucket") == F.col("open")).withColumn("apart", F.col("comp") != F.col("core"))
+    own = own.withColumn("i", F.pmod(F.xxhash64("cls", "bucket"), F.when(F.col("apart"), F.col("ns")).otherwise(F.col("nc"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
+    with_core = F.transform(upto("ns"), lambda j: cell(True, F.col("i"), j))
+    to_core = F.transform(upto("nc"), lambda j: cell(True, j, F.col("i")))
+    to_others = F.transform(upto("ns"), lambda j: cell(False, F.least("i", j), F.greatest("i", j)))
+    cells = F.explode(F.when(F.col("apart"), F.concat(to_core, to_others)).otherwise(with_core)).alias("at")
+    found = own.join(classes.select("cls", "doc", "sig").hint("merge"), "cls").select("bucket", "cls", "comp", "apart", "doc", "sig", cells).select("bucket", "at.*", "cls", "comp", "apart", "doc", "sig")
     limits = posterior_limits()
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        cls, comp, doc = (table.column(c).to_numpy() for c in ("cls", "comp", "doc"))
+        cls, comp, doc, apart = (table.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "comp", "doc", "apart"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+        core = np.flatnonzero(~apart)
         left, right = [], []
-        for k in range(len(cls) - 1):
-            rest = k + 1 + np.flatnonzero(comp[k + 1 :] != comp[k])
+        for k in np.flatnonzero(apart):
+            rest = core if table.column("kind")[0].as_py() else k + 1 + np.flatnonzero(comp[k + 1 :] != comp[k])
             if len(rest):
                 hit = rest[surviving(np.broadcast_to(sig[k], (len(rest), HASHES)), sig[rest], limits)]
                 left += [k] * len(hit)
@@ -272,7 +304,7 @@ def leftovers(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
         left, right = np.where(swap, right, left), np.where(swap, left, right)
         return pa.table({"a": cls[left], "b": cls[right], "a_doc": doc[left], "b_doc": doc[right]})
 
-    return found.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint, a_doc bigint, b_doc bigint").distinct()
+    return found.groupBy("bucket", "kind", "x", "y").applyInArrow(run, "a bigint, b bigint, a_doc bigint, b_doc bigint").distinct()
 
 
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -289,13 +321,11 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     rows = written(sketched(d))
     classes = written(rows.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     bucketed = classes.select(F.explode("bands").alias("bucket"), "cls")
-    # Leaders by a hash of their own in each bucket: the smallest of each of LEADERS parts of the hash range.
-    rank = F.xxhash64("cls", "bucket")
-    part = F.pmod(F.xxhash64("bucket", "cls"), F.lit(LEADERS))
-    leaders = [F.min_by("cls", F.when(part == k, rank)).alias(f"l{k}") for k in range(LEADERS)]
+    # Leaders have the smallest of a few hashes that are the same in every bucket, so that a large group has few leaders over all its buckets.
+    leaders = [F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias(f"l{k}") for k in range(LEADERS)]
     buckets = bucketed.groupBy("bucket").agg(F.count("*").alias("size"), *leaders).where("size > 1")
-    buckets = buckets.select(F.col("bucket").alias("of"), "size", F.array_distinct(F.array_compact(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("leaders"))
-    members = written(bucketed.join(buckets, F.col("bucket") == F.col("of")).select("bucket", "cls", "size", "leaders"))
+    buckets = buckets.select(F.col("bucket").alias("of"), "size", F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("leaders"))
+    members = written(bucketed.join(buckets.hint("merge"), F.col("bucket") == F.col("of")).select("bucket", "cls", "size", "leaders"))
     links = written(verified(written(compared(proposed(members), classes)), named))
     labels = components(links)
     rest = written(leftovers(members, labels, classes))
