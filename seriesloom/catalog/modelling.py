@@ -17,6 +17,8 @@ from seriesloom.operators import metrics as mt
 from seriesloom.operators import reshape as rs
 from seriesloom.operators import smoothing
 from seriesloom.operators import statistics as st
+from seriesloom.operators.cleaning import last_rows
+from seriesloom.operators.features import attach
 from seriesloom.plans import config, jobs
 from seriesloom.plans import models as md
 from seriesloom.sources import sinks
@@ -288,8 +290,24 @@ UNION ALL SELECT 'disc', 1, round(avg(pow(y - ad - bd * disc, 2)), 3) FROM x JOI
         md.subset_scores(supplier_monthly_df(spark, sf).withColumn("fold", F.year("date")), "fold", ["rev", "disc"], "y", spark, most=1), mse=3
     )
 )
-query("f21_feature_subsets_pairs")(
-    lambda spark, sf: md.subset_scores(_features(spark, sf).withColumn("fold", F.year("date")), "fold", config.output_names(SMALL), "y", spark, most=2)
+query("f21_feature_subsets_all")(
+    lambda spark, sf: md.subset_scores(_features(spark, sf).withColumn("fold", F.year("date")), "fold", config.output_names(SMALL), "y", spark)
+)
+_BOTH = """f2 AS (SELECT k.fold, (covar_pop(y, rev) * var_pop(disc) - covar_pop(y, disc) * covar_pop(rev, disc)) / (var_pop(rev) * var_pop(disc) - pow(covar_pop(rev, disc), 2)) AS br,
+  (covar_pop(y, disc) * var_pop(rev) - covar_pop(y, rev) * covar_pop(rev, disc)) / (var_pop(rev) * var_pop(disc) - pow(covar_pop(rev, disc), 2)) AS bd, avg(y) AS my, avg(rev) AS mr, avg(disc) AS md
+  FROM k JOIN x ON x.fold <> k.fold GROUP BY 1)"""
+query(
+    "f21_feature_subsets_powerset",
+    f"""{SM}, x AS (SELECT year(date) AS fold, y, rev, disc FROM supplier_monthly), k AS (SELECT DISTINCT fold FROM x),
+f AS (SELECT k.fold, regr_slope(y, rev) AS br, regr_intercept(y, rev) AS ar, regr_slope(y, disc) AS bd, regr_intercept(y, disc) AS ad
+  FROM k JOIN x ON x.fold <> k.fold GROUP BY 1), {_BOTH}
+SELECT 'rev' AS features, 1 AS size, round(avg(pow(y - ar - br * rev, 2)), 3) AS mse FROM x JOIN f USING (fold)
+UNION ALL SELECT 'disc', 1, round(avg(pow(y - ad - bd * disc, 2)), 3) FROM x JOIN f USING (fold)
+UNION ALL SELECT 'rev,disc', 2, round(avg(pow(y - my - br * (rev - mr) - bd * (disc - md), 2)), 3) FROM x JOIN f2 USING (fold)""",
+)(
+    lambda spark, sf: round_to(
+        md.subset_scores(supplier_monthly_df(spark, sf).withColumn("fold", F.year("date")), "fold", ["rev", "disc"], "y", spark), mse=3
+    )
 )
 query("x16_linear_report")(using(supplier_panel, lambda p: jobs.linear_report(p.df, "y", ["rev", "disc"], 0.2)[1]))
 _TWO = """c AS (SELECT {keep}covar_pop(y, rev) AS yr, covar_pop(y, disc) AS yd, var_pop(rev) AS rr, var_pop(disc) AS dd, covar_pop(rev, disc) AS rd,
@@ -389,19 +407,23 @@ query(
 query(
     "e06_bin_probabilities",
     f"""{with_(ORDER_ROWS)}, d AS (SELECT series, date_trunc('month', date)::DATE AS date, y FROM order_rows),
-l AS (SELECT date, avg(y) AS last FROM d GROUP BY 1), t AS (SELECT series, date, count(*) AS n FROM d GROUP BY 1, 2),
+l AS (SELECT series, arg_max(y, (date, id)) AS last FROM order_rows GROUP BY 1), t AS (SELECT series, date, count(*) AS n FROM d GROUP BY 1, 2),
 b AS (SELECT series, date, floor(y / 25000) * 25000 AS bin_lo, count(*) AS c FROM d GROUP BY 1, 2, 3)
 SELECT series, date, bin_lo, round(c / n, 6) AS probability, round(last, 4) AS last, round(bin_lo - last, 4) AS delta_lo, round(bin_lo + 25000 - last, 4) AS delta_hi
-FROM b JOIN t USING (series, date) JOIN l USING (date)""",
+FROM b JOIN t USING (series, date) JOIN l USING (series)""",
 )(
     lambda spark, sf: (
         lambda d: round_to(
             ex.bin_probabilities(
-                d.join(d.groupBy("date").agg(F.avg("y").alias("last")), "date"), ["series", "date"], "y", 25000.0, "last"
+                attach(
+                    d.select("series", F.trunc("date", "MM").alias("date"), "y"),
+                    last_rows(d, ["series"], ["date", "id"], 1).select("series", F.col("y").alias("last")), ["series"],
+                ),
+                ["series", "date"], "y", 25000.0, "last",
             ),
             probability=6, last=4, delta_lo=4, delta_hi=4,
         )
-    )(order_rows_df(spark, sf).select("series", F.trunc("date", "MM").alias("date"), "y"))
+    )(order_rows_df(spark, sf))
 )
 
 

@@ -9,6 +9,7 @@ from seriesloom.catalog.base import (
     EVENTS_HOURLY, ORDER_ROWS, ORDERS_WEEKLY, SUPPLIER_MONTHLY, events_hourly_df, order_rows, order_rows_df, orders_weekly,
     over, query, round_to, supplier_monthly, table, with_,
 )
+from seriesloom.functions import distributions as ds
 from seriesloom.operators import features as ft
 from seriesloom.operators import regression as rg
 from seriesloom.operators import spectrum as sp
@@ -100,10 +101,37 @@ def _standardised(spark, sf):
     return scaled(order_rows_df(spark, sf), ["series"], "y", "standard")
 
 
-query("x07_distance_from_normal")(
+def _normal_sql(x: str) -> str:
+    """The library's fit of the normal distribution function; ``x`` is a column."""
+    t = f"(1 / (1 + abs({x}) / sqrt(2.0::DOUBLE) / 2))"
+    power = f"{ds.ERFC[-1]}::DOUBLE"
+    for c in reversed(ds.ERFC[:-1]):
+        power = f"({c}::DOUBLE + {t} * {power})"
+    tail = f"({t} * exp({power} - {x} * {x} / 2) / 2)"
+    return f"CASE WHEN {x} > 0 THEN 1 - {tail} ELSE {tail} END"
+
+
+query(
+    "x07_distance_from_normal",
+    f"""{with_(ORDER_ROWS)}, z AS (SELECT series, date, id, (y - avg(y) OVER (PARTITION BY series)) / stddev_pop(y) OVER (PARTITION BY series) AS z FROM order_rows),
+f AS (SELECT series, row_number() OVER (PARTITION BY series ORDER BY z, date, id) AS i, count(*) OVER (PARTITION BY series) AS n, {_normal_sql('z')} AS f FROM z)
+SELECT series, round(max(greatest(i / n - f, f - (i - 1) / n)), 5) AS ks_distance, CAST(max(n) AS BIGINT) AS n FROM f GROUP BY 1""",
+)(
     lambda spark, sf: round_to(st.ks_normal(_standardised(spark, sf), ["series"], "y_standard", ["date", "id"], rows_per_task=2_000), ks_distance=5)
 )
-query("x08_likely_distribution")(
+query(
+    "x08_likely_distribution",
+    f"""WITH e AS (SELECT event_type AS series, event_id, value AS x FROM events WHERE value IS NOT NULL),
+m AS (SELECT series, count(*) AS n, avg(x) AS m, stddev_pop(x) AS s, min(x) AS lo, CASE WHEN min(x) > 0 THEN avg(ln(x)) FILTER (x > 0) END AS lm,
+  stddev_pop(ln(CASE WHEN x > 0 THEN x END)) AS ls FROM e GROUP BY 1),
+f AS (SELECT series, n, row_number() OVER (PARTITION BY series ORDER BY x, event_id) AS i, (x - m) / nullif(s, 0) AS zn,
+  CASE WHEN lm IS NOT NULL THEN (ln(x) - lm) / nullif(ls, 0) END AS zl, 1 - exp(-(x - lo) / nullif(m - lo, 0)) AS fe FROM e JOIN m USING (series)),
+g AS (SELECT *, {_normal_sql('zn')} AS fn, CASE WHEN zl IS NOT NULL THEN {_normal_sql('zl')} END AS fl FROM f),
+d AS (SELECT series, 'norm' AS distribution, max(greatest(i / n - fn, fn - (i - 1) / n)) AS distance FROM g GROUP BY 1
+  UNION ALL SELECT series, 'lognorm', max(greatest(i / n - fl, fl - (i - 1) / n)) FROM g WHERE fl IS NOT NULL GROUP BY 1
+  UNION ALL SELECT series, 'expon', max(greatest(i / n - fe, fe - (i - 1) / n)) FROM g GROUP BY 1)
+SELECT series, arg_min(distribution, (distance, distribution)) AS distribution, round(min(distance), 5) AS distance FROM d GROUP BY 1""",
+)(
     lambda spark, sf: round_to(
         st.likely_distribution(table(spark, sf, "events").withColumnRenamed("event_type", "series"), ["series"], "value", ["event_id"]), distance=5
     )

@@ -55,17 +55,16 @@ query(
 
 def _append_latest(spark, sf):
     df = orders_weekly_df(spark, sf)
-    history = df.filter("date < '2001-06-01'")
-    latest = cl.last_rows(df, ["series"], ["date"], 1).select("series", "date", (F.col("y") + 1).alias("y"), "n")
-    overlap = cl.last_rows(history, ["series"], ["date"], 1).select("series", "date", (F.col("y") + 2).alias("y"), "n")
-    return readers.append_latest(history, latest.unionByName(overlap), ["series"], "date")
+    # The last week is news; the last two come again with other values.
+    last = cl.last_rows(df, ["series"], ["date"], 2)
+    history = df.join(last.filter("from_end = 1").select("series", "date"), ["series", "date"], "left_anti")
+    return readers.append_latest(history, last.select("series", "date", (F.col("y") + F.col("from_end")).alias("y"), "n"), ["series"], "date")
 
 
 query(
     "io04_append_latest",
-    f"""{_OW}, h AS (SELECT * FROM orders_weekly WHERE date < DATE '2001-06-01')
-SELECT series, date, CASE WHEN date = max(date) {over('', 'PARTITION BY series')} THEN y + 2 ELSE y END AS y, n FROM h
-UNION ALL SELECT series, date, y + 1, n FROM orders_weekly QUALIFY row_number() OVER (PARTITION BY series ORDER BY date DESC) = 1""",
+    f"""{_OW}, r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM orders_weekly)
+SELECT series, date, CASE WHEN back <= 2 THEN y + back ELSE y END AS y, n FROM r""",
 )(_append_latest)
 
 
@@ -263,16 +262,18 @@ FROM report WHERE model_type = 'sma_3' GROUP BY 1""",
 # -- calendar --------------------------------------------------------------------------------
 
 _SPINE_WEEK = """spine AS (SELECT series, CAST(unnest(generate_series(min(date), max(date), INTERVAL 7 DAY)) AS DATE) AS date FROM {src} GROUP BY 1)"""
-_GAP_DAYS = f"""gap AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, min(floor(o_totalprice)) AS lo,
-  sum(CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) END) AS third
-  FROM orders WHERE o_orderkey % 11 = 0 GROUP BY 1, 2)"""
+# Days with gaps: the values of most orders are taken as missing, every order's day is there.
+_GAP_DAYS = f"""gap AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, min(CASE WHEN o_orderkey % 11 = 0 THEN floor(o_totalprice) END) AS lo,
+  sum(CASE WHEN o_orderkey % 33 = 0 THEN floor(o_totalprice) END) AS third
+  FROM orders GROUP BY 1, 2)"""
 
 
 def _gap_days(spark, sf):
-    o = table(spark, sf, "orders").filter(F.pmod("o_orderkey", F.lit(11)) == 0)
+    o = table(spark, sf, "orders")
     price = F.floor("o_totalprice").cast("double")
+    every = lambda n: F.when(F.pmod("o_orderkey", F.lit(n)) == 0, price)
     return o.groupBy(F.col("o_orderpriority").alias("series"), F.to_date("o_orderdate").alias("date")).agg(
-        F.min(price).alias("lo"), F.sum(F.when(F.pmod("o_orderkey", F.lit(3)) == 0, price)).alias("third")
+        F.min(every(11)).alias("lo"), F.sum(every(33)).alias("third")
     )
 
 
@@ -312,12 +313,14 @@ SELECT series, date, round(v, 4) AS y FROM filled""",
 )(lambda spark, sf: round_to(cal.to_weekly(supplier_monthly_df(spark, sf), ["series"], "date", ["y"]).select("series", "date", "y"), y=4))
 query(
     "t06_month_end_grid",
-    f"""{with_(OHLC_DAILY, "spine AS (SELECT series, last_day(CAST(unnest(generate_series(date_trunc('month', min(date)), max(date), INTERVAL 1 MONTH)) AS DATE)) AS date FROM ohlc_daily WHERE date_part('day', date) <> 30 GROUP BY 1)",
-    "m AS (SELECT * FROM spine LEFT JOIN (SELECT * FROM ohlc_daily WHERE date_part('day', date) <> 30) USING (series, date))", _interpolated_sql("m", "close"))}
+    f"""{with_(OHLC_DAILY, "spine AS (SELECT series, last_day(CAST(unnest(generate_series(date_trunc('month', min(date)), max(date), INTERVAL 1 MONTH)) AS DATE)) AS date FROM ohlc_daily GROUP BY 1)",
+    "m AS (SELECT * FROM spine LEFT JOIN (SELECT series, date, CASE WHEN date_part('day', date) <> 30 THEN close END AS close FROM ohlc_daily) USING (series, date))", _interpolated_sql("m", "close"))}
 SELECT series, date, round(v, 4) AS close FROM filled""",
 )(
     lambda spark, sf: round_to(
-        cal.to_month_ends(ohlc_daily_df(spark, sf).filter(F.dayofmonth("date") != 30), ["series"], "date", ["close"]), close=4
+        cal.to_month_ends(
+            ohlc_daily_df(spark, sf).withColumn("close", F.when(F.dayofmonth("date") != 30, F.col("close"))), ["series"], "date", ["close"]
+        ).select("series", "date", "close"), close=4
     )
 )
 query("t07_interpolate", f"{with_(_GAP_DAYS, _interpolated_sql('gap', 'third'))}SELECT series, date, round(v, 4) AS third FROM filled")(
@@ -474,11 +477,11 @@ SELECT series, date, y, orders_in_quarter FROM nation_monthly LEFT JOIN q ON dat
     )
 )
 _RUNS = """runs AS (SELECT series, date, model_type, forecast, date - CAST(u.back AS INTEGER) AS run_date FROM report,
-  (SELECT unnest([7, 14]) AS back) u WHERE series % 7 <> 0)"""
+  (SELECT unnest([7, 14]) AS back) u)"""
 
 
 def _runs(spark, sf):
-    r = forecast_report(spark, sf).filter(F.pmod("series", F.lit(7)) != 0).select("series", "date", "model_type", "forecast")
+    r = forecast_report(spark, sf).select("series", "date", "model_type", "forecast")
     return r.withColumn("run_date", F.explode(F.array(F.date_sub("date", 7), F.date_sub("date", 14))))
 
 
@@ -498,7 +501,7 @@ SELECT series, date, run_date, model_type, round(forecast, 4) AS forecast, actua
 query(
     "j06_missing_forecasts",
     f"{with_(SUPPLIER_MONTHLY)}SELECT series, max(date) AS date FROM supplier_monthly WHERE series % 7 = 0 GROUP BY 1",
-)(lambda spark, sf: jn.without_forecast(_runs(spark, sf), supplier_monthly_df(spark, sf), ["series"], "date"))
+)(lambda spark, sf: jn.without_forecast(_runs(spark, sf).filter("series % 7 <> 0"), supplier_monthly_df(spark, sf), ["series"], "date"))
 query(
     "j07_interval_by_date",
     f"""{with_(FORECAST_REPORT)}, i AS (SELECT series, date, min(forecast) AS lower, max(forecast) AS upper FROM report GROUP BY 1, 2)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import combinations, product
+from itertools import product
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -140,11 +141,12 @@ def best_params(table: DataFrame) -> DataFrame:
     return per.groupBy("kind").agg(F.min_by("params", F.struct("mape", "params")).alias("params"), F.min("mape").alias("mape"))
 
 
-def subset_scores(df: DataFrame, fold: str, features: Sequence[str], target: str, spark, most: int = 3) -> DataFrame:
+def subset_scores(df: DataFrame, fold: str, features: Sequence[str], target: str, spark, most: int | None = None) -> DataFrame:
     """Cross-validated squared error of every feature subset of a linear model, lower is better.
 
-    One aggregate gives each fold's moments; leaving a fold out is a subtraction, so no subset
-    touches the rows again.
+    One aggregate gives each fold's moments; leaving a fold out is a subtraction, so no subset touches the rows again. The subsets are numbers
+    whose bits pick features; they are dealt over the executors with the moments, and each is solved there. ``most`` limits the
+    subsets' size if given. ``fold`` is a column of few values.
     """
     cols = [*features, target]
     rows = df.na.drop(subset=cols)
@@ -152,11 +154,11 @@ def subset_scores(df: DataFrame, fold: str, features: Sequence[str], target: str
     # Centre on the overall means so that sums of products stay well conditioned.
     centre = rows.agg(*[F.avg(c).alias(c) for c in cols]).first()
     x = [F.col(c) - F.lit(float(centre[c])) for c in cols]
-    got = rows.groupBy(fold).agg(
+    got = rows.groupBy(F.col(fold).cast("string").alias("fold")).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(v) for v in x]).alias("s"),
         F.array(*[F.sum(x[i] * x[j]) for i, j in pairs]).alias("ss"),
-    ).collect()
+    ).orderBy("fold").collect()
     k = len(cols)
 
     def unpack(r):
@@ -165,22 +167,31 @@ def subset_scores(df: DataFrame, fold: str, features: Sequence[str], target: str
             m[i, j] = m[j, i] = v
         return r["n"], np.array(r["s"]), m
 
-    parts = [unpack(r) for r in sorted(got, key=lambda r: str(r[fold]))]
+    parts = [unpack(r) for r in got]
     n_all, s_all, m_all = (sum(p[i] for p in parts) for i in range(3))
-    out = []
-    for size in range(1, most + 1):
-        for subset in combinations(range(k - 1), size):
-            pick = np.array([*subset, k - 1])
-            error = 0.0
-            for n, s, m in parts:
-                tn, ts, tm = n_all - n, s_all - s, m_all - m
-                means = ts[pick] / tn
-                solved = _solve(tn, means, tm[np.ix_(pick, pick)] / tn - np.outer(means, means), 0.0)
-                w = np.array([*solved["coefficients"], -1.0])
-                b = solved["intercept"]
-                error += w @ m[np.ix_(pick, pick)] @ w + 2 * b * (w @ s[pick]) + n * b * b
-            out.append((",".join(features[i] for i in subset), size, float(error / n_all)))
-    return spark.createDataFrame(out, "features string, size int, mse double")
+
+    def score(bits: int) -> float:
+        pick = np.array([*[i for i in range(k - 1) if bits >> i & 1], k - 1])
+        error = 0.0
+        for n, s, m in parts:
+            tn, ts, tm = n_all - n, s_all - s, m_all - m
+            means = ts[pick] / tn
+            solved = _solve(tn, means, tm[np.ix_(pick, pick)] / tn - np.outer(means, means), 0.0)
+            w = np.array([*solved["coefficients"], -1.0])
+            b = solved["intercept"]
+            error += w @ m[np.ix_(pick, pick)] @ w + 2 * b * (w @ s[pick]) + n * b * b
+        return float(error / n_all)
+
+    @F.pandas_udf("double")
+    def mse(bits: pd.Series) -> pd.Series:
+        return bits.map(score)
+
+    size = F.bit_count("bits").cast("int")
+    subsets = spark.range(1, 1 << (k - 1)).withColumnRenamed("id", "bits")
+    if most is not None:
+        subsets = subsets.filter(size <= most)
+    named = F.concat_ws(",", *[F.when(F.col("bits").bitwiseAND(F.lit(1 << i)) != 0, F.lit(f)) for i, f in enumerate(features)])
+    return subsets.select(named.alias("features"), size.alias("size"), mse("bits").alias("mse"))
 
 
 def series_fit(df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: str, ridge: float = 0.0) -> DataFrame:
