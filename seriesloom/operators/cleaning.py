@@ -124,18 +124,17 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linear-interpolated quantiles of ``c`` per key.
 
-    Values are counted first. A key with few distinct values goes to the built-in exact
-    percentile; when one has more than a task should hold, ranks come from split running
+    The rows are read once, to count each distinct value; all else works on the counts. Keys with few distinct values go to the
+    built-in exact percentile with frequencies; when one has more than a task should hold, ranks come from split running
     counts and the two bracketing values are picked by a plain aggregate.
     """
     limit = rows_per_task or session.rows_per_task(df.sparkSession)
-    rows = df.filter(F.col(c).isNotNull())
-    largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    counted = session.cut(df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count("*").alias("__n")))
+    largest = counted.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= limit:
-        return rows.groupBy(*keys).agg(*[F.percentile(c, F.lit(q)).alias(n) for n, q in qs.items()])
-    counted = session.cut(rows.groupBy(*keys, c).agg(F.count("*").alias("__n")))
+        return counted.groupBy(*keys).agg(*[F.percentile(c, F.lit(q), F.col("__n")).alias(n) for n, q in qs.items()])
     ranked = Panel(counted, keys, [c], rows_per_task=limit).running_sums({"__upto": F.col("__n")}).df
-    totals = rows.groupBy(*keys).agg(F.count("*").alias("__total"))
+    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
     ranked = attach(ranked, totals, keys)
     aggs = []
     for n, q in qs.items():

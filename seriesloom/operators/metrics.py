@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom import session
 from seriesloom.functions.columns import rounded, sdiv
 from seriesloom.operators.cleaning import exact_quantiles
 from seriesloom.operators.features import attach
@@ -142,13 +143,15 @@ def mean_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFram
 
 
 def summary_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str], **kw) -> DataFrame:
-    """Mean, exact median and deviation of each column per group."""
-    out = df.groupBy(*keys).agg(
+    """Mean, exact median and deviation of each column per group. The input is computed once, the medians of all columns in one pass."""
+    rows = session.cut(df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]))
+    out = rows.groupBy(*keys).agg(
         *[f(c).alias(f"{c}_{n}") for c in cols for n, f in (("mean", F.avg), ("std", F.stddev_samp))]
     )
-    for c in cols:
-        out = attach(out, exact_quantiles(df, keys, c, {f"{c}_median": 0.5}, **kw), keys)
-    return out
+    long = rows.unpivot(list(keys), list(cols), "__name", "__value")
+    medians = exact_quantiles(long, [*keys, "__name"], "__value", {"__median": 0.5}, **kw)
+    wide = medians.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == c, F.col("__median"))).alias(f"{c}_median") for c in cols])
+    return attach(out, wide, keys)
 
 
 def window_mape_summary(df: DataFrame, keys: Sequence[str], window: str, a: str = "actual", p: str = "forecast", **kw) -> DataFrame:

@@ -46,22 +46,34 @@ def pearson_test(df: DataFrame, keys: Sequence[str], x: str, y: str, *, p_value:
     return out.withColumn("p", ds.t_two_sided_p(F.col("t"), F.col("n") - 2)) if p_value else out
 
 
-def average_ranks(df: DataFrame, keys: Sequence[str], c: str, out: str, **kw) -> DataFrame:
-    """Add the average rank of ``c`` in its key; ties share their mean rank.
+def value_ranks(counted: DataFrame, keys: Sequence[str], c: str, out: str, **kw) -> DataFrame:
+    """The average rank of each distinct value of ``c`` in its key, from rows with counts ``__n``; ties share their mean rank.
 
-    Distinct values are counted first, so the ordered pass sees one row per value, and that
-    pass splits when a key has too many values.
+    The ordered pass sees one row per value, and splits when a key has too many values.
     """
-    counted = session.cut(df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("__ties")))
-    upto = Panel(counted, keys, [c], **kw).running_sums({"__upto": F.col("__ties")}).df
-    ranks = upto.select(*keys, c, (F.col("__upto") - (F.col("__ties") - 1) / 2).alias(out), F.col("__ties").alias(f"{out}_ties"))
-    return df.join(ranks, [*keys, c], "left")
+    ties = session.cut(counted.groupBy(*keys, c).agg(F.sum("__n").alias("__ties")))
+    upto = Panel(ties, keys, [c], **kw).running_sums({"__upto": F.col("__ties")}).df
+    return upto.select(*keys, c, (F.col("__upto") - (F.col("__ties") - 1) / 2).alias(out), F.col("__ties").alias(f"{out}_ties"))
+
+
+def average_ranks(df: DataFrame, keys: Sequence[str], c: str, out: str, **kw) -> DataFrame:
+    """Add the average rank of ``c`` in its key to every row."""
+    counted = df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("__n"))
+    return df.join(value_ranks(counted, keys, c, out, **kw), [*keys, c], "left")
 
 
 def spearman_test(df: DataFrame, keys: Sequence[str], x: str, y: str, *, p_value: bool = True, **kw) -> DataFrame:
-    both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
-    ranked = average_ranks(average_ranks(both, keys, x, "__rx", **kw), keys, y, "__ry", **kw)
-    return pearson_test(ranked, keys, "__rx", "__ry", p_value=p_value)
+    """Rank correlation. The rows are read once, to count each pair of values; ranks join the distinct pairs, never the rows."""
+    both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = session.cut(both.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("__n")))
+    total = pairs.groupBy(*keys).agg(F.sum("__n").alias("n"))
+    ranked = attach(pairs, total, keys).join(value_ranks(pairs, keys, x, "__rx", **kw), [*keys, x]).join(value_ranks(pairs, keys, y, "__ry", **kw), [*keys, y])
+    # The mean rank is known, so the moments are centred from the start.
+    n, dx, dy = F.col("__n"), F.col("__rx") - (F.col("n") + 1) / 2, F.col("__ry") - (F.col("n") + 1) / 2
+    out = ranked.groupBy(*keys).agg(F.sum(n * dx * dy).alias("__xy"), F.sum(n * dx * dx).alias("__xx"), F.sum(n * dy * dy).alias("__yy"), F.max("n").alias("n"))
+    out = out.select(*keys, sdiv(F.col("__xy"), F.sqrt(F.col("__xx") * F.col("__yy"))).alias("r"), "n")
+    out = out.withColumn("t", F.col("r") * F.sqrt(sdiv(F.col("n") - 2, 1 - F.col("r") * F.col("r"))))
+    return out.withColumn("p", ds.t_two_sided_p(F.col("t"), F.col("n") - 2)) if p_value else out
 
 
 def seasonality_tests(df: DataFrame, keys: Sequence[str], c: str, group: str, alpha: float = 0.05, *, p_value: bool = True, **kw) -> DataFrame:
