@@ -3,11 +3,13 @@
 1. Every text becomes its set of 5-word shingles, 64-bit hashes. Texts with equal sets form a class; all later work is on classes.
 2. A signature of 128 minima per class; 32 bands of 4 rows propose candidates. At the threshold 0.75 a pair shares no band with
    probability (1 - 0.75^4)^32 = 6e-6, and less the more alike it is.
-3. Candidates: all pairs of a band's bucket where it has few classes; in larger buckets each class with a few leaders. What that
-   leaves apart is compared exhaustively in blocks (5), so no link between classes of a bucket is lost.
+3. Candidates: all pairs of a band's bucket where it has few classes; in larger buckets each class with a few leaders, the classes that
+   share most buckets with most others. What that leaves apart is compared exhaustively in blocks (5), so no link between
+   classes of a bucket is lost.
 4. Candidates are compared signature batch by signature batch. With m of n equal, the posterior of the similarity (uniform prior)
    is a beta law; a pair whose probability of reaching the threshold falls below MISS is dropped. Survivors are verified on full sets.
-5. Buckets whose classes then lie in more than one component are compared in blocks, signatures only; survivors are verified too.
+5. Buckets whose classes then lie in more than one component are compared in blocks, each pair in the first band it shares: signatures
+   first, then full sets, unless the two are connected by then. Only links leave a block.
 6. Components by alternating large and small stars.
 """
 
@@ -33,7 +35,7 @@ BATCH, MISS = 16, 1e-6
 #: A bucket up to this size proposes all its pairs; a larger one has so many leaders.
 SMALL, LEADERS = 8, 2
 #: Classes in a block of the exhaustive comparison; members verified in one group with their leader.
-BLOCK, GROUP = 256, 64
+BLOCK, GROUP = 2_048, 64
 #: Size of the filter that texts pass before they are shuffled, and its hashes per id.
 FILTER_BITS, FILTER_HASHES = 1 << 26, 3
 
@@ -199,6 +201,7 @@ def among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         own = at.flatten().to_numpy().reshape(-1, FILTER_HASHES)
         return pa.array(((shared.value[own >> 6] >> (own & 63)) & 1).all(axis=1))
 
+    maybe = maybe.asNondeterministic()  # stays on this side of the join
     at = F.transform(F.sequence(F.lit(1), F.lit(FILTER_HASHES)), lambda k: F.pmod(F.xxhash64("doc_id", k), F.lit(FILTER_BITS)))
     return docs.where(maybe(at))
 
@@ -264,8 +267,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("v").alias("node"), F.col("u").alias("component")).union(now.select("u", "u").distinct())
 
 
-def leftovers(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of large buckets whose classes are still in different components, compared in blocks by signature.
+def leftovers(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """Links between classes of large buckets that are still in different components, found in blocks.
 
     The classes of a bucket's largest component are its core, the others stand apart. Apart classes meet each other and the core, in groups
     of one block of each; the core does not meet itself. A core of c and s others give c * ceil(s / BLOCK) + s * ceil((c + s) / BLOCK)
@@ -284,27 +287,45 @@ def leftovers(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
     to_core = F.transform(upto("nc"), lambda j: cell(True, j, F.col("i")))
     to_others = F.transform(upto("ns"), lambda j: cell(False, F.least("i", j), F.greatest("i", j)))
     cells = F.explode(F.when(F.col("apart"), F.concat(to_core, to_others)).otherwise(with_core)).alias("at")
-    found = own.join(classes.select("cls", "doc", "sig").hint("merge"), "cls").select("bucket", "cls", "comp", "apart", "doc", "sig", cells).select("bucket", "at.*", "cls", "comp", "apart", "doc", "sig")
+    known = classes.select("cls", "doc", "sig", "bands").hint("merge")
+    found = own.join(known, "cls").select("bucket", "cls", "comp", "apart", "doc", "sig", "bands", cells).select("bucket", "at.*", "cls", "comp", "apart", "doc", "sig", "bands")
+    found = written(found)
+    docs = among(docs, found.select("doc"))
+    texts = found.hint("merge").join(docs, found["doc"] == docs["doc_id"]).select("bucket", "kind", "x", "y", "cls", "comp", "apart", "sig", "bands", "text")
     limits = posterior_limits()
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        cls, comp, doc, apart = (table.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "comp", "doc", "apart"))
+        cls, comp, apart = (table.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "comp", "apart"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
-        core = np.flatnonzero(~apart)
-        left, right = [], []
-        for k in np.flatnonzero(apart):
-            rest = core if table.column("kind")[0].as_py() else k + 1 + np.flatnonzero(comp[k + 1 :] != comp[k])
-            if len(rest):
-                hit = rest[surviving(np.broadcast_to(sig[k], (len(rest), HASHES)), sig[rest], limits)]
-                left += [k] * len(hit)
-                right += hit.tolist()
-        left, right = np.array(left, np.int64), np.array(right, np.int64)
-        swap = cls[left] > cls[right]
-        left, right = np.where(swap, right, left), np.where(swap, left, right)
-        return pa.table({"a": cls[left], "b": cls[right], "a_doc": doc[left], "b_doc": doc[right]})
-
-    return found.groupBy("bucket", "kind", "x", "y").applyInArrow(run, "a bigint, b bigint, a_doc bigint, b_doc bigint").distinct()
+        bands = np.array(table.column("bands").to_pylist(), np.int64).reshape(-1, BANDS)
+        bucket, with_core = table.column("bucket")[0].as_py(), table.column("kind")[0].as_py()
+        core, root, sets, links = np.flatnonzero(~apart), {}, {}, []
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = x = root.get(up, up)
+            return x
+
+        def set_of(i: int) -> np.ndarray:
+            if i not in sets:
+                own = shingles(table.column("text")[i].as_py())
+                sets[i] = own if set_class(own) == cls[i] else None
+            return sets[i]
+
+        for k in np.flatnonzero(apart).tolist():
+            rest = core if with_core else k + 1 + np.flatnonzero(comp[k + 1 :] != comp[k])
+            # Each pair once: in the first band that both share.
+            rest = rest[bands[rest, (bands[rest] == bands[k]).argmax(axis=1)] == bucket]
+            for h in rest[surviving(np.broadcast_to(sig[k], (len(rest), HASHES)), sig[rest], limits)].tolist():
+                if find(comp[k]) != find(comp[h]) and (a := set_of(k)) is not None and (b := set_of(h)) is not None:
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= least * (len(a) + len(b) - both):
+                        links.append((cls[k], cls[h]))
+                        root[find(comp[k])] = find(comp[h])
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return texts.groupBy("bucket", "kind", "x", "y").applyInArrow(run, "a bigint, b bigint")
 
 
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -321,17 +342,20 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     rows = written(sketched(d))
     classes = written(rows.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     bucketed = classes.select(F.explode("bands").alias("bucket"), "cls")
-    # Leaders have the smallest of a few hashes that are the same in every bucket, so that a large group has few leaders over all its buckets.
-    leaders = [F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias(f"l{k}") for k in range(LEADERS)]
-    buckets = bucketed.groupBy("bucket").agg(F.count("*").alias("size"), *leaders).where("size > 1")
-    buckets = buckets.select(F.col("bucket").alias("of"), "size", F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("leaders"))
-    members = written(bucketed.join(buckets.hint("merge"), F.col("bucket") == F.col("of")).select("bucket", "cls", "size", "leaders"))
+    buckets = bucketed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").withColumnRenamed("bucket", "of")
+    sized = written(bucketed.join(buckets.hint("merge"), F.col("bucket") == F.col("of")).select("bucket", "cls", "size"))
+    # Leaders are the classes with most company over all their buckets: the text that others are edits of, if it is there.
+    company = sized.where(F.col("size") > SMALL).groupBy("cls").agg(F.sum("size").alias("company"))
+    ranked = sized.where(F.col("size") > SMALL).join(company.withColumnRenamed("cls", "who").hint("merge"), F.col("cls") == F.col("who"))
+    half = F.pmod(F.xxhash64("cls"), F.lit(LEADERS))
+    top = ranked.groupBy("bucket").agg(*[F.max_by("cls", F.when((half == k) if k else F.lit(True), F.struct("company", "cls"))).alias(f"l{k}") for k in range(LEADERS)])
+    top = top.select(F.col("bucket").alias("of"), F.array_distinct(F.array_compact(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("leaders"))
+    members = written(sized.join(top.hint("merge"), F.col("bucket") == F.col("of"), "left").select("bucket", "cls", "size", "leaders"))
     links = written(verified(written(compared(proposed(members), classes)), named))
     labels = components(links)
-    rest = written(leftovers(members, labels, classes))
-    if not rest.isEmpty():
-        links = written(links.union(verified(rest, named)).distinct())
-        labels = components(links)
+    more = written(leftovers(members, labels, classes, named))
+    if not more.isEmpty():
+        labels = components(links.union(more))
     labelled = rows.where("doc_id IS NOT NULL").select("doc_id", "n_shingles", "cls").join(labels, F.col("cls") == F.col("node"), "left")
     labelled = labelled.withColumn("comp", F.coalesce("component", "cls"))
     least = labelled.where("cls IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select(F.col("comp").alias("of"), "least")
