@@ -1,7 +1,7 @@
 """Byte-level BPE: ranked merges as a fold of Spark's higher-order functions, over distinct words.
 
 A text is split by the vocabulary's pattern and each piece ("word") is encoded for itself. The fold starts from a word's bytes and joins, step by
-step, the neighbours whose joint rank is lowest, the leftmost first; the ranks are a literal map in the plan, dealt into small maps by a checksum so
+step, the neighbours whose joint rank is lowest, the leftmost first; the ranks are a literal map in the plan, dealt into small maps by a hash so
 that one lookup reads one or two entries. All words go through this fold: the frequent ones once for the whole corpus, the others where they
 stand. The frequent ones, at most FREQUENT, are a lookup table with a proven bound; which words are in it changes the time and not the result.
 Decoding looks up each id's bytes and concatenates them.
@@ -11,21 +11,22 @@ from __future__ import annotations
 
 import base64
 import json
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm.common import let, written
 
-#: Most words in the lookup table.
-FREQUENT = 400_000
+#: Most words in the lookup table, some 50 bytes each, and words whose place in it a worker remembers.
+FREQUENT, REMEMBERED = 700_000, 400_000
 #: Small maps that the ranks are dealt into.
 DEALT = 1 << 16
 #: More than any rank.
@@ -49,39 +50,41 @@ def _dealt(path: str) -> list[dict[str, int]]:
     out: list[dict[str, int]] = [{} for _ in range(DEALT)]
     for piece, rank in ranks(path).items():
         key = piece.hex()
-        out[zlib.crc32(key.encode()) % DEALT][key] = rank
+        out[xxhash.xxh64_intdigest(key.encode(), 42) % DEALT][key] = rank  # as the engine's xxhash64
     return out
 
 
 def folded(word: Column, path: str) -> Column:
     """array<int>: the ids of a word given as lower-case hex of its bytes."""
-    table = literal(_dealt(path), "array<map<string,int>>")
+    return let(literal(_dealt(path), "array<map<string,int>>"), lambda table: _folded(word, table))
 
+
+def _folded(word: Column, table: Column) -> Column:
     def rank(piece: Column) -> Column:
         # A null piece, as the last one's join with nothing, has no rank.
-        return F.coalesce(F.try_element_at(F.get(table, (F.crc32(piece.cast("binary")) % DEALT).cast("int")), piece), F.lit(_NONE))
+        return F.coalesce(F.try_element_at(F.get(table, F.pmod(F.xxhash64(piece), F.lit(DEALT)).cast("int")), piece), F.lit(_NONE))
 
-    def step(pieces: Column) -> Column:
-        joined = F.transform(pieces, lambda p, i: rank(F.concat(p, F.get(pieces, i + 1))))
+    def part(piece: Column, after: Column) -> Column:
+        """A piece and the rank of its join with the piece after it."""
+        return F.struct(piece.alias("p"), rank(F.concat(piece, after)).alias("r"))
 
+    def step(pieces: Column) -> Column:
         def merge(r: Column) -> Column:
             def at(j: Column) -> Column:
-                both = F.array(F.concat(F.get(pieces, j - 1), F.get(pieces, j)))
-                return F.concat(F.slice(pieces, F.lit(1), j - 1), both, F.slice(pieces, j + 2, F.size(pieces)))
+                both = F.concat(F.get(pieces, j - 1)["p"], F.get(pieces, j)["p"])
+                before = F.when(j > 1, F.concat(F.slice(pieces, F.lit(1), F.greatest(j - 2, F.lit(0))), F.array(part(F.get(pieces, j - 2)["p"], both)))).otherwise(F.slice(pieces, F.lit(1), F.lit(0)))
+                return F.concat(before, F.array(part(both, F.get(pieces, j + 1)["p"])), F.slice(pieces, j + 2, F.size(pieces)))
 
-            # The last entry marks a word that is done, so that later steps do nothing.
-            return F.when(F.array_min(r) == _NONE, F.concat(pieces, F.array(F.lit("")))).otherwise(let(F.array_position(r, F.array_min(r)).cast("int"), at))
+            least = F.array_min(r)
+            return F.when(least == _NONE, pieces).otherwise(let(F.array_position(r, least).cast("int"), at))
 
-        return F.when(F.element_at(pieces, -1) == "", pieces).otherwise(let(joined, merge))
+        return let(F.transform(pieces, lambda x: x["r"]), merge)
 
     def fold(b: Column) -> Column:
-        whole = rank(F.array_join(b, ""))
-        steps = F.sequence(F.lit(1), F.size(b) - 1)
-        merged = F.filter(F.aggregate(steps, b, lambda pieces, _: step(pieces)), lambda p: p != "")
-        return F.when(whole != _NONE, F.array(whole)).otherwise(F.transform(merged, rank))
+        merged = F.aggregate(F.sequence(F.lit(1), F.size(b) - 1), F.transform(b, lambda x, i: part(x, F.get(b, i + 1))), lambda pieces, _: step(pieces))
+        return let(rank(word), lambda whole: F.when(whole != _NONE, F.array(whole)).otherwise(F.transform(merged, lambda x: rank(x["p"]))))
 
-    signs = F.transform(F.sequence(F.lit(1), F.length(word), F.lit(2)), lambda i: F.substring(word, i, F.lit(2)))
-    return let(signs, fold)
+    return let(F.transform(F.sequence(F.lit(1), F.length(word), F.lit(2)), lambda i: F.substring(word, i, F.lit(2))), fold)
 
 
 def _splitter(pattern: str):
@@ -89,13 +92,13 @@ def _splitter(pattern: str):
 
 
 def _counted(docs: DataFrame, pattern: str) -> DataFrame:
-    """text -> word (hex), n, summed per batch before the shuffle."""
+    """text -> word (its bytes), n, summed per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, counts = _splitter(pattern), Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8", "surrogatepass").hex() for w in counts], pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            out = pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8", "surrogatepass") for w in counts], pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
             counts.clear()
             return out
 
@@ -107,25 +110,56 @@ def _counted(docs: DataFrame, pattern: str) -> DataFrame:
                     yield flush()
         yield flush()
 
-    return docs.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUENT) -> dict[str, list[int]]:
-    """The ids of the words that occur at least c times, c the least count from 2 on that not more than ``most`` words reach."""
+    return docs.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+class Table:
+    """The ids of many words in a few flat arrays: words in the order of their hashes, found by bisection and compared."""
+
+    def __init__(self, words: pa.BinaryArray, ids: pa.ListArray):
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.as_buffer()) for w in words), np.uint64, len(words))
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, words, ids = hashes[order], words.take(pa.array(order)), ids.take(pa.array(order))
+        # take() makes a fresh array, so its value buffer is the words one after the other.
+        self.words = words.buffers()[2].to_pybytes() if len(words) else b""
+        self.word_at = np.concatenate(([0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64))))
+        lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        # The last entry stands for words that are not here: one id, -1.
+        self.ids = np.append(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.int32(-1))
+        self.lengths = np.append(lengths, 1)
+        self.starts = np.concatenate(([0], np.cumsum(lengths)))
+
+    def find(self, words: list[str]) -> list[int]:
+        """The entries of words; that of -1 for those that are not here."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw))
+        at = np.searchsorted(self.hashes, hashes).tolist()
+        none, edge = len(self.hashes), self.word_at
+        return [i if i < none and self.words[edge[i] : edge[i + 1]] == w else none for i, w in zip(at, raw)]
+
+    def gather(self, entries: np.ndarray) -> np.ndarray:
+        """The ids of entries, one after the other."""
+        lengths = self.lengths[entries]
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(self.starts[entries] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUENT) -> Table:
+    """The ids of the words that occur at least c times, c the least count that not more than ``most`` words reach."""
     counts = written(_counted(texts, pattern))
-    by_count = sorted(counts.where("n > 1").groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True)
+    by_count = sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True)
     total, least = 0, None
     for r in by_count:
         total += r.words
         if total > most:
             break
         least = r.n
+    empty = pa.array([], pa.binary()), pa.array([], pa.list_(pa.int32()))
     if least is None:
-        return {}
-    spark = texts.sparkSession
-    chosen = counts.where(F.col("n") >= least).select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = chosen.select("word", folded(F.col("word"), path).alias("ids")).toArrow()
-    return dict(zip((bytes.fromhex(w).decode("utf-8", "surrogatepass") for w in table.column("word").to_pylist()), table.column("ids").to_pylist()))
+        return Table(*empty)
+    chosen = counts.where(F.col("n") >= least).select("word").repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = chosen.select(F.col("word").alias("bytes"), folded(F.lower(F.hex("word")), path).alias("ids")).toArrow()
+    return Table(*(pa.concat_arrays(found.column(c).chunks) if found.num_rows else e for c, e in zip(("bytes", "ids"), empty)))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), most: int = FREQUENT) -> DataFrame:
@@ -140,21 +174,25 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
     frame = docs.select(*[docs[c] for c in keep], docs[text])
     kept, pos = list(keep), len(keep)
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast({w: np.array(v, np.int32).tobytes() for w, v in frequent_words(frame.select(text), path, pattern, most).items()})
-    gap = np.array([-1], np.int32).tobytes()
+    shared = spark.sparkContext.broadcast(frequent_words(frame.select(text), path, pattern, most))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema[: len(keep)])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = _splitter(pattern), shared.value
+        split, table, seen = _splitter(pattern), shared.value, {}
+        none = len(table.hashes)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
+                texts = [split(t) if t else [] for t in b.column(pos).to_pylist()]
+                if len(seen) > REMEMBERED:
+                    seen = {}
+                new = list({w for words in texts for w in words if w not in seen})
+                seen.update(zip(new, table.find(new)))
                 found, rare = [], []
-                for t in b.column(pos).to_pylist():
-                    words = split(t) if t else []
-                    ids = [known.get(w, gap) for w in words]
-                    found.append(b"".join(ids))
-                    rare.append([w.encode("utf-8", "surrogatepass").hex() for w, i in zip(words, ids) if i is gap])
+                for words in texts:
+                    entries = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+                    found.append(table.gather(entries).tobytes())
+                    rare.append([words[i].encode("utf-8", "surrogatepass").hex() for i in np.flatnonzero(entries == none).tolist()])
                 yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.array(found, pa.binary()), pa.array(rare, pa.list_(pa.string()))], [*kept, "_known", "_rare"])
 
     def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
