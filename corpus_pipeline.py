@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom import session
 from seriesloom.llm import common, language_id, near_dedup, packing, quality_rules
 from seriesloom.llm.queries import estimated_tokens, held_out
 
@@ -24,10 +23,13 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language. Texts without letters, null ones too, and unsure verdicts go; the column lang is only learned from."""
-    session.ship(spark)
-    rows = whole_rows(docs)
-    found = language_id.identify(rows, language_id.train(rows, where=~held_out()), keep=("row",))
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= SURE)).select("row.*")
+    common.prepare(spark)
+    model = language_id.train(whole_rows(docs), where=~held_out())
+    # The columns go by their places, so that no name of docs meets one of the operator.
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    found = language_id.identify(docs.toDF(*places), model, text=places[docs.columns.index("text")], keep=tuple(places))
+    found = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= SURE))
+    return found.select(*[F.col(p).alias(c) for p, c in zip(places, docs.columns)])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id; fully equal rows once. Null ids are groups of their own."""
-    session.ship(spark)
+    common.prepare(spark)
     kept = near_dedup.groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates()
 

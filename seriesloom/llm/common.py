@@ -16,9 +16,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A table of the data folder, with the package at hand on the workers."""
+#: Rows of an Arrow batch, where the session has not chosen: texts are long, and a batch is held on both sides at once.
+BATCH_KEY, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", 1_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package to the workers, and keep Arrow batches of texts small."""
     session.ship(spark)
+    if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
+def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table of the data folder, with the session prepared."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

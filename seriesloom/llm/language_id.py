@@ -25,7 +25,7 @@ ORDERS = 4
 #: Cost of a change of language, in log probability.
 PENALTY = 16.0
 #: Words that a worker remembers; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 UNKNOWN = "und"
 
 # First and last code points of scripts.
@@ -220,8 +220,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
     spans of that language times the probability of it against the next best there. Rows are independent, so repeated rows agree and an
     empty table gives none; other columns are not read.
     """
-    frame = docs.select(*[docs[c] for c in keep], docs[text])
-    kept, pos = list(keep), len(keep)
+    kept = list(keep)
+    read = kept if text in kept else [*kept, text]
+    frame, pos, n_kept = docs.select(*[docs[c] for c in read]), read.index(text), len(kept)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())]))
 
@@ -232,7 +233,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
                 b = whole.slice(at, rows)
                 found = labeller.label(b.column(pos).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(i) for i in range(pos)]
+                    [b.column(i) for i in range(n_kept)]
                     + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([[dict(zip(("start", "stop", "lang"), s)) for s in f[2]] for f in found], span)],
                     kept + ["lang_pred", "score", "spans"],
                 )
