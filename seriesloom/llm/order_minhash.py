@@ -15,21 +15,19 @@ from seriesloom.llm.common import let, words
 
 #: Words of a k-mer, bins, elements of a tuple.
 K, BINS, TUPLE = 3, 64, 2
-#: Smallest elements that the bins choose from: eight for each. A bin that gets fewer than TUPLE of them uses what it has.
-SMALLEST = 8 * BINS
 #: Bits of an element's word position; later positions count as the last.
 PLACE = 24
 _BIN_BITS = BINS.bit_length() - 1
 
 
 def _element(hash_: Column, place: Column) -> Column:
-    """Hash and place in one number that sorts by the hash."""
+    """Hash and place in one number."""
     cut = F.shiftleft(F.shiftright(hash_, PLACE), PLACE)
     return cut.bitwiseOR(F.least(place, F.lit(2**PLACE - 1)).cast("bigint"))
 
 
 def elements(found: Column) -> Column:
-    """Occurrence-numbered k-mers of a word array as sorted numbers; the last k-mers are cut off by the end of the text."""
+    """Occurrence-numbered k-mers of a word array as numbers, in no order; the last k-mers are cut off by the end of the text."""
 
     def numbered(h: Column) -> Column:
         # Equal hashes side by side in text order; each run is numbered from its start. The first occurrence keeps the plain hash.
@@ -44,7 +42,7 @@ def elements(found: Column) -> Column:
 
     kmers = lambda w: F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + n) for n in range(1, K)]))
     plain = lambda h: F.transform(h, lambda x, i: _element(x, i))
-    return F.sort_array(let(found, lambda w: let(kmers(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), plain(h)).otherwise(numbered(h)))))
+    return let(found, lambda w: let(kmers(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), plain(h)).otherwise(numbered(h))))
 
 
 def fingerprint(text: Column) -> Column:
@@ -58,7 +56,7 @@ def fingerprint(text: Column) -> Column:
         return F.shiftleft(own, top).bitwiseOR(rest).bitwiseOR(x.bitwiseAND(low))
 
     bin_of = lambda y: F.shiftrightunsigned(y, top)
-    by_bin = F.sort_array(F.transform(F.slice(elements(words(text)), 1, SMALLEST), bin_first))
+    by_bin = F.sort_array(F.transform(elements(words(text)), bin_first))
     least = let(by_bin, lambda a: F.filter(a, lambda y, i: F.coalesce(bin_of(F.get(a, i - TUPLE)) != bin_of(y), F.lit(True))))
     in_text = F.sort_array(F.transform(least, lambda y: F.struct(bin_of(y).alias("b"), y.bitwiseAND(low).alias("p"), F.shiftrightunsigned(y, PLACE).alias("h"))))
 

@@ -136,6 +136,19 @@ def test_order_matters(spark):
     assert 0.2 < r.x < 0.8  # nearly the same k-mers, in another order
 
 
+def mean_likeness(spark, pairs):
+    df = spark.createDataFrame(pairs, "a string, b string")
+    return df.select(F.avg(order_minhash.likeness(order_minhash.fingerprint(F.col("a")), order_minhash.fingerprint(F.col("b")))).alias("x")).first().x
+
+
+@pytest.mark.parametrize("n", [300, 600, 900, 1_000, 2_000])
+def test_longer_copies_stay_alike(spark, n):
+    rng = random.Random(n)
+    texts = [[f"w{rng.randrange(10**9)}" for _ in range(n + n // 10)] for _ in range(8)]
+    # Of n + n / 10 elements, all but the last few of the copy are shared, so both minima are with probability 0.83.
+    assert 0.75 < mean_likeness(spark, [(" ".join(t[:n]), " ".join(t)) for t in texts]) < 0.9
+
+
 # -- 3 quality with sites --------------------------------------------------------------------
 
 
