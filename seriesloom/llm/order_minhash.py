@@ -1,9 +1,10 @@
 """Order MinHash fingerprints: near in edit distance, not only in content. Built-in functions only.
 
 The k-mers of a text are its runs of K words; each is numbered by its occurrence, so repeats count as different elements. Elements
-are hashed once and dealt into BINS by their hash. In each bin the TUPLE elements with the smallest hashes are kept, put back into text order,
-and hashed as a tuple. Two texts agree in a bin when they share its minimal elements *and* their order. The fingerprint
-lists the bins; likeness is the share of agreeing bins.
+are hashed once and dealt into BINS by their hash. Each bin orders all elements of the text: its own first, by their hash, then the others by a
+hash of the bin's own. The TUPLE least are kept, put back into text order, and hashed as a tuple. So a bin is one order over all possible elements,
+and short texts, which leave bins with too few elements of their own, fill them from the whole text. Two texts agree in a bin when they share its
+minimal elements *and* their order. The fingerprint lists the bins; likeness is the share of agreeing bins.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def elements(found: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """array<bigint>, one number per bin in use: the bin above 32 bits of the hash of its ordered tuple. Null and wordless texts: empty."""
+    """array<bigint>, one number per bin: the bin above 32 bits of the hash of its ordered tuple. Null and wordless texts: empty."""
     top, low = 64 - _BIN_BITS, F.lit(2**PLACE - 1).cast("bigint")
 
     def bin_first(x: Column) -> Column:
@@ -56,9 +57,19 @@ def fingerprint(text: Column) -> Column:
         return F.shiftleft(own, top).bitwiseOR(rest).bitwiseOR(x.bitwiseAND(low))
 
     bin_of = lambda y: F.shiftrightunsigned(y, top)
+    entry = lambda b, y: F.struct(b.alias("b"), y.bitwiseAND(low).alias("p"), F.shiftrightunsigned(y, PLACE).bitwiseAND(F.lit(2 ** (63 - PLACE) - 1)).alias("h"))
+
+    def filled(a: Column, least: Column) -> Column:
+        """What bins with fewer than TUPLE elements of their own take from the others: own ones, made negative, come first and are not taken twice."""
+        whole = F.transform(F.filter(least, lambda y, i: F.coalesce(bin_of(F.get(least, i - (TUPLE - 1))) == bin_of(y), F.lit(False))), bin_of)
+        sparse = F.array_except(F.sequence(F.lit(0).cast("bigint"), F.lit(BINS - 1).cast("bigint")), whole)
+        hashed = lambda y, b: F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.shiftrightunsigned(y, PLACE), b), PLACE + 1), PLACE).bitwiseOR(y.bitwiseAND(low))
+        order = lambda b: F.transform(a, lambda y: F.when(bin_of(y) == b, y.bitwiseOR(F.lit(-(2**63)).cast("bigint"))).otherwise(hashed(y, b)))
+        return F.flatten(F.transform(sparse, lambda b: F.transform(F.filter(F.slice(F.sort_array(order(b)), 1, TUPLE), lambda y: y >= 0), lambda y: entry(b, y))))
+
     by_bin = F.sort_array(F.transform(elements(words(text)), bin_first))
-    least = let(by_bin, lambda a: F.filter(a, lambda y, i: F.coalesce(bin_of(F.get(a, i - TUPLE)) != bin_of(y), F.lit(True))))
-    in_text = F.sort_array(F.transform(least, lambda y: F.struct(bin_of(y).alias("b"), y.bitwiseAND(low).alias("p"), F.shiftrightunsigned(y, PLACE).alias("h"))))
+    least_of = lambda a: F.filter(a, lambda y, i: F.coalesce(bin_of(F.get(a, i - TUPLE)) != bin_of(y), F.lit(True)))
+    in_text = let(by_bin, lambda a: let(least_of(a), lambda m: F.sort_array(F.concat(F.transform(m, lambda y: entry(bin_of(y), y)), filled(a, m)))))
 
     def tuples(s: Column) -> Column:
         def one(e: Column, i: Column) -> Column:

@@ -149,6 +149,21 @@ def test_longer_copies_stay_alike(spark, n):
     assert 0.75 < mean_likeness(spark, [(" ".join(t[:n]), " ".join(t)) for t in texts]) < 0.9
 
 
+@pytest.mark.parametrize("n", [40, 100, 200])
+def test_order_matters_in_short_texts(spark, n):
+    rng = random.Random(n)
+    texts = [[f"w{rng.randrange(10**9)}" for _ in range(n)] for _ in range(40)]
+    turned = [(" ".join(t), " ".join(t[n // 2 :] + t[: n // 2])) for t in texts]
+    # A pair of shared elements keeps its order in about half of the bins: when both come from the same half.
+    same = ((n - 4) / (n + 4)) ** 2
+    assert mean_likeness(spark, turned) == pytest.approx(same / 2, abs=0.05)
+
+
+def test_every_bin_has_its_order(spark):
+    df = spark.createDataFrame([("a",), ("a b",), ("a b c d e f g",)], "t string").select(order_minhash.fingerprint(F.col("t")).alias("f"))
+    assert all([v >> 32 for v in r.f] == list(range(order_minhash.BINS)) for r in df.collect())
+
+
 # -- 3 quality with sites --------------------------------------------------------------------
 
 
