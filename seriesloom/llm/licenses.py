@@ -46,17 +46,15 @@ class _Notice:
     size: int
     edits: int
     label: str
-    seeds: tuple[tuple[bytes, int], ...]
-    exact: bytes
+    seeds: tuple[tuple[str, int], ...]
     pattern: object
 
 
 def _notice(phrase: str, label: str, edits: int) -> _Notice:
-    raw = phrase.encode()
-    cuts = [round(i * len(raw) / (edits + 1)) for i in range(edits + 2)]
-    seeds = tuple((raw[a:b], a) for a, b in zip(cuts, cuts[1:]))
-    fuzzy = regex.compile(b"(?b)(?<![^ ])(?:" + regex.escape(raw, literal_spaces=True) + b"){e<=%d}(?![^ ])" % edits)
-    return _Notice(len(raw), edits, label, seeds, b" " + raw + b" ", fuzzy)
+    cuts = [round(i * len(phrase) / (edits + 1)) for i in range(edits + 2)]
+    seeds = tuple((phrase[a:b], a) for a, b in zip(cuts, cuts[1:]))
+    fuzzy = regex.compile("(?b)(?<![^ ])(?:" + regex.escape(phrase, literal_spaces=True) + "){e<=%d}(?![^ ])" % edits)
+    return _Notice(len(phrase), edits, label, seeds, fuzzy)
 
 
 def normal(text: str | None) -> bytes:
@@ -77,8 +75,8 @@ def exact_places(norm: bytes, phrases: list[tuple[bytes, str, int]]) -> list[tup
 
 
 def fuzzy_places(norm: bytes, notices: list[_Notice]) -> list[tuple[str, int, int, int, float]]:
-    """Spans (label, first word, last word, edits, likeness) of notices, the exact ones included."""
-    out = []
+    """Spans (label, first word, last word, edits, likeness) of notices, the exact ones included. Edits are of signs, not of bytes."""
+    norm, out = norm.decode("utf-8", "surrogatepass"), []
     for x in notices:
         starts = set()
         for seed, offset in x.seeds:
@@ -95,14 +93,14 @@ def fuzzy_places(norm: bytes, notices: list[_Notice]) -> list[tuple[str, int, in
                 windows[-1][1] = max(b, windows[-1][1])
             else:
                 windows.append([a, b])
-        spaces = [m.start() for m in re.finditer(b" ", norm)]
+        spaces = [m.start() for m in re.finditer(" ", norm)]
         for a, b in windows:
             # The window starts and ends on spaces, so that its edges do not look like word edges.
-            a, b = max(0, norm.rfind(b" ", 0, a + 1)), (norm.find(b" ", b - 1) + 1) or len(norm)
+            a, b = max(0, norm.rfind(" ", 0, a + 1)), (norm.find(" ", b - 1) + 1) or len(norm)
             for m in x.pattern.finditer(norm, a, b):
                 edits = sum(m.fuzzy_counts)
                 raw = m.group()
-                lead, tail = len(raw) - len(raw.lstrip(b" ")), len(raw) - len(raw.rstrip(b" "))
+                lead, tail = len(raw) - len(raw.lstrip(" ")), len(raw) - len(raw.rstrip(" "))
                 lo, hi = m.start() + lead, m.end() - tail
                 if lo < hi:
                     first, last = bisect.bisect_left(spaces, lo) - 1, bisect.bisect_left(spaces, hi) - 1

@@ -495,3 +495,11 @@ def test_licenses_with_errors():
                     assert any(edits(p, " ".join(w[first : last + 1])) <= k for p, lab, k in licenses.NOTICES if lab == label)
     for clean in ("the limit of licence fees was met", "apache helicopters have no such thing", "a public road and general notes", "submit licenses here today"):
         assert licenses.fuzzy_places(licenses.normal(clean), notices) == []
+
+
+def test_license_edits_are_of_signs():
+    notices = [licenses._notice(*n) for n in licenses.NOTICES]
+    for text in ("mit licénse x", "é中 mit lic中nse 中", "mit lic\U0001f600nse"):
+        (found,) = licenses.fuzzy_places(licenses.normal(text), notices)
+        first = text.split().index("mit")
+        assert found == ("mit", first, first + 1, 1, 1 - 1 / len("mit license"))
