@@ -57,6 +57,21 @@ def _notice(phrase: str, label: str, edits: int) -> _Notice:
     return _Notice(len(phrase), edits, label, seeds, fuzzy)
 
 
+def _matches(pattern, text: str, a: int, b: int) -> list:
+    """The best match between two places, then the best ones before and after it, and so on; in text order.
+
+    Before the first of equally good matches only worse ones are left, so nothing is searched more often than a notice may have edits.
+    """
+    out, todo = [], [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        m = pattern.search(text, a, b) if a < b else None
+        if m and m.end() > m.start():
+            out.append(m)
+            todo += [(m.end(), b), (a, m.start())]
+    return sorted(out, key=lambda m: m.start())
+
+
 def normal(text: str | None) -> bytes:
     """Lower-cased words of letters, digits and non-ASCII signs, with one space around each."""
     found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
@@ -97,7 +112,7 @@ def fuzzy_places(norm: bytes, notices: list[_Notice]) -> list[tuple[str, int, in
         for a, b in windows:
             # The window starts and ends on spaces, so that its edges do not look like word edges.
             a, b = max(0, norm.rfind(" ", 0, a + 1)), (norm.find(" ", b - 1) + 1) or len(norm)
-            for m in x.pattern.finditer(norm, a, b):
+            for m in _matches(x.pattern, norm, a, b):
                 edits = sum(m.fuzzy_counts)
                 raw = m.group()
                 lead, tail = len(raw) - len(raw.lstrip(" ")), len(raw) - len(raw.rstrip(" "))
@@ -115,7 +130,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     Null and empty texts have no words and no spans. Texts are scanned whole; rows are independent, so equal rows
     give equal results and an empty table gives none. Other columns of ``docs``, also of clashing names, are not read.
     A span's ends are words, so an edit at its edge that makes a word longer counts against the bound. Overlapping
-    matches of one notice are reported once, the best first ((?b) of the regex library).
+    matches of one notice are reported once, the best of them; matches beside it stay.
     """
     base = BASE if base is None else base
     frame = docs.select(*[docs[c] for c in keep], docs[text])

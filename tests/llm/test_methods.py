@@ -497,6 +497,16 @@ def test_licenses_with_errors():
         assert licenses.fuzzy_places(licenses.normal(clean), notices) == []
 
 
+def test_licenses_beside_a_better_match_stay():
+    notices = [licenses._notice(*n) for n in licenses.NOTICES]
+    for text in ("mit licanse mit lisense mit licence mit license", "mit license mit lisense mit licanse", "mit licanse and mit license and mit lisense", "mit licanse mit lisense"):
+        w = text.split()
+        starts = [i for i, x in enumerate(w) if x == "mit"]
+        found = licenses.fuzzy_places(licenses.normal(text), notices)
+        assert [(a, b) for _, a, b, _, _ in found] == [(i, i + 1) for i in starts], text
+        assert [e for *_, e, _ in found] == [int(w[i + 1] != "license") for i in starts]
+
+
 def test_license_edits_are_of_signs():
     notices = [licenses._notice(*n) for n in licenses.NOTICES]
     for text in ("mit licénse x", "é中 mit lic中nse 中", "mit lic\U0001f600nse"):
