@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import common, language_id, near_dedup, packing, quality_rules
-from seriesloom.llm.queries import estimated_tokens, held_out
+from seriesloom.llm import common, language_id, near_dedup, quality_rules
+from seriesloom.llm.queries import held_out, packed
 
 #: Least score of a language verdict. Half a text in another language stays above it.
 SURE = 0.35
@@ -46,7 +46,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Length buckets and batches of what is left."""
-    return packing.pack(docs, estimated_tokens(docs["text"]))
+    common.prepare(spark)
+    return packed(docs)
 
 
 STAGES = [("language", language), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", pack)]

@@ -111,20 +111,16 @@ def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.classify(docs, labels, docs["source"], docs["lang"])
 
 
-#: Bytes of text that stand for a token where texts are only to be sized.
-BYTES_PER_TOKEN = 4
-
-
-def estimated_tokens(text: Column) -> Column:
-    """Tokens by the size of the text, rounded up; null: none."""
-    return ((F.coalesce(F.octet_length(text), F.lit(0)) + BYTES_PER_TOKEN - 1) / BYTES_PER_TOKEN).cast("bigint")
+def packed(docs: DataFrame) -> DataFrame:
+    """Length buckets and token-budget batches by exact counts under the 50k byte-level vocabulary; texts are counted once."""
+    counted = common.written(token_counts.count(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(counted, counted["n_tokens"])
 
 
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length buckets and token-budget batches of all documents."""
-    docs = common.documents(spark, sf_dir)
-    return packing.pack(docs, estimated_tokens(docs["text"]))
+    return packed(common.documents(spark, sf_dir))
 
 
 @query

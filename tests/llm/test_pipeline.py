@@ -1,7 +1,11 @@
 """The corpus pipeline against plain versions of its stages, on awkward rows."""
 
+from collections import Counter
+
 import corpus_pipeline
-from seriesloom.llm import common
+import public_tokenizers
+
+from seriesloom.llm import common, packing, queries, token_counts
 from tests.llm.cases import edge_texts, frame
 from tests.llm.test_methods import plain_groups, plain_measures
 
@@ -34,3 +38,16 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         now = common.written(stage(spark, now, "/root/testdata/sf0.001"))
     assert now.count() == 0
+
+
+def test_batches_hold_the_budget_in_tokens(spark):
+    docs = common.documents(spark, "/root/testdata/sf0.001")
+    tokenizer = token_counts.load(public_tokenizers.path("byte_bpe_50k.json"))
+    real = {r["doc_id"]: len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs.select("doc_id", "text").collect()}
+    for out in (queries.op4_packing(spark, "/root/testdata/sf0.001"), corpus_pipeline.pack(spark, docs, "/root/testdata/sf0.001")):
+        rows, tokens, members = out.collect(), Counter(), Counter()
+        assert {r["doc_id"]: r["length"] for r in rows} == real
+        for r in rows:
+            tokens[r["bucket"], r["batch"]] += real[r["doc_id"]]
+            members[r["bucket"], r["batch"]] += 1
+        assert all(n <= packing.BUDGET or members[k] == 1 for k, n in tokens.items())
