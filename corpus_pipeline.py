@@ -22,7 +22,10 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language. Texts without letters, null ones too, and unsure verdicts go; the column lang is only learned from."""
+    """Documents in a learned language, as far as scripts and words tell. Texts without letters, null ones too, and unsure verdicts go, so do texts mostly in scripts that no learned language uses.
+
+    An unlearned language in a learned script is not told apart. The column lang is only learned from.
+    """
     common.prepare(spark)
     model = language_id.train(whole_rows(docs), where=~held_out())
     # The columns go by their places, so that no name of docs meets one of the operator.

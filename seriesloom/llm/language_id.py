@@ -133,6 +133,7 @@ class Labeller:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.model.languages)))
+        self.heard = np.zeros(self.table.shape, bool)  # which languages a word is evidence for or against
 
     def _learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > self.remembered:
@@ -142,6 +143,7 @@ class Labeller:
         self.known.update(zip(new, range(first, first + len(new))))
         while first + len(new) > len(self.table):
             self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+            self.heard = np.concatenate((self.heard, np.zeros_like(self.heard)))
         empty = len(self.model.rows)  # the row of zeros that stands for unknown parts
         row, at, ends = self.model.rows.get, [], []
         for w in new:
@@ -149,11 +151,15 @@ class Labeller:
             ends.append(len(at))
         if new:
             scores = np.add.reduceat(self.padded[at], [0, *ends[:-1]], axis=0)
+            known = np.logical_or.reduceat(np.array(at) != empty, [0, *ends[:-1]])
+            heard = np.repeat(known[:, None], scores.shape[1], axis=1)
             for i, w in enumerate(new):
                 candidates = self.candidates(script(w))
                 if candidates is not True:  # a script that no language uses says nothing
                     scores[i] = 0.0 if candidates is None else np.where(candidates, scores[i], -50.0)
+                    heard[i] &= False if candidates is None else candidates
             self.table[first : first + len(new)] = scores
+            self.heard[first : first + len(new)] = heard
 
     @lru_cache(64)  # noqa: B019
     def candidates(self, script_: str) -> np.ndarray | bool | None:
@@ -195,11 +201,15 @@ class Labeller:
         if not words:
             return UNKNOWN, 0.0, []
         langs = self.model.languages
-        score = self.table[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
+        rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        score = self.table[rows]
         path = self.path(score)
-        letters = np.bincount(path, np.fromiter(map(len, words), np.float64, len(words)), len(langs))
+        sizes = np.fromiter(map(len, words), np.float64, len(words))
+        letters = np.bincount(path, sizes, len(langs))
         best = int(letters.argmax())
-        own = score[path == best].sum(axis=0) + self.model.prior
+        # The prior chooses where words do not, but is no evidence: neither it nor words that say nothing make a verdict sure.
+        heard = sizes[(path == best) & self.heard[rows, best]].sum()
+        own = score[path == best].sum(axis=0)
         gap = own[best] - np.delete(own, best).max() if len(langs) > 1 else math.inf
         sure = 1 / (1 + math.exp(-max(min(gap, 50), -50)))
         change = np.flatnonzero(np.diff(path)) + 1
@@ -209,15 +219,16 @@ class Labeller:
             spans = [(at[a][0], at[b - 1][1], langs[path[a]]) for a, b in zip(first, [*first[1:], len(path)])]
         else:
             spans = [(0, len(text), langs[best])]
-        return langs[best], float(letters[best] / letters.sum() * sure), spans
+        return langs[best], float(heard / letters.sum() * sure), spans
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), penalty: float = PENALTY, rows: int = 512) -> DataFrame:
     """Per row: the ``keep`` columns, lang_pred, score and spans (start, stop in signs, lang) of the whole text.
 
     Null, empty and letterless texts are ``und`` with score 0 and no spans, as is everything under a model without languages. A text in a script
-    that no language uses gets the most frequent language with a low score. Ties go to the language that sorts first. The score is the share of letters in
-    spans of that language times the probability of it against the next best there. Rows are independent, so repeated rows agree and an
+    that no language uses gets the most frequent language with score 0. Ties go to the language that sorts first. The score is the share of letters in
+    spans of that language, in words that it can be told by (of a script it uses, with a known part), times the probability of it by these words against
+    the next best there. An unlearned language in a learned script shares word parts with the learned ones and can score high. Rows are independent, so repeated rows agree and an
     empty table gives none; other columns are not read.
     """
     kept = list(keep)

@@ -51,3 +51,12 @@ def test_batches_hold_the_budget_in_tokens(spark):
             tokens[r["bucket"], r["batch"]] += real[r["doc_id"]]
             members[r["bucket"], r["batch"]] += 1
         assert all(n <= packing.BUDGET or members[k] == 1 for k, n in tokens.items())
+
+
+def test_language_stage_rejects_foreign_scripts(spark):
+    learned = [(d, f"the water of the house is cold and the stone lies there {d}", "en", "s0") for d in range(60)]
+    learned += [(d, f"das wasser der stadt ist kalt und der stein liegt dort {d}", "de", "s0") for d in range(60, 80)]
+    foreign = [(100, "вода в доме холодная и камень лежит там " * 20, None, "s0"), (101, "水很冷石头在那里 " * 20, None, "s0"), (102, "המים קרים " * 20, None, "s0"),
+               (103, "вода в доме холодная и камень лежит там " * 20 + "the water of the house", None, "s0"), (104, "the water of the house is cold вода", None, "s0")]
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, frame(spark, learned + foreign), "/root/testdata/sf0.001").collect()}
+    assert kept == {*range(80), 104}
