@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import byte_bpe, common, language_id, licenses, near_dedup, order_minhash, packing, quality_rules, site_quality, token_counts, warc
+from seriesloom.llm import byte_bpe, common, fill_middle, language_id, licenses, merkle, near_dedup, order_minhash, packing, quality_rules, site_quality, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,76 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(byte_bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
     )
+
+
+ORACLES["op11_fill_middle"] = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    n AS (SELECT *, length(t) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+    p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1, n - b) AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p"""
+
+
+@query
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document turned for filling in its middle, and turned back."""
+    turned = fill_middle.transform(common.documents(spark, sf_dir))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return turned.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(fill_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+# In SQL a tree is (tier, position) rows made by recursion; tier 0 of the trees are leaves, of the last tree their roots.
+ORACLES["op12_merkle"] = """
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, text, coalesce('1' || source, '0') AS tree,
+               sha256(f(CAST(doc_id AS VARCHAR)) || f(source) || f(lang) || f(CAST(n_chars AS VARCHAR)) || f(text)) AS leaf,
+               sha256(f(CAST(doc_id AS VARCHAR)) || f(source) || f(lang) || f(CAST(n_chars AS VARCHAR)) || f(low(text))) AS lower_leaf
+        FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY tree) AS n FROM d),
+    up(tier, tree, p, h, n) AS (
+        SELECT 0, tree, p, leaf, n FROM leaves
+        UNION ALL
+        SELECT tier + 1, tree, p // 16, sha256(string_agg(h, '' ORDER BY p)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY tier, tree, p // 16, n),
+    subs AS (SELECT tree, h, tier, row_number() OVER (ORDER BY tree) - 1 AS p, count(*) OVER () AS n FROM up WHERE n = 1),
+    top(tier, p, h, n) AS (
+        SELECT 0, p, h, n FROM subs
+        UNION ALL
+        SELECT tier + 1, p // 16, sha256(string_agg(h, '' ORDER BY p)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY tier, p // 16, n),
+    root AS (SELECT h FROM top WHERE n = 1),
+    marked AS (SELECT l.*, row_number() OVER (ORDER BY l.tree, l.p) AS id, s.h AS subroot, s.p AS sp, s.tier AS tiers FROM leaves l JOIN subs s USING (tree)),
+    steps AS (
+        SELECT m.id, u.tier, coalesce(string_agg(u.h, '' ORDER BY u.p) FILTER (u.p < m.p // CAST(16 ** u.tier AS BIGINT)), '') AS a,
+               coalesce(string_agg(u.h, '' ORDER BY u.p) FILTER (u.p > m.p // CAST(16 ** u.tier AS BIGINT)), '') AS b
+        FROM marked m JOIN up u ON u.tree = m.tree AND u.n > 1 AND u.p // 16 = m.p // CAST(16 ** (u.tier + 1) AS BIGINT) GROUP BY m.id, u.tier
+        UNION ALL
+        SELECT m.id, m.tiers + u.tier, coalesce(string_agg(u.h, '' ORDER BY u.p) FILTER (u.p < m.sp // CAST(16 ** u.tier AS BIGINT)), ''),
+               coalesce(string_agg(u.h, '' ORDER BY u.p) FILTER (u.p > m.sp // CAST(16 ** u.tier AS BIGINT)), '')
+        FROM marked m JOIN top u ON u.n > 1 AND u.p // 16 = m.sp // CAST(16 ** (u.tier + 1) AS BIGINT) GROUP BY m.id, m.tiers, u.tier),
+    proofs AS (SELECT id, sha256(string_agg(a || b, '' ORDER BY tier)) AS proof, max(tier) AS last FROM steps GROUP BY id),
+    fold(id, tier, h) AS (
+        SELECT id, 0, CASE WHEN crc(doc_id) % 5 = 0 THEN lower_leaf ELSE leaf END FROM marked
+        UNION ALL
+        SELECT fold.id, fold.tier + 1, sha256(s.a || fold.h || s.b) FROM fold JOIN steps s ON s.id = fold.id AND s.tier = fold.tier)
+    SELECT m.doc_id, m.leaf, m.subroot, r.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256, fold.h AS folded_root, fold.h = r.h AS verified
+    FROM marked m JOIN fold ON fold.id = m.id LEFT JOIN proofs p ON p.id = m.id, root r WHERE fold.tier = coalesce(p.last + 1, 0)"""
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of every document under one root, checked against documents of which a fifth were tampered with."""
+    docs = common.documents(spark, sf_dir)
+    columns = ("doc_id", "source", "lang", "n_chars")
+    leaf = merkle.leaf(*[F.col(c) for c in columns], F.col("text"))
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(chosen, merkle.leaf(*[F.col(c) for c in columns], lower)).otherwise(leaf).alias("seen"))
+    found = merkle.manifest(leaves, leaves["leaf"], leaves["source"], leaves["doc_id"], keep=("doc_id", "seen"))
+    found = found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), merkle.folded(F.col("seen"), F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
