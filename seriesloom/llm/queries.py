@@ -165,12 +165,18 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # In SQL a tree is (tier, position) rows made by recursion; tier 0 of the trees are leaves, of the last tree their roots.
-ORACLES["op12_merkle"] = """
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR) END".format
+_LEAF = " || ".join(_FIELD(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# The table of the polynomial, then one step per byte of the decimal id (its digits and sign are single bytes).
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))))"
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])))"
+ORACLES["op12_merkle"] = f"""
     WITH RECURSIVE d AS (
         SELECT doc_id, source, text, coalesce('1' || source, '0') AS tree,
-               sha256(f(CAST(doc_id AS VARCHAR)) || f(source) || f(lang) || f(CAST(n_chars AS VARCHAR)) || f(text)) AS leaf,
-               sha256(f(CAST(doc_id AS VARCHAR)) || f(source) || f(lang) || f(CAST(n_chars AS VARCHAR)) || f(low(text))) AS lower_leaf
-        FROM documents),
+               sha256({_LEAF} || {_FIELD("text")}) AS leaf, sha256({_LEAF} || {_FIELD(_LOWER)}) AS lower_leaf,
+               coalesce({_CRC} % 5 = 0, false) AS tampered
+        FROM documents, (SELECT {_CRC_TABLE} AS crc)),
     leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY tree) AS n FROM d),
     up(tier, tree, p, h, n) AS (
         SELECT 0, tree, p, leaf, n FROM leaves
@@ -193,7 +199,7 @@ ORACLES["op12_merkle"] = """
         FROM marked m JOIN top u ON u.n > 1 AND u.p // 16 = m.sp // CAST(16 ** (u.tier + 1) AS BIGINT) GROUP BY m.id, m.tiers, u.tier),
     proofs AS (SELECT id, sha256(string_agg(a || b, '' ORDER BY tier)) AS proof, max(tier) AS last FROM steps GROUP BY id),
     fold(id, tier, h) AS (
-        SELECT id, 0, CASE WHEN crc(doc_id) % 5 = 0 THEN lower_leaf ELSE leaf END FROM marked
+        SELECT id, 0, CASE WHEN tampered THEN lower_leaf ELSE leaf END FROM marked
         UNION ALL
         SELECT fold.id, fold.tier + 1, sha256(s.a || fold.h || s.b) FROM fold JOIN steps s ON s.id = fold.id AND s.tier = fold.tier)
     SELECT m.doc_id, m.leaf, m.subroot, r.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256, fold.h AS folded_root, fold.h = r.h AS verified
