@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import byte_bpe, common, fill_middle, language_id, licenses, merkle, near_dedup, order_minhash, packing, quality_rules, site_quality, token_counts, warc
+from seriesloom.llm import byte_bpe, common, fill_middle, language_id, licenses, merkle, near_dedup, neighbours, order_minhash, packing, quality_rules, site_quality, token_counts, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -218,3 +218,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(leaves, leaves["leaf"], leaves["source"], leaves["doc_id"], keep=("doc_id", "seen"))
     found = found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), merkle.folded(F.col("seen"), F.col("path")).alias("folded_root"))
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every 20th vector."""
+    vectors = common.documents(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors["vec_id"] % 20 == 0, 20)
