@@ -87,7 +87,7 @@ def spine(df: DataFrame, series: Sequence[str], date: str, step: str) -> DataFra
 
 def complete(df: DataFrame, series: Sequence[str], date: str, step: str) -> DataFrame:
     """The rows of ``df`` on its full calendar; missing dates become null rows."""
-    return spine(df, series, date, step).join(df, [*series, date], "left")
+    return matched(spine(df, series, date, step), df, [*series, date])
 
 
 def align_to_weekday(df: DataFrame, series: Sequence[str], date: str, cols: Sequence[str], day: str = "FRI") -> DataFrame:
@@ -136,7 +136,7 @@ def to_weekly(df: DataFrame, series: Sequence[str], date: str, cols: Sequence[st
 def to_month_ends(df: DataFrame, series: Sequence[str], date: str, cols: Sequence[str]) -> DataFrame:
     """Rows that fall exactly on a month end, on the full month-end grid, gaps interpolated."""
     on_grid = df.filter(F.col(date) == F.last_day(date)).select(*series, date, *cols)
-    full = spine(df, series, date, "month_end").join(on_grid, [*series, date], "left")
+    full = matched(spine(df, series, date, "month_end"), on_grid, [*series, date])
     return interpolate(Panel.calendar(full, series, date), cols).finish()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from seriesloom import session
 from seriesloom.functions.columns import finite_or_null, sdiv
 from seriesloom.operators.features import attach
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import Panel, matched
 
 # --- fixed values: column-name clean-up, applied in this order after lower-casing ---
 NAME_REPLACEMENTS = ((" ", "_"), ("(", ""), (")", ""), ("/", ""), ("__", "_"), ("$t", "usdt"))
@@ -195,7 +195,7 @@ def history_and_forecast(history: DataFrame, forecast: DataFrame, price: str, pr
 def corrected(df: DataFrame, fixes: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
     """Replace ``c`` where ``fixes`` (keys, c) has a value."""
     new = fixes.select(*keys, F.col(c).alias("__fix"))
-    return df.join(new, list(keys), "left").withColumn(c, F.coalesce("__fix", c)).drop("__fix")
+    return matched(df, new, keys).withColumn(c, F.coalesce("__fix", c)).drop("__fix")
 
 
 def year_flag(date: str, year: int = FLAGGED_YEAR) -> Column:

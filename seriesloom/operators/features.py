@@ -13,7 +13,7 @@ from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 from seriesloom.functions.columns import before, guarded, rolling, sdiv, upto
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import Panel, matched
 
 # --- fixed values: output column names and defaults users rely on ---
 LAG_NAME = "{c}_lag_{n}"
@@ -369,9 +369,9 @@ def detrended(panel: Panel, c: str, out: str | None = None) -> Panel:
 
 
 def attach(df, per_key, keys: Sequence[str], how: str = "left"):
-    """Join one row per key back to the rows.
+    """Join one row per key back to the rows; the row of a null key goes to the rows with a null key.
 
     No broadcast hint: adaptive execution broadcasts when the measured side is small, and
     otherwise splits the hot keys of the large side.
     """
-    return df.join(per_key, list(keys), how) if keys else df.crossJoin(F.broadcast(per_key))
+    return matched(df, per_key, list(keys), how=how) if keys else df.crossJoin(F.broadcast(per_key))

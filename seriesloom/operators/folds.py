@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators.calendar import working_horizon_days
 from seriesloom.operators.features import attach
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import Panel, matched
 
 ROW = "row_no"
 
@@ -36,7 +36,7 @@ def expanding_folds(panel: Panel, date: str, first_test: str | Column, size: int
     s = panel.series
     start = F.to_date(F.lit(first_test)) if isinstance(first_test, str) else first_test
     sizes = _sizes(rows, s, date)
-    first = rows.filter(F.col(date) == start).select(*s, F.col(ROW).alias("first_row")).join(sizes, s)
+    first = matched(rows.filter(F.col(date) == start).select(*s, F.col(ROW).alias("first_row")), sizes, s, how="inner")
     # Every step-th row from the first test row starts a fold; the rows themselves are the candidates.
     ahead = F.col(ROW) - F.col("first_row")
     dated = attach(rows.select(*s, date, ROW), first, s, "inner").filter((ahead >= 0) & (F.pmod(ahead, F.lit(step)) == 0))
@@ -46,7 +46,7 @@ def expanding_folds(panel: Panel, date: str, first_test: str | Column, size: int
     reach = F.date_add("start_date", 7 * size)
     dated = dated.withColumn("final", (F.col("fold") > 1) & (reach >= F.col("last_date")))
     stop = dated.filter("final").groupBy(*s).agg(F.min("fold").alias("stop_fold"))
-    kept = dated.join(stop, s, "left").filter(F.col("stop_fold").isNull() | (F.col("fold") <= F.col("stop_fold")))
+    kept = matched(dated, stop, s).filter(F.col("stop_fold").isNull() | (F.col("fold") <= F.col("stop_fold")))
     end = F.when((F.col("fold") > 1) & (reach > F.col("last_date")), F.col("n_rows")).otherwise(
         F.least(F.col("test_start") + size, F.col("n_rows"))
     )
@@ -56,7 +56,7 @@ def expanding_folds(panel: Panel, date: str, first_test: str | Column, size: int
 def missing_start(panel: Panel, date: str, first_test: str) -> DataFrame:
     """Series that have no row on the first test date."""
     hit = panel.df.filter(F.col(date) == F.to_date(F.lit(first_test))).select(*panel.series)
-    return panel.df.select(*panel.series).distinct().join(hit, panel.series, "left_anti")
+    return matched(panel.df.select(*panel.series).distinct(), hit, panel.series, how="left_anti")
 
 
 def calendar_folds(panel: Panel, date: str, steps: int, size: int, horizon: int, weekend_days: int = 2) -> DataFrame:
@@ -73,7 +73,7 @@ def calendar_folds(panel: Panel, date: str, steps: int, size: int, horizon: int,
     counts = dated.groupBy(*s, first_fold.alias("fold")).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*s).orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)
     test = working_horizon_days(horizon, weekend_days)
-    seen = ends.join(counts, [*s, "fold"], "left").withColumn("test_end", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    seen = matched(ends, counts, [*s, "fold"]).withColumn("test_end", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     start = F.greatest(F.lit(0), F.col("test_end") - test)
     return seen.select(*s, "fold", start.alias("train_end"), start.alias("test_start"), "test_end")
 
@@ -115,19 +115,19 @@ def test_rows(panel: Panel, folds: DataFrame) -> DataFrame:
     wanted = folds.filter("test_end > test_start").select(
         *s, "fold", F.explode(F.sequence("test_start", F.col("test_end") - 1)).alias(ROW)
     )
-    return numbered(panel).df.join(wanted, [*s, ROW])
+    return matched(numbered(panel).df, wanted, [*s, ROW], how="inner")
 
 
 def train_rows(panel: Panel, folds: DataFrame, fold: int) -> DataFrame:
     """Training rows of one fold."""
     one = folds.filter(F.col("fold") == fold).select(*panel.series, "fold", "train_end")
     rows = numbered(panel).df
-    return rows.join(one, panel.series).filter(F.col(ROW) < F.col("train_end")).drop("train_end")
+    return matched(rows, one, panel.series, how="inner").filter(F.col(ROW) < F.col("train_end")).drop("train_end")
 
 
 def fold_rows(panel: Panel, folds: DataFrame) -> DataFrame:
     """Every row of every fold with its part; the output itself grows with rows times folds."""
-    rows = numbered(panel).df.join(folds, panel.series).filter(F.col(ROW) < F.col("test_end"))
+    rows = matched(numbered(panel).df, folds, panel.series, how="inner").filter(F.col(ROW) < F.col("test_end"))
     rows = rows.filter((F.col(ROW) < F.col("train_end")) | (F.col(ROW) >= F.col("test_start")))
     part = F.when(F.col(ROW) < F.col("train_end"), "train").otherwise("test")
     return rows.withColumn("part", part).drop("train_end", "test_start", "test_end")

@@ -16,7 +16,7 @@ from seriesloom.functions import state as st
 from seriesloom.operators import calendar as cal
 from seriesloom.operators.cleaning import last_rows
 from seriesloom.operators.features import attach
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import Panel, matched
 from seriesloom.plans.config import FeatureSet, output_names
 
 HISTORY = "__history"
@@ -178,8 +178,8 @@ def future_frame(panel: Panel, fs: FeatureSet, date: str, horizon: int, weekend_
     days = cal.drop_weekends(cal.future_days(panel.df, panel.series, date, horizon), date)
     days = days.withColumns({k: v for k, v in cal.date_parts(date).items() if k != "weekday_name"})
     first = days.groupBy(*panel.series).agg(F.min(date).alias(date))
-    seeded = first.join(first_future_features(panel, fs), panel.series)
-    return days.join(seeded, [*panel.series, date], "left")
+    seeded = matched(first, first_future_features(panel, fs), panel.series, how="inner")
+    return matched(days, seeded, [*panel.series, date])
 
 
 def future_feature_rows(history: DataFrame, future: DataFrame, series: Sequence[str], date: str, fs: FeatureSet, build) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.operators.features import attach
+from seriesloom.operators.panel import matched
 
 
 def star_join(base: DataFrame, tables: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
@@ -26,7 +27,7 @@ def star_joins(base: DataFrame, tables: Mapping[str, DataFrame], sets: Mapping[s
 
 
 def features_with_target(x: DataFrame, y: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return x.join(y, list(keys), "left")
+    return matched(x, y, keys)
 
 
 def with_group_value(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
@@ -47,16 +48,16 @@ def latest_forecast_with_actual(
 ) -> DataFrame:
     """The newest run's forecast for each series' newest actual date, per model."""
     newest_actual = actuals.groupBy(*series).agg(F.max(date).alias(date))
-    current = actuals.join(newest_actual, [*series, date])
+    current = matched(actuals, newest_actual, [*series, date], how="inner")
     newest_run = forecasts.groupBy(*series).agg(F.max(run_date).alias(run_date))
-    return forecasts.join(newest_run, [*series, run_date]).join(current, [*series, date])
+    return matched(matched(forecasts, newest_run, [*series, run_date], how="inner"), current, [*series, date], how="inner")
 
 
 def without_forecast(forecasts: DataFrame, actuals: DataFrame, series: Sequence[str], date: str) -> DataFrame:
     """Newest actuals no forecast covers."""
     newest = actuals.groupBy(*series).agg(F.max(date).alias(date))
-    return newest.join(forecasts, [*series, date], "left_anti")
+    return matched(newest, forecasts, [*series, date], how="left_anti")
 
 
 def with_interval(forecast: DataFrame, interval: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return forecast.join(interval, list(keys), "left")
+    return matched(forecast, interval, keys)

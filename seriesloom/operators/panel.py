@@ -86,6 +86,11 @@ class Panel:
         row = self.df.groupBy(*self.series).count().agg(F.max("count"), F.sum("count"), F.max(nulls)).first()
         return (row[0] or 0, row[1] or 0, bool(row[2]))
 
+    @property
+    def total(self) -> int:
+        """Rows of all series, as measured (or the proven bound of one)."""
+        return self._sizes[1]
+
     @property
     def is_split(self) -> bool:
         return self._chunk_rows is not None or self._sizes[0] > self.limit
@@ -340,18 +345,28 @@ def _chunk_of(chunk_rows: int) -> Column:
     return F.floor((F.col(POS) - 1) / F.lit(chunk_rows)).cast("long")
 
 
-def matched(df: DataFrame, rows: DataFrame, keys: Sequence[str], nulls: bool, how: str = "left") -> DataFrame:
-    """``df`` joined to ``rows`` on ``keys``; with ``nulls`` a null key matches a null key.
+def matched(df: DataFrame, rows: DataFrame, keys: Sequence[str], nulls: bool = True, how: str = "left") -> DataFrame:
+    """``df`` joined to ``rows`` on ``keys``; a null key matches a null key, as it does in a grouping.
 
-    The plain equality is kept where no key is null, because it reuses the exchange of the windows.
+    The plain equality is kept where no key can be null, by the schema or because ``nulls`` is known to be False: it reuses the
+    exchange of the windows.
     """
-    if not nulls:
+    nullable = {f.name for f in df.schema.fields if f.nullable} & {f.name for f in rows.schema.fields if f.nullable}
+    if not nulls or not nullable.intersection(keys):
         return df.join(rows, list(keys), how)
     theirs = rows.withColumnsRenamed({c: f"__of_{c}" for c in keys})
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in keys])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) if c in nullable else F.col(c) == F.col(f"__of_{c}") for c in keys])
     return df.join(theirs, same, how).drop(*[f"__of_{c}" for c in keys])
 
 
+def in_slabs(df: DataFrame, order: Sequence[str], total: int, slab_rows: int) -> DataFrame:
+    """``df`` range-partitioned on ``order``, with ``__slab``, the number of each row's partition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = -(-total // slab_rows)
+    slabs = int(max(1, min(wanted, max(cores, total // session.DEFAULT_ROWS_PER_TASK), 8 * MAX_CHUNKS)))
+    return df.repartitionByRange(slabs, *order).withColumn(SLAB, F.spark_partition_id())
+
+
 def exact_positions(df: DataFrame, series: Sequence[str], order: Sequence[str], total: int, chunk_rows: int, nulls: bool) -> DataFrame:
     """Add ``__pos``, the 1-based position in the series, with no task holding a whole series.
 
@@ -359,15 +374,7 @@ def exact_positions(df: DataFrame, series: Sequence[str], order: Sequence[str],
     series is. Rows are numbered inside their sorted slab and written out, so slabs and numbers
     stay fixed; a count per (series, slab) then shifts every run of rows to its place.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    wanted = -(-total // chunk_rows)
-    slabs = int(max(1, min(wanted, max(cores, total // session.DEFAULT_ROWS_PER_TASK), 8 * MAX_CHUNKS)))
-    ranged = (
-        df.repartitionByRange(slabs, *series, *order)
-        .sortWithinPartitions(*series, *order)
-        .withColumns({SLAB: F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
-    )
-    ranged = session.cut(ranged)
+    ranged = session.cut(in_slabs(df, [*series, *order], total, chunk_rows).sortWithinPartitions(*series, *order).withColumn("__at", F.monotonically_increasing_id()))
     keys = [*series, SLAB]
     w = Window.partitionBy(*series).orderBy(SLAB).rowsBetween(Window.unboundedPreceding, -1)
     runs = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from seriesloom import session
 from seriesloom.operators.cleaning import last_rows
-from seriesloom.operators.panel import CHUNK, Panel
+from seriesloom.operators.panel import CHUNK, Panel, matched
 
 # --- fixed values: grid of level, trend and season weights, and the trend damping ---
 LEVEL = (0.1, 0.3, 0.6)
@@ -126,7 +126,7 @@ def _score_split(panel: Panel, period: int) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("__i", "__y"))), lambda x: x["__y"]).alias("__head")
     )
     head = head.filter(F.size("__head") >= 2 * period)
-    rows = session.spread(p.df.select(*s, CHUNK, "__i", "__y").join(head.select(*s), s, "left_semi"), [*s, CHUNK])
+    rows = session.spread(matched(p.df.select(*s, CHUNK, "__i", "__y"), head.select(*s), s, how="left_semi"), [*s, CHUNK])
     wide = period + 2
     numbers = T.ArrayType(T.DoubleType())
 
@@ -158,7 +158,7 @@ def _score_split(panel: Panel, period: int) -> DataFrame:
         return pd.DataFrame(out)
 
     ends = rows.groupBy(*s, CHUNK).applyInPandas(chunk_end, ends_schema)
-    entries = ends.join(head, s).groupBy(*s).applyInPandas(enter, entry_schema)
+    entries = matched(ends, head, s, how="inner").groupBy(*s).applyInPandas(enter, entry_schema)
 
     # Pass 2: squared error of every grid row, and the end state of each chunk.
     score_schema = T.StructType(
@@ -173,8 +173,8 @@ def _score_split(panel: Panel, period: int) -> DataFrame:
         return keyed(pdf, **{"__i": int(pdf["__i"].iloc[-1]), "__sse": sse.tolist(), "__state": end.ravel().tolist()})
 
     # The entering state rides on the first row of its chunk only.
-    opening_row = rows.groupBy(*s, CHUNK).agg(F.min("__i").alias("__i")).join(entries, [*s, CHUNK])
-    with_entry = rows.join(opening_row, [*s, CHUNK, "__i"], "left")
+    opening_row = matched(rows.groupBy(*s, CHUNK).agg(F.min("__i").alias("__i")), entries, [*s, CHUNK], how="inner")
+    with_entry = matched(rows, opening_row, [*s, CHUNK, "__i"])
 
     scored = with_entry.groupBy(*s, CHUNK).applyInPandas(score, score_schema)
     return scored.groupBy(*s).agg(
@@ -192,4 +192,4 @@ def naive_tail(panel: Panel, c: str, horizon: int) -> DataFrame:
 
 def with_fallback(forecast: DataFrame, fallback: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Forecast rows, and the fallback's where there are none."""
-    return forecast.unionByName(fallback.join(forecast, list(keys), "left_anti"))
+    return forecast.unionByName(matched(fallback, forecast, list(keys), how="left_anti"))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from seriesloom import session
 from seriesloom.operators.features import attach, detrended
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import Panel, matched
 
 # --- fixed values: sample spacing per frequency label ---
 SPACING = {"H": 1 / 24, "D": 1.0, "W": 1.0, "M": 1 / 4.33, "Q": 1 / 13, "A": 1 / 52}
@@ -120,7 +120,7 @@ def _long_amplitudes(rows: DataFrame, series: Sequence[str]) -> DataFrame:
     a = _power_of_two_transform(signal, series)
     b = _power_of_two_transform(chirp, series).select(*series, "__j", F.col("re").alias("br"), F.col("im").alias("bi"))
     re, im, br, bi = (F.col(x) for x in ("re", "im", "br", "bi"))
-    product = a.join(b, [*series, "__j"]).select(*keep, "__j", (re * br - im * bi).alias("re"), (re * bi + im * br).alias("im"))
+    product = matched(a, b, [*series, "__j"], how="inner").select(*keep, "__j", (re * br - im * bi).alias("re"), (re * bi + im * br).alias("im"))
     # The closing chirp factor has modulus one, so amplitudes need no further product.
     out = _power_of_two_transform(product, series, inverse=True).filter(F.col("__j") < F.floor(n / 2))
     size = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im"))

@@ -13,7 +13,7 @@ from seriesloom import session
 from seriesloom.functions import distributions as ds
 from seriesloom.functions.columns import sdiv
 from seriesloom.operators.features import attach
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import SLAB, Panel, in_slabs, matched
 from seriesloom.operators.regression import FIT, least_squares
 
 # --- fixed values: MacKinnon (2010) response surface, constant, one variable ---
@@ -46,40 +46,65 @@ def pearson_test(df: DataFrame, keys: Sequence[str], x: str, y: str, *, p_value:
     return out.withColumn("p", ds.t_two_sided_p(F.col("t"), F.col("n") - 2)) if p_value else out
 
 
-def value_ranks(counted: DataFrame, keys: Sequence[str], c: str, out: str, **kw) -> DataFrame:
-    """The average rank of each distinct value of ``c`` in its key, from rows with counts ``__n``; ties share their mean rank.
+def average_ranks(df: DataFrame, keys: Sequence[str], c: str, out: str, spread: Sequence[str] = (), rows_per_task: int | None = None) -> DataFrame:
+    """Add the average rank of ``c`` in its key and, as ``<out>_ties``, how many rows share it. Rows without a value are left out.
 
-    The ordered pass sees one row per value, and splits when a key has too many values.
+    Keys that fit a task are one window. Otherwise rows are range-partitioned on (key, value, ``spread``) and ranked inside their sorted slab; a row per
+    (key, slab) then shifts the ranks and puts together the values that lie across the border of slabs. No rows are joined on the
+    value, so a value that very many rows share is as cheap as another.
     """
-    ties = session.cut(counted.groupBy(*keys, c).agg(F.sum("__n").alias("__ties")))
-    upto = Panel(ties, keys, [c], **kw).running_sums({"__upto": F.col("__ties")}).df
-    return upto.select(*keys, c, (F.col("__upto") - (F.col("__ties") - 1) / 2).alias(out), F.col("__ties").alias(f"{out}_ties"))
-
-
-def average_ranks(df: DataFrame, keys: Sequence[str], c: str, out: str, **kw) -> DataFrame:
-    """Add the average rank of ``c`` in its key to every row."""
-    counted = df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("__n"))
-    return df.join(value_ranks(counted, keys, c, out, **kw), [*keys, c], "left")
+    rows = df.filter(F.col(c).isNotNull())
+    panel = Panel(rows, keys, [c], rows_per_task=rows_per_task)
+    ties = F.col(f"{out}_ties")
+    if not panel.is_split:
+        rows = rows.withColumns({out: F.rank().over(Window.partitionBy(*keys).orderBy(c)), f"{out}_ties": F.count(F.lit(1)).over(Window.partitionBy(*keys, c))})
+        return rows.withColumn(out, F.col(out) + (ties - 1) / 2)
+    slabbed = in_slabs(rows, [*keys, c, *spread], panel.total, panel.limit)
+    own = Window.partitionBy(SLAB, *keys).orderBy(c)
+    # ties in the slab, and rows of the slab before them
+    slabbed = slabbed.withColumns({f"{out}_ties": F.count(F.lit(1)).over(Window.partitionBy(SLAB, *keys, c)), "__before": F.rank().over(own) - 1})
+    slabbed = session.cut(slabbed)
+    edges = slabbed.groupBy(*keys, SLAB).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min(c).alias("__lo"), F.max(c).alias("__hi"), F.min_by(ties, c).alias("__lo_n"), F.max_by(ties, c).alias("__hi_n"),
+    )
+    before = F.sum("__rows").over(Window.partitionBy(*keys).orderBy(SLAB)) - F.col("__rows")
+    edges = edges.withColumn("__base", before)
+    # The first and the last value of each slab are the only ones that others may hold too.
+    low = F.struct(F.col("__lo").alias("v"), F.col("__lo_n").alias("n"), F.col("__base").alias("at"), F.lit(True).alias("lo"))
+    high = F.struct(F.col("__hi").alias("v"), F.col("__hi_n").alias("n"), (F.col("__base") + F.col("__rows") - F.col("__hi_n")).alias("at"), F.lit(False).alias("lo"))
+    each = edges.select(*keys, SLAB, "__base", F.explode(F.when(F.col("__lo") == F.col("__hi"), F.array(low)).otherwise(F.array(low, high))).alias("__e"))
+    whole = Window.partitionBy(*keys, "__e.v")
+    each = each.withColumns({"__all": F.sum("__e.n").over(whole), "__start": F.min("__e.at").over(whole)})
+    at_edge = lambda lo: F.max(F.when(F.col("__e.lo") == lo, F.struct("__e.v", "__all", "__start")))
+    shifts = each.groupBy(*keys, SLAB).agg(F.first("__base").alias("__base"), at_edge(True).alias("__first"), at_edge(False).alias("__last"))
+    placed = matched(slabbed, shifts, [*keys, SLAB], how="inner")
+    edge = F.when(F.col(c) == F.col("__first.v"), F.col("__first")).when(F.col(c) == F.col("__last.v"), F.col("__last"))
+    placed = placed.withColumn("__edge", edge)
+    start = F.coalesce(F.col("__edge.__start"), F.col("__base") + F.col("__before"))
+    placed = placed.withColumn(f"{out}_ties", F.coalesce(F.col("__edge.__all"), ties))
+    placed = placed.withColumn(out, start + (F.col(f"{out}_ties") + 1) / 2)
+    return placed.drop(SLAB, "__before", "__base", "__first", "__last", "__edge")
 
 
 def spearman_test(df: DataFrame, keys: Sequence[str], x: str, y: str, *, p_value: bool = True, **kw) -> DataFrame:
-    """Rank correlation. The rows are read once, to count each pair of values; ranks join the distinct pairs, never the rows."""
-    both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    pairs = session.cut(both.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("__n")))
-    total = pairs.groupBy(*keys).agg(F.sum("__n").alias("n"))
-    ranked = attach(pairs, total, keys).join(value_ranks(pairs, keys, x, "__rx", **kw), [*keys, x]).join(value_ranks(pairs, keys, y, "__ry", **kw), [*keys, y])
-    # The mean rank is known, so the moments are centred from the start.
-    n, dx, dy = F.col("__n"), F.col("__rx") - (F.col("n") + 1) / 2, F.col("__ry") - (F.col("n") + 1) / 2
-    out = ranked.groupBy(*keys).agg(F.sum(n * dx * dy).alias("__xy"), F.sum(n * dx * dx).alias("__xx"), F.sum(n * dy * dy).alias("__yy"), F.max("n").alias("n"))
+    """Rank correlation. Each column is ranked in one ordered pass; a row goes through both with its key, its values and its ranks only."""
+    both = df.select(*keys, F.col(x).alias("__x"), F.col(y).alias("__y")).filter("__x IS NOT NULL AND __y IS NOT NULL")
+    ranked = average_ranks(average_ranks(both, keys, "__x", "__rx", ["__y"], **kw), keys, "__y", "__ry", ["__rx"], **kw)
+    out = ranked.groupBy(*keys).agg(
+        F.covar_pop("__rx", "__ry").alias("__xy"), F.var_pop("__rx").alias("__xx"), F.var_pop("__ry").alias("__yy"), F.count(F.lit(1)).alias("n")
+    )
     out = out.select(*keys, sdiv(F.col("__xy"), F.sqrt(F.col("__xx") * F.col("__yy"))).alias("r"), "n")
     out = out.withColumn("t", F.col("r") * F.sqrt(sdiv(F.col("n") - 2, 1 - F.col("r") * F.col("r"))))
     return out.withColumn("p", ds.t_two_sided_p(F.col("t"), F.col("n") - 2)) if p_value else out
 
 
 def seasonality_tests(df: DataFrame, keys: Sequence[str], c: str, group: str, alpha: float = 0.05, *, p_value: bool = True, **kw) -> DataFrame:
-    """Do the groups (such as months) differ in level (Kruskal-Wallis) or in variance (Bartlett)?"""
-    rows = df.filter(F.col(c).isNotNull()).select(*keys, group, F.col(c).cast("double").alias(c))
-    ranked = average_ranks(rows, keys, c, "__r", **kw)
+    """Do the groups (such as months) differ in level (Kruskal-Wallis) or in variance (Bartlett)?
+
+    With a group of one row, which has no variance, ``bartlett`` is null. Rows without a value are left out.
+    """
+    rows = df.select(*keys, group, F.col(c).cast("double").alias(c))
+    ranked = average_ranks(rows, keys, c, "__r", [group], **kw)
     per_group = ranked.groupBy(*keys, group).agg(
         F.count(F.lit(1)).alias("n"), F.sum("__r").alias("rank_sum"), F.var_samp(c).alias("v"),
         F.sum(F.col("__r_ties") * F.col("__r_ties") - 1).alias("tie_sum"),
@@ -90,9 +115,9 @@ def seasonality_tests(df: DataFrame, keys: Sequence[str], c: str, group: str, al
         k.alias("groups"),
         F.sum(F.col("rank_sum") * F.col("rank_sum") / n).alias("__rr"),
         F.sum("tie_sum").alias("__ties"),
-        (F.sum((n - 1) * v) / F.sum(n - 1)).alias("__pooled"),
+        sdiv(F.sum((n - 1) * v), F.sum(n - 1)).alias("__pooled"),
         F.sum((n - 1) * F.log(v)).alias("__logs"),
-        F.sum(1 / (n - 1)).alias("__inv"),
+        F.when(F.min(n) > 1, F.sum(sdiv(F.lit(1.0), n - 1))).alias("__inv"),
     )
     big = F.col("n_rows").cast("double")
     h = (12 / (big * (big + 1)) * F.col("__rr") - 3 * (big + 1)) / (1 - F.col("__ties") / (big * big * big - big))
@@ -238,7 +263,7 @@ def decompose(panel: Panel, c: str, period: int) -> Panel:
     phases = p.df.groupBy(*p.series, "__phase").agg(F.avg("detrended").alias("__pm"))
     w = Window.partitionBy(*p.series)
     phases = phases.select(*p.series, "__phase", (F.col("__pm") - F.avg("__pm").over(w)).alias("seasonal"))
-    df = p.df.join(phases, [*p.series, "__phase"], "left").withColumns(
+    df = matched(p.df, phases, [*p.series, "__phase"]).withColumns(
         {"resid": F.col("detrended") - F.col("seasonal"), "deseasonalised": F.col(c) - F.col("seasonal")}
     )
     return p.with_df(df.drop("__t", "__phase"))

@@ -43,7 +43,7 @@ def autoregression(panel: Panel, c: str, p: int, horizon: int, *, ridge: float =
     xs = config.output_names(fs)
     rows = config.build(panel, fs, fill=None).df
     fit = md.series_fit(rows, panel.series, xs, c, ridge)
-    state = fc.series_state(panel, c, p).join(fit, panel.series)
+    state = matched(fc.series_state(panel, c, p), fit, panel.series, how="inner")
     out = fc.recursive_forecast(state, fs, md.series_predictor(xs), horizon)
     if z is None:
         return out.drop(FIT)
@@ -71,7 +71,7 @@ def autoregression(panel: Panel, c: str, p: int, horizon: int, *, ridge: float =
 def residual_correction(forecast: DataFrame, residuals: Panel, c: str, p: int, horizon: int) -> DataFrame:
     """Add an AR(p) forecast of the residuals to a forecast with ``step`` and ``prediction``."""
     r = autoregression(residuals, c, p, horizon).select(*residuals.series, "step", F.col("prediction").alias("residual_forecast"))
-    out = forecast.join(r, [*residuals.series, "step"], "left")
+    out = matched(forecast, r, [*residuals.series, "step"])
     return out.withColumn("corrected", F.col("prediction") + F.coalesce("residual_forecast", F.lit(0.0)))
 
 
@@ -93,7 +93,7 @@ def fill_exogenous(panel: Panel, future: DataFrame, cols: Sequence[str], **kw) -
     """Fill the null tail of exogenous columns in ``future`` (series, step, cols) with their forecasts."""
     horizon = future.agg(F.max("step")).first()[0]
     made = exogenous_future(panel, cols, int(horizon), **kw).withColumnsRenamed({c: f"__{c}" for c in cols})
-    rows = future.join(made, [*panel.series, "step"], "left")
+    rows = matched(future, made, [*panel.series, "step"])
     return rows.withColumns({c: F.coalesce(F.col(c), F.col(f"__{c}")) for c in cols}).drop(*[f"__{c}" for c in cols])
 
 
@@ -143,7 +143,7 @@ def stepwise_prediction(
     one = folds.filter(F.col("fold") == fold).filter("test_end > test_start").persist()
     if horizon is None:
         horizon = int(one.agg(F.max(F.col("test_end") - F.col("test_start"))).first()[0] or 0)
-    train = features.join(one.select(*s, "train_end"), s).filter(F.col(fd.ROW) < F.col("train_end")).drop("train_end").persist()
+    train = matched(features, one.select(*s, "train_end"), s, how="inner").filter(F.col(fd.ROW) < F.col("train_end")).drop("train_end").persist()
     model = md.fit(spec, train, names, fs.target)
     errors = model.predict(train).agg(
         mt.rounded(mt.mape(fs.target, "prediction"), 4).alias("TRAINING_MAPE"), mt.rounded(mt.rmse(fs.target, "prediction"), 2).alias("TRAINING_RMSE")
@@ -151,11 +151,11 @@ def stepwise_prediction(
     known = Panel(train.select(*s, *panel.order, fs.target, *fs.inputs()), s, panel.order, rows_per_task=panel.limit, rows_bound=panel.rows_bound)
     state, exog = state_with_paths(known, fs, horizon, exogenous)
     out = fc.recursive_model_forecast(state, fs, model.predict, horizon, exogenous={n: f"path_{n}" for n in exog})
-    tests = features.select(*s, date, fd.ROW, F.col(fs.target).cast("double").alias("actual")).join(one, s).filter(
+    tests = matched(features.select(*s, date, fd.ROW, F.col(fs.target).cast("double").alias("actual")), one, s, how="inner").filter(
         (F.col(fd.ROW) >= F.col("test_start")) & (F.col(fd.ROW) < F.col("test_end"))
     )
     tests = tests.select(*s, date, "actual", (F.col(fd.ROW) - F.col("test_start") + 1).cast("int").alias("step"))
-    report = tests.join(out.select(*s, "step", F.col("prediction").alias("forecast")), [*s, "step"], "left")
+    report = matched(tests, out.select(*s, "step", F.col("prediction").alias("forecast")), [*s, "step"])
     report = report.withColumns({"model_type": F.lit(spec.label), "window": F.lit(fold)}).crossJoin(F.broadcast(errors))
     # The model and its training rows are done with; keep the rows of the report only.
     report = session.cut(report)
@@ -224,7 +224,7 @@ def fold_frames(panel: Panel, fs: FeatureSet, n_splits: int, size: int) -> list[
     folds = session.cut(fd.end_anchored_folds(panel, panel.order[0], n_splits, size))
     out = []
     for k in range(n_splits):
-        x = rows.join(folds.filter(F.col("fold") == k), panel.series)
+        x = matched(rows, folds.filter(F.col("fold") == k), panel.series, how="inner")
         at = F.col(fd.ROW)
         out.append((x.filter(at < F.col("train_end")), x.filter((at >= F.col("test_start")) & (at < F.col("test_end")))))
     return out
@@ -268,7 +268,7 @@ def inference(
         out = out.unionByName(fc.voting_mean(out, [*s, "step"]).withColumn("model_type", F.lit("ensemble")))
     make = {"week": cal.future_weeks, "month": cal.future_months}[dates]
     when = make(panel.df, s, date, horizon)
-    out = out.join(when, [*s, "step"]).withColumnRenamed("prediction", "forecast")
+    out = matched(out, when, [*s, "step"], how="inner").withColumnRenamed("prediction", "forecast")
     return out.withColumn("run_date", F.to_date(F.lit(run_date)))
 
 

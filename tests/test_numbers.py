@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,16 @@ def test_normal_distribution_expression(spark):
     x = [-8.0, -3.0, -1.959963984540054, -0.5, 0.0, 0.3, 1.0, 2.5, 6.0]
     got = spark.createDataFrame([(v,) for v in x], "x double").select(ds.normal_p_below(F.col("x")).alias("p")).collect()
     assert [r.p for r in got] == pytest.approx([0.5 * math.erfc(-v / math.sqrt(2)) for v in x], abs=2e-7)
+
+
+@pytest.mark.parametrize("limit", [None, 5, 40])
+def test_average_ranks_across_slabs(spark, limit):
+    """One value that a third of all rows share, ties at every border, a null key and missing values."""
+    r = np.random.default_rng(4)
+    rows = [(None if i % 3 == 0 else "a", None if i % 17 == 0 else 5.0 if i % 3 == 1 else float(r.integers(0, 12)), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, v double, i long")
+    got = {x.i: (x.r, x.r_ties) for x in st.average_ranks(df, ["k"], "v", "r", ["i"], rows_per_task=limit).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "v", "i"]).dropna(subset="v")
+    groups = pdf.groupby("k", dropna=False)["v"]
+    ties = pdf.groupby(["k", "v"], dropna=False)["v"].transform("size")
+    assert got == {i: (rank, n) for i, rank, n in zip(pdf["i"], groups.rank(), ties)}
