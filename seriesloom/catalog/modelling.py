@@ -159,35 +159,6 @@ def _walk(spark, sf):
 
 query("b07_walk_forward")(lambda spark, sf: _walk(spark, sf)[0])
 query("b07_walk_forward_importances")(lambda spark, sf: _walk(spark, sf)[1])
-_LINEAR_FOLD = """fit{k} AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM (SELECT y, coalesce(l, y) AS x FROM x WHERE back > {far})),
-e{k} AS (SELECT round(avg(abs((y - a - b * v) / y)), 4) AS "TRAINING_MAPE", round(sqrt(avg(pow(y - a - b * v, 2))), 2) AS "TRAINING_RMSE"
-  FROM (SELECT y, coalesce(l, y) AS v FROM x WHERE back > {far}), fit{k}),
-s{k} AS (SELECT series, 1 AS step, a + b * y AS p FROM x, fit{k} WHERE back = {far} + 1 UNION ALL SELECT series, step + 1, a + b * p FROM s{k}, fit{k} WHERE step < 6),
-w{k} AS (SELECT x.series, x.date, s{k}.step, x.y AS actual, p AS forecast, 'linear' AS model_type, {k} AS "window", e{k}.*
-  FROM s{k} JOIN x ON x.series = s{k}.series AND x.back = {far} + 1 - s{k}.step, e{k})"""
-_WALK_SQL = f"""WITH RECURSIVE {SUPPLIER_MONTHLY}, x AS (SELECT series, date, y, lag(y) {over()} AS l, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly),
-{_LINEAR_FOLD.format(k=0, far=12)}, {_LINEAR_FOLD.format(k=1, far=6)}, w AS (SELECT * FROM w0 UNION ALL SELECT * FROM w1),
-m AS (SELECT series, "window", round(avg(abs((actual - forecast) / actual)), 4) AS "MAPE", round(sqrt(avg(pow(actual - forecast, 2))), 2) AS "RMSE" FROM w GROUP BY 1, 2)
-"""
-
-
-def _linear_walk(p):
-    folds = fd.end_anchored_folds(p, "date", 2, HORIZON)
-    return jobs.walk_forward(p, ONE_LAG, [LINEAR], folds, [0, 1], HORIZON)[0]
-
-
-query(
-    "b07_walk_forward_linear",
-    _WALK_SQL + """SELECT series, date, step, actual, round(forecast, 3) AS forecast, model_type, "window", "TRAINING_MAPE", "TRAINING_RMSE", "MAPE", "RMSE"
-FROM w JOIN m USING (series, "window")""",
-)(
-    using(
-        supplier_panel,
-        lambda p: round_to(_linear_walk(p), forecast=3).select(
-            "series", "date", "step", "actual", "forecast", "model_type", "window", "TRAINING_MAPE", "TRAINING_RMSE", "MAPE", "RMSE"
-        ),
-    )
-)
 # One exogenous lag shorter than the horizon: y on lag(rev, 1), with rev forecast by its own AR(1) per series.
 WITH_EXOG = config.FeatureSet(target="y", exog_lags={"rev": (1,)})
 _EXOG_FOLD = """ar{k} AS (SELECT series, regr_slope(rev, rl) AS b, regr_intercept(rev, rl) AS a, max(rev) FILTER (back = {far} + 1) AS r0 FROM x WHERE back > {far} GROUP BY 1),
@@ -223,9 +194,6 @@ SELECT o0.series, step, round(p, 2) AS forecast, CAST(date + to_months(step) AS
         ).select("series", "step", "forecast", "date"),
     )
 )
-query("b08_select_model_linear", _WALK_SQL + """SELECT 'linear' AS best_model, round(avg("MAPE"), 6) AS best_metric FROM m""")(
-    using(supplier_panel, lambda p: round_to(jobs.select_model(_linear_walk(p)), best_metric=6))
-)
 query("b08_select_model")(lambda spark, sf: jobs.select_model(_walk(spark, sf)[0]))
 
 
@@ -264,16 +232,6 @@ SELECT series, step, round(p, 3) AS forecast, 'linear' AS model_type, CAST(last
         ),
     )
 )
-_FOLD_SCORE = """SELECT 'linear' AS kind, {k} AS fold, round(avg(abs((y - a - b * x) / y)), 6) AS mape, round(sqrt(avg(pow(y - a - b * x, 2))), 4) AS rmse
-FROM x, (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x WHERE back > {far}) f WHERE back <= {far} AND back > {far} - 6"""
-query(
-    "f19_grid_search_linear",
-    f"""{SM}, x AS (SELECT y, coalesce(lag(y) {over()}, y) AS x, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS back FROM supplier_monthly)
-{_FOLD_SCORE.format(k=0, far=12)} UNION ALL {_FOLD_SCORE.format(k=1, far=6)}""",
-)(using(supplier_panel, lambda p: round_to(jobs.grid_search(p, ONE_LAG, "linear", 2, 6, {})[0].drop("params"), mape=6, rmse=4)))
-query("f20_random_search_linear", _WALK_SQL + 'SELECT 0 AS trial, round(avg(pow(actual - forecast, 2)), 3) AS mse FROM w WHERE "window" = 1')(
-    using(supplier_panel, lambda p: round_to(jobs.random_search(p, ONE_LAG, "linear", 1, HORIZON, space={}).drop("params"), mse=3))
-)
 query("f19_grid_search")(
     using(supplier_panel, lambda p: jobs.grid_search(p, config.FeatureSet(target="y", lags=(1, 2)), "ridge", 2, 6)[0].drop("params")))
 query("f20_random_search")(

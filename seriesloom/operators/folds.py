@@ -5,6 +5,8 @@ Bounds are 0-based row positions: train is ``[0, train_end)``, test is ``[test_s
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,11 +113,15 @@ def end_anchored_folds(panel: Panel, date: str, n_splits: int, size: int) -> Dat
 
 def test_rows(panel: Panel, folds: DataFrame) -> DataFrame:
     """Test rows of every fold, by an equi-join on the row number."""
-    s = panel.series
+    return numbered_test_rows(numbered(panel).df, folds, panel.series)
+
+
+def numbered_test_rows(rows: DataFrame, folds: DataFrame, series: Sequence[str]) -> DataFrame:
+    """As :func:`test_rows`, for rows that have their numbers."""
     wanted = folds.filter("test_end > test_start").select(
-        *s, "fold", F.explode(F.sequence("test_start", F.col("test_end") - 1)).alias(ROW)
+        *series, "fold", F.explode(F.sequence("test_start", F.col("test_end") - 1)).alias(ROW)
     )
-    return matched(numbered(panel).df, wanted, [*s, ROW], how="inner")
+    return matched(rows, wanted, [*series, ROW], how="inner")
 
 
 def train_rows(panel: Panel, folds: DataFrame, fold: int) -> DataFrame:

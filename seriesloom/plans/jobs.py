@@ -166,10 +166,13 @@ def stepwise_prediction(
 
 def walk_forward(
     panel: Panel, fs: FeatureSet, specs: Sequence[md.ModelSpec], folds: DataFrame, fold_ids: Sequence[int], horizon: int | None = None,
-    exogenous: Mapping | None = None,
+    exogenous: Mapping | None = None, run_date: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Stepwise prediction of every model on every fold, with metrics, and the stacked importances.
 
+    The report has class ``validation``, TRAINING_DATE (``run_date``, today where none is given) and the date and target of the series' last training
+    row as REFERENCE_DATE and REFERENCE_PIX. Linear models of the target's own past alone are cheaper by ``fold_fits.walk_forward``.
+
     The training features look back only (but for leading gaps, which ``bfill`` takes from the series' first rows), so they are built
     once; other columns are forecast anew in each fold. The driver loops over folds and models, and each turn fits and
     predicts all series at once.
@@ -183,7 +186,11 @@ def walk_forward(
             reports.append(report)
             importances.append(model.importances(spark).withColumn("window", F.lit(fold)))
     both = mt.with_report_metrics(rs.stack(reports), [*panel.series, *REPORT_KEYS], panel.order[0])
-    return both.withColumn("class", F.lit("Testing")), rs.stack(importances)
+    last = folds.select(*panel.series, F.col("fold").alias("window"), (F.col("train_end") - 1).alias(fd.ROW))
+    last = matched(last, features.select(*panel.series, fd.ROW, F.col(panel.order[0]).alias("REFERENCE_DATE"), F.col(fs.target).cast("double").alias("REFERENCE_PIX")), [*panel.series, fd.ROW])
+    both = matched(both, last.drop(fd.ROW), [*panel.series, "window"])
+    today = F.to_date(F.lit(run_date)) if run_date else F.current_date()
+    return both.withColumns({"class": F.lit("validation"), "TRAINING_DATE": today}), rs.stack(importances)
 
 
 def select_model(report: DataFrame, metric: str = "MAPE") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -137,10 +138,17 @@ def score_specs(
 
 def best_params(table: DataFrame) -> DataFrame:
     """Parameters with the lowest mean error per kind, as JSON."""
-    per = table.groupBy("kind", F.to_json("params").alias("params")).agg(F.avg("mape").alias("mape"))
+    params = F.col("params") if table.schema["params"].dataType.typeName() == "string" else F.to_json("params")
+    per = table.groupBy("kind", params.alias("params")).agg(F.avg("mape").alias("mape"))
     return per.groupBy("kind").agg(F.min_by("params", F.struct("mape", "params")).alias("params"), F.min("mape").alias("mape"))
 
 
+def read_spec(spark, folder: str, kind: str) -> ModelSpec:
+    """The spec of ``kind`` with the parameters that ``sinks.write_params`` saved; the defaults where none are saved."""
+    found = spark.read.schema("params string, mape double, kind string").json(folder).filter(F.col("kind") == kind).select("params").head(1)
+    return ModelSpec(kind, json.loads(found[0]["params"]) if found else {})
+
+
 def subset_scores(df: DataFrame, fold: str, features: Sequence[str], target: str, spark, most: int | None = None) -> DataFrame:
     """Cross-validated squared error of every feature subset of a linear model, lower is better.
 
@@ -209,6 +217,6 @@ def series_predictor(xs: Sequence[str]):
 
 
 __all__ = [
-    "DEFAULT_MODELS", "FIT", "Fitted", "ModelSpec", "best_params", "fit", "grid", "load", "sample_grid", "score_specs",
+    "DEFAULT_MODELS", "FIT", "Fitted", "ModelSpec", "best_params", "fit", "grid", "load", "read_spec", "sample_grid", "score_specs",
     "series_fit", "series_predictor", "subset_scores", "vector_column",
 ]

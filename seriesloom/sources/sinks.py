@@ -34,6 +34,20 @@ def append_facts(df: DataFrame, path: str, schema: Mapping[str, str], partition:
     conform(df, schema).write.mode("append").partitionBy(partition).parquet(path)
 
 
+def replace_run(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+    """Write the rows of a run, each combination of ``partitions`` (run date, and model where models run apart) in its own place.
+
+    What is already there under the same values is replaced, all else stays. So a job that is run again, or retried after it was cut short,
+    never doubles its rows, as a plain append would.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def write_params(best: DataFrame, folder: str) -> None:
+    """One JSON object per kind of model: its best parameters, in a folder named by the kind."""
+    best.select("kind", "params", "mape").write.mode("overwrite").partitionBy("kind").json(folder)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Quoted CSV with a header, one file per partition or, for tables known to be small, a single file."""
     (
