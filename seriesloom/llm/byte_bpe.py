@@ -1,10 +1,11 @@
 """Byte-level BPE: ranked merges as a fold of Spark's higher-order functions, over distinct words.
 
-A text is split by the vocabulary's pattern and each piece ("word") is encoded for itself. The fold starts from a word's bytes and joins, step by
-step, the neighbours whose joint rank is lowest, the leftmost first; the ranks are a literal map in the plan, dealt into small maps by a hash so
-that one lookup reads one or two entries. All words go through this fold: the frequent ones once for the whole corpus, the others where they
-stand. The frequent ones, at most FREQUENT, are a lookup table with a proven bound; which words are in it changes the time and not the result.
-Decoding looks up each id's bytes and concatenates them.
+A text is split by the vocabulary's pattern and each piece ("word") is encoded for itself. The fold starts from the ids of a word's bytes and joins, step
+by step, the neighbours whose joint rank is lowest, the leftmost first. The ranks are a literal map in the plan from pairs of ids to the id of their
+join, dealt into small maps so that one lookup reads one or two entries. In long words one step joins all disjoint places of the lowest pair, where
+that gives the same; so a step is dear but there are few. Words that are tokens themselves are their own id. Frequent words are folded once for the
+corpus, the others where they stand; the frequent ones, at most FREQUENT, are a lookup table with a proven bound, found on a sample of texts: which
+words are in it changes the time and not the result. Decoding looks up each id's bytes and concatenates them.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm.common import let, written
 
-#: Most words in the lookup table, some 50 bytes each, and words whose place in it a worker remembers.
-FREQUENT, REMEMBERED = 700_000, 400_000
-#: Small maps that the ranks are dealt into.
-DEALT = 1 << 16
+#: Most words in the lookup table, some 50 bytes each, the documents (about) that it is chosen from, and words whose place in it a worker remembers.
+FREQUENT, SAMPLE_DOCS, REMEMBERED = 400_000, 50_000, 400_000
+#: A pair of ids as one number: ids are below this. Factors that deal pairs into groups and places.
+IDS, FACTORS = 1 << 20, (1_000_003, 7_919, 611_953, 104_729)
 #: More than any rank.
 _NONE = 1 << 30
+#: Pieces of a word above which a step joins all places of a pair, and bytes of a word above which it is cut first and not put into the table.
+BULK, LONG = 96, 192
 
 
 @lru_cache(4)
@@ -46,45 +49,145 @@ def literal(value, ddl: str) -> Column:
 
 
 @lru_cache(4)
-def _dealt(path: str) -> list[dict[str, int]]:
-    out: list[dict[str, int]] = [{} for _ in range(DEALT)]
-    for piece, rank in ranks(path).items():
-        key = piece.hex()
-        out[xxhash.xxh64_intdigest(key.encode(), 42) % DEALT][key] = rank  # as the engine's xxhash64
+def _pairs(path: str) -> dict[tuple[int, int], int]:
+    """Ids of two neighbours -> the id of their join, for every way to part a token into two tokens."""
+    known = ranks(path)
+    return {(known[t[:i]], known[t[i:]]): r for t, r in known.items() for i in range(1, len(t)) if t[:i] in known and t[i:] in known}
+
+
+@lru_cache(4)
+def _dealt(path: str) -> tuple[list[int], list[int], list[int]]:
+    """The map of pairs as flat arrays without clashes: a turn for each group of pairs, and by place the pair and the id of its join (-1 where free).
+
+    A pair stands at the place that its group's turn gives; the turns are tried, the largest groups first, until all of a group stand on free places.
+    """
+    pairs = _pairs(path)
+    groups, places = max(1, len(pairs) // 3), _prime_above(max(7, len(pairs) * 4 // 3))
+    members: dict[int, list[tuple[int, int]]] = {}
+    for a, b in pairs:
+        members.setdefault((a * FACTORS[0] + b * FACTORS[1]) % groups, []).append((a, b))
+    turns, keys, joins = [0] * groups, [-1] * places, [-1] * places
+    for g, own in sorted(members.items(), key=lambda m: -len(m[1])):
+        turn = 0
+        while True:
+            at = {(a * FACTORS[2] + b + turn * ((a + b * FACTORS[3]) % (places - 1) + 1)) % places for a, b in own}
+            if len(at) == len(own) and all(keys[i] < 0 for i in at):
+                break
+            turn += 1
+        turns[g] = turn
+        for a, b in own:
+            i = (a * FACTORS[2] + b + turn * ((a + b * FACTORS[3]) % (places - 1) + 1)) % places
+            keys[i], joins[i] = a * IDS + b, pairs[a, b]
+    return turns, keys, joins
+
+
+def _prime_above(n: int) -> int:
+    """The first prime above ``n``."""
+    n += 1 + n % 2
+    while any(n % d == 0 for d in range(3, int(n**0.5) + 1, 2)):
+        n += 2
+    return n
+
+
+@lru_cache(4)
+def _eager(path: str) -> list[bool]:
+    """By id: does the token join with a neighbour before other places of its own pair are joined? Only there does the order of places matter."""
+    out = [False] * (max(ranks(path).values()) + 1)
+    for (a, b), r in _pairs(path).items():
+        out[a] |= r < a
+        out[b] |= r < b
     return out
 
 
-def folded(word: Column, path: str) -> Column:
-    """array<int>: the ids of a word given as lower-case hex of its bytes."""
-    return let(literal(_dealt(path), "array<map<string,int>>"), lambda table: _folded(word, table))
+def folded(start: Column, path: str) -> Column:
+    """array<int>: the ids of a word, or of a cut part of one, given as the ids of its bytes. A word that is a token itself is not told apart here."""
+    turns, keys, joins = _dealt(path)
+    parts_ = F.struct(literal(turns, "array<int>").alias("turns"), literal(keys, "array<bigint>").alias("keys"), literal(joins, "array<int>").alias("joins"), literal(_eager(path), "array<boolean>").alias("eager"))
+    return let(parts_, lambda table: _folded(start, table, len(turns), len(keys)))
+
+
+def _folded(start: Column, table: Column, groups: int, places: int) -> Column:
+    none, big = F.lit(_NONE), F.lit(1).cast("bigint")
+
+    def rank(a: Column, b: Column) -> Column:
+        # A null neighbour, as the last piece's, joins with nothing.
+        a, b = a * big, b * big
+        turn = F.get(table["turns"], F.pmod(a * FACTORS[0] + b * FACTORS[1], F.lit(groups)).cast("int"))
+        place = F.pmod(a * FACTORS[2] + b + turn * (F.pmod(a + b * FACTORS[3], F.lit(places - 1)) + 1), F.lit(places)).cast("int")
+        return let(place, lambda i: F.when(F.get(table["keys"], i) == a * IDS + b, F.get(table["joins"], i)).otherwise(none))
+
+    def state(ids: Column, joins: Column, done: Column) -> Column:
+        return F.struct(ids.alias("ids"), joins.alias("joins"), done.alias("done"))
 
+    def one(ids: Column, joins: Column, least: Column) -> Column:
+        """The leftmost place of the lowest rank."""
+        def at(j: Column) -> Column:
+            left = F.when(j > 1, F.array(rank(F.get(ids, j - 2), least))).otherwise(F.array().cast("array<int>"))
+            return state(
+                F.concat(F.slice(ids, F.lit(1), j - 1), F.array(least), F.slice(ids, j + 2, F.size(ids))),
+                F.concat(F.slice(joins, F.lit(1), F.greatest(j - 2, F.lit(0))), left, F.array(rank(least, F.get(ids, j + 1))), F.slice(joins, j + 2, F.size(ids))),
+                F.lit(False),
+            )
 
-def _folded(word: Column, table: Column) -> Column:
-    def rank(piece: Column) -> Column:
-        # A null piece, as the last one's join with nothing, has no rank.
-        return F.coalesce(F.try_element_at(F.get(table, F.pmod(F.xxhash64(piece), F.lit(DEALT)).cast("int")), piece), F.lit(_NONE))
+        return let(F.array_position(joins, least).cast("int"), at)
 
-    def part(piece: Column, after: Column) -> Column:
-        """A piece and the rank of its join with the piece after it."""
-        return F.struct(piece.alias("p"), rank(F.concat(piece, after)).alias("r"))
+    def all_places(ids: Column, joins: Column, least: Column) -> Column:
+        """Every place of the lowest rank, from the left, none of which share a piece: J where two are joined, D for the second of them."""
+        flags = F.array_join(F.transform(joins, lambda r: F.when(r == least, F.lit("1")).otherwise(F.lit("0"))), "")
 
-    def step(pieces: Column) -> Column:
-        def merge(r: Column) -> Column:
-            def at(j: Column) -> Column:
-                both = F.concat(F.get(pieces, j - 1)["p"], F.get(pieces, j)["p"])
-                before = F.when(j > 1, F.concat(F.slice(pieces, F.lit(1), F.greatest(j - 2, F.lit(0))), F.array(part(F.get(pieces, j - 2)["p"], both)))).otherwise(F.slice(pieces, F.lit(1), F.lit(0)))
-                return F.concat(before, F.array(part(both, F.get(pieces, j + 1)["p"])), F.slice(pieces, j + 2, F.size(pieces)))
+        def marked(marks: Column) -> Column:
+            mark = lambda i: F.get(marks, i)
+            piece = lambda i: F.when(mark(i) == "J", least).otherwise(F.get(ids, i))
+            new_ids = F.transform(ids, lambda x, i: F.when(mark(i) == "J", least).when(mark(i) != "D", x))
+            new_joins = F.transform(joins, lambda r, i: F.when(mark(i) == "J", rank(least, piece(i + 2))).when(mark(i) == "D", F.lit(None)).when(mark(i + 1) == "J", rank(F.get(ids, i), least)).otherwise(r))
+            return state(F.array_compact(new_ids), F.array_compact(new_joins), F.lit(False))
 
-            least = F.array_min(r)
-            return F.when(least == _NONE, pieces).otherwise(let(F.array_position(r, least).cast("int"), at))
+        return let(F.split(F.regexp_replace(flags, "1.", "JD"), ""), marked)
 
-        return let(F.transform(pieces, lambda x: x["r"]), merge)
+    def step(s: Column) -> Column:
+        def join(least: Column) -> Column:
+            few = (F.size(s["ids"]) <= BULK) | F.get(table["eager"], least)
+            return F.when(least == none, state(s["ids"], s["joins"], F.lit(True))).when(few, one(s["ids"], s["joins"], least)).otherwise(all_places(s["ids"], s["joins"], least))
+
+        return F.when(s["done"], s).otherwise(let(F.array_min(s["joins"]), join))
 
     def fold(b: Column) -> Column:
-        merged = F.aggregate(F.sequence(F.lit(1), F.size(b) - 1), F.transform(b, lambda x, i: part(x, F.get(b, i + 1))), lambda pieces, _: step(pieces))
-        return let(rank(word), lambda whole: F.when(whole != _NONE, F.array(whole)).otherwise(F.transform(merged, lambda x: rank(x["p"]))))
+        first = state(b, F.transform(b, lambda x, i: rank(x, F.get(b, i + 1))), F.lit(False))
+        steps = F.when(F.size(b) > 1, F.sequence(F.lit(1), F.size(b) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, first, lambda s, _: step(s))["ids"]
+
+    return let(start, fold)
+
+
+@lru_cache(2)
+def _tokens(path: str):
+    """All tokens of two bytes or more, for finding them in a word."""
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for t in ranks(path):
+        if len(t) > 1:
+            found.add_word(t.decode("latin-1"), len(t))
+    found.make_automaton()
+    return found
+
 
-    return let(F.transform(F.sequence(F.lit(1), F.length(word), F.lit(2)), lambda i: F.substring(word, i, F.lit(2))), fold)
+def parts(word: bytes, path: str) -> list[bytes]:
+    """A long word cut at every place that no token in it reaches across: no merge does either, so the parts are encoded each for itself."""
+    reach = np.zeros(len(word) + 2, np.int64)
+    for end, n in _tokens(path).iter(word.decode("latin-1")):
+        reach[end + 2 - n] += 1
+        reach[end + 1] -= 1
+    cuts = np.flatnonzero(np.cumsum(reach)[1 : len(word)] == 0) + 1
+    at = [0, *cuts.tolist(), len(word)]
+    return [word[a:b] for a, b in zip(at, at[1:])]
+
+
+def byte_ids(words: list[bytes], path: str) -> pa.Array:
+    """list<int>: the ids of the bytes of each word."""
+    single = np.array([ranks(path)[bytes([i])] for i in range(256)], np.int32)
+    offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words))))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(single[np.frombuffer(b"".join(words), np.uint8)], pa.int32()))
 
 
 def _splitter(pattern: str):
@@ -144,29 +247,42 @@ class Table:
         return self.ids[np.repeat(self.starts[entries] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUENT) -> Table:
-    """The ids of the words that occur at least c times, c the least count that not more than ``most`` words reach."""
-    counts = written(_counted(texts, pattern))
-    by_count = sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True)
+def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUENT, sample: int = SAMPLE_DOCS) -> Table:
+    """The ids of the vocabulary's own tokens, and of the words that occur at least c times in about ``sample`` texts, c the least count (2 or more) that not more than ``most`` words reach.
+
+    Long words are left out; they are seldom met again.
+    """
+    n = texts.count()
+    some = texts if n <= sample else texts.where(F.pmod(F.xxhash64(texts.columns[0], F.lit(3)), F.lit(IDS)) < max(1, round(IDS * sample / n)))
+    counts = written(_counted(some, pattern).where((F.col("n") > 1) & (F.octet_length("word") <= LONG)))
+    by_count = sorted(counts.groupBy(F.least("n", F.lit(1_000)).alias("n")).agg(F.count("*").alias("words")).collect(), reverse=True)
     total, least = 0, None
     for r in by_count:
         total += r.words
         if total > most:
             break
         least = r.n
-    empty = pa.array([], pa.binary()), pa.array([], pa.list_(pa.int32()))
-    if least is None:
-        return Table(*empty)
-    chosen = counts.where(F.col("n") >= least).select("word").repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = chosen.select(F.col("word").alias("bytes"), folded(F.lower(F.hex("word")), path).alias("ids")).toArrow()
-    return Table(*(pa.concat_arrays(found.column(c).chunks) if found.num_rows else e for c, e in zip(("bytes", "ids"), empty)))
+    own = ranks(path)
+    words, ids = [pa.array(own, pa.binary())], [pa.array([[r] for r in own.values()], pa.list_(pa.int32()))]
+    if least is not None:
+        def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                new = [w for w in b.column(0).to_pylist() if w not in own]
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), byte_ids(new, path)], ["word", "start"])
+
+        chosen = counts.where(F.col("n") >= least).select("word").repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        found = chosen.mapInArrow(start, "word binary, start array<int>").select("word", folded(F.col("start"), path).alias("ids")).toArrow()
+        words += found.column("word").chunks
+        ids += found.column("ids").chunks
+    return Table(pa.concat_arrays(words), pa.concat_arrays([x.cast(pa.list_(pa.int32())) for x in ids]))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), most: int = FREQUENT) -> DataFrame:
     """The ``keep`` columns and ids array<int> of every whole text, without special tokens.
 
-    Null and empty texts have no ids. Rows are independent: repeated rows get equal ids and an empty table gives none. Other columns are not read. The
-    ranks must hold all 256 single bytes, as byte-level vocabularies do.
+    Null and empty texts have no ids. Words of any length are encoded whole: a long one is first cut where no token reaches across, and what is long still is
+    joined at all places of a pair at once. Rows are independent: repeated rows get equal ids and an empty table gives none. Other columns are not
+    read. The ranks must hold all 256 single bytes, as byte-level vocabularies do.
     """
     missing = [i for i in range(256) if bytes([i]) not in ranks(path)]
     if missing:
@@ -188,12 +304,22 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
                     seen = {}
                 new = list({w for words in texts for w in words if w not in seen})
                 seen.update(zip(new, table.find(new)))
-                found, rare = [], []
+                found, rare, counts = [], [], []
                 for words in texts:
                     entries = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+                    unknown = [words[i].encode("utf-8", "surrogatepass") for i in np.flatnonzero(entries == none).tolist()]
+                    if any(len(w) > LONG for w in unknown):
+                        # one place for each part
+                        cut = [parts(w, path) if len(w) > LONG else [w] for w in unknown]
+                        each = np.ones(len(entries), np.int64)
+                        each[entries == none] = [len(c) for c in cut]
+                        entries, unknown = np.repeat(entries, each), [x for c in cut for x in c]
                     found.append(table.gather(entries).tobytes())
-                    rare.append([words[i].encode("utf-8", "surrogatepass").hex() for i in np.flatnonzero(entries == none).tolist()])
-                yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.array(found, pa.binary()), pa.array(rare, pa.list_(pa.string()))], [*kept, "_known", "_rare"])
+                    rare += unknown
+                    counts.append(len(unknown))
+                offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+                starts = pa.ListArray.from_arrays(offsets, byte_ids(rare, path))
+                yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.array(found, pa.binary()), starts], [*kept, "_known", "_rare"])
 
     def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -214,7 +340,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
             values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], [*kept, "ids"])
 
-    found = frame.mapInArrow(look_up, f"{ddl}, _known binary, _rare array<string>")
+    found = frame.mapInArrow(look_up, f"{ddl}, _known binary, _rare array<array<int>>")
     found = found.select(*[found[c] for c in kept], "_known", F.transform("_rare", lambda w: folded(w, path)).alias("_rare"))
     return found.mapInArrow(put_in, f"{ddl}, ids array<int>")
 
