@@ -132,29 +132,42 @@ def _folded(start: Column, table: Column, groups: int, places: int) -> Column:
         return let(F.array_position(joins, least).cast("int"), at)
 
     def all_places(ids: Column, joins: Column, least: Column) -> Column:
-        """Every place of the lowest rank, from the left, none of which share a piece: J where two are joined, D for the second of them."""
+        """Every place of the lowest rank, from the left, none of which share a piece: J where two are joined, D for the second of them.
+
+        A place whose join has a lower rank yet with a neighbour is the last one, as that join comes before the places after it.
+        """
         flags = F.array_join(F.transform(joins, lambda r: F.when(r == least, F.lit("1")).otherwise(F.lit("0"))), "")
 
-        def marked(marks: Column) -> Column:
+        def replaced(marks: Column) -> Column:
             mark = lambda i: F.get(marks, i)
             piece = lambda i: F.when(mark(i) == "J", least).otherwise(F.get(ids, i))
             new_ids = F.transform(ids, lambda x, i: F.when(mark(i) == "J", least).when(mark(i) != "D", x))
             new_joins = F.transform(joins, lambda r, i: F.when(mark(i) == "J", rank(least, piece(i + 2))).when(mark(i) == "D", F.lit(None)).when(mark(i + 1) == "J", rank(F.get(ids, i), least)).otherwise(r))
             return state(F.array_compact(new_ids), F.array_compact(new_joins), F.lit(False))
 
+        def marked(marks: Column) -> Column:
+            left = lambda i: F.when(F.get(marks, i - 1) == "D", least).otherwise(F.get(ids, i - 1))
+            lower = lambda i: (rank(left(i), least) < least) | (rank(least, F.get(ids, i + 2)) < least)
+            ends = F.array_position(F.transform(marks, lambda x, i: F.when(x == "J", lower(i)).otherwise(F.lit(False))), True)
+            upto = lambda e: F.when(e == 0, marks).otherwise(F.transform(marks, lambda x, i: F.when(i <= e, x).otherwise(F.lit("0"))))
+            return let(F.when(F.get(table["eager"], least), let(ends, upto)).otherwise(marks), replaced)
+
         return let(F.split(F.regexp_replace(flags, "1.", "JD"), ""), marked)
 
     def step(s: Column) -> Column:
         def join(least: Column) -> Column:
-            few = (F.size(s["ids"]) <= BULK) | F.get(table["eager"], least)
+            few = F.size(s["ids"]) <= BULK
             return F.when(least == none, state(s["ids"], s["joins"], F.lit(True))).when(few, one(s["ids"], s["joins"], least)).otherwise(all_places(s["ids"], s["joins"], least))
 
         return F.when(s["done"], s).otherwise(let(F.array_min(s["joins"]), join))
 
     def fold(b: Column) -> Column:
         first = state(b, F.transform(b, lambda x, i: rank(x, F.get(b, i + 1))), F.lit(False))
-        steps = F.when(F.size(b) > 1, F.sequence(F.lit(1), F.size(b) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, first, lambda s, _: step(s))["ids"]
+        # Rounds of steps, about as many as a round has steps: a round in which nothing is left to join is passed over whole.
+        root = F.ceil(F.sqrt(F.size(b).cast("double"))).cast("int")
+        count = F.sequence(F.lit(1), F.greatest(root, F.lit(1)))
+        turn = lambda s: F.aggregate(count, s, lambda x, _: step(x))
+        return F.aggregate(count, first, lambda s, _: F.when(s["done"], s).otherwise(turn(s)))["ids"]
 
     return let(start, fold)
 

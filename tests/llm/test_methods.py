@@ -249,16 +249,28 @@ def plain_encoding():
 @pytest.mark.parametrize("most", [0, 40, byte_bpe.FREQUENT])
 def test_bpe(docs, nothing, most):
     plain = plain_encoding()
-    short = docs.where("length(text) < 5000 OR text IS NULL") if most < 100 else docs
-    got = byte_bpe.encode(short, RANKS, public_tokenizers.PATTERN, keep=("doc_id", "text"), most=most)
+    got = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, keep=("doc_id", "text"), most=most)
     got = got.select("text", "ids", byte_bpe.decoded(F.col("ids"), RANKS).alias("back")).collect()
-    assert len(got) == short.count()
+    assert len(got) == docs.count()
     for r in got:
         assert list(r["ids"]) == plain.encode_ordinary(r["text"] or "")
         assert bytes(r["back"]).decode() == (r["text"] or "")
     assert byte_bpe.encode(nothing, RANKS, public_tokenizers.PATTERN, most=most).count() == 0
 
 
+def test_bpe_of_long_words(spark):
+    """Words on both sides of every limit: runs, periods, few letters (places that wait for a lower join), unspaced script, and one of 1 MB."""
+    rng = random.Random(2)
+    some = lambda signs, low, high: "".join(rng.choice(signs) for _ in range(rng.randint(low, high)))
+    han = [chr(c) for c in range(0x4E00, 0x4F00)]
+    texts = [some("ab", 1, 900) for _ in range(60)] + [some("etaoinshrdlu", 1, 900) for _ in range(60)] + [some(["é", "ж", "a", "中", "\U0001f600"], 1, 400) for _ in range(60)]
+    texts += [some("-=", 80, 900) for _ in range(20)] + ["-" * 20_000 + " " * 9_000, "ab" * 25_000, some("acgt", 20_000, 20_000), some(han, 30_000, 30_000), "z" * 1_000_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    plain = plain_encoding()
+    for r in byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN, most=0).collect():
+        assert list(r["ids"]) == plain.encode_ordinary(texts[r["doc_id"]])
+
+
 # -- 6 token counts --------------------------------------------------------------------------
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
