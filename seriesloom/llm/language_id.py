@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bound of the training sample, in documents of each language, and of the model, in word parts.
+#: Bound of the training sample, in different documents of each language, and of the model, in word parts.
 SAMPLE_DOCS, PARTS = 2_000, 60_000
 ORDERS = 4
 #: Cost of a change of language, in log probability.
 PENALTY = 16.0
 #: Words that a worker remembers; then it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 UNKNOWN = "und"
 
 # First and last code points of scripts.
@@ -86,9 +86,9 @@ class Model:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, sample_docs: int = SAMPLE_DOCS, most_parts: int = PARTS) -> Model:
-    """Learn from at most about ``sample_docs`` texts of each language, chosen by a hash of the text, all where there are fewer.
+    """Learn from at most about ``sample_docs`` texts of each language, chosen by a hash of the text, all where there are fewer; a repeated text counts once.
 
-    The model keeps the ``most_parts`` most frequent word parts. Null texts and languages are left out. One row per language and one per
+    The model keeps the ``most_parts`` word parts with the largest share of any one language's, so a language with few texts keeps its own. Null texts and languages are left out. One row per language and one per
     part come to the driver; languages are taken to be few (hundreds).
     """
     d = docs if where is None else docs.where(where)
@@ -98,16 +98,18 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column
     if not langs:
         return Model((), np.zeros(0), {}, np.zeros((0, 0)), {})
     rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, sample_docs / counted[k])))])
-    sample = d.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < F.element_at(rate, F.col("l")) * 1_000_000)
+    sample = d.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < F.element_at(rate, F.col("l")) * 1_000_000).groupBy("l", "t").agg(F.count("*").alias("copies"))
     word = F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}+"), F.lit(0)))
     words = sample.select("l", word.alias("w")).groupBy("l", "w").agg(F.count("*").alias("n")).persist()
     marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
     of_order = lambda n: F.when(F.length(marked) >= n, F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.substring(marked, i, F.lit(n))))
     every = F.concat(*[F.coalesce(of_order(n), F.array().cast("array<string>")) for n in range(2, ORDERS + 1)], F.array(F.concat(F.lit("="), "w")))
     by_lang = [F.sum(F.when(F.col("l") == k, F.col("n")).otherwise(0)).alias(f"c{i}") for i, k in enumerate(langs)]
-    grams = words.select("l", "n", F.explode(every).alias("g")).groupBy("g").agg(F.sum("n").alias("all"), *by_lang)
-    found = grams.orderBy(F.desc("all"), "g").limit(most_parts).drop("all").toPandas()
     used = words.groupBy("l", script_column(F.col("w")).alias("s")).agg(F.sum("n").alias("n")).collect()
+    words_of = {k: max(1, sum(r.n for r in used if r.l == k)) for k in langs}
+    grams = words.select("l", "n", F.explode(every).alias("g")).groupBy("g").agg(*by_lang)
+    share_of = F.greatest(*[F.col(f"c{i}") / F.lit(float(words_of[k])) for i, k in enumerate(langs)], F.lit(0.0))
+    found = grams.orderBy(share_of.desc(), "g").limit(most_parts).toPandas()
     words.unpersist()
     counts = found.drop(columns="g").to_numpy(np.float64)
     order = np.array([0 if g[0] == "=" and len(g) > 1 else len(g) for g in found["g"]])
@@ -171,10 +173,11 @@ class Labeller:
         """The best language of each word."""
         total = score.sum(axis=0) + self.model.prior
         best = int(total.argmax())
-        # No stretch gains half a penalty over the best language: then no path with changes is better.
+        # A stretch in another language gains its lead over the best one; of two stretches one may lead from the start, with its prior. Where neither
+        # two such leads and the gap of the priors reach the penalty of the change between them, no path with changes is better.
         ahead = np.cumsum(score - score[:, best : best + 1], axis=0)
         low = np.minimum.accumulate(np.vstack((np.zeros((1, score.shape[1])), ahead[:-1])), axis=0)
-        if (ahead - low).max() <= self.penalty / 2:
+        if 2 * max((ahead - low).max(), 0.0) + self.model.prior.max() - self.model.prior[best] <= self.penalty:
             return np.full(len(score), best)
         rows = score.tolist()
         value = [a + b for a, b in zip(self.model.prior.tolist(), rows[0])]

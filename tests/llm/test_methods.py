@@ -71,17 +71,34 @@ def test_language_held_out_accuracy_and_spans(spark):
     assert abs(spans[1][0] - 1500) < 40 and abs(spans[2][0] - 2702) < 40
 
 
-def test_viterbi_is_the_best_path():
+@pytest.mark.parametrize("prior", [[0.5, 0.3, 0.2], [0.99998, 0.00001, 0.00001], [0.00001, 0.5, 0.49999]])
+def test_viterbi_is_the_best_path(prior):
     rng = np.random.default_rng(1)
-    model = language_id.Model(("a", "b", "c"), np.log([0.5, 0.3, 0.2]), {}, np.zeros((0, 3)), {})
+    model = language_id.Model(("a", "b", "c"), np.log(prior), {}, np.zeros((0, 3)), {})
     who = language_id.Labeller(model, penalty=2.0)
-    for _ in range(60):
+    for _ in range(150):
         score = rng.normal(0, 1.5, (7, 3))
         value = lambda p: model.prior[p[0]] + sum(score[i, k] for i, k in enumerate(p)) - 2.0 * sum(a != b for a, b in zip(p, p[1:]))
         best = max(value(p) for p in itertools.product(range(3), repeat=7))
         assert value(who.path(score)) == pytest.approx(best)
 
 
+def test_word_scores_and_a_rare_language(spark):
+    """Scores recomputed plainly; a language with a few texts keeps parts of its own; a repeated text counts once."""
+    rows = [(f"the water stone {i}", "en") for i in range(400)] + [("wyr kyll mocht", "xx"), ("kyll doun wyr", "xx")] + [("the water stone 1", "en")] * 500
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"), most_parts=60)
+    assert language_id.Labeller(model).label(["kyll wyr"])[0][0] == "xx"
+    counts = {}
+    for text, lang in set(rows):
+        for w in language_id._WORD.findall(text):
+            for part in language_id.parts(w):
+                counts.setdefault(part, {"en": 0, "xx": 0})[lang] += 1
+    order = {g: 0 if g[0] == "=" and len(g) > 1 else len(g) for g in model.rows}
+    for g, row in model.rows.items():
+        plain = [np.log((counts[g][k] + 0.5) / sum(counts[h][k] + 0.5 for h in model.rows if order[h] == order[g])) / language_id.ORDERS for k in model.languages]
+        assert model.scores[row] == pytest.approx(np.array(plain) - np.mean(plain))
+
+
 # -- 2 fingerprints --------------------------------------------------------------------------
 
 
