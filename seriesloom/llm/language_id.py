@@ -25,7 +25,7 @@ ORDERS = 4
 #: Cost of a change of language, in log probability.
 PENALTY = 16.0
 #: Words that a worker remembers; then it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 UNKNOWN = "und"
 
 # First and last code points of scripts.
@@ -46,13 +46,15 @@ SCRIPTS = {
     "han": ((0x3400, 0x4DBF), (0x4E00, 0x9FFF)),
 }
 OTHER = "other"
+#: Signs below this are taken as Latin.
+LATIN_END = 0x250
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def script(word: str) -> str:
     at = ord(word[0])
-    if at < 0x250:
+    if at < LATIN_END:
         return "latin"
     return next((s for s, ranges in SCRIPTS.items() if any(a <= at <= b for a, b in ranges)), OTHER)
 
@@ -130,6 +132,15 @@ class Labeller:
     def __init__(self, model: Model, penalty: float = PENALTY, remembered: int = REMEMBERED):
         self.model, self.penalty, self.remembered = model, penalty, remembered
         self.padded = np.vstack((model.scores, np.zeros((1, len(model.languages)))))
+        pieces = [(g, i) for g, i in model.rows.items() if not (g[0] == "=" and len(g) > 1)]
+        self.alphabet = np.array(sorted({ord(c) for g, _ in pieces for c in g}) or [0], np.uint32)
+        if len(self.alphabet) > 0xFFFE:
+            raise ValueError("the word parts have more than 65,534 different signs")
+        number = {int(c): i + 1 for i, c in enumerate(self.alphabet)}
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in range(2, ORDERS + 1):
+            own = sorted((sum(number[ord(c)] << 16 * (n - 1 - j) for j, c in enumerate(g)), i) for g, i in pieces if len(g) == n)
+            self.by_length[n] = np.array([k for k, _ in own], np.uint64), np.array([i for _, i in own], np.int64)
         self._forget()
 
     def _forget(self) -> None:
@@ -146,23 +157,59 @@ class Labeller:
         while first + len(new) > len(self.table):
             self.table = np.concatenate((self.table, np.zeros_like(self.table)))
             self.heard = np.concatenate((self.heard, np.zeros_like(self.heard)))
-        empty = len(self.model.rows)  # the row of zeros that stands for unknown parts
-        row, at, ends = self.model.rows.get, [], []
-        for w in new:
-            at += [row(p, empty) for p in parts(w)]
-            ends.append(len(at))
         if new:
-            scores = np.add.reduceat(self.padded[at], [0, *ends[:-1]], axis=0)
-            known = np.logical_or.reduceat(np.array(at) != empty, [0, *ends[:-1]])
+            scores, known, first_signs = self._scored(new)
             heard = np.repeat(known[:, None], scores.shape[1], axis=1)
-            for i, w in enumerate(new):
-                candidates = self.candidates(script(w))
+            latin = self.candidates("latin")
+            # a script that all languages use needs no mask
+            for i in (range(len(new)) if latin is not True else np.flatnonzero(first_signs >= LATIN_END).tolist()):
+                candidates = self.candidates(script(new[i]))
                 if candidates is not True:  # a script that no language uses says nothing
                     scores[i] = 0.0 if candidates is None else np.where(candidates, scores[i], -50.0)
                     heard[i] &= False if candidates is None else candidates
             self.table[first : first + len(new)] = scores
             self.heard[first : first + len(new)] = heard
 
+    def _scored(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word the sum of its parts' scores, whether any part is known, and its first sign.
+
+        All words are one array of signs, numbered by the model's alphabet (0: not in it); the parts of each length are numbers of four 16-bit
+        signs, found by bisection.
+        """
+        signs = np.frombuffer("".join([f"^{w}$" for w in new]).encode("utf-32-le"), np.uint32)
+        lengths = np.fromiter(map(len, new), np.int64, len(new)) + 2
+        ends = np.cumsum(lengths)
+        word = np.repeat(np.arange(len(new)), lengths)
+        left = np.repeat(ends, lengths) - np.arange(len(signs))  # signs to the end of the word, this one included
+        at = np.searchsorted(self.alphabet, signs)
+        code = np.where(self.alphabet[np.minimum(at, len(self.alphabet) - 1)] == signs, at + 1, 0).astype(np.uint64)
+        scores, known = np.zeros((len(new), self.padded.shape[1])), np.zeros(len(new), bool)
+
+        def add(owner: np.ndarray, rows: np.ndarray) -> None:
+            if len(owner):
+                starts = np.flatnonzero(np.diff(owner, prepend=-1))
+                scores[owner[starts]] += np.add.reduceat(self.padded[rows], starts, axis=0)
+                known[owner[starts]] = True
+
+        for n, (keys, rows) in self.by_length.items():
+            m = len(signs) - n + 1
+            if m <= 0 or not len(keys):
+                continue
+            key, whole = np.zeros(m, np.uint64), left[:m] >= n
+            for i in range(n):
+                part = code[i : i + m]
+                key = (key << np.uint64(16)) | part
+                whole &= part > 0
+            found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = np.flatnonzero(whole & (keys[found] == key))
+            add(word[hit], rows[found[hit]])
+        row = self.model.rows.get
+        entire = [(i, r) for i, w in enumerate(new) if (r := row(f"={w}")) is not None]
+        if entire:
+            owner, rows = np.array(entire).T
+            add(owner, rows)
+        return scores, known, signs[ends - lengths + 1]
+
     @lru_cache(64)  # noqa: B019
     def candidates(self, script_: str) -> np.ndarray | bool | None:
         """Which languages use a script: an array, True for all, None for none."""

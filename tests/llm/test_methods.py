@@ -97,6 +97,12 @@ def test_word_scores_and_a_rare_language(spark):
     for g, row in model.rows.items():
         plain = [np.log((counts[g][k] + 0.5) / sum(counts[h][k] + 0.5 for h in model.rows if order[h] == order[g])) / language_id.ORDERS for k in model.languages]
         assert model.scores[row] == pytest.approx(np.array(plain) - np.mean(plain))
+    who = language_id.Labeller(model)
+    words_ = ["stone", "kyll", "w", "ünd", "中文", "wyrstone", "=stone", "a" * 40]
+    scores, known, _ = who._scored(words_)
+    for w, score, heard in zip(words_, scores, known):
+        rows_ = [model.rows[p] for p in language_id.parts(w) if p in model.rows]
+        assert heard == bool(rows_) and score == pytest.approx(model.scores[rows_].sum(axis=0))
 
 
 # -- 2 fingerprints --------------------------------------------------------------------------
