@@ -12,7 +12,6 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -141,6 +140,7 @@ class Labeller:
         for n in range(2, ORDERS + 1):
             own = sorted((sum(number[ord(c)] << 16 * (n - 1 - j) for j, c in enumerate(g)), i) for g, i in pieces if len(g) == n)
             self.by_length[n] = np.array([k for k, _ in own], np.uint64), np.array([i for _, i in own], np.int64)
+        self.masks = {name: True if used.all() else used for name, used in model.scripts.items()}
         self._forget()
 
     def _forget(self) -> None:
@@ -210,11 +210,10 @@ class Labeller:
             add(owner, rows)
         return scores, known, signs[ends - lengths + 1]
 
-    @lru_cache(64)  # noqa: B019
     def candidates(self, script_: str) -> np.ndarray | bool | None:
         """Which languages use a script: an array, True for all, None for none."""
         found = self.model.scripts.get(script_)
-        return None if found is None else True if found.all() else found
+        return None if found is None else self.masks[script_]
 
     def path(self, score: np.ndarray) -> np.ndarray:
         """The best language of each word."""
