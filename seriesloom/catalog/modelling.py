@@ -96,7 +96,8 @@ last AS (SELECT * FROM s QUALIFY i = max(i) OVER (PARTITION BY series)),
 d AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY sse, g) AS best FROM last),
 k AS (SELECT unnest(range(1, 13)) AS step)
 SELECT series, CAST(step AS INTEGER) AS step, round(l + 0.95::DOUBLE * (1 - pow(0.95::DOUBLE, step)) / (1 - 0.95::DOUBLE) * t + z[(i + step - 1) % 12 + 1], 3) AS prediction
-FROM d, k WHERE best = 1"""
+FROM d, k WHERE best = 1
+UNION ALL SELECT series, CAST(step AS INTEGER), y FROM o, k WHERE n < 24 AND i = n - 1"""
 query("f15_smoothing_checked", _SMOOTH_SQL)(
     using(supplier_monthly, lambda p: round_to(smoothing.smoothing_forecast(p, "y", 12, 12), prediction=3))
 )

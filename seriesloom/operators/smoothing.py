@@ -86,7 +86,8 @@ def _opening(y: np.ndarray, period: int) -> np.ndarray:
 
 
 def smoothing_forecast(panel: Panel, c: str, period: int, horizon: int) -> DataFrame:
-    """Forecast every series with at least two seasons of non-null values; best grid row by squared error."""
+    """Forecast every series with a value: the best grid row by squared error, or the last value where there are fewer than two seasons of values."""
+    whole = panel
     panel = panel.with_df(panel.df.select(*panel.series, *panel.order, F.col(c).cast("double").alias("__y")).filter("__y IS NOT NULL"))
     wide = period + 2
     best = (_score_split if panel.is_split else _score_whole)(panel, period)
@@ -96,7 +97,7 @@ def smoothing_forecast(panel: Panel, c: str, period: int, horizon: int) -> DataF
     trend_sum = DAMPING * (1 - F.pow(F.lit(DAMPING), "step")) / (1 - DAMPING)
     phase = F.pmod(F.col("__n") + F.col("step") - 1, F.lit(period)).cast("int")
     value = F.element_at("__x", 1) + trend_sum * F.element_at("__x", 2) + F.element_at("__x", phase + 3)
-    return steps.select(*panel.series, "step", value.alias("prediction"))
+    return with_fallback(steps.select(*panel.series, "step", value.alias("prediction")), naive_tail(whole, c, horizon), panel.series)
 
 
 def _score_whole(panel: Panel, period: int) -> DataFrame:

@@ -14,7 +14,7 @@ from seriesloom.functions import distributions as ds
 from seriesloom.functions.columns import sdiv
 from seriesloom.operators.features import attach
 from seriesloom.operators.panel import SLAB, Panel, in_slabs, matched
-from seriesloom.operators.regression import FIT, least_squares
+from seriesloom.operators.regression import FIT, _solve, least_squares
 
 # --- fixed values: MacKinnon (2010) response surface, constant, one variable ---
 UNIT_ROOT_SURFACE = {
@@ -287,23 +287,54 @@ def unit_root_test(panel: Panel, c: str, lags: int = 1) -> DataFrame:
 
 
 def granger(panel: Panel, target: str, cause: str, max_lag: int, *, p_value: bool = True) -> DataFrame:
-    """Does the past of ``cause`` help predict ``target``? F statistic per lag depth."""
+    """Does the past of ``cause`` help predict ``target``? F statistic per lag depth; a depth without enough rows has a null statistic.
+
+    One aggregate gives the moments of all lags, apart for rows by how deep their lags are whole; the rows of a depth are those that reach it or more. The
+    fits of all depths, with and without the cause, are solves on parts of these moments, so the rows are read once for any depth.
+    """
     lags = range(1, max_lag + 1)
     p = panel.frames(
         lambda w: {f"__{v}{k}": F.lag(c, k).over(w) for v, c in (("y", target), ("x", cause)) for k in lags}, back=max_lag
     )
-    parts = []
-    for depth in lags:
-        own, other = [f"__y{k}" for k in range(1, depth + 1)], [f"__x{k}" for k in range(1, depth + 1)]
-        rows = p.df.na.drop(subset=[target, *own, *other])
-        small = least_squares(rows, p.series, own, target).select(*p.series, F.col(f"{FIT}.rss").alias("__r0"))
-        large = least_squares(rows, p.series, [*own, *other], target).select(
-            *p.series, F.col(f"{FIT}.rss").alias("__r1"), F.col(f"{FIT}.n").alias("n")
-        )
-        free = F.col("n") - 2 * depth - 1
-        stat = sdiv((F.col("__r0") - F.col("__r1")) / depth, sdiv("__r1", free))
-        parts.append(attach(large, small, p.series).select(*p.series, F.lit(depth).alias("lag"), "n", stat.alias("f"), free.alias("free")))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
+    names = [*[f"__y{k}" for k in lags], *[f"__x{k}" for k in lags], target]
+    deep = F.lit(0)
+    for k in reversed(lags):  # the first lag that is missing ends the depth
+        deep = F.when(F.col(f"__y{k}").isNull() | F.col(f"__x{k}").isNull(), F.lit(k - 1)).otherwise(deep if k < max_lag else F.lit(max_lag))
+    rows = p.df.withColumn("__depth", deep).filter(F.col(target).isNotNull() & (F.col("__depth") > 0))
+    value = {n: F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names}  # lags beyond the depth are not read
+    size = len(names)
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    moments = rows.groupBy(*p.series, "__depth").agg(
+        F.count(F.lit(1)).alias("__n"), F.array(*[F.avg(value[n]) for n in names]).alias("__means"),
+        F.array(*[F.covar_pop(value[names[i]], value[names[j]]) for i, j in pairs]).alias("__cov"),
+    )
+    packed = moments.groupBy(*p.series).agg(F.collect_list(F.struct("__depth", "__n", "__means", "__cov")).alias("__all"))
+
+    def fits(groups) -> list[dict]:
+        out = []
+        for depth in lags:
+            use = [g for g in groups if g["__depth"] >= depth]
+            n = sum(g["__n"] for g in use)
+            pick = [*range(depth), *range(max_lag, max_lag + depth), size - 1]
+            mean = sum((g["__n"] * np.asarray(g["__means"], float) for g in use), np.zeros(size)) / max(n, 1)
+            cov = np.zeros((size, size))
+            for g in use:
+                own = np.zeros((size, size))
+                for (i, j), v in zip(pairs, g["__cov"]):
+                    own[i, j] = own[j, i] = v
+                away = np.asarray(g["__means"], float) - mean
+                cov += g["__n"] / n * (own + np.outer(away, away))
+            rss = []
+            for columns in (pick[:depth] + [size - 1], pick):
+                rss.append(_solve(n, mean[columns], cov[np.ix_(columns, columns)], 0.0)["rss"])
+            free = n - 2 * depth - 1
+            stat = (rss[0] - rss[1]) / depth / (rss[1] / free) if n and free > 0 and rss[1] else None
+            out.append({"lag": depth, "n": n, "f": stat, "free": free})
+        return out
+
+    @F.pandas_udf("array<struct<lag:int,n:bigint,f:double,free:bigint>>")
+    def solve(groups: pd.Series) -> pd.Series:
+        return groups.map(fits)
+
+    out = packed.select(*p.series, F.explode(solve("__all")).alias("__f")).select(*p.series, "__f.*").filter("n > 0")
     return out.withColumn("p", ds.f_p(F.col("f"), F.col("lag"), F.col("free"))) if p_value else out

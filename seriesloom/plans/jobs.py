@@ -84,8 +84,7 @@ def exogenous_future(panel: Panel, cols: Sequence[str], horizon: int, *, method:
     if method == "ar":
         got = autoregression(each.with_df(long.filter("__value IS NOT NULL")), "__value", order, horizon)
     else:
-        smooth = smoothing.smoothing_forecast(each, "__value", period, horizon)
-        got = smoothing.with_fallback(smooth, smoothing.naive_tail(each, "__value", horizon), each.series)
+        got = smoothing.smoothing_forecast(each, "__value", period, horizon)
     return got.groupBy(*panel.series, "step").pivot("__name", list(cols)).agg(F.first("prediction"))
 
 

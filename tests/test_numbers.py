@@ -68,7 +68,8 @@ def test_smoothing_matches_a_plain_loop(spark, limit):
         "short": [1.0, 2.0, 3.0],
     }
     got = sm.smoothing_forecast(panel_of(spark, data, limit), "y", 4, 6).orderBy("series", "step").toPandas()
-    assert set(got["series"]) == {"a", "b"}
+    assert set(got["series"]) == {"a", "b", "short"}
+    assert set(got[got["series"] == "short"]["prediction"]) == {3.0}  # under two seasons: the last value
     for s, g in got.groupby("series"):
         assert g["prediction"].tolist() == pytest.approx(plain_smoothing(list(data[s]), 4, 6), rel=1e-8)
 
@@ -200,3 +201,40 @@ def test_average_ranks_across_slabs(spark, limit):
     groups = pdf.groupby("k", dropna=False)["v"]
     ties = pdf.groupby(["k", "v"], dropna=False)["v"].transform("size")
     assert got == {i: (rank, n) for i, rank, n in zip(pdf["i"], groups.rank(), ties)}
+
+
+def test_granger_depths_against_least_squares(spark):
+    """Every depth against fits on its own rows; gaps inside the series, a null key and a series too short for the deeper lags."""
+    r = np.random.default_rng(8)
+    rows = []
+    for s, n in (("a", 60), (None, 40), ("short", 6)):
+        x, y = r.normal(0, 1, n), np.zeros(n)
+        for i in range(1, n):
+            y[i] = 0.4 * y[i - 1] + 0.7 * x[i - 1] + r.normal(0, 0.5)
+        rows += [(s, DAY + dt.timedelta(days=i), 100 + float(y[i]), None if s == "a" and i in (20, 41) else float(x[i])) for i in range(n)]
+    p = Panel(spark.createDataFrame(rows, "series string, date date, y double, x double"), ["series"], ["date"])
+    got = {(g.series, g.lag): g for g in st.granger(p, "y", "x", 3, p_value=False).collect()}
+    for s in ("a", None, "short"):
+        own = [q for q in rows if q[0] == s]
+        for depth in (1, 2, 3):
+            use = [i for i in range(depth, len(own)) if all(own[i - k][3] is not None for k in range(1, depth + 1))]
+            Y = np.array([own[i][2] for i in use])
+            lag = lambda c: np.array([[own[i - k][c] for k in range(1, depth + 1)] for i in use])  # noqa: B023, E731
+            small = np.column_stack([np.ones(len(use)), lag(2)])
+            large = np.column_stack([small, lag(3)])
+            rss = [((Y - m @ np.linalg.lstsq(m, Y, rcond=None)[0]) ** 2).sum() for m in (small, large)]
+            free = len(use) - 2 * depth - 1
+            g = got[s, depth]
+            assert g.n == len(use) and g.free == free
+            if free > 0:
+                assert g.f == pytest.approx((rss[0] - rss[1]) / depth / (rss[1] / free), rel=1e-6)
+            else:
+                assert g.f is None
+
+
+def test_short_series_are_forecast_by_their_last_value(spark):
+    p = panel_of(spark, {"long": list(range(30)), "brief": [4, 5, 6]})
+    got = {}
+    for x in sm.smoothing_forecast(p, "y", 6, 2).collect():
+        got.setdefault(x.series, []).append(x.prediction)
+    assert set(got) == {"long", "brief"} and got["brief"] == [6.0, 6.0]
