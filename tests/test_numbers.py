@@ -70,7 +70,7 @@ def test_smoothing_matches_a_plain_loop(spark, limit):
     got = sm.smoothing_forecast(panel_of(spark, data, limit), "y", 4, 6).orderBy("series", "step").toPandas()
     assert set(got["series"]) == {"a", "b", "short"}
     assert set(got[got["series"] == "short"]["prediction"]) == {3.0}  # under two seasons: the last value
-    for s, g in got.groupby("series"):
+    for s, g in got[got["series"] != "short"].groupby("series"):
         assert g["prediction"].tolist() == pytest.approx(plain_smoothing(list(data[s]), 4, 6), rel=1e-8)
 
 
