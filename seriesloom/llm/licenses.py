@@ -8,10 +8,10 @@ regex library's bounded-error matching then decides on a small window around eac
 from __future__ import annotations
 
 import bisect
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -48,19 +48,20 @@ class _Notice:
     label: str
     seeds: tuple[tuple[str, int], ...]
     pattern: object
+    first: object
 
 
 def _notice(phrase: str, label: str, edits: int) -> _Notice:
     cuts = [round(i * len(phrase) / (edits + 1)) for i in range(edits + 2)]
     seeds = tuple((phrase[a:b], a) for a, b in zip(cuts, cuts[1:]))
-    fuzzy = regex.compile("(?b)(?<![^ ])(?:" + regex.escape(phrase, literal_spaces=True) + "){e<=%d}(?![^ ])" % edits)
-    return _Notice(len(phrase), edits, label, seeds, fuzzy)
+    fuzzy = "(?<![^ ])(?:" + regex.escape(phrase, literal_spaces=True) + "){e<=%d}(?![^ ])" % edits
+    return _Notice(len(phrase), edits, label, seeds, regex.compile("(?b)" + fuzzy), regex.compile(fuzzy))
 
 
 def _matches(pattern, text: str, a: int, b: int) -> list:
     """The best match between two places, then the best ones before and after it, and so on; in text order.
 
-    Before the first of equally good matches only worse ones are left, so nothing is searched more often than a notice may have edits.
+    Between two places there is one notice, or a few that overlap, so what is searched again is short.
     """
     out, todo = [], [(a, b)]
     while todo:
@@ -81,37 +82,52 @@ def normal(text: str | None) -> bytes:
 def exact_places(norm: bytes, phrases: list[tuple[bytes, str, int]]) -> list[tuple[str, int, int]]:
     out = []
     for phrase, label, n in phrases:
-        at = norm.find(phrase)
+        at, word, counted = norm.find(phrase), 0, 0
         while at >= 0:
-            word = norm.count(b" ", 0, at)
+            word, counted = word + norm.count(b" ", counted, at), at
             out.append((label, word, word + n - 1))
             at = norm.find(phrase, at + 1)
     return out
 
 
+def _stretches(x: _Notice, norm: str, spaces: list[int]) -> Iterator[tuple[int, int]]:
+    """Stretches of whole words that hold all matches of a notice, none across two of them.
+
+    A match starts at a word, within the edits of where one of its seeds says. Each such word is tried alone; words whose matches could
+    reach the next start, if they took all edits, share a stretch. So a stretch is short whatever the number of notices in a text.
+    """
+    starts = set()
+    for seed, offset in x.seeds:
+        at = norm.find(seed)
+        while at >= 0:
+            lo, hi = bisect.bisect_left(spaces, at - offset - x.edits - 1), bisect.bisect_right(spaces, at - offset + x.edits)
+            starts.update(spaces[lo:hi])
+            at = norm.find(seed, at + 1)
+    a = b = None
+    for s in sorted(starts):
+        s, far = s + 1, s + 1 + x.size + x.edits
+        if s >= len(norm) or not x.first.match(norm, s, min(len(norm), far + 1)):
+            continue
+        end = spaces[bisect.bisect_right(spaces, far) - 1]  # of the last word in reach
+        if b is not None and s < b:
+            b = max(b, end)
+            continue
+        if b is not None:
+            yield a, b
+        a, b = s - 1, end  # from the space on: a search allows no insertion where it begins
+    if b is not None:
+        yield a, b
+
+
 def fuzzy_places(norm: bytes, notices: list[_Notice]) -> list[tuple[str, int, int, int, float]]:
     """Spans (label, first word, last word, edits, likeness) of notices, the exact ones included. Edits are of signs, not of bytes."""
-    norm, out = norm.decode("utf-8", "surrogatepass"), []
+    norm, out, spaces = norm.decode("utf-8", "surrogatepass"), [], None
     for x in notices:
-        starts = set()
-        for seed, offset in x.seeds:
-            at = norm.find(seed)
-            while at >= 0:
-                starts.add(at - offset)
-                at = norm.find(seed, at + 1)
-        if not starts:
+        if not any(seed in norm for seed, _ in x.seeds):
             continue
-        reach, windows = x.edits + 2, []
-        for s in sorted(starts):
-            a, b = max(0, s - reach), min(len(norm), s + x.size + 2 * reach)
-            if windows and a <= windows[-1][1]:
-                windows[-1][1] = max(b, windows[-1][1])
-            else:
-                windows.append([a, b])
-        spaces = [m.start() for m in re.finditer(" ", norm)]
-        for a, b in windows:
-            # The window starts and ends on spaces, so that its edges do not look like word edges.
-            a, b = max(0, norm.rfind(" ", 0, a + 1)), (norm.find(" ", b - 1) + 1) or len(norm)
+        if spaces is None:
+            spaces = np.flatnonzero(np.frombuffer(norm.encode("utf-32-le", "surrogatepass"), np.uint32) == 32).tolist()
+        for a, b in _stretches(x, norm, spaces):
             for m in _matches(x.pattern, norm, a, b):
                 edits = sum(m.fuzzy_counts)
                 raw = m.group()

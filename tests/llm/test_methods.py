@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import random
+import time
 import re
 from collections import Counter
 
@@ -548,3 +549,17 @@ def test_license_edits_are_of_signs():
         (found,) = licenses.fuzzy_places(licenses.normal(text), notices)
         first = text.split().index("mit")
         assert found == ("mit", first, first + 1, 1, 1 - 1 / len("mit license"))
+
+
+def test_notices_in_long_rows():
+    """A megabyte of notices goes through in one sweep, each found where it stands."""
+    notices = [licenses._notice(*n) for n in licenses.NOTICES]
+    exact = [(b" mit license ", "mit", 2)]
+    start = time.perf_counter()
+    assert licenses.exact_places(licenses.normal("mit license " * 80_000), exact) == [("mit", 2 * i, 2 * i + 1) for i in range(80_000)]
+    found = licenses.fuzzy_places(licenses.normal("mit licanse " * 20_000), notices)
+    assert [x[:4] for x in found if x[0] == "mit"] == [("mit", 2 * i, 2 * i + 1, 1) for i in range(20_000)]
+    assert time.perf_counter() - start < 30
+    # A sign too many at the start counts as an edit, a missing word at the start of a text as one like anywhere else.
+    for text, wanted in (("a nmit license", [("mit", 1, 2, 1)]), ("nmit license", [("mit", 0, 1, 1)]), ("general public license", []), ("x general public license", [])):
+        assert [x[:4] for x in licenses.fuzzy_places(licenses.normal(text), notices)] == wanted
