@@ -7,6 +7,7 @@ record, compressed with that dictionary. Any frame can be decoded alone once the
 from __future__ import annotations
 
 import hashlib
+import io
 import struct
 from collections.abc import Iterator
 from datetime import datetime, timezone
@@ -17,16 +18,22 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.llm.common import written
+
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: Bytes read from an archive at once.
+PIECE = 65_536
 #: Payloads from this size on are stored once.
 LEAST_SHARED = 100
 #: Rows and bytes of the sample that the dictionary is made from, and its size.
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 16_384, 65_536
+#: Compressed bytes after which a task starts another file.
+FILE_BYTES = 256 * 2**20
 #: Copies of each row of repeated digests, so that rows of a hot digest go to as many tasks.
 SALTS = 32
 
@@ -116,36 +123,48 @@ def header(dictionary: bytes) -> bytes:
     return struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed
 
 
-def frames(data: bytes) -> Iterator[bytes]:
-    """The decoded frames of an archive. The dictionary may be compressed, raw or absent."""
-    view, at, dictionary = memoryview(data), 0, None
-    if len(data) >= 8 and struct.unpack_from("<I", data)[0] == DICTIONARY_MAGIC:
-        size = struct.unpack_from("<I", data, 4)[0]
-        raw, at = bytes(view[8 : 8 + size]), 8 + size
+def frames(data) -> Iterator[bytes]:
+    """The decoded frames of an archive, given as bytes or an open binary stream. The dictionary may be compressed, raw or absent.
+
+    The stream is read in pieces: what is held is one piece and one record, whatever the size of the file.
+    """
+    source = io.BytesIO(data) if isinstance(data, bytes) else data
+    held, dictionary = source.read(8), None
+    if len(held) == 8 and struct.unpack("<I", held[:4])[0] == DICTIONARY_MAGIC:
+        size = struct.unpack("<I", held[4:])[0]
+        raw, held = source.read(size), b""
         if len(raw) != size:
             raise Malformed("the dictionary is cut off")
         if raw[:4] == FRAME_MAGIC:
             raw = zstandard.ZstdDecompressor().decompress(raw)
         dictionary = zstandard.ZstdCompressionDict(raw) if raw else None
     decoder = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
-    while at < len(data):
-        if bytes(view[at : at + 4]) != FRAME_MAGIC:
-            raise Malformed(f"no frame at byte {at}")
+    while held := held if len(held) >= 4 else held + source.read(PIECE):
+        if held[:4] != FRAME_MAGIC:
+            raise Malformed(f"no frame where one should start: {held[:4]!r}")
         one, parts = decoder.decompressobj(), []
         try:
             while not one.eof:
-                piece = view[at : at + 65_536]
-                if not piece:
+                held = held or source.read(PIECE)
+                if not held:
                     raise Malformed("the last frame is cut off")
-                parts.append(one.decompress(piece))
-                at += len(piece) - len(one.unused_data)
+                parts.append(one.decompress(held))
+                held = one.unused_data
         except zstandard.ZstdError as e:
             raise Malformed(str(e)) from e
         yield b"".join(parts)
 
 
+def _uri(path: str) -> str:
+    """The path under the scheme that Arrow knows: s3a and s3n are Spark's names of s3, a plain path is a file."""
+    scheme, colon, rest = path.partition(":/")
+    if not colon:
+        return f"file://{path}"
+    return f"s3:/{rest}" if scheme in ("s3a", "s3n") else path
+
+
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
+    return pafs.FileSystem.from_uri(_uri(path)) if ":/" in path else (pafs.LocalFileSystem(), path)
 
 
 # -- tables ----------------------------------------------------------------------------------
@@ -177,13 +196,14 @@ def planned(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     return joined.select("page_id", "url", "html", "digest", F.when(F.coalesce(F.col("page_id"), F.col("first_id") - 1) != F.col("first_id"), F.col("first_id")).alias("refers_to"))
 
 
-def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", level: int = 3) -> str:
-    """Archive every row below ``folder``, one file per task, and return the folder.
+def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", level: int = 3, file_bytes: int = FILE_BYTES) -> str:
+    """Archive every row below ``folder``, files of about ``file_bytes``, at least one for each task, and return the folder.
 
     Of rows with equal payloads of at least LEAST_SHARED bytes the one with the smallest page_id is a response and the others revisit
     it; rows that share that smallest id (repeated rows) are all responses. A null page_id gets an empty id and counts as larger
     than any; where a group has only null ids, all are responses. Null html is an empty payload, null url an urn of the page.
-    A file appears under its name when it is whole, so a task that runs again replaces it by the same. Other columns are not read.
+    The table ``_files`` below the folder names the files of the attempts that Spark committed: a task that runs again writes files of
+    its own, and those of the lost attempt are not listed. Other columns are not read.
     """
     spark = pages.sparkSession
     dictionary = spark.sparkContext.broadcast(train(pages, html))
@@ -195,33 +215,47 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
         task = TaskContext.get()
         fs, base = _filesystem(folder)
         fs.create_dir(base, recursive=True)
-        final = f"{base}/part-{task.partitionId():06d}.warc.zst"
-        partial = f"{base}/_part-{task.partitionId():06d}-{task.taskAttemptId()}"
         raw = dictionary.value
         shared = zstandard.ZstdCompressionDict(raw) if raw else None
         encoder = zstandard.ZstdCompressor(level=level, dict_data=shared, write_checksum=True) if shared else zstandard.ZstdCompressor(level=level, write_checksum=True)
-        n = 0
-        with fs.open_output_stream(partial) as out:
-            out.write(header(raw))
-            for b in batches:
-                for page, address, text, digest, refers in zip(*(b.column(i).to_pylist() for i in range(5))):
-                    out.write(encoder.compress(record(page, address, text.encode("utf-8", "surrogatepass"), digest, refers, when)))
-                    n += 1
-        fs.move(partial, final)
-        yield pa.RecordBatch.from_arrays([pa.array([final]), pa.array([n], pa.int64())], ["file", "n"])
+        records = (
+            encoder.compress(record(page, address, text.encode("utf-8", "surrogatepass"), digest, refers, when))
+            for b in batches for page, address, text, digest, refers in zip(*(b.column(i).to_pylist() for i in range(5)))
+        )
+        found, n, frame = [], [], next(records, None)
+        while frame is not None or not found:
+            name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(found):04d}.warc.zst"
+            rows = 0
+            with fs.open_output_stream(f"{base}/{name}", compression=None) as out:
+                size = out.write(header(raw))
+                while frame is not None and size < file_bytes:
+                    size, rows, frame = size + out.write(frame), rows + 1, next(records, None)
+            found.append(name)
+            n.append(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, pa.int64())], ["file", "n"])
 
     files = planned(pages, page_id, url, html).mapInArrow(run, "file string, n bigint")
     files.write.mode("overwrite").parquet(f"{folder}/_files")
     return folder
 
 
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The paths of the archives of a folder, spread over tasks: those that ``write`` lists, else every .warc.zst below it."""
+    fs, base = _filesystem(folder)
+    if fs.get_file_info(f"{base}/_files").type == pafs.FileType.NotFound:
+        return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path")
+    # A few small rows a task; the partitions are as many as the files, so that no task gets many of them.
+    listed = spark.read.schema("file string, n bigint").parquet(f"{folder}/_files").where("n > 0")
+    return listed.select(F.concat(F.lit(f"{folder}/"), "file").alias("path")).repartition(max(1, listed.count()), "path")
+
+
 def read(spark: SparkSession, folder: str, errors: str = "raise") -> DataFrame:
     """The records of all archives below ``folder``: file, page_id, url, record_type, refers_to, payload_digest, payload, error.
 
     Each frame must be one record with whole headers, a fitting length and digest. ``errors="raise"`` ends the query at the first fault;
     ``"flag"`` gives one row with the fault and goes on with the next record, or the next file where the frames themselves are broken.
+    Archives are read as streams, so their size is not bounded. A folder without archives gives no rows.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in RECORD.split(", ")]
@@ -230,10 +264,11 @@ def read(spark: SparkSession, folder: str, errors: str = "raise") -> DataFrame:
         def flush(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        for b in batches:
-            for path, data in zip(b.column(0).to_pylist(), b.column(1)):
-                rows, held = [], 0
-                found = frames(data.as_py())
+        for path in (p for b in batches for p in b.column(0).to_pylist()):
+            rows, held = [], 0
+            fs, place = _filesystem(path)
+            with fs.open_input_stream(place, compression=None) as stream:
+                found = frames(stream)
                 while True:
                     try:
                         raw = next(found)
@@ -254,18 +289,19 @@ def read(spark: SparkSession, folder: str, errors: str = "raise") -> DataFrame:
                     if held > 8_000_000:
                         yield flush(rows)
                         rows, held = [], 0
-                if rows:
-                    yield flush(rows)
+            if rows:
+                yield flush(rows)
 
-    return files.mapInArrow(run, RECORD)
+    return archives(spark, folder).mapInArrow(run, RECORD)
 
 
 def resolved(records: DataFrame) -> DataFrame:
     """Records with payload_bytes of the full payload: a revisit takes it from the response that it refers to.
 
-    Raises where that response is missing or has another digest. Records with an error have none.
+    Raises where that response is missing or has another digest. Records with an error have none. The archives are read once: what is
+    needed of a record, without its payload, is written and serves revisits, targets and responses.
     """
-    slim = records.select("page_id", "url", "record_type", "refers_to", "payload_digest", F.octet_length("payload").cast("bigint").alias("own_bytes"))
+    slim = written(records.select("page_id", "url", "record_type", "refers_to", "payload_digest", F.octet_length("payload").cast("bigint").alias("own_bytes")))
     wanted = slim.where("refers_to IS NOT NULL").select(F.col("refers_to").alias("wanted_id")).distinct()
     targets = (
         slim.where("record_type = 'response'").join(wanted, F.col("page_id") == F.col("wanted_id"), "left_semi")

@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import io
 import itertools
+import os
 import random
 import time
 import re
@@ -468,6 +470,40 @@ def test_warc_round_trip(spark):
     assert warc.resolved(warc.read(spark, empty)).count() == 0
 
 
+def test_warc_files_roll_over_and_lost_attempts_are_not_read(spark):
+    df, rows = pages(spark)
+    folder = warc.write(df.repartition(2), common.shared_folder(spark), file_bytes=2_000)
+    listed = spark.read.parquet(f"{folder}/_files").collect()
+    assert len(listed) > 4 and sum(r["n"] for r in listed) == len(rows)
+    place = warc._filesystem(folder)[1]
+    first = next(r["file"] for r in listed if r["n"])
+    with open(f"{place}/{first}", "rb") as f, open(f"{place}/part-000000-999-0000.warc.zst", "wb") as g:
+        g.write(f.read())  # what a lost attempt left
+    assert warc.read(spark, folder).count() == len(rows)
+
+
+def test_warc_folders_of_others(spark):
+    """Without a list of files every archive below the folder is read; faults are rows where asked."""
+    folder = common.shared_folder(spark)
+    place = warc._filesystem(folder)[1]
+    os.makedirs(place)
+    one = [warc.record(i, f"http://a/{i}", b"x" * i, hashlib.sha256(b"x" * i).hexdigest(), None, "2020-01-01T00:00:00Z") for i in range(1, 200)]
+    packer = zstandard.ZstdCompressor()
+    for k in range(3):
+        with open(f"{place}/{k}.warc.zst", "wb") as f:
+            f.write(b"".join(packer.compress(x) for x in one[k::3]) + (b"junk" if k == 2 else b""))
+    got = warc.read(spark, folder, errors="flag").collect()
+    assert sorted(r["page_id"] for r in got if r["error"] is None) == list(range(1, 200)) and sum(r["error"] is not None for r in got) == 1
+    with pytest.raises(Exception, match="no frame"):
+        warc.read(spark, folder).count()
+
+
+def test_warc_paths():
+    for path, wanted in (("s3a://bucket/a", "s3://bucket/a"), ("s3n://b/a:/c", "s3://b/a:/c"), ("s3://b/a", "s3://b/a"), ("hdfs://n:1/a", "hdfs://n:1/a"), ("/a/b", "file:///a/b")):
+        assert warc._uri(path) == wanted
+    assert [warc._filesystem(p)[1] for p in ("/a/b", "file:/a/b", "file:///a/b")] == ["/a/b"] * 3
+
+
 def test_warc_frames_and_faults():
     one = warc.record(1, "http://a/", b"x" * 10, hashlib.sha256(b"x" * 10).hexdigest(), None, "2020-01-01T00:00:00Z")
     assert warc.parse(one)[0] == 1 and warc.parse(one)[5] == b"x" * 10
@@ -479,7 +515,7 @@ def test_warc_frames_and_faults():
     for raw in (dictionary, b""):
         packer = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw)) if raw else zstandard.ZstdCompressor()
         data = warc.header(raw) + b"".join(packer.compress(s) for s in samples)
-        assert list(warc.frames(data)) == samples
+        assert list(warc.frames(data)) == samples == list(warc.frames(io.BytesIO(data)))
         with pytest.raises(warc.Malformed):
             list(warc.frames(data[:-3]))
         with pytest.raises(warc.Malformed):
