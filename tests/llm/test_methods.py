@@ -358,12 +358,25 @@ def test_cascade_order_changes_only_the_named_rule(docs):
     one = quality_rules.cascade(frame_, rules).where("failed_rule IS NULL").count()
     two = quality_rules.cascade(frame_, rules[::-1]).where("failed_rule IS NULL").count()
     assert one == two
-    found = quality_rules.ordered(frame_, rules, 10)
+    found = quality_rules.ordered(quality_rules.measured(quality_rules.sampled(docs, 10)), rules)
     assert sorted(r.name for r, _, _ in found) == sorted(r.name for r in rules)
     worth = [share / cost for _, cost, share in found]
     assert worth == sorted(worth, reverse=True)
 
 
+def test_cascade_sample_is_from_the_whole_table(spark):
+    """Neither the first rows nor more with more partitions; a row that repeats is thrown for each time."""
+    many = spark.range(0, 40_000, 1, 16).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("text"))
+    for parts in (4, 64):
+        ids = [r["doc_id"] for r in quality_rules.sampled(many.repartition(parts), 2_000).select("doc_id").collect()]
+        assert 1_700 < len(ids) < 2_300 and 500 < sum(i % 3 == 0 for i in ids) < 840 and 800 < sum(i < 20_000 for i in ids) < 1_200
+    assert quality_rules.sampled(many.limit(50), 2_000).count() == 50
+    # What a rule rejects in the sample is counted once, however often it is asked.
+    text = F.when(F.col("id") < 25, F.lit("x")).otherwise(F.lit("word " * 60))
+    (found,) = quality_rules.ordered(quality_rules.measured(spark.range(100).select(F.col("id").alias("doc_id"), text.alias("text"))), [quality_rules.Rule("short", F.col("m.n_words") < 50)])
+    assert found[2] == 0.25
+
+
 # -- 8 near duplicates -----------------------------------------------------------------------
 
 
