@@ -15,7 +15,7 @@ from seriesloom.operators import folds as fd
 from seriesloom.operators import forecast as fc
 from seriesloom.operators import metrics as mt
 from seriesloom.operators import reshape as rs
-from seriesloom.operators import smoothing
+from seriesloom.operators import simulated, smoothing
 from seriesloom.operators import statistics as st
 from seriesloom.operators.cleaning import last_rows
 from seriesloom.operators.features import attach
@@ -398,6 +398,47 @@ def _draws(spark, sf):
 query("e07_simulated_forecasts")(_draws)
 
 
+DRAWS = 10_000
+# Most distance between what the draws show and what the normal law says, in standard errors.
+OFF = 6
+
+
+def _simulated(spark, sf):
+    """Mean, deviation and bounds of 10^4 forecasts per supplier and month, against the normal law that a linear model gives them."""
+    p = supplier_panel(spark, sf)
+    model = md.fit(LINEAR, p.df, ["rev", "disc"], "y")
+    future = cal.future_months(p.df, ["series"], "date", 3)
+    found = simulated.drawn_quantiles(
+        future, lambda points: model.predict(ex.simulated_inputs(p.df, points, ["series", "date"], ["series"], ["rev", "disc"], DRAWS)),
+        ["series", "date"], "prediction", {"lower": 0.05, "upper": 0.95},
+    )
+    moments = p.df.groupBy("series").agg(F.avg("rev").alias("rev"), F.avg("disc").alias("disc"), F.stddev_samp("rev").alias("sr"), F.stddev_samp("disc").alias("sd"))
+    b = model.coefficients()
+    wide = F.sqrt(F.pow(b["rev"] * F.col("sr"), F.lit(2)) + F.pow(b["disc"] * F.col("sd"), F.lit(2)))
+    rows = attach(found, model.predict(moments).select("series", F.col("prediction").alias("expected"), wide.alias("spread")), ["series"])
+    # Standard errors of the mean, the deviation and the 5 % quantile, for a spread of 1.
+    error = {"mean": DRAWS**-0.5, "deviation": (2 * DRAWS) ** -0.5, "bound": (0.05 * 0.95 / DRAWS) ** 0.5 / 0.10313564}
+    z = ex.Z_FOR_COVERAGE[90]
+    near = lambda c, centre, e: (F.abs(F.col(c) - centre) <= OFF * error[e] * F.col("spread")).alias(f"{c}_near")
+    centre = F.col("expected")
+    return rows.select(
+        "series", "date", "n", F.round("expected", 3).alias("expected"), F.round("spread", 3).alias("spread"), near("mean", centre, "mean"),
+        near("deviation", F.col("spread"), "deviation"), near("lower", centre - z * F.col("spread"), "bound"), near("upper", centre + z * F.col("spread"), "bound"),
+    )
+
+
+query(
+    "e07_simulated_bounds",
+    f"""{SM}, {_TWO.format(keep='', src='supplier_monthly')},
+m AS (SELECT series, max(date) AS last, avg(rev) AS rev, avg(disc) AS disc, stddev_samp(rev) AS sr, stddev_samp(disc) AS sd FROM supplier_monthly GROUP BY 1),
+n AS (SELECT series, last, my + br * (rev - mr) + bd * (disc - md) AS expected, sqrt(br * br * sr * sr + bd * bd * sd * sd) AS spread FROM m, b)
+SELECT series, CAST(last + to_months(CAST(step AS INTEGER)) AS DATE) AS date, CAST(CASE WHEN spread IS NULL THEN 0 ELSE {DRAWS} END AS BIGINT) AS n, round(expected, 3) AS expected, round(spread, 3) AS spread,
+  CASE WHEN spread IS NOT NULL THEN true END AS mean_near, CASE WHEN spread IS NOT NULL THEN true END AS deviation_near,
+  CASE WHEN spread IS NOT NULL THEN true END AS lower_near, CASE WHEN spread IS NOT NULL THEN true END AS upper_near
+FROM n, (SELECT unnest([1, 2, 3]) AS step)""",
+)(_simulated)
+
+
 def _flag_contributions(spark, sf):
     model = md.fit(md.ModelSpec("linear"), flag_monthly_df(spark, sf), ["rev", "disc"], "y")
     return ex.linear_contributions(flag_monthly_df(spark, sf), ["series", "date"], model.coefficients())

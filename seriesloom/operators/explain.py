@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom import session
 from seriesloom.functions.columns import sdiv
 from seriesloom.operators.cleaning import exact_quantiles
 from seriesloom.operators.features import attach
@@ -68,14 +69,14 @@ def simulated_inputs(history: DataFrame, future: DataFrame, keys: Sequence[str],
     """Each future row (unique by ``keys``) ``draws`` times, exogenous columns drawn from a normal
     with the history's moments.
 
-    Blocks of draws are spread by a shuffle, so one series' draws do not stay in one task.
+    Blocks of draws are spread over all shuffle partitions, whatever their size in bytes, so one series' draws do not stay in one task.
     """
     moments = history.groupBy(*series).agg(
         *[f(c).alias(f"__{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))]
     )
     rows = attach(future.drop(*cols), moments, series)
     blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // DRAWS_PER_BLOCK))))
-    blocks = blocks.repartition(*keys, "__block")
+    blocks = session.spread(blocks, [*keys, "__block"])
     ids = F.sequence(
         F.col("__block") * DRAWS_PER_BLOCK, F.least((F.col("__block") + 1) * DRAWS_PER_BLOCK, F.lit(draws)) - 1
     )
