@@ -33,9 +33,8 @@ def _goals(points: DataFrame, open_: DataFrame, keys: Sequence[str], simulate: S
     """The draws that lie within the bounds of an open goal of their point: keys, goal, value."""
     per_point = open_.groupBy(*keys).agg(F.collect_list(F.struct("lo", "hi", "before", "ranks")).alias("__goals"))
     drawn = simulate(attach(points, per_point, keys).filter("__goals IS NOT NULL"))
-    v = F.col(value).cast("double")
-    inside = F.filter("__goals", lambda g: (v >= g["lo"]) & (v <= g["hi"]))
-    return drawn.select(*keys, F.explode(inside).alias("goal"), v.alias("__v"))
+    tried = drawn.select(*keys, F.col(value).cast("double").alias("__v"), F.explode("__goals").alias("goal"))
+    return tried.filter(F.col("__v").between(F.col("goal.lo"), F.col("goal.hi")))
 
 
 def drawn_quantiles(
