@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom import session
 from seriesloom.catalog.base import (
     BY_DATE, EVENTS_HOURLY, FLAG_MONTHLY, NATION_MONTHLY, OHLC_DAILY, ORDER_ROWS, ORDERS_WEEKLY, SUPPLIER_MONTHLY,
     events_hourly_df, flag_monthly_df, nation_monthly_df, ohlc_daily_df, order_rows, order_rows_df,
@@ -15,7 +19,7 @@ from seriesloom.catalog.reports import FORECAST_REPORT, forecast_report
 from seriesloom.operators import calendar as cal
 from seriesloom.operators import cleaning as cl
 from seriesloom.operators import joins as jn
-from seriesloom.operators.panel import Panel
+from seriesloom.operators.panel import CALENDAR_ROWS, Panel
 from seriesloom.sources import readers, sinks
 
 # -- sources and sinks -----------------------------------------------------------------------
@@ -438,6 +442,60 @@ LEFT JOIN orders_weekly m ON m.date = t.date AND m.series = '3-MEDIUM' LEFT JOIN
 )(_weekly_star)
 
 
+# The tables of the wide stars: name -> (source, rows, measure); measures are whole numbers, so that sums do not hang on their order.
+_GRAINS = {
+    "o": ("orders", "o_orderdate", ["o_orderpriority", "o_orderstatus"], {"n": "count(*)", "price": "sum(floor(o_totalprice))"}),
+    "l": ("lineitem", "l_shipdate", ["l_returnflag", "l_linestatus"], {"qty": "sum(l_quantity)", "price": "sum(floor(l_extendedprice))", "disc": "sum(round(l_discount * 100))", "tax": "sum(round(l_tax * 100))"}),
+}
+_WIDE = {f"{m}_{p[2:].split()[0].lower()}": ("o", f"o_orderpriority = '{p}'", m) for m in ("n", "price") for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")}
+_WIDE |= {f"price_{x.lower()}": ("o", f"o_orderstatus = '{x}'", "price") for x in "FOP"} | {f"qty_{x.lower()}": ("l", f"l_returnflag = '{x}'", "qty") for x in "RAN"}
+_WIDE |= {"sales_f": ("l", "l_linestatus = 'F'", "price"), "sales_o": ("l", "l_linestatus = 'O'", "price"), "disc": ("l", "true", "disc"), "tax": ("l", "true", "tax")}
+# Tables of each set, the base included.
+_WIDE_SETS = {name: list(_WIDE)[: n - 1] for name, n in (("quarter", 9), ("weeks", 13), ("elasticity", 17), ("all", 21))}
+
+
+def _wide_stars(spark, sf):
+    """Four sets over one weekly base: every source is aggregated in one scan, every table is bucketed once."""
+    grains = {}
+    for g, (source, date, keys, measures) in _GRAINS.items():
+        week = F.next_day(F.date_sub(F.to_date(date), 1), "Fri").alias("date")
+        grains[g] = session.cut(table(spark, sf, source).groupBy(week, *keys).agg(*[F.expr(e).cast("double").alias(m) for m, e in measures.items()]))
+    tables = {name: grains[g].filter(rows).groupBy("date").agg(F.sum(m).alias(name)) for name, (g, rows, m) in _WIDE.items()}
+    made = jn.bucketed({"base": grains["o"].groupBy("date").agg(F.sum("n").alias("total")), **tables}, ["date"], rows_bound=CALENDAR_ROWS)
+    return jn.star_joins(made["base"], made, _WIDE_SETS, ["date"])
+
+
+_WIDE_SQL = [
+    f"{g}_grain AS (SELECT {_WEEK.replace('date', f'CAST({date} AS DATE)', 1).replace('isodow(date)', f'isodow({date})')} AS date, {', '.join(keys)}, {', '.join(f'CAST({e} AS DOUBLE) AS {m}' for m, e in measures.items())} FROM {source} GROUP BY ALL)"
+    for g, (source, date, keys, measures) in _GRAINS.items()
+] + ["base AS (SELECT date, sum(n) AS total FROM o_grain GROUP BY 1)"] + [f"t_{name} AS (SELECT date, sum({m}) AS {name} FROM {g}_grain WHERE {rows} GROUP BY 1)" for name, (g, rows, m) in _WIDE.items()]
+
+
+def _wide_sql(members, select):
+    return f"SELECT {select} FROM base " + " ".join(f"LEFT JOIN t_{m} USING (date)" for m in members)
+
+
+query("j01_star_join_wide", with_(*_WIDE_SQL) + _wide_sql(_WIDE, "date, total, " + ", ".join(_WIDE)))(lambda spark, sf: _wide_stars(spark, sf)["all"].orderBy("date"))
+query(
+    "j01_star_sets",
+    with_(*_WIDE_SQL) + " UNION ALL ".join(
+        _wide_sql(members, f"'{name}' AS star, date, " + " + ".join(f"CASE WHEN {m} IS NULL THEN 0 ELSE 1 END" for m in members) + " AS n_values, " + " + ".join(f"coalesce({m}, 0)" for m in members) + " AS total")
+        for name, members in _WIDE_SETS.items()
+    ),
+)(
+    lambda spark, sf: reduce(
+        DataFrame.unionByName,
+        [
+            df.select(
+                F.lit(name).alias("star"), "date", sum((F.col(m).isNotNull().cast("int") for m in _WIDE_SETS[name]), F.lit(0)).alias("n_values"),
+                sum((F.coalesce(m, F.lit(0.0)) for m in _WIDE_SETS[name]), F.lit(0.0)).alias("total"),
+            )
+            for name, df in _wide_stars(spark, sf).items()
+        ],
+    )
+)
+
+
 def _monthly_star(spark, sf):
     t = _month_sources(spark, sf)
     return jn.star_join(t["qty"], [t["sales"], t["disc"], t["close"]], ["date"])
