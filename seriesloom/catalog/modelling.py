@@ -409,7 +409,7 @@ def _simulated(spark, sf):
     model = md.fit(LINEAR, p.df, ["rev", "disc"], "y")
     future = cal.future_months(p.df, ["series"], "date", 3)
     found = simulated.drawn_quantiles(
-        future, lambda points: model.predict(ex.simulated_inputs(p.df, points, ["series", "date"], ["series"], ["rev", "disc"], DRAWS)),
+        ex.with_moments(p.df, future, ["series"], ["rev", "disc"]), lambda points: model.predict(ex.drawn_inputs(points, ["series", "date"], ["rev", "disc"], DRAWS)),
         ["series", "date"], "prediction", {"lower": 0.05, "upper": 0.95},
     )
     moments = p.df.groupBy("series").agg(F.avg("rev").alias("rev"), F.avg("disc").alias("disc"), F.stddev_samp("rev").alias("sr"), F.stddev_samp("disc").alias("sd"))

@@ -65,16 +65,23 @@ def standard_normal(*parts: Column, seed: int = 7) -> Column:
     return F.sqrt(-2 * F.log(u)) * F.cos(2 * F.pi() * v)
 
 
-def simulated_inputs(history: DataFrame, future: DataFrame, keys: Sequence[str], series: Sequence[str], cols: Sequence[str], draws: int, seed: int = 7) -> DataFrame:
-    """Each future row (unique by ``keys``) ``draws`` times, exogenous columns drawn from a normal
-    with the history's moments.
+def with_moments(history: DataFrame, future: DataFrame, series: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Each future row with mean and deviation of its series' history, ``__m_`` and ``__s_`` before the column's name.
 
-    Blocks of draws are spread over all shuffle partitions, whatever their size in bytes, so one series' draws do not stay in one task.
+    Sums of floats depend on the order in which partial sums arrive, so moments worked out twice may differ in their last digits. Whoever
+    draws more than once from them writes these rows out first.
     """
     moments = history.groupBy(*series).agg(
         *[f(c).alias(f"__{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))]
     )
-    rows = attach(future.drop(*cols), moments, series)
+    return attach(future.drop(*cols), moments, series)
+
+
+def drawn_inputs(rows: DataFrame, keys: Sequence[str], cols: Sequence[str], draws: int, seed: int = 7) -> DataFrame:
+    """Each row of ``with_moments`` (unique by ``keys``) ``draws`` times, exogenous columns drawn from a normal with its moments.
+
+    Blocks of draws are spread over all shuffle partitions, whatever their size in bytes, so one series' draws do not stay in one task.
+    """
     blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // DRAWS_PER_BLOCK))))
     blocks = session.spread(blocks, [*keys, "__block"])
     ids = F.sequence(
@@ -86,3 +93,9 @@ def simulated_inputs(history: DataFrame, future: DataFrame, keys: Sequence[str],
         {c: F.col(f"__m_{c}") + F.col(f"__s_{c}") * standard_normal(*by, F.col("draw"), F.lit(c), seed=seed) for c in cols}
     )
     return out.drop("__block", *[f"__{n}_{c}" for c in cols for n in ("m", "s")])
+
+
+def simulated_inputs(history: DataFrame, future: DataFrame, keys: Sequence[str], series: Sequence[str], cols: Sequence[str], draws: int, seed: int = 7) -> DataFrame:
+    """Each future row (unique by ``keys``) ``draws`` times, exogenous columns drawn from a normal
+    with the history's moments."""
+    return drawn_inputs(with_moments(history, future, series, cols), keys, cols, draws, seed)

@@ -1,10 +1,15 @@
 """Quantiles of draws that are made again, against sorting them."""
 
+import datetime
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from seriesloom.catalog import modelling
 from seriesloom.operators import simulated
+from seriesloom.operators.panel import Panel
 
 QUANTILES = {"low": 0.05, "mid": 0.5, "high": 0.95, "least": 0.0, "most": 1.0}
 
@@ -68,3 +73,15 @@ def test_passes(spark):
 
     simulated.drawn_quantiles(points, watched, ["key"], "v", {"low": 0.05, "high": 0.95}).count()
     assert len(seen) == 4  # bounds, two narrowings (20,000 to about 300 and less), the look
+
+
+def test_history_whose_sums_differ(spark, monkeypatch):
+    """Sums of floats differ in their last digits from one reading to the next; the draws of all passes must not."""
+    rows = [(s, datetime.date(2000 + m // 12, m % 12 + 1, 28), float(100 + (m * 37 + s * 11) % 50), float(20 + (m * 13 + s) % 9)) for s in range(4) for m in range(36)]
+    noise = F.udf(lambda: 1 + random.uniform(-1e-9, 1e-9), "double").asNondeterministic()
+    df = spark.createDataFrame(rows, "series long, date date, rev double, disc double").withColumn("y", 3 * F.col("rev") - 2 * F.col("disc"))
+    unsteady = df.withColumn("rev", F.col("rev") * noise())
+    monkeypatch.setattr(modelling, "supplier_panel", lambda *_: Panel.calendar(unsteady, ["series"], "date"))
+    got = modelling._simulated(spark, "").collect()
+    assert len(got) == 12
+    assert all(r.n == 10_000 and r.mean_near and r.deviation_near and r.lower_near and r.upper_near for r in got)
