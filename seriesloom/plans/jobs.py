@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,42 +127,71 @@ def state_with_paths(known: Panel, fs: FeatureSet, horizon: int, exogenous: Mapp
     return state, names
 
 
-def stepwise_prediction(
-    panel: Panel, fs: FeatureSet, spec: md.ModelSpec, folds: DataFrame, fold: int, horizon: int | None = None, features: DataFrame | None = None,
-    exogenous: Mapping | None = None,
-) -> tuple[DataFrame, md.Fitted]:
-    """Fit on the rows before the fold's test and predict the test recursively.
+@dataclass(frozen=True)
+class FoldRows:
+    """What every model of a fold reads: training rows, the state that forecasts start from, the names of its paths, and the test rows."""
 
-    Nothing of the test rows but their dates and actual values is read: columns other than the target are forecast from the rows before
-    (``exogenous`` has the arguments of that forecast). The horizon is the fold's longest test; under a shorter one the later
-    rows keep a null forecast. Returns (series, step, date, actual, forecast, model_type, window, training errors) and the model.
+    fold: int
+    horizon: int
+    train: DataFrame
+    state: DataFrame
+    paths: list[str]
+    tests: DataFrame
+
+
+@contextmanager
+def fold_rows(
+    panel: Panel, fs: FeatureSet, folds: DataFrame, fold: int, horizon: int | None, features: DataFrame, exogenous: Mapping | None = None
+) -> Iterator[FoldRows]:
+    """The rows of one fold, made once for all its models; the training rows are kept until the block ends.
+
+    Columns other than the target are forecast from the training rows alone, whatever the model, so the forecast is not made again for each.
     """
     s, date = panel.series, panel.order[0]
-    if features is None:
-        features = fd.numbered(config.build(panel, fs)).df
-    names = config.output_names(fs)
     one = folds.filter(F.col("fold") == fold).filter("test_end > test_start").persist()
     if horizon is None:
         horizon = int(one.agg(F.max(F.col("test_end") - F.col("test_start"))).first()[0] or 0)
     train = matched(features, one.select(*s, "train_end"), s, how="inner").filter(F.col(fd.ROW) < F.col("train_end")).drop("train_end").persist()
-    model = md.fit(spec, train, names, fs.target)
-    errors = model.predict(train).agg(
-        mt.rounded(mt.mape(fs.target, "prediction"), 4).alias("TRAINING_MAPE"), mt.rounded(mt.rmse(fs.target, "prediction"), 2).alias("TRAINING_RMSE")
-    )
     known = Panel(train.select(*s, *panel.order, fs.target, *fs.inputs()), s, panel.order, rows_per_task=panel.limit, rows_bound=panel.rows_bound)
-    state, exog = state_with_paths(known, fs, horizon, exogenous)
-    out = fc.recursive_model_forecast(state, fs, model.predict, horizon, exogenous={n: f"path_{n}" for n in exog})
+    state, paths = state_with_paths(known, fs, horizon, exogenous)
     tests = matched(features.select(*s, date, fd.ROW, F.col(fs.target).cast("double").alias("actual")), one, s, how="inner").filter(
         (F.col(fd.ROW) >= F.col("test_start")) & (F.col(fd.ROW) < F.col("test_end"))
     )
     tests = tests.select(*s, date, "actual", (F.col(fd.ROW) - F.col("test_start") + 1).cast("int").alias("step"))
-    report = matched(tests, out.select(*s, "step", F.col("prediction").alias("forecast")), [*s, "step"])
-    report = report.withColumns({"model_type": F.lit(spec.label), "window": F.lit(fold)}).crossJoin(F.broadcast(errors))
-    # The model and its training rows are done with; keep the rows of the report only.
-    report = session.cut(report)
-    train.unpersist()
-    one.unpersist()
-    return report, model
+    try:
+        yield FoldRows(fold, horizon, train, session.cut(state), paths, session.cut(tests))
+    finally:
+        train.unpersist()
+        one.unpersist()
+
+
+def predicted_fold(rows: FoldRows, fs: FeatureSet, spec: md.ModelSpec, series: Sequence[str]) -> tuple[DataFrame, md.Fitted]:
+    """One model on one fold: the report and the model, as :func:`stepwise_prediction` gives them."""
+    model = md.fit(spec, rows.train, config.output_names(fs), fs.target)
+    errors = model.predict(rows.train).agg(
+        mt.rounded(mt.mape(fs.target, "prediction"), 4).alias("TRAINING_MAPE"), mt.rounded(mt.rmse(fs.target, "prediction"), 2).alias("TRAINING_RMSE")
+    )
+    out = fc.recursive_model_forecast(rows.state, fs, model.predict, rows.horizon, exogenous={n: f"path_{n}" for n in rows.paths})
+    report = matched(rows.tests, out.select(*series, "step", F.col("prediction").alias("forecast")), [*series, "step"])
+    report = report.withColumns({"model_type": F.lit(spec.label), "window": F.lit(rows.fold)}).crossJoin(F.broadcast(errors))
+    # The model is done with; keep the rows of the report only.
+    return session.cut(report), model
+
+
+def stepwise_prediction(
+    panel: Panel, fs: FeatureSet, spec: md.ModelSpec, folds: DataFrame, fold: int, horizon: int | None = None, features: DataFrame | None = None,
+    exogenous: Mapping | None = None,
+) -> tuple[DataFrame, md.Fitted]:
+    """Fit on the rows before the fold's test and predict the test recursively.
+
+    Nothing of the test rows but their dates and actual values is read: columns other than the target are forecast from the rows before
+    (``exogenous`` has the arguments of that forecast). The horizon is the fold's longest test; under a shorter one the later
+    rows keep a null forecast. Returns (series, step, date, actual, forecast, model_type, window, training errors) and the model.
+    """
+    if features is None:
+        features = fd.numbered(config.build(panel, fs)).df
+    with fold_rows(panel, fs, folds, fold, horizon, features, exogenous) as rows:
+        return predicted_fold(rows, fs, spec, panel.series)
 
 
 def walk_forward(
@@ -173,17 +204,19 @@ def walk_forward(
     row as REFERENCE_DATE and REFERENCE_PIX. Linear models of the target's own past alone are cheaper by ``fold_fits.walk_forward``.
 
     The training features look back only (but for leading gaps, which ``bfill`` takes from the series' first rows), so they are built
-    once; other columns are forecast anew in each fold. The driver loops over folds and models, and each turn fits and
+    once; other columns are forecast anew in each fold, once for all its models. The driver loops over folds and models, and each turn fits and
     predicts all series at once.
     """
     spark = panel.df.sparkSession
     features = session.cut(fd.numbered(config.build(panel, fs)).df)
+    folds = session.cut(folds)
     reports, importances = [], []
     for fold in fold_ids:
-        for spec in specs:
-            report, model = stepwise_prediction(panel, fs, spec, folds, fold, horizon, features, exogenous)
-            reports.append(report)
-            importances.append(model.importances(spark).withColumn("window", F.lit(fold)))
+        with fold_rows(panel, fs, folds, fold, horizon, features, exogenous) as rows:
+            for spec in specs:
+                report, model = predicted_fold(rows, fs, spec, panel.series)
+                reports.append(report)
+                importances.append(model.importances(spark).withColumn("window", F.lit(fold)))
     both = mt.with_report_metrics(rs.stack(reports), [*panel.series, *REPORT_KEYS], panel.order[0])
     last = folds.select(*panel.series, F.col("fold").alias("window"), (F.col("train_end") - 1).alias(fd.ROW))
     last = matched(last, features.select(*panel.series, fd.ROW, F.col(panel.order[0]).alias("REFERENCE_DATE"), F.col(fs.target).cast("double").alias("REFERENCE_PIX")), [*panel.series, fd.ROW])
@@ -247,10 +280,11 @@ def random_search(panel: Panel, fs: FeatureSet, kind: str, n: int, horizon: int,
     folds = session.cut(fd.tail_split(panel, panel.order[0], horizon))
     features = session.cut(fd.numbered(config.build(panel, fs)).df)
     parts = []
-    for i, spec in enumerate(md.sample_grid(kind, n, seed, space)):
-        report, _ = stepwise_prediction(panel, fs, spec, folds, 0, horizon, features, exogenous)
-        params = F.lit(json.dumps({k: str(v) for k, v in sorted(spec.params.items())}))
-        parts.append(report.agg(F.avg(F.pow(F.col("actual") - F.col("forecast"), 2)).alias("mse")).select(F.lit(i).alias("trial"), params.alias("params"), "mse"))
+    with fold_rows(panel, fs, folds, 0, horizon, features, exogenous) as rows:
+        for i, spec in enumerate(md.sample_grid(kind, n, seed, space)):
+            report, _ = predicted_fold(rows, fs, spec, panel.series)
+            params = F.lit(json.dumps({k: str(v) for k, v in sorted(spec.params.items())}))
+            parts.append(report.agg(F.avg(F.pow(F.col("actual") - F.col("forecast"), 2)).alias("mse")).select(F.lit(i).alias("trial"), params.alias("params"), "mse"))
     return rs.stack(parts)
 
 

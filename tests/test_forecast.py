@@ -117,6 +117,24 @@ def test_walk_forward_reports_every_point(spark):
     assert jobs.select_model(report).first()["best_model"] in ("ridge", "tree")
 
 
+def test_other_columns_are_forecast_once_per_fold(spark, monkeypatch):
+    p = weekly(spark, {"a": [10 + i % 4 + 0.1 * i for i in range(40)], "b": [5 + (i % 4) * 2 for i in range(40)]})
+    fs = config.FeatureSet(target="y", lags=(1,), exog_lags={"x": (1,)})
+    folds = fd.end_anchored_folds(p, "date", 2, 4)
+    specs = [md.ModelSpec("ridge"), md.ModelSpec("linear")]
+    alone = {
+        (r["model_type"], r["window"], r["series"], r["step"]): r["forecast"]
+        for spec in specs for fold in (0, 1) for r in jobs.stepwise_prediction(p, fs, spec, folds, fold, 4)[0].collect()
+    }
+    made, plain = [], jobs.exogenous_paths
+    monkeypatch.setattr(jobs, "exogenous_paths", lambda *a, **kw: made.append(1) or plain(*a, **kw))
+    rows = jobs.walk_forward(p, fs, specs, folds, [0, 1], 4)[0].collect()
+    assert len(made) == 2
+    assert {(r["model_type"], r["window"], r["series"], r["step"]): r["forecast"] for r in rows} == pytest.approx(alone)
+    jobs.random_search(p, fs, "ridge", 3, 4)
+    assert len(made) == 3
+
+
 def test_training_saves_and_loads(spark):
     p = weekly(spark, {"a": [10 + i % 4 for i in range(60)]})
     fs = config.FeatureSet(target="y", lags=(1, 4))
