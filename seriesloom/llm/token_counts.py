@@ -7,14 +7,17 @@ inside a piece. So every encoding has a token boundary there, whatever stands be
 * A huge document is encoded in chunks that overlap. The encodings of neighbours are compared in the overlap; they
   are spliced at a stable place up to which, from the stable place before it, both have the same tokens. Where there is
   none, the overlap doubles, up to the whole rest.
-* Other documents are cut at all stable places, and every unit is encoded once per worker.
+* Other documents are cut at all stable places, and every unit is encoded once per worker. A unit of plain letters and marks (most are) goes
+  straight to the model, which is asked once per word; the split pattern is known to part it into word and marks.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +34,23 @@ _ODD_SIGNS = "".join(map(chr, (0x180E, 0x200B, 0xFEFF)))
 _ODD = re.compile(rf"[^\S \t\n\r]|[{_ODD_SIGNS}]")
 _STABLE = re.compile(rf"(?<=[^\s{_ODD_SIGNS}])(?=[ \t\n\r])")
 
+# Letters and marks for which the split pattern of byte-level vocabularies is sure: a word with the space before it, then a run of marks.
+_LETTERS = r"A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_PLAIN = re.compile(rf"( ?[{_LETTERS}]+)([.,;:!?]*)")
+_BY_LETTER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+# More than any count below zero: the text of such a unit is encoded whole.
+_WHOLE = -(1 << 60)
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself where it is printable, else the next free one from 256."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in seen]
+    return {**{b: chr(b) for b in seen}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+_SIGNS = _byte_signs()
+
 
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,21 +68,54 @@ class Counter:
     def __init__(self, tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP, remembered: int = REMEMBERED):
         self.tokenizer, self.chunk, self.overlap, self.remembered = tokenizer, chunk, overlap, remembered
         self.known: dict[str, int] = {}
+        self.marks: dict[str, int] = {"": 0}
+        self.plain = self._parts_plainly(tokenizer)
         self.widened = 0
 
+    @staticmethod
+    def _parts_plainly(tokenizer) -> bool:
+        """Does this tokenizer split plain units as ``_PLAIN`` does, with nothing before or after the model?"""
+        if tokenizer.normalizer is not None or tokenizer.post_processor is not None or tokenizer.pre_tokenizer is None:
+            return False
+        split = json.loads(tokenizer.pre_tokenizer.__getstate__())
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        return {k: split.get(k) for k in _BY_LETTER} == _BY_LETTER and not any(_PLAIN.search(t) and re.fullmatch(rf"[ {_LETTERS}.,;:!?]+", t) for t in added)
+
     def count(self, texts: list[str]) -> list[int]:
-        short = [None if len(t) > self.chunk or _ODD.search(t) else _UNIT.findall(t) for t in texts]
-        self._learn({u for units in short if units for u in units})
-        known = self.known
-        return [sum(map(known.__getitem__, units)) if units is not None else self._huge(t) for t, units in zip(texts, short)]
+        units = [None if len(t) > self.chunk else _UNIT.findall(t) for t in texts]
+        found = [None if us is None else list(map(self.known.get, us)) for us in units]
+        gaps = [i for i, ns in enumerate(found) if ns is not None and None in ns]
+        self._learn({u for i in gaps for u, n in zip(units[i], found[i]) if n is None})
+        for i in gaps:
+            found[i] = [self.known[u] if n is None else n for u, n in zip(units[i], found[i])]
+        sums = [_WHOLE if ns is None else sum(ns) for ns in found]
+        return [n if n >= 0 else self._huge(t) for n, t in zip(sums, texts)]
 
     def _learn(self, units: set[str]) -> None:
-        if len(self.known) + len(units) > self.remembered:
+        # A word is remembered with and without the marks after it.
+        if len(self.known) + 2 * len(units) > self.remembered:
             self.known = {}
-        new = [u for u in units if u not in self.known]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            self.known.update(zip(part, map(len, self.tokenizer.encode_batch_fast(part, add_special_tokens=False))))
+        known, marks, tokens, rest = self.known, self.marks, self.tokenizer.model.tokenize, []
+        for u in units:
+            parts = _PLAIN.fullmatch(u) if self.plain else None
+            if parts is None:
+                known[u] = _WHOLE
+                if not _ODD.search(u):
+                    rest.append(u)
+                continue
+            word, after = parts.groups()
+            n = known.get(word)
+            if n is None:
+                n = known[word] = len(tokens(word.encode().decode("latin-1").translate(_SIGNS)))
+            if after:
+                if after not in marks:
+                    if len(marks) > 10_000:
+                        self.marks = marks = {"": 0}
+                    marks[after] = len(self.tokenizer.encode(after, add_special_tokens=False))
+                known[u] = n + marks[after]
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
+            known.update(zip(part, map(len, self.tokenizer.encode_batch_fast(part, add_special_tokens=False))))
 
     def _encode(self, text: str, start: int, stop: int) -> tuple[list[int], list[tuple[int, int]]]:
         found = self.tokenizer.encode(text[start:stop], add_special_tokens=False)
@@ -115,6 +168,12 @@ class Counter:
         return None
 
 
+@lru_cache(1)
+def _counter(path: str, chunk: int, overlap: int) -> Counter:
+    """The worker's counter: tasks that run in one worker, one after the other, share what it remembers (at most REMEMBERED units)."""
+    return Counter(load(path), chunk, overlap)
+
+
 def count(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), chunk: int = CHUNK,
           overlap: int = OVERLAP, limit: int = 512, rows: int = 256) -> DataFrame:
     """Per row: the ``keep`` columns, n_bytes (UTF-8), n_tokens and over_limit, of whole texts.
@@ -127,7 +186,7 @@ def count(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     kept, pos = list(keep), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(load(path), chunk, overlap)
+        counter = _counter(path, chunk, overlap)
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 b = whole.slice(at, rows)
