@@ -1,9 +1,9 @@
 """Byte-level BPE: ranked merges as a fold of Spark's higher-order functions, over distinct words.
 
-A text is split by the vocabulary's pattern and each piece ("word") is encoded for itself. The fold starts from the ids of a word's bytes and joins, step
-by step, the neighbours whose joint rank is lowest, the leftmost first. The ranks are a literal map in the plan from pairs of ids to the id of their
-join, dealt into small maps so that one lookup reads one or two entries. In long words one step joins all disjoint places of the lowest pair, where
-that gives the same; so a step is dear but there are few. Words that are tokens themselves are their own id. Frequent words are folded once for the
+A text is split by the vocabulary's pattern and each piece ("word") is encoded for itself. The fold starts from the ids of a word's bytes (two of them joined already where
+that join is sure to come before all that could touch them) and joins, step by step, the neighbours whose joint rank is lowest, the leftmost first. The ranks
+are a literal map in the plan from pairs of ids to the id of their join, as flat arrays so that one lookup reads two entries. The state of a short word is one
+array of numbers, whose least is the next join; in long words one step joins all disjoint places of the lowest pair, where that gives the same. Words that are tokens themselves are their own id. Frequent words are folded once for the
 corpus, the others where they stand; the frequent ones, at most FREQUENT, are a lookup table with a proven bound, found on a sample of texts: which
 words are in it changes the time and not the result. Decoding looks up each id's bytes and concatenates them.
 """
@@ -15,6 +15,7 @@ import json
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,12 @@ from seriesloom.llm.common import let, written
 
 #: Most words in the lookup table, some 50 bytes each, the documents (about) that it is chosen from, and words whose place in it a worker remembers.
 FREQUENT, SAMPLE_DOCS, REMEMBERED = 400_000, 50_000, 400_000
-#: A pair of ids as one number: ids are below this. Factors that deal pairs into groups and places.
-IDS, FACTORS = 1 << 20, (1_000_003, 7_919, 611_953, 104_729)
+#: A pair of ids as one number: ids are below this.
+IDS = 1 << 20
+#: A piece of a word as one number: the id of its join with the next piece, its place in the word (0 to 127, in short words), its own id.
+JOIN, PLACES = 27, 127 << 20
 #: More than any rank.
-_NONE = 1 << 30
+_NONE = IDS
 #: Pieces of a word above which a step joins all places of a pair, and bytes of a word above which it is cut first and not put into the table.
 BULK, LONG = 96, 192
 
@@ -43,6 +46,11 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def within(value: Column, body) -> Column:
+    """``body(value)`` as ``let`` has it, without an array around it: cheaper where Spark evaluates it many times in a lambda."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
+
+
 def literal(value, ddl: str) -> Column:
     """A nested value as one constant of the plan; the optimizer folds it."""
     return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), ddl)
@@ -56,37 +64,37 @@ def _pairs(path: str) -> dict[tuple[int, int], int]:
 
 
 @lru_cache(4)
-def _dealt(path: str) -> tuple[list[int], list[int], list[int]]:
-    """The map of pairs as flat arrays without clashes: a turn for each group of pairs, and by place the pair and the id of its join (-1 where free).
+def _dealt(path: str) -> tuple[list[int], list[int]]:
+    """The map of pairs as two flat arrays: a shift for each left id, and at shift + right id the id of the join, shifted by JOIN, plus the left id (-1 where free).
 
-    A pair stands at the place that its group's turn gives; the turns are tried, the largest groups first, until all of a group stand on free places.
+    The longest rows are placed first, each where its pairs stand on free places; a shift may be negative.
     """
-    pairs = _pairs(path)
-    groups, places = max(1, len(pairs) // 3), _prime_above(max(7, len(pairs) * 4 // 3))
-    members: dict[int, list[tuple[int, int]]] = {}
-    for a, b in pairs:
-        members.setdefault((a * FACTORS[0] + b * FACTORS[1]) % groups, []).append((a, b))
-    turns, keys, joins = [0] * groups, [-1] * places, [-1] * places
-    for g, own in sorted(members.items(), key=lambda m: -len(m[1])):
-        turn = 0
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for (a, b), r in _pairs(path).items():
+        rows.setdefault(a, []).append((b, r))
+    end = max(ranks(path).values()) + 1
+    shifts, slots = np.zeros(end, np.int64), np.full(len(_pairs(path)) + end, -1, np.int64)
+    size, place, tries = 0, 0, 1_024
+    for a, row in sorted(rows.items(), key=lambda m: -len(m[1])):
+        right, join = np.array(sorted(row)).T
+        if len(row) != size:
+            size, place = len(row), 0
         while True:
-            at = {(a * FACTORS[2] + b + turn * ((a + b * FACTORS[3]) % (places - 1) + 1)) % places for a, b in own}
-            if len(at) == len(own) and all(keys[i] < 0 for i in at):
+            # Rows of as many pairs are tried on from where the last one stands.
+            if place + end + tries > len(slots):
+                slots = np.append(slots, np.full(end + tries, -1, np.int64))
+            free = place + np.flatnonzero(slots[place : place + tries] < 0)
+            for r in right[1:] - right[0]:
+                if not len(free):
+                    break
+                free = free[slots[free + r] < 0]
+            if len(free):
                 break
-            turn += 1
-        turns[g] = turn
-        for a, b in own:
-            i = (a * FACTORS[2] + b + turn * ((a + b * FACTORS[3]) % (places - 1) + 1)) % places
-            keys[i], joins[i] = a * IDS + b, pairs[a, b]
-    return turns, keys, joins
-
-
-def _prime_above(n: int) -> int:
-    """The first prime above ``n``."""
-    n += 1 + n % 2
-    while any(n % d == 0 for d in range(3, int(n**0.5) + 1, 2)):
-        n += 2
-    return n
+            place += tries
+        place = int(free[0])
+        shifts[a] = place - right[0]
+        slots[shifts[a] + right] = (join << JOIN) + a
+    return shifts.tolist(), slots[: np.flatnonzero(slots >= 0).max(initial=0) + 1].tolist()
 
 
 @lru_cache(4)
@@ -100,21 +108,55 @@ def _eager(path: str) -> list[bool]:
 
 
 def folded(start: Column, path: str) -> Column:
-    """array<int>: the ids of a word, or of a cut part of one, given as the ids of its bytes. A word that is a token itself is not told apart here."""
-    turns, keys, joins = _dealt(path)
-    parts_ = F.struct(literal(turns, "array<int>").alias("turns"), literal(keys, "array<bigint>").alias("keys"), literal(joins, "array<int>").alias("joins"), literal(_eager(path), "array<boolean>").alias("eager"))
-    return let(parts_, lambda table: _folded(start, table, len(turns), len(keys)))
+    """array<int>: the ids of a word, or of a cut part of one, given by its ``starts``. A word that is a token itself is not told apart here."""
+    shifts, slots = _dealt(path)
+    parts_ = F.struct(literal(shifts, "array<bigint>").alias("shifts"), literal(slots, "array<bigint>").alias("slots"), literal(_eager(path), "array<boolean>").alias("eager"))
+    ids = lambda pieces: F.transform(pieces, lambda x: x.bitwiseAND(IDS - 1).cast("int"))
+    inner = lambda pieces: F.slice(pieces, F.lit(2), F.size(pieces) - 2)
+
+    def by_length(table: Column) -> Column:
+        return within(start, lambda pieces: F.when(F.size(pieces) <= BULK + 2, ids(inner(_folded_short(pieces, table)))).otherwise(_folded_long(ids(inner(pieces)), table)))
+
+    return within(parts_, by_length)
+
+
+def _joined(a: Column, b: Column, table: Column) -> Column:
+    """The id of the join of two ids, shifted by JOIN; null where the neighbours join with nothing or one is missing."""
+    slot = F.get(table["slots"], F.get(table["shifts"], a) + b)
+    return F.when(slot.bitwiseAND(IDS - 1) == a, slot - a)
+
 
+def _folded_short(start: Column, table: Column) -> Column:
+    """The pieces of a word of at most BULK bytes, joined one by one: the least number is the lowest rank, and of those the leftmost place."""
+    none = F.lit(_NONE << JOIN)
 
-def _folded(start: Column, table: Column, groups: int, places: int) -> Column:
+    def join(pieces: Column, least: Column, at: Column) -> Column:
+        new, left, after = F.shiftright(least, JOIN), F.get(pieces, at - 1), F.get(pieces, at + 2)
+        return F.flatten(F.array(
+            F.slice(pieces, F.lit(1), at - 1),
+            F.array(
+                left.bitwiseAND((1 << JOIN) - 1) + F.coalesce(_joined(left.bitwiseAND(IDS - 1), new, table), none),
+                least.bitwiseAND(PLACES) + new + F.coalesce(_joined(new, after.bitwiseAND(IDS - 1), table), none),
+            ),
+            F.slice(pieces, at + 3, F.lit(BULK + 2)),
+        ))
+
+    def step(pieces: Column) -> Column:
+        before = lambda least: within(least.bitwiseAND(PLACES), lambda place: F.size(F.filter(pieces, lambda x: x.bitwiseAND(PLACES) < place)))
+        return within(F.array_min(pieces), lambda least: F.when(least >= none, pieces).otherwise(within(before(least), lambda at: join(pieces, least, at))))
+
+    # Rounds of four steps: a round in which nothing is left to join is passed over whole.
+    steps = F.array(*[F.lit(i) for i in range(4)])
+    rounds = F.sequence(F.lit(0), F.shiftright(F.size(start), 2))
+    return F.aggregate(rounds, start, lambda s, _: F.when(F.array_min(s) >= none, s).otherwise(F.aggregate(steps, s, lambda x, _: step(x))))
+
+
+def _folded_long(start: Column, table: Column) -> Column:
     none, big = F.lit(_NONE), F.lit(1).cast("bigint")
 
     def rank(a: Column, b: Column) -> Column:
         # A null neighbour, as the last piece's, joins with nothing.
-        a, b = a * big, b * big
-        turn = F.get(table["turns"], F.pmod(a * FACTORS[0] + b * FACTORS[1], F.lit(groups)).cast("int"))
-        place = F.pmod(a * FACTORS[2] + b + turn * (F.pmod(a + b * FACTORS[3], F.lit(places - 1)) + 1), F.lit(places)).cast("int")
-        return let(place, lambda i: F.when(F.get(table["keys"], i) == a * IDS + b, F.get(table["joins"], i)).otherwise(none))
+        return F.coalesce(F.shiftright(_joined(a * big, b * big, table), JOIN).cast("int"), none)
 
     def state(ids: Column, joins: Column, done: Column) -> Column:
         return F.struct(ids.alias("ids"), joins.alias("joins"), done.alias("done"))
@@ -196,11 +238,58 @@ def parts(word: bytes, path: str) -> list[bytes]:
     return [word[a:b] for a, b in zip(at, at[1:])]
 
 
-def byte_ids(words: list[bytes], path: str) -> pa.Array:
-    """list<int>: the ids of the bytes of each word."""
-    single = np.array([ranks(path)[bytes([i])] for i in range(256)], np.int32)
-    offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words))))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(single[np.frombuffer(b"".join(words), np.uint8)], pa.int32()))
+def first_joins(path: str) -> tuple[np.ndarray, ...]:
+    """What ``starts`` needs: the ids of the 256 bytes, by two bytes the id of their join (else _NONE), the lowest rank at which a token that ends in the first
+    joins with the second and at which the first joins with a token that begins with the second, and the map of pairs as ``_dealt`` has it.
+
+    The ids of eager joins are left out of the first.
+    """
+    known, eager = ranks(path), _eager(path)
+    token = {r: t for t, r in known.items()}
+    joins, before, after = (np.full((256, 256), _NONE, np.int64) for _ in range(3))
+    for (a, b), r in _pairs(path).items():
+        left, right = token[a], token[b]
+        if len(left) == len(right) == 1 and not eager[r]:
+            joins[left[0], right[0]] = r
+        if len(right) == 1:
+            before[left[-1], right[0]] = min(before[left[-1], right[0]], r)
+        if len(left) == 1:
+            after[left[0], right[0]] = min(after[left[0], right[0]], r)
+    shifts, slots = _dealt(path)
+    return np.array([known[bytes([i])] for i in range(256)], np.int64), joins, before, after, np.array(shifts), np.array(slots, np.int64)
+
+
+def starts(words: list[bytes], tables: tuple[np.ndarray, ...]) -> pa.Array:
+    """list<int64>: the pieces that the fold of each word starts from, with an end on both sides that joins with nothing.
+
+    They are the word's bytes, two of them joined already where their join comes before any other that could touch one of them, whatever the pieces beside
+    have grown to, and where no join with the new piece could come before those of a lower rank elsewhere: so the order of the rest stays.
+    """
+    single, joins, before, after, shifts, slots = tables
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    raw = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    word = np.repeat(np.arange(len(words)), lengths)
+    # By place, of it and the next one: in one word, then the rank of their join.
+    inside = np.append(word[1:] == word[:-1], False)[: len(raw)]
+    here, following = raw, np.append(raw[1:], 0)[: len(raw)]
+    rank = np.where(inside, joins[here, following], _NONE)
+    left = np.where(np.roll(inside, 1), before[np.roll(here, 1), here], _NONE)
+    right = np.where(np.roll(inside, -1), after[following, np.roll(following, -1)], _NONE)
+    sure = inside & (rank < left) & (rank < right)
+    ids = np.where(sure, rank, single[raw])
+    stay = ~np.roll(sure, 1)
+    ids, word = ids[stay], word[stay]
+    lengths = np.bincount(word, minlength=len(words)).astype(np.int64)
+    ends = np.cumsum(lengths + 2)
+    place = np.arange(len(ids)) - (np.cumsum(lengths) - lengths)[word] + 1
+    at = shifts[ids[:-1]] + ids[1:]
+    slot = slots[np.clip(at, 0, len(slots) - 1)]
+    join = np.full(len(ids), _NONE << JOIN)
+    join[:-1] = np.where((word[:-1] == word[1:]) & (at >= 0) & (at < len(slots)) & (slot & IDS - 1 == ids[:-1]), slot - ids[:-1], _NONE << JOIN)
+    pieces = np.full(len(ids) + 2 * len(words), (_NONE << JOIN) + IDS - 1, np.int64)
+    pieces[ends - 1] += PLACES
+    pieces[np.arange(len(ids)) + 2 * word + 1] = join + (np.where((lengths <= BULK)[word], place, 0) << 20) + ids
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(pieces))
 
 
 def _splitter(pattern: str):
@@ -278,13 +367,15 @@ def frequent_words(texts: DataFrame, path: str, pattern: str, most: int = FREQUE
     own = ranks(path)
     words, ids = [pa.array(own, pa.binary())], [pa.array([[r] for r in own.values()], pa.list_(pa.int32()))]
     if least is not None:
+        tables = texts.sparkSession.sparkContext.broadcast(first_joins(path))
+
         def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 new = [w for w in b.column(0).to_pylist() if w not in own]
-                yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), byte_ids(new, path)], ["word", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), starts(new, tables.value)], ["word", "start"])
 
         chosen = counts.where(F.col("n") >= least).select("word").repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        found = chosen.mapInArrow(start, "word binary, start array<int>").select("word", folded(F.col("start"), path).alias("ids")).toArrow()
+        found = chosen.mapInArrow(start, "word binary, start array<bigint>").select("word", folded(F.col("start"), path).alias("ids")).toArrow()
         words += found.column("word").chunks
         ids += found.column("ids").chunks
     return Table(pa.concat_arrays(words), pa.concat_arrays([x.cast(pa.list_(pa.int32())) for x in ids]))
@@ -304,6 +395,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
     kept, pos = list(keep), len(keep)
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(frequent_words(frame.select(text), path, pattern, most))
+    tables = spark.sparkContext.broadcast(first_joins(path))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema[: len(keep)])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,11 +407,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
                 texts = [split(t) if t else [] for t in b.column(pos).to_pylist()]
                 if len(seen) > REMEMBERED:
                     seen = {}
-                new = list({w for words in texts for w in words if w not in seen})
+                each_entry = [np.fromiter(map(seen.get, words, repeat(-1)), np.int64, len(words)) for words in texts]
+                new = list({words[i] for words, entries in zip(texts, each_entry) for i in np.flatnonzero(entries < 0).tolist()})
                 seen.update(zip(new, table.find(new)))
                 found, rare, counts = [], [], []
-                for words in texts:
-                    entries = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+                for words, entries in zip(texts, each_entry):
+                    unseen = np.flatnonzero(entries < 0)
+                    entries[unseen] = [seen[words[i]] for i in unseen.tolist()]
                     unknown = [words[i].encode("utf-8", "surrogatepass") for i in np.flatnonzero(entries == none).tolist()]
                     if any(len(w) > LONG for w in unknown):
                         # one place for each part
@@ -331,8 +425,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
                     rare += unknown
                     counts.append(len(unknown))
                 offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-                starts = pa.ListArray.from_arrays(offsets, byte_ids(rare, path))
-                yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.array(found, pa.binary()), starts], [*kept, "_known", "_rare"])
+                first = pa.ListArray.from_arrays(offsets, starts(rare, tables.value))
+                yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.array(found, pa.binary()), first], [*kept, "_known", "_rare"])
 
     def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -353,7 +447,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
             values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], [*kept, "ids"])
 
-    found = frame.mapInArrow(look_up, f"{ddl}, _known binary, _rare array<array<int>>")
+    found = frame.mapInArrow(look_up, f"{ddl}, _known binary, _rare array<array<bigint>>")
     found = found.select(*[found[c] for c in kept], "_known", F.transform("_rare", lambda w: folded(w, path)).alias("_rare"))
     return found.mapInArrow(put_in, f"{ddl}, ids array<int>")
 

@@ -297,6 +297,44 @@ def test_bpe_of_long_words(spark):
         assert list(r["ids"]) == plain.encode_ordinary(texts[r["doc_id"]])
 
 
+def plain_fold(ids, pairs):
+    ids = list(ids)
+    while True:
+        found = [(pairs[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
+        if not found:
+            return ids
+        r, i = min(found)
+        ids[i : i + 2] = [r]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bpe_starts_and_fold(spark, tmp_path, seed):
+    """Joins made before the fold change nothing, also under ranks in any order (joins that rank below their parts); the fold starts from fewer pieces."""
+    rng = random.Random(seed)
+    if seed:
+        tokens = {b"a", b"b", b"c"}
+        while len(tokens) < 40:
+            tokens.add(rng.choice(sorted(tokens)) + rng.choice(sorted(tokens)))
+        longer = sorted((t for t in sorted(tokens) if len(t) > 1), key=lambda t: len(t) + 3 * (seed - 1) * rng.random())
+        path = str(tmp_path / "ranks")
+        with open(path, "wb") as f:
+            f.writelines(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate([bytes([i]) for i in range(256)] + longer))
+        words = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 140))) for _ in range(300)]
+    else:
+        path, tokens = RANKS, sorted(byte_bpe.ranks(RANKS))
+        words = [b"".join(rng.choice(tokens) for _ in range(rng.randint(1, 30))) for _ in range(300)]
+    words += [b"a" * n for n in (1, 2, 3, 95, 96, 97, 98, 200)] + [b"ab" * 60, b"\xff"]
+    pairs, single = byte_bpe._pairs(path), [byte_bpe.ranks(path)[bytes([i])] for i in range(256)]
+    start = byte_bpe.starts(words, byte_bpe.first_joins(path)).to_pylist()
+    want = [plain_fold([single[c] for c in w], pairs) for w in words]
+    ids = [[x % byte_bpe.IDS for x in pieces[1:-1]] for pieces in start]
+    assert [plain_fold(i, pairs) for i in ids] == want
+    assert sum(map(len, ids)) < sum(map(len, words)) or seed > 1
+    df = spark.createDataFrame(list(enumerate(start)), "n int, start array<bigint>").repartition(2)
+    got = df.select("n", byte_bpe.folded(F.col("start"), path).alias("ids")).collect()
+    assert [list(r["ids"]) for r in sorted(got)] == want
+
+
 # -- 6 token counts --------------------------------------------------------------------------
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
