@@ -14,21 +14,20 @@ import base64
 import json
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm.common import let, written
 
-#: Most words in the lookup table, some 50 bytes each, the documents (about) that it is chosen from, and words whose place in it a worker remembers.
-FREQUENT, SAMPLE_DOCS, REMEMBERED = 400_000, 50_000, 400_000
+#: Most words in the lookup table, some 50 bytes each and as many again in a worker's dictionary of them, and the documents (about) that it is chosen from.
+FREQUENT, SAMPLE_DOCS = 400_000, 25_000
 #: A pair of ids as one number: ids are below this.
 IDS = 1 << 20
 #: A piece of a word as one number: the id of its join with the next piece, its place in the word (0 to 127, in short words), its own id.
@@ -238,57 +237,84 @@ def parts(word: bytes, path: str) -> list[bytes]:
     return [word[a:b] for a, b in zip(at, at[1:])]
 
 
-def first_joins(path: str) -> tuple[np.ndarray, ...]:
-    """What ``starts`` needs: the ids of the 256 bytes, by two bytes the id of their join (else _NONE), the lowest rank at which a token that ends in the first
-    joins with the second and at which the first joins with a token that begins with the second, and the map of pairs as ``_dealt`` has it.
-
-    The ids of eager joins are left out of the first.
+def first_joins(path: str) -> tuple:
+    """What ``starts`` needs: the ids of the 256 bytes, the map of pairs as ``_dealt`` has it, which ids are eager, and two sorted maps from a byte and an id
+    to the lowest rank at which a token that ends in the byte joins with the id, and at which the id joins with a token that begins with the byte. The
+    entries of these maps whose id is that of a byte come as arrays by two bytes too.
     """
-    known, eager = ranks(path), _eager(path)
+    known = ranks(path)
     token = {r: t for t, r in known.items()}
-    joins, before, after = (np.full((256, 256), _NONE, np.int64) for _ in range(3))
+    before, after = {}, {}
     for (a, b), r in _pairs(path).items():
-        left, right = token[a], token[b]
-        if len(left) == len(right) == 1 and not eager[r]:
-            joins[left[0], right[0]] = r
-        if len(right) == 1:
-            before[left[-1], right[0]] = min(before[left[-1], right[0]], r)
-        if len(left) == 1:
-            after[left[0], right[0]] = min(after[left[0], right[0]], r)
+        i, j = token[a][-1] * IDS + b, token[b][0] * IDS + a
+        before[i], after[j] = min(r, before.get(i, r)), min(r, after.get(j, r))
+    near = [np.full((256, 256), _NONE, np.int64) for _ in range(2)]
+    for out, lowest in zip(near, (before, after)):
+        for k, r in lowest.items():
+            if len(token[k % IDS]) == 1:
+                out[k // IDS, token[k % IDS][0]] = r
+    by_key = lambda m: (np.array(sorted(m), np.int64), np.array([m[k] for k in sorted(m)], np.int64))
     shifts, slots = _dealt(path)
-    return np.array([known[bytes([i])] for i in range(256)], np.int64), joins, before, after, np.array(shifts), np.array(slots, np.int64)
+    return np.array([known[bytes([i])] for i in range(256)], np.int64), np.array(shifts), np.array(slots, np.int64), np.array(_eager(path)), *near, by_key(before), by_key(after)
+
+
+def _lowest(lowest: tuple[np.ndarray, np.ndarray], byte: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The rank for a byte and an id, _NONE where there is none."""
+    keys, values = lowest
+    if not len(keys):
+        return np.full(len(ids), _NONE, np.int64)
+    wanted = byte * IDS + ids
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], _NONE)
 
 
-def starts(words: list[bytes], tables: tuple[np.ndarray, ...]) -> pa.Array:
+def starts(words: list[bytes], tables: tuple, rounds: int = 2) -> pa.Array:
     """list<int64>: the pieces that the fold of each word starts from, with an end on both sides that joins with nothing.
 
-    They are the word's bytes, two of them joined already where their join comes before any other that could touch one of them, whatever the pieces beside
-    have grown to, and where no join with the new piece could come before those of a lower rank elsewhere: so the order of the rest stays.
+    They are the word's bytes, and where this is sure two or up to four of them joined already: their join comes before any other that could touch one of
+    the two pieces, whatever the pieces beside may grow to, and no join with the new piece comes before those of a lower rank elsewhere (it is not eager).
+    So the order of all the other joins stays as it is.
     """
-    single, joins, before, after, shifts, slots = tables
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    single, shifts, slots, eager, near_before, near_after, before, after = tables
     raw = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-    word = np.repeat(np.arange(len(words)), lengths)
-    # By place, of it and the next one: in one word, then the rank of their join.
-    inside = np.append(word[1:] == word[:-1], False)[: len(raw)]
-    here, following = raw, np.append(raw[1:], 0)[: len(raw)]
-    rank = np.where(inside, joins[here, following], _NONE)
-    left = np.where(np.roll(inside, 1), before[np.roll(here, 1), here], _NONE)
-    right = np.where(np.roll(inside, -1), after[following, np.roll(following, -1)], _NONE)
-    sure = inside & (rank < left) & (rank < right)
-    ids = np.where(sure, rank, single[raw])
-    stay = ~np.roll(sure, 1)
-    ids, word = ids[stay], word[stay]
+    word = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+    ids, first, last = single[raw], raw, raw
+
+    def joins() -> np.ndarray:
+        """By piece: the id of its join with the next one."""
+        out = np.full(len(ids), _NONE, np.int64)
+        at = shifts[ids[:-1]] + ids[1:]
+        slot = slots[np.clip(at, 0, len(slots) - 1)] if len(slots) else np.full(len(at), -1, np.int64)
+        found = (word[:-1] == word[1:]) & (at >= 0) & (at < len(slots)) & (slot & IDS - 1 == ids[:-1])
+        out[:-1][found] = slot[found] >> JOIN
+        return out
+
+    for turn in range(rounds):
+        rank = joins()
+        at = np.flatnonzero(rank < _NONE)
+        at = at[~eager[rank[at]]]
+        rank = rank[at]
+        # The piece before the two, the second of the two, the piece after; out of reach they are looked up too and not taken.
+        above, second, below = at - 1, at + 1, np.minimum(at + 2, len(ids) - 1)
+        if turn == 0:
+            left, right = near_before[last[above], first[at]], near_after[first[below], first[second]]
+        else:
+            left, right = _lowest(before, last[above], ids[at]), _lowest(after, first[below], ids[second])
+        left = np.where((at > 0) & (word[above] == word[at]), left, _NONE)
+        right = np.where((below > second) & (word[below] == word[at]), right, _NONE)
+        sure = (rank < left) & (rank < right)
+        at, rank = at[sure], rank[sure]
+        stay = np.ones(len(ids), bool)
+        stay[at + 1] = False
+        ids, last = ids.copy(), last.copy()
+        ids[at], last[at] = rank, last[at + 1]
+        ids, first, last, word = ids[stay], first[stay], last[stay], word[stay]
     lengths = np.bincount(word, minlength=len(words)).astype(np.int64)
     ends = np.cumsum(lengths + 2)
     place = np.arange(len(ids)) - (np.cumsum(lengths) - lengths)[word] + 1
-    at = shifts[ids[:-1]] + ids[1:]
-    slot = slots[np.clip(at, 0, len(slots) - 1)]
-    join = np.full(len(ids), _NONE << JOIN)
-    join[:-1] = np.where((word[:-1] == word[1:]) & (at >= 0) & (at < len(slots)) & (slot & IDS - 1 == ids[:-1]), slot - ids[:-1], _NONE << JOIN)
     pieces = np.full(len(ids) + 2 * len(words), (_NONE << JOIN) + IDS - 1, np.int64)
     pieces[ends - 1] += PLACES
-    pieces[np.arange(len(ids)) + 2 * word + 1] = join + (np.where((lengths <= BULK)[word], place, 0) << 20) + ids
+    pieces[np.arange(len(ids)) + 2 * word + 1] = (joins() << JOIN) + (np.where((lengths <= BULK)[word], place, 0) << 20) + ids
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(pieces))
 
 
@@ -319,12 +345,10 @@ def _counted(docs: DataFrame, pattern: str) -> DataFrame:
 
 
 class Table:
-    """The ids of many words in a few flat arrays: words in the order of their hashes, found by bisection and compared."""
+    """The ids of many words in a few flat arrays."""
 
     def __init__(self, words: pa.BinaryArray, ids: pa.ListArray):
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.as_buffer()) for w in words), np.uint64, len(words))
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, words, ids = hashes[order], words.take(pa.array(order)), ids.take(pa.array(order))
+        words, ids = words.take(pa.array(np.arange(len(words)))), ids.take(pa.array(np.arange(len(ids))))
         # take() makes a fresh array, so its value buffer is the words one after the other.
         self.words = words.buffers()[2].to_pybytes() if len(words) else b""
         self.word_at = np.concatenate(([0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64))))
@@ -334,13 +358,16 @@ class Table:
         self.lengths = np.append(lengths, 1)
         self.starts = np.concatenate(([0], np.cumsum(lengths)))
 
-    def find(self, words: list[str]) -> list[int]:
-        """The entries of words; that of -1 for those that are not here."""
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw))
-        at = np.searchsorted(self.hashes, hashes).tolist()
-        none, edge = len(self.hashes), self.word_at
-        return [i if i < none and self.words[edge[i] : edge[i + 1]] == w else none for i, w in zip(at, raw)]
+    @cached_property
+    def entries(self) -> dict[str, int]:
+        """The entry of every word that is text; made once by a worker, when it is first asked for."""
+        out, at = {}, self.word_at.tolist()
+        for i, (a, b) in enumerate(zip(at, at[1:])):
+            try:
+                out[self.words[a:b].decode("utf-8", "surrogatepass")] = i
+            except UnicodeDecodeError:
+                continue
+        return out
 
     def gather(self, entries: np.ndarray) -> np.ndarray:
         """The ids of entries, one after the other."""
@@ -399,21 +426,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema[: len(keep)])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, table, seen = _splitter(pattern), shared.value, {}
-        none = len(table.hashes)
+        split, table = _splitter(pattern), shared.value
+        entry, none = table.entries.get, len(table.starts) - 1
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
                 texts = [split(t) if t else [] for t in b.column(pos).to_pylist()]
-                if len(seen) > REMEMBERED:
-                    seen = {}
-                each_entry = [np.fromiter(map(seen.get, words, repeat(-1)), np.int64, len(words)) for words in texts]
-                new = list({words[i] for words, entries in zip(texts, each_entry) for i in np.flatnonzero(entries < 0).tolist()})
-                seen.update(zip(new, table.find(new)))
                 found, rare, counts = [], [], []
-                for words, entries in zip(texts, each_entry):
-                    unseen = np.flatnonzero(entries < 0)
-                    entries[unseen] = [seen[words[i]] for i in unseen.tolist()]
+                for words in texts:
+                    entries = np.fromiter(map(entry, words, repeat(none)), np.int64, len(words))
                     unknown = [words[i].encode("utf-8", "surrogatepass") for i in np.flatnonzero(entries == none).tolist()]
                     if any(len(w) > LONG for w in unknown):
                         # one place for each part
@@ -429,23 +450,20 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
                 yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.array(found, pa.binary()), first], [*kept, "_known", "_rare"])
 
     def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            offsets, parts = [0], []
-            for known, rare in zip(b.column(pos).to_pylist(), b.column(pos + 1)):
-                ids = np.frombuffer(known, np.int32)
-                if len(rare):
-                    lengths = np.diff(rare.values.offsets.to_numpy())
-                    more = rare.values.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-                    gaps = ids < 0
-                    each = np.ones(len(ids), np.int64)
-                    each[gaps] = lengths
-                    marked = np.repeat(ids, each)
-                    marked[marked < 0] = more
-                    ids = marked
-                parts.append(ids)
-                offsets.append(offsets[-1] + len(ids))
-            values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], [*kept, "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                known, words = b.column(pos), b.column(pos + 1).flatten()
+                ids = np.frombuffer(b"".join(known.to_pylist()), np.int32)
+                rows = np.concatenate(([0], np.cumsum(pc.binary_length(known).to_numpy(zero_copy_only=False) // 4)))
+                # A place of -1 is that of a word of the second column, in order.
+                each = np.ones(len(ids) + 1, np.int32)
+                each[np.flatnonzero(ids < 0)] = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+                ends = np.concatenate(([0], np.cumsum(each[:-1])))
+                ids = np.repeat(ids, each[:-1])
+                ids[ids < 0] = words.flatten().to_numpy(zero_copy_only=False)
+                values = pa.ListArray.from_arrays(pa.array(ends[rows].astype(np.int32)), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [values], [*kept, "ids"])
 
     found = frame.mapInArrow(look_up, f"{ddl}, _known binary, _rare array<array<bigint>>")
     found = found.select(*[found[c] for c in kept], "_known", F.transform("_rare", lambda w: folded(w, path)).alias("_rare"))
