@@ -108,24 +108,29 @@ def _eager(path: str) -> list[bool]:
 
 def folded(start: Column, path: str) -> Column:
     """array<int>: the ids of a word, or of a cut part of one, given by its ``starts``. A word that is a token itself is not told apart here."""
+    return with_ranks(path, lambda table: _folded(start, table))
+
+
+def with_ranks(path: str, body) -> Column:
+    """``body`` of the map of pairs, as columns that are made once for all that it does."""
     shifts, slots = _dealt(path)
-    parts_ = F.struct(literal(shifts, "array<bigint>").alias("shifts"), literal(slots, "array<bigint>").alias("slots"), literal(_eager(path), "array<boolean>").alias("eager"))
-    ids = lambda pieces: F.transform(pieces, lambda x: x.bitwiseAND(IDS - 1).cast("int"))
-    inner = lambda pieces: F.slice(pieces, F.lit(2), F.size(pieces) - 2)
+    shifts, slots, eager = literal(shifts, "array<bigint>"), literal(slots, "array<bigint>"), literal(_eager(path), "array<boolean>")
+    return within(shifts, lambda a: within(slots, lambda b: within(eager, lambda c: body({"shifts": a, "slots": b, "eager": c}))))
 
-    def by_length(table: Column) -> Column:
-        return within(start, lambda pieces: F.when(F.size(pieces) <= BULK + 2, ids(inner(_folded_short(pieces, table)))).otherwise(_folded_long(ids(inner(pieces)), table)))
 
-    return within(parts_, by_length)
+def _folded(start: Column, table: dict[str, Column]) -> Column:
+    ids = lambda pieces: F.transform(pieces, lambda x: x.bitwiseAND(IDS - 1).cast("int"))
+    inner = lambda pieces: F.slice(pieces, F.lit(2), F.size(pieces) - 2)
+    return within(start, lambda pieces: F.when(F.size(pieces) <= BULK + 2, ids(inner(_folded_short(pieces, table)))).otherwise(_folded_long(ids(inner(pieces)), table)))
 
 
-def _joined(a: Column, b: Column, table: Column) -> Column:
+def _joined(a: Column, b: Column, table: dict[str, Column]) -> Column:
     """The id of the join of two ids, shifted by JOIN; null where the neighbours join with nothing or one is missing."""
     slot = F.get(table["slots"], F.get(table["shifts"], a) + b)
     return F.when(slot.bitwiseAND(IDS - 1) == a, slot - a)
 
 
-def _folded_short(start: Column, table: Column) -> Column:
+def _folded_short(start: Column, table: dict[str, Column]) -> Column:
     """The pieces of a word of at most BULK bytes, joined one by one: the least number is the lowest rank, and of those the leftmost place."""
     none = F.lit(_NONE << JOIN)
 
@@ -150,7 +155,7 @@ def _folded_short(start: Column, table: Column) -> Column:
     return F.aggregate(rounds, start, lambda s, _: F.when(F.array_min(s) >= none, s).otherwise(F.aggregate(steps, s, lambda x, _: step(x))))
 
 
-def _folded_long(start: Column, table: Column) -> Column:
+def _folded_long(start: Column, table: dict[str, Column]) -> Column:
     none, big = F.lit(_NONE), F.lit(1).cast("bigint")
 
     def rank(a: Column, b: Column) -> Column:
@@ -431,9 +436,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
-                texts = [split(t) if t else [] for t in b.column(pos).to_pylist()]
                 found, rare, counts = [], [], []
-                for words in texts:
+                for t in b.column(pos).to_pylist():
+                    words = split(t) if t else []
                     entries = np.fromiter(map(entry, words, repeat(none)), np.int64, len(words))
                     unknown = [words[i].encode("utf-8", "surrogatepass") for i in np.flatnonzero(entries == none).tolist()]
                     if any(len(w) > LONG for w in unknown):
@@ -466,7 +471,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
                 yield pa.RecordBatch.from_arrays([b.column(i) for i in range(pos)] + [values], [*kept, "ids"])
 
     found = frame.mapInArrow(look_up, f"{ddl}, _known binary, _rare array<array<bigint>>")
-    found = found.select(*[found[c] for c in kept], "_known", F.transform("_rare", lambda w: folded(w, path)).alias("_rare"))
+    found = found.select(*[found[c] for c in kept], "_known", with_ranks(path, lambda table: F.transform("_rare", lambda w: _folded(w, table))).alias("_rare"))
     return found.mapInArrow(put_in, f"{ddl}, ids array<int>")
 
 
