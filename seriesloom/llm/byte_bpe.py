@@ -1,6 +1,6 @@
 """Byte-level BPE: ranked merges as a fold of Spark's higher-order functions, over distinct words.
 
-A text is split by the vocabulary's pattern and each piece ("word") is encoded for itself. The fold starts from the ids of a word's bytes (two of them joined already where
+A text is split by the vocabulary's pattern and each piece ("word") is encoded for itself. The fold starts from the ids of a word's bytes (up to four of them joined already where
 that join is sure to come before all that could touch them) and joins, step by step, the neighbours whose joint rank is lowest, the leftmost first. The ranks
 are a literal map in the plan from pairs of ids to the id of their join, as flat arrays so that one lookup reads two entries. The state of a short word is one
 array of numbers, whose least is the next join; in long words one step joins all disjoint places of the lowest pair, where that gives the same. Words that are tokens themselves are their own id. Frequent words are folded once for the
