@@ -7,8 +7,9 @@ inside a piece. So every encoding has a token boundary there, whatever stands be
 * A huge document is encoded in chunks that overlap. The encodings of neighbours are compared in the overlap; they
   are spliced at a stable place up to which, from the stable place before it, both have the same tokens. Where there is
   none, the overlap doubles, up to the whole rest.
-* Other documents are cut at all stable places, and every unit is encoded once per worker. A unit of plain letters and marks (most are) goes
-  straight to the model, which is asked once per word; the split pattern is known to part it into word and marks.
+* Other documents are cut at all stable places, on the bytes of a whole batch at once, and every unit is encoded once per worker: Arrow names the
+  different units of a batch, only these are looked up, and each text sums the counts of its units. Where the split pattern is known to part a letter
+  from a mark after it, texts are cut there too. A unit of plain letters (most are) goes straight to the model, which is asked once per word.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Signs of a chunk and of its first overlap.
@@ -28,18 +32,21 @@ OVERLAP = 512
 #: Units a worker remembers; then it starts anew.
 REMEMBERED = 1_000_000
 
-_UNIT = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+_WHITE = np.isin(np.arange(256), list(b" \t\n\r"))
 # White space of other kinds: a place beside it is not taken as stable.
 _ODD_SIGNS = "".join(map(chr, (0x180E, 0x200B, 0xFEFF)))
 _ODD = re.compile(rf"[^\S \t\n\r]|[{_ODD_SIGNS}]")
 _STABLE = re.compile(rf"(?<=[^\s{_ODD_SIGNS}])(?=[ \t\n\r])")
 
-# Letters and marks for which the split pattern of byte-level vocabularies is sure: a word with the space before it, then a run of marks.
-_LETTERS = r"A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
-_PLAIN = re.compile(rf"( ?[{_LETTERS}]+)([.,;:!?]*)")
+# Letters and marks for which the split pattern of byte-level vocabularies is sure: a word with the space before it ends at a mark, where a new piece begins.
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_PLAIN = rf"\A ?[{_LETTERS}]+\z"
+_MARKS = re.compile(r"[.,;:!?]+")
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+_LETTER = np.array([chr(b).isalpha() for b in range(128)] + [False] * 128)
 _BY_LETTER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-# More than any count below zero: the text of such a unit is encoded whole.
-_WHOLE = -(1 << 60)
+# No count: the text of such a unit is encoded whole.
+_WHOLE = -1
 
 
 def _byte_signs() -> dict[int, str]:
@@ -52,6 +59,11 @@ def _byte_signs() -> dict[int, str]:
 _SIGNS = _byte_signs()
 
 
+def _byte_level(unit: str) -> str:
+    """A unit in the signs of the vocabulary."""
+    return unit.replace(" ", _SIGNS[0x20]) if unit.isascii() else unit.encode().decode("latin-1").translate(_SIGNS)
+
+
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -68,66 +80,105 @@ class Counter:
     def __init__(self, tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP, remembered: int = REMEMBERED):
         self.tokenizer, self.chunk, self.overlap, self.remembered = tokenizer, chunk, overlap, remembered
         self.known: dict[str, int] = {}
-        self.marks: dict[str, int] = {"": 0}
         self.plain = self._parts_plainly(tokenizer)
         self.widened = 0
 
     @staticmethod
     def _parts_plainly(tokenizer) -> bool:
-        """Does this tokenizer split plain units as ``_PLAIN`` does, with nothing before or after the model?"""
+        """Does this tokenizer take a ``_PLAIN`` unit as one piece and part letters from marks, with nothing before or after the model?"""
         if tokenizer.normalizer is not None or tokenizer.post_processor is not None or tokenizer.pre_tokenizer is None:
             return False
         split = json.loads(tokenizer.pre_tokenizer.__getstate__())
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        return {k: split.get(k) for k in _BY_LETTER} == _BY_LETTER and not any(_PLAIN.search(t) and re.fullmatch(rf"[ {_LETTERS}.,;:!?]+", t) for t in added)
+        return {k: split.get(k) for k in _BY_LETTER} == _BY_LETTER and not any(re.fullmatch(rf"[ {_LETTERS}.,;:!?]*[{_LETTERS}][ {_LETTERS}.,;:!?]*", t) or re.search(r"\w[.,;:!?]", t) for t in added)
 
     def count(self, texts: list[str]) -> list[int]:
-        units = [None if len(t) > self.chunk else _UNIT.findall(t) for t in texts]
-        found = [None if us is None else list(map(self.known.get, us)) for us in units]
-        gaps = [i for i, ns in enumerate(found) if ns is not None and None in ns]
-        self._learn({u for i in gaps for u, n in zip(units[i], found[i]) if n is None})
-        for i in gaps:
-            found[i] = [self.known[u] if n is None else n for u, n in zip(units[i], found[i])]
-        sums = [_WHOLE if ns is None else sum(ns) for ns in found]
-        return [n if n >= 0 else self._huge(t) for n, t in zip(sums, texts)]
-
-    def _learn(self, units: set[str]) -> None:
-        # A word is remembered with and without the marks after it.
-        if len(self.known) + 2 * len(units) > self.remembered:
-            self.known = {}
-        known, marks, tokens, rest = self.known, self.marks, self.tokenizer.model.tokenize, []
-        for u in units:
-            parts = _PLAIN.fullmatch(u) if self.plain else None
-            if parts is None:
-                known[u] = _WHOLE
-                if not _ODD.search(u):
-                    rest.append(u)
-                continue
-            word, after = parts.groups()
-            n = known.get(word)
-            if n is None:
-                n = known[word] = len(tokens(word.encode().decode("latin-1").translate(_SIGNS)))
-            if after:
-                if after not in marks:
-                    if len(marks) > 10_000:
-                        self.marks = marks = {"": 0}
-                    marks[after] = len(self.tokenizer.encode(after, add_special_tokens=False))
-                known[u] = n + marks[after]
+        return self.counts(pa.array(texts, pa.large_string())).tolist()
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text of a string array; null is empty."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        huge = pc.greater(pc.utf8_length(texts), self.chunk).to_numpy(zero_copy_only=False)
+        found = np.full(len(texts), _WHOLE, np.int64)
+        found[~huge] = self._by_units(texts.filter(pa.array(~huge)) if huge.any() else texts)
+        for i in np.flatnonzero(found < 0):
+            found[i] = self._huge(texts[i].as_py())
+        return found
+
+    def _by_units(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text, the sum of its units; ``_WHOLE`` where a unit has no count of its own."""
+        if not len(texts) or not pc.sum(pc.binary_length(texts)).as_py():
+            return np.zeros(len(texts), np.int64)
+        _, offsets, signs = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        first, ends = ends[0], ends - ends[0]
+        data = np.frombuffer(signs, np.uint8)[first : first + ends[-1]]
+        white = _WHITE[data]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = white[1:] > white[:-1]
+        if self.plain:
+            cut[self._after_letters(data)] = True
+        cut[ends] = True
+        places = np.flatnonzero(cut)
+        units = pa.Array.from_buffers(pa.large_string(), len(places) - 1, [None, pa.py_buffer(places + first), signs]).dictionary_encode()
+        counts = self._known(units.dictionary.to_numpy(zero_copy_only=False).tolist())[units.indices.to_numpy()]
+        upto = np.searchsorted(places, ends)  # units before each text, and all
+        whole, sums = (np.concatenate(([0], np.cumsum(x)))[upto] for x in (counts < 0, counts))
+        return np.where(np.diff(whole) > 0, _WHOLE, np.diff(sums))
+
+    @staticmethod
+    def _after_letters(data: np.ndarray) -> np.ndarray:
+        """Places of the marks that stand behind a letter of ``_LETTERS`` or the rest of its block: one byte, or two from C3 80 but for the signs of times and division."""
+        marks = np.flatnonzero(_MARK[data[1:]]) + 1
+        last, lead = data[marks - 1], data[np.maximum(marks - 2, 0)]
+        two = (last >= 0x80) & (lead >= 0xC3) & (lead <= 0xC9) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+        return marks[_LETTER[last] | two]
+
+    def _known(self, units: list[str]) -> np.ndarray:
+        """The count of each unit; those not remembered are learned. The units differ."""
+        found = list(map(self.known.get, units))
+        gaps = [i for i, n in enumerate(found) if n is None]
+        if gaps:
+            if len(self.known) + len(gaps) > self.remembered:
+                self.known = {}
+            new = [units[i] for i in gaps]
+            learned = self._learn(new)
+            self.known.update(zip(new, learned))
+            for i, n in zip(gaps, learned):
+                found[i] = n
+        return np.array(found, np.int64)
+
+    def _learn(self, units: list[str]) -> list[int]:
+        found, tokens = np.full(len(units), _WHOLE, np.int64), self.tokenizer.model.tokenize
+        plain = pc.match_substring_regex(pa.array(units, pa.large_string()), _PLAIN).to_numpy(zero_copy_only=False) & self.plain
+        found[plain] = [len(tokens(_byte_level(u))) for u in compress(units, plain)]
+        rest = []
+        for i in np.flatnonzero(~plain):
+            if _MARKS.fullmatch(units[i]):
+                found[i] = len(self.tokenizer.encode(units[i], add_special_tokens=False))
+            elif not _ODD.search(units[i]):
+                rest.append(i)
         for at in range(0, len(rest), 10_000):
             part = rest[at : at + 10_000]
-            known.update(zip(part, map(len, self.tokenizer.encode_batch_fast(part, add_special_tokens=False))))
+            found[part] = list(map(len, self.tokenizer.encode_batch_fast([units[i] for i in part], add_special_tokens=False)))
+        return found.tolist()
 
-    def _encode(self, text: str, start: int, stop: int) -> tuple[list[int], list[tuple[int, int]]]:
-        found = self.tokenizer.encode(text[start:stop], add_special_tokens=False)
-        return found.ids, [(a + start, b + start) for a, b in found.offsets]
+    def _encode(self, text: str, start: int, stop: int):
+        return self.tokenizer.encode(text[start:stop], add_special_tokens=False)
 
     def _huge(self, text: str) -> int:
-        return sum(len(ids) for ids, _ in self.pieces(text))
+        return sum(j - i for _, _, i, j in self._spliced(text))
 
     def pieces(self, text: str) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
         """Token ids and offsets of a text, chunk by chunk, spliced."""
+        for found, base, i, j in self._spliced(text):
+            yield found.ids[i:j], [(a + base, b + base) for a, b in found.offsets[i:j]]
+
+    def _spliced(self, text: str) -> Iterator[tuple]:
+        """The encoding of each chunk, the chunk's first sign, and the first of its tokens that count and the end of them."""
         start, n = 0, len(text)  # all before start is done; start is a stable place
-        left = self._encode(text, 0, min(n, self.chunk)) if n else ([], [])
+        base, done = 0, 0  # of the encoding on the left: its first sign, and its first token from start on
+        left = self._encode(text, 0, min(n, self.chunk))
         stop = min(n, self.chunk)
         while stop < n:
             back, splice = self.overlap, None
@@ -135,7 +186,7 @@ class Counter:
                 begin = max(start, stop - back)
                 if begin == start:  # no stable place in the whole chunk: it grows
                     stop = min(n, stop + max(self.chunk, stop - start))
-                    left = self._encode(text, start, stop)
+                    left, base, done = self._encode(text, start, stop), start, 0
                     self.widened += 1
                     back = self.overlap
                     if stop == n:
@@ -143,31 +194,37 @@ class Counter:
                     continue
                 ahead = min(n, begin + self.chunk + back)
                 right = self._encode(text, begin, ahead)
-                splice = self._splice(text, left, right, begin, stop)
+                splice = self._splice(text, left, base, right, begin, stop)
                 if splice is None:
                     back *= 2
                     self.widened += 1
             if splice is None:
                 break
             place, i, j = splice
-            yield left[0][:i], left[1][:i]
-            start, stop, left = place, ahead, (right[0][j:], right[1][j:])
-        yield left
+            yield left, base, done, i
+            start, stop, left, base, done = place, ahead, right, begin, j
+        yield left, base, done, len(left)
 
-    def _splice(self, text: str, left, right, begin: int, stop: int) -> tuple[int, int, int] | None:
-        """The last stable place of the overlap whose tokens since the stable place before are the same in both."""
+    @staticmethod
+    def _splice(text: str, left, base: int, right, begin: int, stop: int) -> tuple[int, int, int] | None:
+        """The last stable place of the overlap whose tokens since the stable place before are the same in both: the place, and its token in each."""
         places = [m.start() for m in _STABLE.finditer(text, begin, stop) if m.start() > begin]
         if len(places) < 2:
             return None
-        from_left = {a: i for i, (a, _) in reversed(list(enumerate(left[1])))}
-        from_right = {a: i for i, (a, _) in reversed(list(enumerate(right[1])))}
+        ids = left.ids, right.ids
         for p, q in zip(places[-2::-1], places[:0:-1]):
-            at = [x.get(y) for x in (from_left, from_right) for y in (p, q)]
-            if None not in at and left[0][at[0] : at[1]] == right[0][at[2] : at[3]]:
+            at = [_token_from(found, y - first) for found, first in ((left, base), (right, begin)) for y in (p, q)]
+            if None not in at and ids[0][at[0] : at[1]] == ids[1][at[2] : at[3]]:
                 return q, at[1], at[3]
         return None
 
 
+def _token_from(found, sign: int) -> int | None:
+    """The first token of an encoding that begins at a sign of its text."""
+    i = found.char_to_token(sign)
+    return i if i is not None and found.token_to_chars(i)[0] == sign else None
+
+
 @lru_cache(1)
 def _counter(path: str, chunk: int, overlap: int) -> Counter:
     """The worker's counter: tasks that run in one worker, one after the other, share what it remembers (at most REMEMBERED units)."""
@@ -190,11 +247,10 @@ def count(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 b = whole.slice(at, rows)
-                texts = [t or "" for t in b.column(pos).to_pylist()]
-                n = counter.count(texts)
+                texts = b.column(pos).fill_null("")
+                n = counter.counts(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(i) for i in range(pos)]
-                    + [pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
+                    [b.column(i) for i in range(pos)] + [pc.binary_length(texts).cast(pa.int64()), pa.array(n), pa.array(n > limit)],
                     kept + ["n_bytes", "n_tokens", "over_limit"],
                 )
 
