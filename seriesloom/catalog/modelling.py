@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from seriesloom import session
 from seriesloom.catalog.base import (
     supplier_panel, using,
     FLAG_MONTHLY, ORDER_ROWS, SUPPLIER_MONTHLY, flag_monthly_df, order_rows, order_rows_df, over, query, round_half_up, round_to, supplier_monthly, supplier_monthly_df, with_,
@@ -401,6 +402,8 @@ query("e07_simulated_forecasts")(_draws)
 DRAWS = 10_000
 # Most distance between what the draws show and what the normal law says, in standard errors.
 OFF = 6
+# Standard errors around a bound's place in that law between which the draws are looked at first.
+LIKELY = 3
 
 
 def _simulated(spark, sf):
@@ -408,19 +411,22 @@ def _simulated(spark, sf):
     p = supplier_panel(spark, sf)
     model = md.fit(LINEAR, p.df, ["rev", "disc"], "y")
     future = cal.future_months(p.df, ["series"], "date", 3)
-    found = simulated.drawn_quantiles(
-        ex.with_moments(p.df, future, ["series"], ["rev", "disc"]), lambda points: model.predict(ex.drawn_inputs(points, ["series", "date"], ["rev", "disc"], DRAWS)),
-        ["series", "date"], "prediction", {"lower": 0.05, "upper": 0.95},
-    )
     moments = p.df.groupBy("series").agg(F.avg("rev").alias("rev"), F.avg("disc").alias("disc"), F.stddev_samp("rev").alias("sr"), F.stddev_samp("disc").alias("sd"))
     b = model.coefficients()
     wide = F.sqrt(F.pow(b["rev"] * F.col("sr"), F.lit(2)) + F.pow(b["disc"] * F.col("sd"), F.lit(2)))
-    rows = attach(found, model.predict(moments).select("series", F.col("prediction").alias("expected"), wide.alias("spread")), ["series"])
+    law = session.cut(model.predict(moments).select("series", F.col("prediction").alias("expected"), wide.alias("spread")))
+    centre = F.col("expected")
     # Standard errors of the mean, the deviation and the 5 % quantile, for a spread of 1.
     error = {"mean": DRAWS**-0.5, "deviation": (2 * DRAWS) ** -0.5, "bound": (0.05 * 0.95 / DRAWS) ** 0.5 / 0.10313564}
     z = ex.Z_FOR_COVERAGE[90]
+    at = lambda side: [centre + (side * z + k * error["bound"]) * F.col("spread") for k in (-LIKELY, LIKELY)]
+    found = simulated.drawn_quantiles(
+        attach(ex.with_moments(p.df, future, ["series"], ["rev", "disc"]), law, ["series"]),
+        lambda points: model.predict(ex.drawn_inputs(points, ["series", "date"], ["rev", "disc"], DRAWS)),
+        ["series", "date"], "prediction", {"lower": 0.05, "upper": 0.95}, near={"lower": at(-1), "upper": at(1)},
+    )
+    rows = attach(found, law, ["series"])
     near = lambda c, centre, e: (F.abs(F.col(c) - centre) <= OFF * error[e] * F.col("spread")).alias(f"{c}_near")
-    centre = F.col("expected")
     return rows.select(
         "series", "date", "n", F.round("expected", 3).alias("expected"), F.round("spread", 3).alias("spread"), near("mean", centre, "mean"),
         near("deviation", F.col("spread"), "deviation"), near("lower", centre - z * F.col("spread"), "bound"), near("upper", centre + z * F.col("spread"), "bound"),

@@ -16,7 +16,7 @@ from seriesloom.operators.features import attach
 Z_FOR_COVERAGE = {80: 1.2815515655446004, 90: 1.6448536269514722, 95: 1.959963984540054}
 # -------------------------------------------------------------
 
-DRAWS_PER_BLOCK = 1000
+DRAWS_PER_BLOCK = 10_000
 
 
 def linear_contributions(df: DataFrame, keys: Sequence[str], coefficients: Mapping[str, float]) -> DataFrame:
@@ -80,10 +80,11 @@ def with_moments(history: DataFrame, future: DataFrame, series: Sequence[str], c
 def drawn_inputs(rows: DataFrame, keys: Sequence[str], cols: Sequence[str], draws: int, seed: int = 7) -> DataFrame:
     """Each row of ``with_moments`` (unique by ``keys``) ``draws`` times, exogenous columns drawn from a normal with its moments.
 
-    Blocks of draws are spread over all shuffle partitions, whatever their size in bytes, so one series' draws do not stay in one task.
+    Blocks of draws are spread over all shuffle partitions, whatever their size in bytes, so one series' draws do not stay in one task. Where
+    a row's draws are one block, they are dealt by ``keys``, and what is grouped by these needs no further shuffle.
     """
     blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // DRAWS_PER_BLOCK))))
-    blocks = session.spread(blocks, [*keys, "__block"])
+    blocks = session.spread(blocks, [*keys, *(["__block"] if draws > DRAWS_PER_BLOCK else [])])
     ids = F.sequence(
         F.col("__block") * DRAWS_PER_BLOCK, F.least((F.col("__block") + 1) * DRAWS_PER_BLOCK, F.lit(draws)) - 1
     )
